@@ -16,6 +16,18 @@ from demandtide.functions.metrics import HIGHER_IS_BETTER, all_metrics
 from demandtide.operators.windows import last_rows
 
 
+def as_predictions(rows: DataFrame, model: str, keys: Sequence[str] = (), one_step: bool = False) -> DataFrame:
+    """Forecast rows (``ts, idx, n, cut, y, pred``) in the long layout, with their ``horizon``.
+
+    The horizon is 1 for a model that sees all earlier actuals, else the distance from the
+    last training row. Metrics of the two kinds do not compare.
+    """
+    horizon = F.lit(1).cast("bigint") if one_step else F.col("idx") - F.col("cut") + 1
+    return rows.select(
+        *keys, F.lit(model).alias("model"), "ts", "idx", "n", F.col("y").alias("actual"), "pred", horizon.alias("horizon")
+    )
+
+
 def melt_predictions(wide: DataFrame, models: Sequence[str], keys: Sequence[str] = (), prefix: str = "pred_") -> DataFrame:
     """Columns ``pred_<model>`` to rows. Models without a column are passed over."""
     ids = [*keys, *[c for c in ("ts", "idx", "n", "actual") if c in wide.columns]]

@@ -83,7 +83,9 @@ def grow_tree(x: np.ndarray, limit: int, rng: np.random.Generator) -> list[dict]
             continue
         node["feature"] = int(rng.choice(usable))
         f = node["feature"]
-        node["cut"] = float(rng.uniform(low[f], high[f]))
+        cut = float(rng.uniform(low[f], high[f]))
+        # Between two neighbouring floats the draw may be the lower one, which parts nothing.
+        node["cut"] = cut if cut > low[f] else float(high[f])
         below = part[:, f] < node["cut"]
         waiting += [(rows[~below], depth + 1, me, "right"), (rows[below], depth + 1, me, "left")]
     return nodes

@@ -143,6 +143,11 @@ def series_extent(series: DataFrame, keys: Sequence[str] = (), extra: Sequence[s
     )
 
 
+def rescale_sampled(series: DataFrame, frac: float) -> DataFrame:
+    """Counts of a sampled log brought back to the size of the whole log."""
+    return series.withColumn("y", F.col("y") / F.lit(frac))
+
+
 def sample_by_hash(df: DataFrame, id_col: str, frac: float) -> DataFrame:
     """Reproducible sample: a fixed multiplicative hash of the id falls below ``frac``."""
     return df.where(_id_hash(id_col) < math.ceil(frac * 4294967296))

@@ -143,8 +143,8 @@ def fit_smoothing(
     )
     best = per_set.groupBy(*keys).agg(F.min_by(F.struct("place", "sse", "state"), F.struct("sse", "place")).alias("b"))
     weights = F.array(*[F.array(*[F.lit(float(v)) for v in p]) for p in grid])
-    chosen = weights[F.col("b.place")]
-    return best.select(
+    chosen = F.get(weights, F.col("b.place"))
+    return best.where(F.col("b").isNotNull()).select(
         *keys,
         chosen[0].alias("alpha"),
         chosen[1].alias("beta"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from demandtide.operators.smoothing import GRID
+
 
 def _r(expr: str, name: str) -> str:
     # Adding 0.0 turns a negative zero into zero.
@@ -135,6 +137,38 @@ SELECT {by}, n, q1, med, q3,
 FROM g JOIN q USING ({by}) GROUP BY ALL"""
 
 
+def _smoothing(weights: str, rows: str) -> str:
+    """CTE ``hw``: the recursion step by step, season as a list with the oldest term first."""
+    return TYPED + f""",
+tr AS (SELECT * FROM s WHERE {rows}),
+g(a, b, c) AS (VALUES {weights}),
+first AS (
+  SELECT event_type, avg(y) FILTER (WHERE idx < 24) AS l0,
+    (avg(y) FILTER (WHERE idx >= 24 AND idx < 48) - avg(y) FILTER (WHERE idx < 24)) / 24 AS b0,
+    list(y ORDER BY idx) FILTER (WHERE idx < 24) AS ys
+  FROM tr GROUP BY 1
+),
+hw AS (
+  SELECT event_type, a, b, c, -1::BIGINT AS idx, l0 AS level, b0 AS trend, list_transform(ys, lambda v: v - l0) AS season,
+    NULL::DOUBLE AS y, NULL::DOUBLE AS pred
+  FROM first CROSS JOIN g
+  UNION ALL
+  SELECT event_type, a, b, c, idx, nl, b * (nl - level) + (1 - b) * trend,
+    list_append(season[2:24], c * (y - nl) + (1 - c) * season[1]), y, pred
+  FROM (
+    SELECT hw.event_type, a, b, c, tr.idx, level, trend, season, tr.y, level + trend + season[1] AS pred,
+      a * (tr.y - season[1]) + (1 - a) * (level + trend) AS nl
+    FROM hw JOIN tr ON tr.event_type = hw.event_type AND tr.idx = hw.idx + 1
+  )
+)"""
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH c AS", "WITH RECURSIVE c AS", 1)
+
+
+GRID_VALUES = ", ".join("(" + ", ".join(f"{v}::DOUBLE" for v in w) + ")" for w in GRID)
+
 ORACLES = {
     "hourly_demand": ALL + " SELECT ts, idx, y::BIGINT AS trip_count FROM s",
     "hourly_demand_by_type": TYPED + " SELECT event_type, ts, idx, y::BIGINT AS trip_count FROM s",
@@ -251,4 +285,24 @@ SELECT event_type, point, {_r('any_value(x)', 'x')},
 FROM g JOIN v USING (event_type) GROUP BY event_type, point""",
     "box_by_weekday": _box("weekday"),
     "box_by_hour": _box("hour"),
+    "df_lag0": TYPED + f""",
+d AS (
+  SELECT event_type, lag(y) OVER (PARTITION BY event_type ORDER BY idx) AS x, y - lag(y) OVER (PARTITION BY event_type ORDER BY idx) AS dy FROM s
+),
+r AS (
+  SELECT event_type, regr_slope(dy, x) AS b, regr_sxx(dy, x) AS sxx, regr_syy(dy, x) AS syy, count(*) AS m FROM d WHERE x IS NOT NULL GROUP BY 1
+)
+SELECT event_type, {_r('b / sqrt((syy - b * b * sxx) / (m - 2) / sxx)', 'tau')} FROM r""",
+    "holt_winters_fixed": _recursive(_smoothing("(0.3::DOUBLE, 0.05::DOUBLE, 0.1::DOUBLE)", "true"))
+    + f" SELECT event_type, idx, y, {_r('pred', 'pred')} FROM hw WHERE idx >= 0",
+    "holt_winters_grid": _recursive(_smoothing(GRID_VALUES, "idx < floor(n * 0.8::DOUBLE)"))
+    + f""",
+e AS (SELECT event_type, a, b, c, sum((y - pred) * (y - pred)) AS sse, max(idx) AS last FROM hw WHERE idx >= 0 GROUP BY ALL),
+best AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY sse) = 1),
+f AS (SELECT best.*, level, trend, season FROM best JOIN hw ON hw.event_type = best.event_type AND hw.a = best.a AND hw.b = best.b AND hw.c = best.c AND hw.idx = best.last)
+SELECT s.event_type, ts, {_r('level + (s.idx - last) * trend + season[((s.idx - last - 1) % 24) + 1]', 'pred')},
+  a AS alpha, b AS beta, c AS gamma, {_r('sse', 'sse')}
+FROM s JOIN f ON s.event_type = f.event_type AND s.idx > f.last""",
+    "hourly_demand_stream": """SELECT event_type, date_trunc('hour', ts)::TIMESTAMP AS ts, count(*) AS trip_count FROM events
+WHERE date_trunc('hour', ts) + INTERVAL 1 hour <= (SELECT max(ts) - INTERVAL 1 hour FROM events) GROUP BY ALL""",
 }

@@ -13,9 +13,18 @@ from demandtide.operators import explore, folds, scores
 from demandtide.operators import features as ft
 from demandtide.operators import series as se
 from demandtide.operators import windows as wi
+from demandtide.operators import lagmodels as lm
 from demandtide.operators.decompose import decompose
+from demandtide.operators.isolation import isolation_forest as score_by_forest
+from demandtide.operators.reconstruction import pattern_scores
+from demandtide.operators.sarima import sarima
+from demandtide.operators.smoothing import holt_winters, smoothed
+from demandtide.operators.stationarity import adf_test, dickey_fuller
+from demandtide.operators.trend import trend_forecast
+from demandtide.plans.models import forecast_all
 from demandtide.session import scratch_dir
 from demandtide.sources import tables as tb
+from demandtide.streaming.hourly import closed_hours, run_once
 
 KEY = ["event_type"]
 
@@ -34,6 +43,11 @@ def by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return se.demand_series(tb.table(spark, sf_dir, "events"), keys=KEY)
 
 
+def kept(series: DataFrame) -> DataFrame:
+    """A series that several passes read: written once, so the log is read once."""
+    return tb.write_and_read(series, scratch_dir(series.sparkSession, "series"))
+
+
 def trips() -> Column:
     return F.col("y").cast("bigint").alias("trip_count")
 
@@ -330,6 +344,96 @@ def box_by_hour(spark, sf_dir):
     return explore.box_by_hour(overall(spark, sf_dir))
 
 
+# --- stationarity ------------------------------------------------------------------
+
+
+def df_lag0(spark, sf_dir):
+    return dickey_fuller(by_type(spark, sf_dir), KEY).select("event_type", r6("tau"))
+
+
+def adf(spark, sf_dir):
+    names = ("tau", "pvalue", "cv1", "cv5", "cv10")
+    return adf_test(by_type(spark, sf_dir), KEY).select("event_type", *[r6(c) for c in names], "usedlag", "nobs", "is_stationary")
+
+
+# --- forecasts ---------------------------------------------------------------------
+
+
+def _cut(spark, sf_dir) -> DataFrame:
+    return ft.with_cut(by_type(spark, sf_dir))
+
+
+def holt_winters_fixed(spark, sf_dir):
+    """One-step predictions over the whole series with given weights."""
+    whole = by_type(spark, sf_dir).withColumn("cut", F.col("n"))
+    return smoothed(whole, KEY, (0.3, 0.05, 0.1)).select("event_type", "idx", "y", r6("pred"))
+
+
+def holt_winters_grid(spark, sf_dir):
+    """Best weights of the grid on the training part, forecast of the test part."""
+    return holt_winters(_cut(spark, sf_dir), KEY).select("event_type", "ts", r6("pred"), "alpha", "beta", "gamma", r6("sse"))
+
+
+def fourier_trend_forecast(spark, sf_dir):
+    return trend_forecast(_cut(spark, sf_dir), KEY).select("event_type", "ts", "y", r6("pred"))
+
+
+def sarima_css(spark, sf_dir):
+    return sarima(ft.with_cut(kept(by_type(spark, sf_dir))), KEY).select("event_type", "ts", "y", r6("pred"), r6("aic"), r6("bic"))
+
+
+def _lag_regression(name):
+    def query(spark, sf_dir):
+        out = lm.lag_forecast(kept(by_type(spark, sf_dir)), name, KEY)
+        return out.select("event_type", "ts", F.col("y").alias("actual"), r6("pred"))
+
+    query.__name__ = f"lag_regression_{name}"
+    return query
+
+
+lag_regression_lr, lag_regression_rf, lag_regression_gbt = map(_lag_regression, ("lr", "rf", "gbt"))
+
+
+def training_history(spark, sf_dir):
+    return lm.training_history(kept(by_type(spark, sf_dir)), KEY).select("model", "split", "iteration", r6("loss"))
+
+
+def compare_forecasts(spark, sf_dir):
+    """All forecasters on the test part, with their metrics and ranks."""
+    metrics = ev.evaluate(forecast_all(kept(by_type(spark, sf_dir)), KEY), KEY)
+    return ev.rank_by_rmse(metrics, KEY).select("event_type", "model", *_metric_columns(), "rank")
+
+
+# --- detectors ---------------------------------------------------------------------
+
+
+def _flagged(scored: DataFrame, keys=()) -> DataFrame:
+    return scores.flag_scores(scored, keys).select(*keys, "ts", "y", r6("score"), r6("threshold"), "is_anomaly")
+
+
+def isolation_forest(spark, sf_dir):
+    return _flagged(score_by_forest(kept(overall(spark, sf_dir))))
+
+
+def pca_recon(spark, sf_dir):
+    return _flagged(pattern_scores(kept(by_type(spark, sf_dir)), KEY), KEY)
+
+
+def sequence_residual(spark, sf_dir):
+    return _flagged(lm.sequence_scores(kept(by_type(spark, sf_dir)), KEY), KEY)
+
+
+# --- streaming ---------------------------------------------------------------------
+
+
+def hourly_demand_stream(spark, sf_dir):
+    """The event log as a stream: hours the watermark has closed."""
+    schema = tb.table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    out = run_once(closed_hours(stream, keys=KEY), scratch_dir(spark, "stream"))
+    return out.select("event_type", "ts", "trip_count")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -377,5 +481,20 @@ QUERIES = {
         kde,
         box_by_weekday,
         box_by_hour,
+        df_lag0,
+        adf,
+        holt_winters_fixed,
+        holt_winters_grid,
+        fourier_trend_forecast,
+        sarima_css,
+        lag_regression_lr,
+        lag_regression_rf,
+        lag_regression_gbt,
+        training_history,
+        compare_forecasts,
+        isolation_forest,
+        pca_recon,
+        sequence_residual,
+        hourly_demand_stream,
     )
 }

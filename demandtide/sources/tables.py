@@ -19,6 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def write_and_read(df: DataFrame, path: str) -> DataFrame:
+    """Write a table that several jobs need and read it back: lineage ends at the files."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def month_range(first: tuple[int, int], last: tuple[int, int]) -> list[tuple[int, int]]:
     """All (year, month) pairs from ``first`` to ``last``, both included."""
     lo, hi = first[0] * 12 + first[1] - 1, last[0] * 12 + last[1] - 1
