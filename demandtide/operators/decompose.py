@@ -38,9 +38,11 @@ def decompose(series: DataFrame, keys: Sequence[str] = (), period: int = 24, blo
     rows = centered_trend(long_enough, keys, period, block).withColumn("phase", F.col("idx") % period)
     # ``period`` rows per key: the window that centres them is small for any series.
     whole = Window.partitionBy(*keys)
+    # The first timestamp keeps ``ts`` in this branch, so the shuffle of the rows serves both.
     pattern = (
         rows.groupBy(*keys, "phase")
-        .agg(F.avg(F.col("y") - F.col("trend")).alias("p"))
+        .agg(F.avg(F.col("y") - F.col("trend")).alias("p"), F.min("ts").alias("first_ts"))
+        .where(F.col("first_ts").isNotNull())
         .select(*keys, "phase", (F.col("p") - F.avg("p").over(whole)).alias("seasonal"))
     )
     return rows.join(pattern, [*keys, "phase"]).select(

@@ -20,7 +20,12 @@ def histogram(series: DataFrame, keys: Sequence[str] = (), bins: int = 50, value
     """Equal-width bins over [min, max], empty bins included; a constant series has one bin."""
     keys = list(keys)
     counts = value_counts(series, keys, value)
-    bounds = counts.groupBy(*keys).agg(F.min("v").alias("least"), F.max("v").alias("most"))
+    # The row total keeps the frequencies in this branch too, so both uses share one shuffle.
+    bounds = (
+        counts.groupBy(*keys)
+        .agg(F.min("v").alias("least"), F.max("v").alias("most"), F.sum("c").alias("rows"))
+        .where(F.col("rows") > 0)
+    )
     width = F.col("most") - F.col("least")
     last = F.when(width > 0, F.lit(bins - 1)).otherwise(F.lit(0))
     place = F.when(width > 0, F.floor((F.col("v") - F.col("least")) / F.nullif(width, F.lit(0.0)) * bins)).otherwise(F.lit(0))

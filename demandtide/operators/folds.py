@@ -49,16 +49,17 @@ def expand_folds(series: DataFrame, keys: Sequence[str] = (), n_splits: int = 5,
     """A copy of the series per fold, cut at the end of its test part.
 
     The result is a series keyed by ``keys + fold`` with ``cut`` at the first test row, so
-    every forecaster runs on it as it stands. At most ``n_splits`` copies per row.
+    every forecaster runs on it as it stands. At most ``n_splits`` copies per row, made
+    from ``idx`` and ``n`` of the row alone.
     """
-    folds = fold_table(series, keys, n_splits, test_size)
-    if keys:
-        rows = series.join(folds, list(keys))
-    else:
-        listed = folds.agg(F.collect_list(F.struct("fold", "train_end", "test_end")).alias("f")).select("f").scalar()
-        rows = series.withColumn("_f", F.explode(listed)).select(*series.columns, "_f.*")
-    return rows.where(F.col("idx") < F.col("test_end")).select(
-        *keys, "fold", "ts", "idx", F.col("test_end").alias("n"), F.col("train_end").alias("cut"), "y"
+    size = F.nullif(_fold_size(n_splits, test_size), F.lit(0).cast("bigint"))
+    first = F.greatest(F.floor((F.col("idx") - _half()) / size), F.lit(0))
+    last = F.least(F.floor((F.col("n") - _half()) / size), F.lit(n_splits)) - 1
+    fold = F.explode(F.when(first <= last, F.sequence(first, last)))
+    rows = series.select(*keys, "ts", "idx", "n", "y", size.alias("size"), fold.alias("i"))
+    train_end = _half() + F.col("i") * F.col("size")
+    return rows.select(
+        *keys, (F.col("i") + 1).cast("int").alias("fold"), "ts", "idx", (train_end + F.col("size")).alias("n"), train_end.alias("cut"), "y"
     )
 
 

@@ -9,8 +9,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# Rows of output gathered before they are handed back to Spark.
+# Output handed back to Spark at once: rows, and numbers in their arrays.
 OUT_ROWS = 2000
+OUT_NUMBERS = 1_000_000
 
 
 def map_blocks(blocks: DataFrame, func: Callable[[Any], Iterable[dict]], schema: T.StructType) -> DataFrame:
@@ -18,17 +19,26 @@ def map_blocks(blocks: DataFrame, func: Callable[[Any], Iterable[dict]], schema:
 
     Rows are independent, so Spark is free to spread them. Output leaves in pieces.
     """
+    return map_block_groups(blocks, lambda rows: func(rows[0]), schema, 1)
+
+
+def map_block_groups(blocks: DataFrame, func: Callable[[list], Iterable[dict]], schema: T.StructType, size: int) -> DataFrame:
+    """Like ``map_blocks`` with up to ``size`` rows per call, for code that runs many series abreast."""
     names = schema.fieldNames()
+    arrays = [f.name for f in schema.fields if isinstance(f.dataType, T.ArrayType)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out: list[dict] = []
+        numbers = 0
         for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                for made in func(row):
+            rows = list(pdf.itertuples(index=False))
+            for lo in range(0, len(rows), size):
+                for made in func(rows[lo : lo + size]):
                     out.append(made)
-                    if len(out) >= OUT_ROWS:
+                    numbers += sum(len(made[a]) for a in arrays if made[a] is not None)
+                    if len(out) >= OUT_ROWS or numbers >= OUT_NUMBERS:
                         yield pd.DataFrame(out, columns=names)
-                        out = []
+                        out, numbers = [], 0
         if out:
             yield pd.DataFrame(out, columns=names)
 

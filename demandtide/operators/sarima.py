@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from demandtide.operators.attach import attach
 from demandtide.operators.features import train_rows
-from demandtide.operators.numeric import DOUBLES, key_fields, key_values, map_blocks
+from demandtide.operators.numeric import DOUBLES, key_fields, key_values, map_block_groups, map_blocks
 from demandtide.operators.recursion import block_starts, last_block, state_of, with_starts
 from demandtide.operators.windows import pack_blocks
 from demandtide.session import scratch_dir
@@ -30,7 +30,9 @@ ROUNDS = 5
 CANDIDATES = 400
 EDGE = 0.98
 SEED = 42
-_PIECE = 1024
+# Series searched abreast, and time steps worked on at once: 8 * 400 * 256 errors are 7 MB.
+ABREAST = 8
+_PIECE = 256
 
 
 @dataclass(frozen=True)
@@ -68,18 +70,18 @@ class Order:
         return d[self.period :] - d[: -self.period] if self.seasonal else d
 
     def coefficients(self, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """AR and MA weights by lag, (sets, lags), from search numbers in (-1, 1).
+        """AR and MA weights by lag on the last axis, from search numbers in (-1, 1).
 
         The first two pairs are partial autocorrelations, so every candidate is
         stationary and invertible.
         """
         if not self.seasonal:
-            return u[:, :1], u[:, 1:2]
-        phi1, phi2 = u[:, 0] * (1 - u[:, 1]), u[:, 1]
-        the1, the2 = -u[:, 2] * (1 - u[:, 3]), -u[:, 3]
-        sphi, sthe = u[:, 4], u[:, 5]
-        a = np.column_stack([phi1, phi2, sphi, -phi1 * sphi, -phi2 * sphi])
-        m = np.column_stack([the1, the2, sthe, the1 * sthe, the2 * sthe])
+            return u[..., :1], u[..., 1:2]
+        phi1, phi2 = u[..., 0] * (1 - u[..., 1]), u[..., 1]
+        the1, the2 = -u[..., 2] * (1 - u[..., 3]), -u[..., 3]
+        sphi, sthe = u[..., 4], u[..., 5]
+        a = np.stack([phi1, phi2, sphi, -phi1 * sphi, -phi2 * sphi], axis=-1)
+        m = np.stack([the1, the2, sthe, the1 * sthe, the2 * sthe], axis=-1)
         return a, m
 
 
@@ -99,38 +101,52 @@ def candidates(center: np.ndarray, turn: int) -> np.ndarray:
     return np.clip(out, -EDGE, EDGE)
 
 
-def run_errors(order: Order, y: np.ndarray, at: int, own: int, sets: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sum of squared errors per set over positions ``own`` and later, and the last errors.
+def run_errors(
+    order: Order, series: Sequence[np.ndarray], at: int, own: int, sets: np.ndarray, start: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of squared errors over positions ``own`` and later, and the last errors.
 
-    ``y[0]`` is position ``at``; enough rows before ``own`` are there, or the series start.
-    ``start`` holds the errors before ``own``, oldest first, (sets, memory). Errors are 0
-    where the differenced series does not exist yet, and the first ``memory`` do not count.
+    Several series run abreast, each with its own ``sets`` (series, sets, numbers). Their
+    first value is position ``at``; enough rows before ``own`` are there, or the series
+    start. ``start`` holds the errors before ``own``, oldest first, (series, sets, memory).
+    Errors are 0 where the differenced series does not exist yet, and the first ``memory``
+    do not count.
     """
-    a, m = order.coefficients(sets)
-    lags, memory = order.lags, order.memory
-    w = np.concatenate([np.zeros(memory), np.zeros(min(order.lost, len(y))), order.difference(y) if len(y) > order.lost else []])
-    # w[memory + i] belongs to position at + i.
-    first = own - at
-    count = len(y) - first
-    errors = np.zeros((memory + _PIECE, len(sets)))
-    errors[:memory] = start.T
-    mt = m.T
-    sse = np.zeros(len(sets))
-    for lo in range(0, count, _PIECE):
-        size = min(_PIECE, count - lo)
+    # Longest first: at any time the series still running are the first few.
+    ranked = sorted(range(len(series)), key=lambda r: -len(series[r]))
+    lags, memory, first = order.lags, order.memory, own - at
+    counts = np.array([len(series[r]) - first for r in ranked])
+    w = np.zeros((memory + first + counts[0], len(series)))  # row memory + i is position at + i
+    for place, r in enumerate(ranked):
+        if len(series[r]) > order.lost:
+            w[memory + order.lost : memory + len(series[r]), place] = order.difference(series[r])
+    a, m = (c[ranked] for c in order.coefficients(sets))
+    ma = [m[..., j] for j in range(len(lags))]
+    errors = np.zeros((memory + _PIECE, *sets.shape[:2]))
+    errors[:memory] = start[ranked].transpose(2, 0, 1)
+    sse, ends = np.zeros(sets.shape[:2]), np.zeros(start.shape)
+    for lo in range(0, counts[0], _PIECE):
+        size = min(_PIECE, counts[0] - lo)
         rows = memory + first + lo + np.arange(size)
-        u = w[rows][:, None] - np.column_stack([w[rows - lag] for lag in lags]) @ a.T
+        u = w[rows][:, :, None] - sum(w[rows - lag][:, :, None] * a[None, :, :, j] for j, lag in enumerate(lags))
+        running = np.searchsorted(-counts, -(lo + np.arange(size)), side="left")
         for i in range(size):
-            e = u[i]
+            live = running[i]
+            e = u[i, :live]
             for j, lag in enumerate(lags):
-                e = e - mt[j] * errors[memory + i - lag]
-            errors[memory + i] = e
-        skip = order.lost + memory - (own + lo)  # rows of this piece that do not count
-        if skip < size:
-            counted = errors[memory + max(skip, 0) : memory + size]
-            sse += np.einsum("tp,tp->p", counted, counted)
+                e -= ma[j][:live] * errors[memory + i - lag, :live]
+            errors[memory + i, :live] = e
+        skip = max(order.lost + memory - (own + lo), 0)  # rows of this piece that do not count
+        for place, count in enumerate(counts):
+            stop = min(count - lo, size)
+            if stop > skip:
+                part = errors[memory + skip : memory + stop, place]
+                sse[place] += np.einsum("tp,tp->p", part, part)
+            if 0 < stop == count - lo:
+                ends[place] = errors[stop : stop + memory, place].T
         errors[:memory] = errors[size : size + memory].copy()
-    return sse, errors[:memory].T.copy()
+    back = np.argsort(ranked)
+    return sse[back], ends[back]
 
 
 def _carry_over(order: Order, sets: np.ndarray, block: int) -> np.ndarray:
@@ -149,15 +165,16 @@ def _carry_over(order: Order, sets: np.ndarray, block: int) -> np.ndarray:
     return out
 
 
-def search(order: Order, y: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
-    """Best search numbers, their sum of squares and last errors, for a series held whole."""
-    center, sse, last = np.zeros(order.dims), math.inf, None
+def search(order: Order, series: Sequence[np.ndarray]) -> list[tuple[np.ndarray, float, np.ndarray]]:
+    """Best search numbers, their sum of squares and last errors, for series held whole."""
+    centers = np.zeros((len(series), order.dims))
     for turn in range(ROUNDS):
-        sets = candidates(center, turn)
-        scores, ends = run_errors(order, y, 0, 0, sets, np.zeros((len(sets), order.memory)))
-        best = int(np.argmin(scores))
-        center, sse, last = sets[best], float(scores[best]), ends[best]
-    return center, sse, last
+        sets = np.stack([candidates(c, turn) for c in centers])
+        scores, ends = run_errors(order, series, 0, 0, sets, np.zeros((*sets.shape[:2], order.memory)))
+        best = scores.argmin(axis=1)
+        each = np.arange(len(series))
+        centers, found = sets[each, best], (scores[each, best], ends[each, best])
+    return [(centers[r], float(found[0][r]), found[1][r]) for r in range(len(series))]
 
 
 def _model_fields() -> list[T.StructField]:
@@ -190,13 +207,17 @@ def fit_sarima(
     schema = T.StructType(key_fields(table, keys) + _model_fields())
     short = pack_blocks(train_rows(series).where(F.col("cut") <= block), keys, block=block, carry=["cut"])
 
-    def fit(row) -> Iterable[dict]:
-        y = np.asarray(row.values, dtype=float)
-        order = order_for(len(y), period)
-        params, sse, last = search(order, y)
-        yield {**key_values(row, keys), "cut": row.cut, "n": row.n, "params": params, "sse": sse, "tail": y[-_margin(period) :], "errors": last}
-
-    fitted = map_blocks(short, fit, schema)
+    def fit(rows: list) -> Iterable[dict]:
+        by_order: dict[Order, list] = {}
+        for row in rows:
+            by_order.setdefault(order_for(len(row.values), period), []).append(row)
+        for order, alike in by_order.items():
+            ys = [np.asarray(row.values, dtype=float) for row in alike]
+            for row, y, (params, sse, last) in zip(alike, ys, search(order, ys)):
+                tail = y[-_margin(period) :]
+                yield {**key_values(row, keys), "cut": row.cut, "n": row.n, "params": params, "sse": sse, "tail": tail, "errors": last}
+
+    fitted = map_block_groups(short, fit, schema, ABREAST)
     return fitted.unionByName(_fit_long(series, keys, period, block, schema)) if long_series else fitted
 
 
@@ -241,7 +262,7 @@ def _score_blocks(tried: DataFrame, keys: list[str], order: Order, block: int, s
 
     def end(row) -> np.ndarray:
         sets = sets_of(row)
-        return run_errors(order, np.asarray(row.values, dtype=float), int(row.at), own(row), sets, np.zeros((count, order.memory)))[1]
+        return run_errors(order, [np.asarray(row.values, dtype=float)], int(row.at), own(row), sets[None], np.zeros((1, count, order.memory)))[1][0]
 
     starts = block_starts(tried, keys, end, lambda row: _carry_over(order, sets_of(row), block), carry=["center"])
     schema = T.StructType(
@@ -256,7 +277,7 @@ def _score_blocks(tried: DataFrame, keys: list[str], order: Order, block: int, s
         y = np.asarray(row.values, dtype=float)
         given = state_of(row, count)
         start = np.zeros((count, order.memory)) if given is None else given
-        sse, ends = run_errors(order, y, int(row.at), own(row), sets_of(row), start)
+        sse, ends = (v[0] for v in run_errors(order, [y], int(row.at), own(row), sets_of(row)[None], start[None]))
         final = not row.more
         base = {**key_values(row, keys), "blk": row.blk, "cut": row.cut, "n": row.n, "center": row.center}
         for p in range(count):

@@ -31,12 +31,10 @@ def count_buckets(events: DataFrame, ts_col: str = "ts", keys: Sequence[str] = (
     ts = F.col(ts_col)
     if events.schema[ts_col].dataType.typeName() not in ("timestamp_ntz", "date"):
         ts = parse_timestamp(ts)
-    return (
-        events.select(*keys, bucket_number(ts, bucket).alias("b"))
-        .na.drop(subset=[*keys, "b"])
-        .groupBy(*keys, "b")
-        .agg(F.count("*").alias("c"))
-    )
+    # Stated one by one, so that the scan gets them and later joins on the keys add nothing.
+    for col in (*[F.col(k) for k in keys], ts):
+        events = events.where(col.isNotNull())
+    return events.select(*keys, bucket_number(ts, bucket).alias("b")).groupBy(*keys, "b").agg(F.count("*").alias("c"))
 
 
 def bucket_extent(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -109,9 +107,10 @@ def fill_gaps(
         F.first("last_b", ignorenulls=True).over(w).alias("last_b"),
     )
     until = F.coalesce("next_b", F.least(F.col("last_b") + 1, (F.col("blk") + 1) * BLOCK))
-    filled = rows.select(
-        *keys, "first_b", "last_b", "b", "c", F.explode(F.when(until > F.col("b"), F.sequence(F.col("b"), until - 1))).alias("at")
-    )
+    # No bucket lies before the first. Saying so keeps ``first_b`` in every plan, also where
+    # only values are wanted, so that all uses of a series share one shuffle.
+    fills = (until > F.col("b")) & (F.col("b") >= F.col("first_b"))
+    filled = rows.select(*keys, "first_b", "last_b", "b", "c", F.explode(F.when(fills, F.sequence(F.col("b"), until - 1))).alias("at"))
     return filled.select(
         *keys,
         bucket_start(F.col("at"), bucket).alias("ts"),

@@ -12,17 +12,24 @@ from pyspark.sql import types as T
 
 from demandtide.operators.attach import attach
 from demandtide.operators.features import train_rows
-from demandtide.operators.numeric import DOUBLES, key_fields, key_values, map_blocks
+from demandtide.operators.numeric import DOUBLES, key_fields, key_values, map_block_groups, map_blocks
 from demandtide.operators.recursion import block_starts, last_block, state_of, with_starts
-from demandtide.operators.series import BLOCK
 from demandtide.operators.windows import pack_blocks
 
 Params = tuple[float, float, float]
 
+# Rows run in one go: seven and a half years of hours. Each further block of a series
+# costs one state per parameter set, so blocks are long here.
+RUN_BLOCK = 65_520
+
 # Level, trend and season weights tried when none are given.
 GRID: tuple[Params, ...] = tuple(product((0.02, 0.05, 0.1, 0.2, 0.4, 0.7), (0.0, 0.01, 0.05, 0.1), (0.02, 0.05, 0.1, 0.3)))
 
 
+# Series run abreast: the state of 32 series and 96 parameter sets is about 600 KB.
+ABREAST = 32
+
+
 def _first_state(y: np.ndarray, sets: int, m: int) -> np.ndarray:
     """Level, trend and season from the first two periods, once per parameter set."""
     level = y[:m].mean()
@@ -30,60 +37,67 @@ def _first_state(y: np.ndarray, sets: int, m: int) -> np.ndarray:
     return np.tile(np.concatenate([[level, trend], y[:m] - level]), (sets, 1))
 
 
-def _smooth(y: np.ndarray, at: int, state: np.ndarray, params: np.ndarray, m: int, keep: bool = False):
-    """Run all parameter sets over ``y``: end states, sums of squared errors, predictions.
+def _smooth(series: Sequence[np.ndarray], starts: np.ndarray, params: np.ndarray, m: int, keep: bool = False):
+    """Run all parameter sets over several series at once.
 
-    A state row is level, trend, then the season by ``position mod m``.
+    Returns end states, sums of squared errors and, with ``keep``, one-step predictions.
+    A state is level, trend, then the season by ``position mod m``; every series begins at
+    a multiple of ``m``. ``starts`` is (series, sets, state).
     """
     alpha, beta, gamma = params.T
-    level, trend, season = state[:, 0].copy(), state[:, 1].copy(), state[:, 2:].T.copy()
-    sse = np.zeros(len(params))
-    preds = np.empty((len(y), len(params))) if keep else None
-    for i, value in enumerate(y):
-        k = (at + i) % m
-        base = level + trend
-        pred = base + season[k]
+    # Longest first: at any time the series still running are the first few.
+    order = sorted(range(len(series)), key=lambda r: -len(series[r]))
+    longest = len(series[order[0]])
+    values = np.zeros((longest, len(series)))
+    for place, r in enumerate(order):
+        values[: len(series[r]), place] = series[r]
+    running = np.searchsorted(-np.array([len(series[r]) for r in order]), -np.arange(longest), side="left")
+    states = starts[order]
+    level, trend, season = states[..., 0].copy(), states[..., 1].copy(), states[..., 2:].transpose(2, 0, 1).copy()
+    sse = np.zeros(level.shape)
+    preds = np.empty((longest, *level.shape)) if keep else None
+    for i in range(longest):
+        live = running[i]
+        s = season[i % m, :live]
+        value = values[i, :live, None]
+        base = level[:live] + trend[:live]
+        pred = base + s
         if keep:
-            preds[i] = pred
+            preds[i, :live] = pred
         err = value - pred
-        sse += err * err
-        new = alpha * (value - season[k]) + (1 - alpha) * base
-        trend = beta * (new - level) + (1 - beta) * trend
-        season[k] = gamma * (value - new) + (1 - gamma) * season[k]
-        level = new
-    return np.column_stack([level, trend, season.T]), sse, preds
+        sse[:live] += err * err
+        new = base + alpha * err
+        trend[:live] = beta * (new - level[:live]) + (1 - beta) * trend[:live]
+        s += gamma * (value - new - s)
+        level[:live] = new
+    ends = np.concatenate([level[..., None], trend[..., None], season.transpose(1, 2, 0)], axis=2)
+    back = np.argsort(order)
+    return ends[back], sse[back], preds[:, back] if keep else None
 
 
 def _transition(params: np.ndarray, m: int, block: int) -> np.ndarray:
     """How a start state carries through one full block, (sets, state, state)."""
     size = m + 2
-    unit = np.repeat(np.eye(size)[None], len(params), 0)
-    whole, rest = divmod(block, m)
-
-    def rows(count: int) -> np.ndarray:
-        cols = [_smooth(np.zeros(count), 0, unit[:, j], params, m)[0] for j in range(size)]
-        return np.stack(cols, axis=2)
-
-    one = rows(m)
-    out = unit.copy()
-    for bit in bin(whole)[2:]:
+    unit = np.repeat(np.eye(size)[:, None, :], len(params), axis=1)
+    one = _smooth([np.zeros(m)] * size, unit, params, m)[0].transpose(1, 2, 0)
+    out = np.repeat(np.eye(size)[None], len(params), axis=0)
+    for bit in bin(block // m)[2:]:
         out = out @ out
         if bit == "1":
             out = one @ out
-    return rows(rest) @ out if rest else out
+    return out
 
 
 def _training_blocks(table: DataFrame, keys: Sequence[str], params: np.ndarray, m: int, block: int) -> DataFrame:
     """Training rows as blocks with their start states, one per parameter set."""
-    if block % m or block < 2 * m:
-        raise ValueError("the block must be a multiple of the period and hold two of them")
+    block = max(block - block % m, 2 * m)
     packed = pack_blocks(train_rows(table).where(F.col("cut") >= 2 * m), keys, block=block, carry=["cut"])
     blocks = packed.withColumn("more", F.col("blk") < last_block("cut", block))
 
     def end(row) -> np.ndarray:
         y = np.asarray(row.values, dtype=float)
         start = _first_state(y, len(params), m) if row.blk == 0 else np.zeros((len(params), m + 2))
-        return _smooth(y, int(row.at), start, params, m)[0]
+        return _smooth([y], start[None], params, m)[0][0]
 
     starts = block_starts(blocks, keys, end, lambda row: _transition(params, m, block))
     return with_starts(blocks, starts, keys)
@@ -94,7 +108,7 @@ def _start(row, y: np.ndarray, sets: int, m: int) -> np.ndarray:
     return _first_state(y, sets, m) if given is None else given
 
 
-def smoothed(table: DataFrame, keys: Sequence[str] = (), params: Params = (0.3, 0.05, 0.1), period: int = 24, block: int = BLOCK) -> DataFrame:
+def smoothed(table: DataFrame, keys: Sequence[str] = (), params: Params = (0.3, 0.05, 0.1), period: int = 24, block: int = RUN_BLOCK) -> DataFrame:
     """One-step-ahead predictions on the rows before ``cut``: ``keys, idx, y, pred``."""
     keys, one = list(keys), np.asarray([params], dtype=float)
     blocks = _training_blocks(table, keys, one, period, block)
@@ -104,16 +118,16 @@ def smoothed(table: DataFrame, keys: Sequence[str] = (), params: Params = (0.3,
 
     def rows(row):
         y = np.asarray(row.values, dtype=float)
-        _, _, preds = _smooth(y, int(row.at), _start(row, y, 1, period), one, period, keep=True)
+        _, _, preds = _smooth([y], _start(row, y, 1, period)[None], one, period, keep=True)
         base = key_values(row, keys)
         for i in range(len(y)):
-            yield {**base, "idx": int(row.at) + i, "y": y[i], "pred": preds[i, 0]}
+            yield {**base, "idx": int(row.at) + i, "y": y[i], "pred": preds[i, 0, 0]}
 
     return map_blocks(blocks, rows, schema)
 
 
 def fit_smoothing(
-    table: DataFrame, keys: Sequence[str] = (), grid: Sequence[Params] = GRID, period: int = 24, block: int = BLOCK
+    table: DataFrame, keys: Sequence[str] = (), grid: Sequence[Params] = GRID, period: int = 24, block: int = RUN_BLOCK
 ) -> DataFrame:
     """Best parameters per key on the rows before ``cut``, with the state at the cut.
 
@@ -128,16 +142,19 @@ def fit_smoothing(
         + [T.StructField("sse", T.DoubleType()), T.StructField("state", DOUBLES)]
     )
 
-    def tried(row):
-        y = np.asarray(row.values, dtype=float)
-        ends, sse, _ = _smooth(y, int(row.at), _start(row, y, len(params), period), params, period)
-        base = key_values(row, keys)
-        for p in range(len(sse)):
-            # Only the last block's state matters.
-            yield {**base, "blk": row.blk, "place": p, "sse": sse[p], "state": None if row.more else ends[p]}
+    def tried(rows):
+        ys = [np.asarray(row.values, dtype=float) for row in rows]
+        starts = np.stack([_start(row, y, len(params), period) for row, y in zip(rows, ys)])
+        ends, sse, _ = _smooth(ys, starts, params, period)
+        for r, row in enumerate(rows):
+            base = {**key_values(row, keys), "blk": row.blk}
+            alone = row.blk == 0 and not row.more
+            # A series of one block is decided here; only the last block's state matters.
+            for p in [int(np.argmin(sse[r]))] if alone else range(len(params)):
+                yield {**base, "place": p, "sse": sse[r, p], "state": None if row.more else ends[r, p]}
 
     per_set = (
-        map_blocks(blocks, tried, schema)
+        map_block_groups(blocks, tried, schema, ABREAST)
         .groupBy(*keys, "place")
         .agg(F.sum("sse").alias("sse"), F.max_by("state", "blk").alias("state"))
     )
@@ -166,7 +183,7 @@ def forecast_smoothing(table: DataFrame, fitted: DataFrame, keys: Sequence[str]
 
 
 def holt_winters(
-    table: DataFrame, keys: Sequence[str] = (), grid: Sequence[Params] = GRID, period: int = 24, block: int = BLOCK
+    table: DataFrame, keys: Sequence[str] = (), grid: Sequence[Params] = GRID, period: int = 24, block: int = RUN_BLOCK
 ) -> DataFrame:
     """Fit on ``idx < cut`` and forecast the rest: the rows with ``pred, alpha, beta, gamma, sse``."""
     return forecast_smoothing(table, fit_smoothing(table, keys, grid, period, block), keys, period)

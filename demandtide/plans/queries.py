@@ -43,9 +43,9 @@ def by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return se.demand_series(tb.table(spark, sf_dir, "events"), keys=KEY)
 
 
-def kept(series: DataFrame) -> DataFrame:
-    """A series that several passes read: written once, so the log is read once."""
-    return tb.write_and_read(series, scratch_dir(series.sparkSession, "series"))
+def kept(table: DataFrame) -> DataFrame:
+    """A table that several passes read: written once, so what leads to it runs once."""
+    return tb.write_and_read(table, scratch_dir(table.sparkSession, "kept"))
 
 
 def trips() -> Column:
@@ -288,18 +288,23 @@ def profile_recon_scores(spark, sf_dir):
     return _profile(spark, sf_dir).select("event_type", "ts", r6("score"))
 
 
+def _flagged_profile(spark, sf_dir) -> DataFrame:
+    """A threshold reads the scores more than once, so they are written first."""
+    return scores.flag_scores(kept(_profile(spark, sf_dir)), KEY)
+
+
 def profile_recon_flags(spark, sf_dir):
-    flagged = scores.flag_scores(_profile(spark, sf_dir), KEY)
+    flagged = _flagged_profile(spark, sf_dir)
     return flagged.select("event_type", "ts", r6("score"), r6("threshold"), "is_anomaly")
 
 
 def anomaly_points(spark, sf_dir):
-    hits = scores.anomaly_points(scores.flag_scores(_profile(spark, sf_dir), KEY))
+    hits = scores.anomaly_points(_flagged_profile(spark, sf_dir))
     return hits.select("event_type", "ts", "y", r6("score"))
 
 
 def anomaly_summary(spark, sf_dir):
-    summary = scores.anomaly_summary(scores.flag_scores(_profile(spark, sf_dir), KEY), KEY)
+    summary = scores.anomaly_summary(_flagged_profile(spark, sf_dir), KEY)
     return summary.select("event_type", "n", "n_anom", r6("pct"))
 
 
@@ -318,11 +323,11 @@ def anomaly_wide(spark, sf_dir):
 
 def display_threshold_flags(spark, sf_dir):
     # 500 rows, fewer than a series has, so that the slice matters.
-    return scores.display_flags(_profile(spark, sf_dir), KEY, rows=500).select("event_type", "ts", r6("score"), r6("threshold"), "flag")
+    return scores.display_flags(kept(_profile(spark, sf_dir)), KEY, rows=500).select("event_type", "ts", r6("score"), r6("threshold"), "flag")
 
 
 def score_chart(spark, sf_dir):
-    return scores.score_chart(_two_methods(spark, sf_dir), rows=500).select("method", "ts", r6("score"), r6("p95"))
+    return scores.score_chart(kept(_two_methods(spark, sf_dir)), rows=500).select("method", "ts", r6("score"), r6("p95"))
 
 
 # --- exploration -------------------------------------------------------------------
@@ -408,7 +413,7 @@ def compare_forecasts(spark, sf_dir):
 
 
 def _flagged(scored: DataFrame, keys=()) -> DataFrame:
-    return scores.flag_scores(scored, keys).select(*keys, "ts", "y", r6("score"), r6("threshold"), "is_anomaly")
+    return scores.flag_scores(kept(scored), keys).select(*keys, "ts", "y", r6("score"), r6("threshold"), "is_anomaly")
 
 
 def isolation_forest(spark, sf_dir):

@@ -150,16 +150,19 @@ def plain_errors(y, a, m, lags, lost):
     return w, e
 
 
-def test_sarima_errors_equal_a_plain_loop():
-    y = season(200)
-    order = sarima.Order(True, 24)
-    sets = sarima.candidates(np.zeros(6), 1)[:5]
-    sse, last = sarima.run_errors(order, y, 0, 0, sets, np.zeros((5, 26)))
+@pytest.mark.parametrize("seasonal,lost", [(True, 25), (False, 1)])
+def test_sarima_errors_equal_a_plain_loop(seasonal, lost):
+    """Series of different lengths run abreast, over more than one piece of time."""
+    order = sarima.Order(seasonal, 24)
+    ys = [season(200, 1), season(600, 2), season(256, 3)]
+    sets = np.stack([sarima.candidates(np.full(order.dims, 0.1 * r), 1)[:4] for r in range(3)])
+    sse, last = sarima.run_errors(order, ys, 0, 0, sets, np.zeros((3, 4, order.memory)))
     a, m = order.coefficients(sets)
-    for p in range(5):
-        _, e = plain_errors(y, a[p], m[p], order.lags, 25)
-        assert sse[p] == pytest.approx((e[26:] ** 2).sum(), rel=1e-10)
-        np.testing.assert_allclose(last[p], e[-26:], rtol=1e-8, atol=1e-10)
+    for r, y in enumerate(ys):
+        for p in range(4):
+            _, e = plain_errors(y, a[r, p], m[r, p], order.lags, lost)
+            assert sse[r, p] == pytest.approx((e[order.memory :] ** 2).sum(), rel=1e-10)
+            np.testing.assert_allclose(last[r, p], e[-order.memory :], rtol=1e-8, atol=1e-10)
 
 
 def test_sarima_candidates_are_stationary():
