@@ -8,20 +8,19 @@ hash of the window's place, so the forest does not depend on how the data is spl
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from demandtide.operators.features import norm_params, normalize
-from demandtide.operators.numeric import DOUBLES, key_fields, key_values, map_blocks
-from demandtide.operators.scores import has_window, pad_scores
+from demandtide.operators.numeric import DOUBLES
+from demandtide.operators.scores import has_window
 from demandtide.operators.series import BLOCK
-from demandtide.operators.windows import pack_blocks
+from demandtide.operators.windows import pack_blocks, unpack_blocks
 
 TREES = 100
 SAMPLE = 256
@@ -31,28 +30,34 @@ EULER = 0.5772156649
 SURPLUS = 1.3
 
 
+# Blocks scored in one go, so that short series do not pay for each step of each tree.
+ABREAST = 8
+
+
 @dataclass(frozen=True)
 class Forest:
-    """Nodes of all trees in one row each; a leaf points to itself."""
+    """All nodes of all trees in one row each; both children of a leaf are the leaf itself."""
 
     roots: np.ndarray
     feature: np.ndarray
     cut: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
+    children: np.ndarray  # left and right child of node k at 2k and 2k + 1
     path: np.ndarray
     depth: int
     norm: float
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        """``2 ** (-mean path / norm)``: near 1 for windows that are soon alone."""
-        rows = np.arange(len(x))
-        total = np.zeros(len(x))
+    def score(self, values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """``2 ** (-mean path / norm)`` of the windows of ``values`` that begin at ``starts``.
+
+        Near 1 for windows that are soon alone.
+        """
+        total = np.zeros(len(starts))
         for root in self.roots:
-            at = np.full(len(x), root)
+            at = np.full(len(starts), root)
             for _ in range(self.depth):
-                at = np.where(x[rows, self.feature[at]] < self.cut[at], self.left[at], self.right[at])
-            total += self.path[at]
+                right = values.take(starts + self.feature.take(at)) >= self.cut.take(at)
+                at = self.children.take(2 * at + right)
+            total += self.path.take(at)
         return 2.0 ** (-(total / len(self.roots)) / self.norm)
 
 
@@ -153,8 +158,7 @@ def fit_forest(
         roots=first.to_numpy(),
         feature=nodes["feature"].to_numpy(),
         cut=nodes["cut"].to_numpy(),
-        left=nodes["left"].to_numpy() + offset,
-        right=nodes["right"].to_numpy() + offset,
+        children=(nodes[["left", "right"]].to_numpy() + offset[:, None]).ravel(),
         path=nodes["path"].to_numpy(),
         depth=limit,
         norm=max(average_path(size), 1.0),
@@ -166,19 +170,27 @@ def forest_scores(
 ) -> DataFrame:
     """Score table: every window scored at its last row, higher is more unusual."""
     keys = list(keys)
-    blocks = pack_blocks(series, keys, value, before=length - 1, block=block)
-    shared = series.sparkSession.sparkContext.broadcast(forest)
-    schema = T.StructType(key_fields(series, keys) + [T.StructField("at", T.LongType()), T.StructField("scores", DOUBLES)])
-
-    def score(row) -> Iterable[dict]:
-        v = np.asarray(row.values, dtype=float)
-        if len(v) >= length:
-            x = np.lib.stride_tricks.sliding_window_view(v, length)
-            yield {**key_values(row, keys), "at": row.at + length - 1, "scores": shared.value.score(x)}
-
-    scored = map_blocks(blocks, score, schema)
-    places = scored.select(*keys, "at", F.posexplode("scores").alias("i", "score")).select(*keys, (F.col("at") + F.col("i")).alias("idx"), "score")
-    return pad_scores(series, places, method, keys)
+    along = ["ts", "y"]
+    blocks = pack_blocks(series, keys, value, before=length - 1, block=block, along=along)
+    # Plain arrays: unlike functions, broadcast values do not bring their class along.
+    shared = series.sparkSession.sparkContext.broadcast(vars(forest))
+
+    def some(values: Sequence[np.ndarray]) -> list[np.ndarray]:
+        sizes = np.array([len(v) for v in values])
+        made = np.zeros(sizes.sum())
+        begin = np.cumsum(sizes) - sizes
+        starts = np.concatenate([b + np.arange(max(n - length + 1, 0)) for b, n in zip(begin, sizes)])
+        made[starts + length - 1] = Forest(**shared.value).score(np.concatenate(values), starts)
+        return np.split(made, begin[1:])
+
+    @F.pandas_udf(DOUBLES)
+    def score(values: pd.Series) -> pd.Series:
+        return pd.Series([made for lo in range(0, len(values), ABREAST) for made in some(values.iloc[lo : lo + ABREAST].tolist())])
+
+    scored = blocks.withColumn("made", score("values"))
+    return unpack_blocks(scored, keys, along, F.col("made"), "score", block).select(
+        *keys, F.lit(method).alias("method"), "ts", "idx", "n", "y", "score"
+    )
 
 
 def isolation_forest(series: DataFrame, keys: Sequence[str] = (), length: int = 24, seed: int = SEED) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,10 +13,9 @@ from pyspark.sql import types as T
 from demandtide.operators.attach import attach
 from demandtide.operators.features import norm_params, normalize
 from demandtide.operators.gram import gram, solve
-from demandtide.operators.numeric import DOUBLES, key_fields, key_values, map_blocks
-from demandtide.operators.scores import pad_scores
+from demandtide.operators.numeric import DOUBLES
 from demandtide.operators.series import BLOCK
-from demandtide.operators.windows import pack_blocks
+from demandtide.operators.windows import pack_blocks, unpack_blocks
 
 
 def _windows(values, length: int) -> np.ndarray:
@@ -40,7 +40,7 @@ def fit_patterns(blocks: DataFrame, keys: Sequence[str] = (), length: int = 24,
         return {"center": center, "basis": vectors[:, ::-1][:, :size].ravel()}
 
     fields = [T.StructField("center", DOUBLES), T.StructField("basis", DOUBLES)]
-    return solve(gram(blocks, keys, design), keys, axes, fields)
+    return solve(gram(blocks.select(*keys, "values"), keys, design), keys, axes, fields)
 
 
 def pattern_scores(
@@ -53,18 +53,24 @@ def pattern_scores(
     """
     keys = list(keys)
     z = normalize(series, norm_params(series, keys), keys).withColumn("z", F.coalesce("z", F.lit(0.0)))
-    blocks = pack_blocks(z, keys, "z", before=length - 1, block=block)
-    fitted = attach(blocks, fit_patterns(blocks, keys, length, patterns), keys, ["center", "basis"])
-    schema = T.StructType(key_fields(series, keys) + [T.StructField("at", T.LongType()), T.StructField("scores", DOUBLES)])
-
-    def score(row) -> Iterable[dict]:
-        if row.center is None or len(row.values) < length:
-            return
-        x = _windows(row.values, length) - np.asarray(row.center, dtype=float)
-        basis = np.asarray(row.basis, dtype=float).reshape(length, -1)
-        rest = x - (x @ basis) @ basis.T
-        yield {**key_values(row, keys), "at": row.at + length - 1, "scores": (rest * rest).mean(axis=1)}
-
-    scored = map_blocks(fitted, score, schema)
-    places = scored.select(*keys, "at", F.posexplode("scores").alias("i", "score")).select(*keys, (F.col("at") + F.col("i")).alias("idx"), "score")
-    return pad_scores(series, places, method, keys)
+    along = ["ts", "y"]
+    blocks = pack_blocks(z, keys, "z", before=length - 1, block=block, along=along)
+    fitted = attach(blocks, fit_patterns(blocks, keys, length, patterns), keys, ["center", "basis"], "left")
+
+    @F.pandas_udf(DOUBLES)
+    def score(values: pd.Series, center: pd.Series, basis: pd.Series) -> pd.Series:
+        made = []
+        for v, c, b in zip(values, center, basis):
+            out = np.zeros(len(v))
+            if c is not None and len(v) >= length:
+                x = _windows(v, length) - c
+                b = np.asarray(b).reshape(length, -1)
+                rest = x - (x @ b) @ b.T
+                out[length - 1 :] = (rest * rest).mean(axis=1)
+            made.append(out)
+        return pd.Series(made)
+
+    scored = fitted.withColumn("made", score("values", "center", "basis"))
+    return unpack_blocks(scored, keys, along, F.col("made"), "score", block).select(
+        *keys, F.lit(method).alias("method"), "ts", "idx", "n", "y", "score"
+    )

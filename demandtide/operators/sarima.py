@@ -128,11 +128,12 @@ def run_errors(
     for lo in range(0, counts[0], _PIECE):
         size = min(_PIECE, counts[0] - lo)
         rows = memory + first + lo + np.arange(size)
-        u = w[rows][:, :, None] - sum(w[rows - lag][:, :, None] * a[None, :, :, j] for j, lag in enumerate(lags))
+        past = np.stack([w[rows - lag] for lag in lags], axis=-1).transpose(1, 0, 2)
+        u = w[rows].T[:, :, None] - past @ a.transpose(0, 2, 1)  # (series, time, sets)
         running = np.searchsorted(-counts, -(lo + np.arange(size)), side="left")
         for i in range(size):
             live = running[i]
-            e = u[i, :live]
+            e = u[:live, i]
             for j, lag in enumerate(lags):
                 e -= ma[j][:live] * errors[memory + i - lag, :live]
             errors[memory + i, :live] = e

@@ -147,6 +147,11 @@ def rescale_sampled(series: DataFrame, frac: float) -> DataFrame:
     return series.withColumn("y", F.col("y") / F.lit(frac))
 
 
+def sample_rows(df: DataFrame, frac: float, seed: int = 42) -> DataFrame:
+    """About ``frac`` of the rows, drawn in the scan; the whole table when ``frac`` is 1."""
+    return df if frac >= 1 else df.sample(withReplacement=False, fraction=frac, seed=seed)
+
+
 def sample_by_hash(df: DataFrame, id_col: str, frac: float) -> DataFrame:
     """Reproducible sample: a fixed multiplicative hash of the id falls below ``frac``."""
     return df.where(_id_hash(id_col) < math.ceil(frac * 4294967296))
@@ -176,10 +181,10 @@ def _smallest(df: DataFrame, order: str, tie: str, k) -> DataFrame:
     Counts per hash slice give the slice in which row k falls. Slices below it are
     kept whole; only that one slice is ranked.
     """
-    slices = 4096
+    slices = 65_536
     slice_of = F.floor(F.col(order) * slices / F.lit(4294967296)).cast("int")
     df = df.withColumn("_s", slice_of)
-    cum = Window.orderBy("_s")  # at most 4096 rows
+    cum = Window.orderBy("_s")  # one row per slice
     edge = (
         df.groupBy("_s")
         .agg(F.count("*").alias("c"))

@@ -105,18 +105,49 @@ def head_rows(series: DataFrame, count: int = 5) -> DataFrame:
     return series.orderBy("ts").limit(count)
 
 
-def pack_blocks(series: DataFrame, keys: Sequence[str] = (), value: str = "y", before: int = 0, block: int = BLOCK, carry: Sequence[str] = ()) -> DataFrame:
-    """One row per key and block: ``keys, blk, at, n, values`` (+ ``carry`` columns).
+def partitions(df: DataFrame) -> int:
+    """As many partitions as the session's shuffles have, and no fewer than there are cores."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def pack_blocks(
+    series: DataFrame,
+    keys: Sequence[str] = (),
+    value: str = "y",
+    before: int = 0,
+    block: int = BLOCK,
+    carry: Sequence[str] = (),
+    along: Sequence[str] = (),
+) -> DataFrame:
+    """One row per key and block: ``keys, blk, at, n, values`` (+ ``carry`` columns, one value each).
 
     ``values`` starts ``before`` rows ahead of the block (fewer at the series start) and
     ``at`` is the ``idx`` of its first element. An array never exceeds ``block + before``.
+    ``along`` keeps more columns of every row, in ``rows`` (see ``unpack_blocks``).
     """
     cut = with_margin(series, keys, before, 0, block)
-    packed = cut.groupBy(*keys, "_blk").agg(
-        F.sort_array(F.collect_list(F.struct("idx", F.col(value).alias("v")))).alias("rows"),
+    # Blocks are small in bytes but costly to work on. A stated number of partitions keeps
+    # adaptive execution from putting them all into a few tasks.
+    packed = cut.repartition(partitions(series), *keys, "_blk").groupBy(*keys, "_blk").agg(
+        F.sort_array(F.collect_list(F.struct("idx", F.col(value).alias("v"), *along))).alias("rows"),
         F.first("n").alias("n"),
         *[F.first(c).alias(c) for c in carry],
     )
+    kept = ["rows"] if along else []
     return packed.select(
-        *keys, F.col("_blk").alias("blk"), F.col("rows")[0]["idx"].alias("at"), "n", F.col("rows.v").alias("values"), *carry
+        *keys, F.col("_blk").alias("blk"), F.col("rows")[0]["idx"].alias("at"), "n", F.col("rows.v").alias("values"), *carry, *kept
+    )
+
+
+def unpack_blocks(blocks: DataFrame, keys: Sequence[str], along: Sequence[str], result: Column, name: str, block: int = BLOCK) -> DataFrame:
+    """Back to rows: ``keys, idx, n``, the ``along`` columns and one number of ``result`` per row.
+
+    ``result`` is an array next to ``values``; the margin rows of a block are left out.
+    No join is needed to bring results of numpy code to their rows.
+    """
+    spread = blocks.select(*keys, "blk", "n", F.explode(F.arrays_zip("rows", result.alias("made"))).alias("z"))
+    row = F.col("z.rows")
+    return spread.where(F.floor(row["idx"] / block) == F.col("blk")).select(
+        *keys, row["idx"].alias("idx"), "n", *[row[c].alias(c) for c in along], F.col("z.made").alias(name)
     )

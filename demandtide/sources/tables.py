@@ -45,19 +45,25 @@ def _present(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return [p for p in paths if p.rpartition("/")[2] in listed[p.rpartition("/")[0]]]
 
 
+def read_present(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
+    """Those of the parquet tables that exist, as one; columns may be missing in some.
+
+    With none of them the result is empty and has ``schema``.
+    """
+    there = _present(spark, paths)
+    if not there:
+        return spark.createDataFrame([], schema)
+    return spark.read.option("mergeSchema", True).parquet(*there)
+
+
 def read_months(
     spark: SparkSession, template: str, months: Iterable[tuple[int, int]], schema: T.StructType
 ) -> DataFrame:
     """Monthly parquet files as one table; absent months are passed over.
 
     ``template`` has ``{year}`` and ``{month}``, e.g. ``raw/trips_{year}-{month:02d}.parquet``.
-    Files may lack columns of each other. With no file at all the result is empty and has
-    ``schema``.
     """
-    paths = _present(spark, [template.format(year=y, month=m) for y, m in months])
-    if not paths:
-        return spark.createDataFrame([], schema)
-    return spark.read.option("mergeSchema", True).parquet(*paths)
+    return read_present(spark, [template.format(year=y, month=m) for y, m in months], schema)
 
 
 def union_months(frames: Sequence[DataFrame]) -> DataFrame:

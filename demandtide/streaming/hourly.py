@@ -9,20 +9,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from demandtide.functions.calendar import bucket_number, bucket_start
 
-def closed_hours(events: DataFrame, ts_col: str = "ts", keys: Sequence[str] = (), bucket: str = "1 hour", delay: str = "1 hour") -> DataFrame:
-    """``keys, ts, trip_count`` for windows older than the latest event minus ``delay``.
 
-    A watermark needs a zoned timestamp; wall-clock times are read as UTC.
+def _as_instant(ts: Column) -> Column:
+    """Wall-clock time as the instant with the same UTC reading, whatever the session's zone."""
+    micros = (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
+    return F.timestamp_micros(bucket_number(ts, "minute") * 60_000_000 + micros)
+
+
+def closed_hours(events: DataFrame, ts_col: str = "ts", keys: Sequence[str] = (), delay: str = "1 hour") -> DataFrame:
+    """``keys, ts, trip_count`` for hours older than the latest event minus ``delay``.
+
+    A watermark needs an instant; wall-clock times are read as UTC and given back as they were.
     """
-    if events.sparkSession.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "GMT", "+00:00"):
-        raise ValueError("set spark.sql.session.timeZone to UTC: wall-clock hours must not shift")
-    at = F.col(ts_col).cast("timestamp")
-    hours = events.select(*keys, at.alias("_at")).withWatermark("_at", delay).groupBy(F.window("_at", bucket), *keys)
-    return hours.agg(F.count("*").alias("trip_count")).select(*keys, F.col("window.start").cast("timestamp_ntz").alias("ts"), "trip_count")
+    named = events.select(*keys, F.col(ts_col).alias("ts"))
+    at = _as_instant(F.col("ts")) if named.schema["ts"].dataType.typeName() == "timestamp_ntz" else F.col("ts")
+    hours = named.select(*keys, at.alias("at")).withWatermark("at", delay).groupBy(F.window("at", "1 hour"), *keys)
+    start = bucket_start(F.floor(F.unix_seconds("window.start") / 3600).cast("bigint"), "hour")
+    return hours.agg(F.count("*").alias("trip_count")).select(*keys, start.alias("ts"), "trip_count")
 
 
 def run_once(counts: DataFrame, folder: str) -> DataFrame:

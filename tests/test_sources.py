@@ -109,14 +109,17 @@ def test_stream_counts_each_closed_hour_once(spark, tmp_path):
     assert take() == sorted(closed + [("a", day(3), 2)])
 
 
-def test_stream_wants_utc(spark):
-    stream = spark.readStream.format("rate").load()
+def test_stream_hours_do_not_depend_on_the_zone(spark, tmp_path):
+    """02:30 does not exist on this day in Berlin."""
+    rows = [(dt.datetime(2024, 3, 31, h, 30),) for h in (1, 2, 3, 6)]
+    spark.createDataFrame(rows, "ts timestamp_ntz").coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("ts timestamp_ntz").parquet(f"{tmp_path}/in")
     spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
     try:
-        with pytest.raises(ValueError):
-            closed_hours(stream, "timestamp")
+        got = run_once(closed_hours(stream, delay="30 minutes"), f"{tmp_path}/out").collect()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert sorted((r.ts.hour, r.trip_count) for r in got) == [(1, 1), (2, 1), (3, 1)]
 
 
 def test_end_to_end(spark, tmp_path):
