@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from demandtide.operators.smoothing import GRID
+from demandtide.operators.stationarity import CRITICAL, LARGE_P, SMALL_P, TAU_MAX, TAU_MIN, TAU_STAR
+from demandtide.operators.trend import KNOT_RANGE, KNOTS, PENALTY, SEASONS
 
 
 def _r(expr: str, name: str) -> str:
@@ -167,6 +169,137 @@ def _recursive(sql: str) -> str:
     return sql.replace("WITH c AS", "WITH RECURSIVE c AS", 1)
 
 
+def _matrix(x: str, out: str, extra: str = "0") -> str:
+    """CTE ``out(g, m)``: sums of products of the long design ``x(g, t, i, v)`` as a list of rows."""
+    return f""",
+{out}_p AS (SELECT a.g, a.i, b.i AS j, sum(a.v * b.v) AS v FROM {x} a JOIN {x} b ON a.g = b.g AND a.t = b.t GROUP BY ALL),
+{out}_r AS (SELECT g, i, list(v + {extra} ORDER BY j) AS r FROM {out}_p GROUP BY ALL),
+{out} AS (SELECT g, list(r ORDER BY i) AS m FROM {out}_r GROUP BY ALL)"""
+
+
+def _eliminate(src: str, out: str, steps: str) -> str:
+    """CTE ``out(g, k, m)``: Gauss-Jordan elimination of the first k columns, step by step."""
+    return f""",
+{out} AS (
+  SELECT g, 0::BIGINT AS k, m FROM {src}
+  UNION ALL
+  SELECT g, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k + 1 THEN list_transform(r, lambda v: v / r[k + 1])
+    ELSE list_transform(r, lambda v, j: v - r[k + 1] / m[k + 1][k + 1] * m[k + 1][j]) END)
+  FROM {out} WHERE k < {steps}
+)"""
+
+
+def _poly(coef: tuple[float, ...]) -> str:
+    return " + ".join(f"({c}::DOUBLE) * pow(tau, {i})" for i, c in enumerate(coef))
+
+
+def _surface(name: str) -> str:
+    return " + ".join(f"({c}::DOUBLE) / pow(nobs, {i})" for i, c in enumerate(CRITICAL[name]))
+
+
+ADF = (
+    TYPED
+    + """,
+d0 AS (SELECT event_type AS g, idx, n, y - lag(y) OVER w AS dy, lag(y) OVER w AS yl FROM s WINDOW w AS (PARTITION BY event_type ORDER BY idx)),
+top AS (SELECT event_type AS g, n, least(ceil(12 * pow(n / 100.0::DOUBLE, 0.25::DOUBLE)), n // 2 - 2)::BIGINT AS lags FROM s WHERE idx = 0),
+x1 AS (
+  SELECT g, idx AS t, 1 AS i, 1.0::DOUBLE AS v FROM d0 JOIN top USING (g) WHERE idx > lags
+  UNION ALL SELECT g, idx, 2, yl FROM d0 JOIN top USING (g) WHERE idx > lags
+  UNION ALL SELECT a.g, a.idx, 2 + a.idx - b.idx, b.dy FROM d0 a JOIN top ON a.g = top.g
+    JOIN d0 b ON a.g = b.g AND b.idx BETWEEN a.idx - lags AND a.idx - 1 WHERE a.idx > lags
+  UNION ALL SELECT g, idx, lags + 3, dy FROM d0 JOIN top USING (g) WHERE idx > lags
+)"""
+    + _matrix("x1", "m1")
+    + _eliminate("m1", "e1", "len(m) - 1")
+    + """,
+aic AS (
+  SELECT e1.g, k - 2 AS lag, (n - 1 - lags) * (ln(2 * pi()) + ln(m[len(m)][len(m)] / (n - 1 - lags)) + 1) + 2 * k AS aic
+  FROM e1 JOIN top ON top.g = e1.g WHERE k >= 2
+),
+used AS (SELECT g, lag FROM aic QUALIFY row_number() OVER (PARTITION BY g ORDER BY aic, lag) = 1),
+x2 AS (
+  SELECT g, idx AS t, 1 AS i, 1.0::DOUBLE AS v FROM d0 JOIN used USING (g) WHERE idx > lag
+  UNION ALL SELECT a.g, a.idx, 1 + a.idx - b.idx, b.dy FROM d0 a JOIN used ON a.g = used.g
+    JOIN d0 b ON a.g = b.g AND b.idx BETWEEN a.idx - lag AND a.idx - 1 WHERE a.idx > lag
+  UNION ALL SELECT g, idx, lag + 2, yl FROM d0 JOIN used USING (g) WHERE idx > lag
+  UNION ALL SELECT g, idx, lag + 3, dy FROM d0 JOIN used USING (g) WHERE idx > lag
+)"""
+    + _matrix("x2", "m2")
+    + _eliminate("m2", "e2", "len(m) - 2")
+    + """,
+fit AS (
+  SELECT e2.g, lag, n - 1 - lag AS nobs, m[lag + 2][lag + 2] AS p, m[lag + 2][lag + 3] AS r, m[lag + 3][lag + 3] AS s
+  FROM e2 JOIN used ON used.g = e2.g AND k = lag + 1 JOIN top ON top.g = e2.g
+),
+tau AS (SELECT g, lag, nobs, (r / p) / sqrt((s - r * r / p) / (nobs - lag - 2) / p) AS tau FROM fit),
+z AS (SELECT *, CASE WHEN tau <= """
+    + f"{TAU_STAR}::DOUBLE THEN {_poly(SMALL_P)} ELSE {_poly(LARGE_P)} END AS z FROM tau)"
+    + """,
+area AS (  -- Simpson's rule for the normal curve between 0 and z
+  SELECT g, z / 2000 / 3 / sqrt(2 * pi()) * sum(CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * exp(-pow(z * i / 2000, 2) / 2)) AS area
+  FROM z, range(0, 2001) q(i) GROUP BY g, z
+),
+pv AS (SELECT z.*, """
+    + f"CASE WHEN tau > {TAU_MAX} THEN 1 WHEN tau < {TAU_MIN} THEN 0 ELSE 0.5::DOUBLE + area END AS pvalue FROM z JOIN area USING (g))"
+)
+
+# Two waves (sine, cosine) per term, then the hinges; the value is the last column.
+_WAVES = ", ".join(f"{f}(2 * pi() * idx * {k} / {p}.0::DOUBLE)" for p, top in SEASONS for k in range(1, top + 1) for f in ("sin", "cos"))
+_HINGES = ", ".join(f"greatest(u - {KNOT_RANGE * i / KNOTS}::DOUBLE, 0)" for i in range(1, KNOTS + 1))
+_PLAIN = 2 + 2 * sum(top for _, top in SEASONS)
+_LAST = _PLAIN + KNOTS + 1
+
+TREND = (
+    TYPED
+    + f""",
+b AS (SELECT *, floor(n * 0.8::DOUBLE)::BIGINT AS cut FROM s),
+u AS (SELECT *, idx / (cut - 1)::DOUBLE AS u FROM b),
+long AS (
+  SELECT event_type AS g, idx AS t, cut, unnest(range(1, {_LAST + 1})) AS i, unnest([1.0::DOUBLE, u, {_WAVES}, {_HINGES}, y]) AS v FROM u
+),
+x AS (SELECT g, t, i, v FROM long WHERE t < cut)"""
+    + _matrix("x", "m0", f"CASE WHEN i = j AND i > {_PLAIN} AND i < {_LAST} THEN {PENALTY}::DOUBLE ELSE 0 END")
+    + _eliminate("m0", "el", "len(m) - 1")
+    + f""",
+pr AS (
+  SELECT long.g, t, sum(v * m[i][{_LAST}]) AS pred FROM long JOIN el ON el.g = long.g AND el.k = {_LAST - 1}
+  WHERE t >= cut AND i < {_LAST} GROUP BY ALL
+)"""
+)
+
+
+def _lag_regression(train: str, part: str) -> str:
+    """CTEs for one least-squares model over all series: ``z`` from 24 lags; ``lr(event_type, idx, z, hat)``."""
+    lags = ", ".join(f"lag(z, {k}) OVER w" for k in range(24, 0, -1))
+    return (
+        TYPED
+        + f""",
+sp AS (SELECT *, idx < floor(n * 0.8::DOUBLE) AS train FROM s),
+st AS (SELECT event_type, avg(y) AS mean, stddev_samp(y) AS std FROM sp WHERE {train} GROUP BY 1),
+z AS (SELECT sp.*, (y - mean) / std AS z, mean, std FROM sp JOIN st USING (event_type)),
+wide AS (
+  SELECT event_type, idx, ts, y, train, mean, std, z, [1.0::DOUBLE, {lags}, z] AS x FROM z
+  WINDOW w AS (PARTITION BY event_type{part} ORDER BY idx)
+),
+full_ AS (SELECT *, row_number() OVER (ORDER BY event_type, idx) AS t FROM wide WHERE x[2] IS NOT NULL),
+x AS (SELECT 1 AS g, t, unnest(range(1, 27)) AS i, unnest(x) AS v FROM full_ WHERE {train})"""
+        + _matrix("x", "m0")
+        + _eliminate("m0", "el", "len(m) - 1")
+        + """,
+beta AS (SELECT list_transform(m, lambda r: r[26]) AS b FROM el WHERE k = 25),
+lr AS (SELECT event_type, idx, ts, y, train, mean, std, z, list_dot_product(x[1:25], b[1:25]) AS hat FROM full_, beta)"""
+    )
+
+
+SEQUENCE = _lag_regression("true", "") + """,
+er AS (SELECT s.event_type, s.ts, s.idx, s.y, (z - hat) * (z - hat) AS err FROM s LEFT JOIN lr ON lr.event_type = s.event_type AND lr.idx = s.idx),
+pr AS (
+  SELECT event_type, ts, idx, y,
+    CASE WHEN idx >= 23 THEN coalesce(avg(err) OVER (PARTITION BY event_type ORDER BY idx ROWS BETWEEN 23 PRECEDING AND CURRENT ROW), 0) ELSE 0 END AS score
+  FROM er
+),
+t AS (SELECT event_type, quantile_cont(score, 0.95) AS threshold FROM pr WHERE idx >= 23 GROUP BY 1)"""
+
 GRID_VALUES = ", ".join("(" + ", ".join(f"{v}::DOUBLE" for v in w) + ")" for w in GRID)
 
 ORACLES = {
@@ -305,4 +438,13 @@ SELECT s.event_type, ts, {_r('level + (s.idx - last) * trend + season[((s.idx -
 FROM s JOIN f ON s.event_type = f.event_type AND s.idx > f.last""",
     "hourly_demand_stream": """SELECT event_type, date_trunc('hour', ts)::TIMESTAMP AS ts, count(*) AS trip_count FROM events
 WHERE date_trunc('hour', ts) + INTERVAL 1 hour <= (SELECT max(ts) - INTERVAL 1 hour FROM events) GROUP BY ALL""",
+    "adf": _recursive(ADF)
+    + f""" SELECT g AS event_type, {_r('tau', 'tau')}, {_r('pvalue', 'pvalue')},
+{', '.join(_r(_surface(c), c) for c in CRITICAL)}, lag::INTEGER AS usedlag, nobs, pvalue < 0.05 AS is_stationary FROM pv""",
+    "fourier_trend_forecast": _recursive(TREND)
+    + f" SELECT event_type, ts, y, {_r('pred', 'pred')} FROM pr JOIN s ON s.event_type = pr.g AND s.idx = pr.t",
+    "lag_regression_lr": _recursive(_lag_regression("train", ", train"))
+    + f" SELECT event_type, ts, y AS actual, {_r('hat * std + mean', 'pred')} FROM lr WHERE NOT train",
+    "sequence_residual": _recursive(SEQUENCE)
+    + f" SELECT event_type, ts, y, {_r('score', 'score')}, {_r('threshold', 'threshold')}, idx >= 23 AND score > threshold AS is_anomaly FROM pr JOIN t USING (event_type)",
 }
