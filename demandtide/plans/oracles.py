@@ -300,6 +300,53 @@ pr AS (
 ),
 t AS (SELECT event_type, quantile_cont(score, 0.95) AS threshold FROM pr WHERE idx >= 23 GROUP BY 1)"""
 
+_PAIRS = ", ".join(f"[{p}, {q}]" for p in range(1, 25) for q in range(p + 1, 25))
+_SWEEPS = 9
+_TURN_COLUMNS = "lambda r: list_transform(r, lambda x, j: CASE WHEN j = p THEN c * r[p] - s * r[q] WHEN j = q THEN s * r[p] + c * r[q] ELSE x END)"
+
+# Jacobi rotations of the 24 by 24 spread of the windows, the eight main axes, what they leave.
+PATTERNS = (
+    TYPED
+    + f""",
+z AS (SELECT *, (y - avg(y) OVER (PARTITION BY event_type)) / stddev_samp(y) OVER (PARTITION BY event_type) AS z FROM s),
+wide AS (
+  SELECT event_type AS g, idx, [{', '.join(f'lag(z, {k}) OVER w' for k in range(23, -1, -1))}] AS x FROM z WINDOW w AS (PARTITION BY event_type ORDER BY idx)
+),
+raw AS (SELECT g, idx AS t, unnest(range(1, 25)) AS i, unnest(x) AS v FROM wide WHERE idx >= 23),
+x AS (SELECT g, t, i, v - avg(v) OVER (PARTITION BY g, i) AS v FROM raw)"""
+    + _matrix("x", "m0")
+    + f""",
+pairs AS (SELECT [{_PAIRS}] AS pq),
+ja AS (
+  SELECT g, 0::BIGINT AS k, m, list_transform(m, lambda r, i: list_transform(r, lambda x, j: CASE WHEN i = j THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)) AS axes FROM m0
+  UNION ALL
+  SELECT g, k + 1,
+    list_transform(mc, lambda r, i: CASE WHEN i = p THEN list_transform(r, lambda x, j: c * mc[p][j] - s * mc[q][j])
+      WHEN i = q THEN list_transform(r, lambda x, j: s * mc[p][j] + c * mc[q][j]) ELSE r END),
+    axes
+  FROM (
+    SELECT g, k, p, q, c, s, list_transform(m, {_TURN_COLUMNS}) AS mc, list_transform(axes, {_TURN_COLUMNS}) AS axes
+    FROM (
+      SELECT *, 1 / sqrt(tn * tn + 1) AS c, tn / sqrt(tn * tn + 1) AS s
+      FROM (
+        SELECT *, CASE WHEN abs(m[p][q]) < 1e-200 THEN 0 ELSE (CASE WHEN th < 0 THEN -1 ELSE 1 END) / (abs(th) + sqrt(th * th + 1)) END AS tn
+        FROM (
+          SELECT *, CASE WHEN abs(m[p][q]) < 1e-200 THEN 0 ELSE (m[q][q] - m[p][p]) / (2 * m[p][q]) END AS th
+          FROM (SELECT g, k, m, axes, pq[(k % 276) + 1][1] AS p, pq[(k % 276) + 1][2] AS q FROM ja, pairs WHERE k < 276 * {_SWEEPS})
+        )
+      )
+    )
+  )
+),
+ax AS (SELECT g, m, axes, unnest(range(1, 25)) AS a FROM ja WHERE k = 276 * {_SWEEPS}),
+best AS (SELECT * FROM ax QUALIFY row_number() OVER (PARTITION BY g ORDER BY m[a][a] DESC) <= 8),
+pj AS (SELECT x.g, t, a, sum(v * axes[i][a]) AS u FROM x JOIN best ON best.g = x.g GROUP BY ALL),
+sq AS (SELECT g, t, sum(v * v) AS whole FROM x GROUP BY ALL),
+er AS (SELECT sq.g, sq.t, (any_value(whole) - sum(u * u)) / 24 AS e FROM sq JOIN pj ON pj.g = sq.g AND pj.t = sq.t GROUP BY ALL),
+pr AS (SELECT event_type, ts, idx, y, coalesce(e, 0) AS score FROM s LEFT JOIN er ON er.g = s.event_type AND er.t = s.idx),
+t AS (SELECT event_type, quantile_cont(score, 0.95) AS threshold FROM pr WHERE idx >= 23 GROUP BY 1)"""
+)
+
 GRID_VALUES = ", ".join("(" + ", ".join(f"{v}::DOUBLE" for v in w) + ")" for w in GRID)
 
 ORACLES = {
@@ -447,4 +494,6 @@ WHERE date_trunc('hour', ts) + INTERVAL 1 hour <= (SELECT max(ts) - INTERVAL 1 h
     + f" SELECT event_type, ts, y AS actual, {_r('hat * std + mean', 'pred')} FROM lr WHERE NOT train",
     "sequence_residual": _recursive(SEQUENCE)
     + f" SELECT event_type, ts, y, {_r('score', 'score')}, {_r('threshold', 'threshold')}, idx >= 23 AND score > threshold AS is_anomaly FROM pr JOIN t USING (event_type)",
+    "pca_recon": _recursive(PATTERNS)
+    + f" SELECT event_type, ts, y, {_r('score', 'score')}, {_r('threshold', 'threshold')}, idx >= 23 AND score > threshold AS is_anomaly FROM pr JOIN t USING (event_type)",
 }
