@@ -1,6 +1,6 @@
 """Seasonal ARIMA (2,1,2)(1,1,1,period) by conditional least squares, (1,1,1) for short series.
 
-The search tries seeded candidate parameters, keeps the best and halves the box around
+The search tries evenly spread candidate parameters, keeps the best and halves the box around
 it, round after round. A series that fits in one block is searched within its task. A
 longer one is searched over all its blocks at once, each round being a few Spark stages
 (see ``recursion``); both ways try the same candidates.
@@ -29,7 +29,6 @@ SEARCH_BLOCK = 65_520
 ROUNDS = 5
 CANDIDATES = 400
 EDGE = 0.98
-SEED = 42
 # Series searched abreast, and time steps worked on at once: 8 * 400 * 256 errors are 7 MB.
 ABREAST = 8
 _PIECE = 256
@@ -93,9 +92,18 @@ def order_for(rows: int, period: int) -> Order | None:
     return None
 
 
+def strides(dims: int) -> np.ndarray:
+    """Irrational steps whose multiples fill a cube of ``dims`` sides evenly (Roberts 2018)."""
+    g = 2.0
+    for _ in range(60):
+        g = (1 + g) ** (1 / (dims + 1))
+    return g ** -np.arange(1.0, dims + 1)
+
+
 def candidates(center: np.ndarray, turn: int) -> np.ndarray:
-    """Search numbers of one round; the centre itself is the first."""
-    u = np.random.default_rng([SEED, turn, len(center)]).random((CANDIDATES, len(center)))
+    """Search numbers of one round, evenly spread over its box; the centre itself is the first."""
+    place = np.arange(turn * CANDIDATES, (turn + 1) * CANDIDATES)[:, None]
+    u = (0.5 + place * strides(len(center))) % 1
     out = center + EDGE * 0.5**turn * (2 * u - 1)
     out[0] = center
     return np.clip(out, -EDGE, EDGE)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from demandtide.operators.sarima import CANDIDATES, EDGE, ROUNDS, strides
 from demandtide.operators.smoothing import GRID
 from demandtide.operators.stationarity import CRITICAL, LARGE_P, SMALL_P, TAU_MAX, TAU_MIN, TAU_STAR
 from demandtide.operators.trend import KNOT_RANGE, KNOTS, PENALTY, SEASONS
@@ -347,6 +348,74 @@ pr AS (SELECT event_type, ts, idx, y, coalesce(e, 0) AS score FROM s LEFT JOIN e
 t AS (SELECT event_type, quantile_cont(score, 0.95) AS threshold FROM pr WHERE idx >= 23 GROUP BY 1)"""
 )
 
+_STRIDES = ", ".join(f"{float(v)!r}::DOUBLE" for v in strides(6))
+# Weights of lags 1, 2, 24, 25, 26 from the six search numbers ``u``.
+_WEIGHTS = """[u[1] * (1 - u[2]), u[2], u[5], -u[1] * (1 - u[2]) * u[5], -u[2] * u[5]] AS a,
+  [-u[3] * (1 - u[4]), -u[4], u[6], -u[3] * (1 - u[4]) * u[6], -u[4] * u[6]] AS m"""
+_ZEROS = "list_transform(range(0, 26), lambda v: 0.0::DOUBLE)"
+
+
+def _round(turn: int) -> str:
+    """CTEs of one search round: candidates around ``c{turn}``, their errors step by step, the next centre."""
+    return f""",
+t{turn} AS (
+  SELECT g, i, CASE WHEN i = 0 THEN ce ELSE list_transform([{_STRIDES}], lambda v, d: greatest(-{EDGE}::DOUBLE, least({EDGE}::DOUBLE,
+    ce[d] + {EDGE * 0.5**turn!r}::DOUBLE * (2 * ((0.5::DOUBLE + (i + {turn * CANDIDATES}) * v) % 1) - 1)))) END AS u
+  FROM c{turn}, range(0, {CANDIDATES}) r(i)
+),
+w{turn} AS (SELECT g, i, u, {_WEIGHTS} FROM t{turn}),
+e{turn} AS (
+  SELECT g, i, u, a, m, 24::BIGINT AS idx, {_ZEROS} AS e, 0.0::DOUBLE AS sse FROM w{turn}
+  UNION ALL
+  SELECT g, i, u, a, m, idx, list_append(e[2:26], x), sse + CASE WHEN idx >= 51 THEN x * x ELSE 0 END
+  FROM (
+    SELECT e.g, i, u, a, m, d.idx, e, sse, w0 - (a[1] * w1 + a[2] * w2 + a[3] * w24 + a[4] * w25 + a[5] * w26)
+      - (m[1] * e[26] + m[2] * e[25] + m[3] * e[3] + m[4] * e[2] + m[5] * e[1]) AS x
+    FROM e{turn} e JOIN d ON d.g = e.g AND d.idx = e.idx + 1
+  )
+),
+b{turn} AS (
+  SELECT e.* FROM e{turn} e JOIN ends ON ends.g = e.g AND ends.cut - 1 = e.idx
+  QUALIFY row_number() OVER (PARTITION BY e.g ORDER BY sse, i) = 1
+),
+c{turn + 1} AS (SELECT g, u AS ce FROM b{turn})"""
+
+
+_TOP = ROUNDS - 1
+SARIMA = (
+    TYPED
+    + f""",
+ends AS (SELECT event_type AS g, n, floor(n * 0.8::DOUBLE)::BIGINT AS cut FROM s WHERE idx = 0),
+dw AS (
+  SELECT event_type AS g, idx, y, y - lag(y) OVER w - lag(y, 24) OVER w + lag(y, 25) OVER w AS wv FROM s WINDOW w AS (PARTITION BY event_type ORDER BY idx)
+),
+d AS (
+  SELECT g, idx, wv AS w0, {', '.join(f'coalesce(lag(wv, {k}) OVER w, 0) AS w{k}' for k in (1, 2, 24, 25, 26))}
+  FROM dw JOIN ends USING (g) WHERE idx < cut WINDOW w AS (PARTITION BY g ORDER BY idx)
+),
+c0 AS (SELECT g, list_transform(range(0, 6), lambda v: 0.0::DOUBLE) AS ce FROM ends)"""
+    + "".join(_round(turn) for turn in range(ROUNDS))
+    + f""",
+past AS (
+  SELECT dw.g, list(wv ORDER BY idx) FILTER (WHERE idx >= cut - 26) AS wl, list(y ORDER BY idx) FILTER (WHERE idx >= cut - 25) AS yl
+  FROM dw JOIN ends USING (g) WHERE idx < cut GROUP BY 1
+),
+fc AS (
+  SELECT b.g, cut - 1 AS idx, n, a, m, e, wl, yl, NULL::DOUBLE AS pred FROM b{_TOP} b JOIN past ON past.g = b.g JOIN ends ON ends.g = b.g
+  UNION ALL
+  SELECT g, idx + 1, n, a, m, list_append(e[2:26], 0.0::DOUBLE), list_append(wl[2:26], x), list_append(yl[2:25], lv), lv
+  FROM (
+    SELECT *, yl[25] + x + yl[2] - yl[1] AS lv
+    FROM (
+      SELECT *, a[1] * wl[26] + a[2] * wl[25] + a[3] * wl[3] + a[4] * wl[2] + a[5] * wl[1]
+        + m[1] * e[26] + m[2] * e[25] + m[3] * e[3] + m[4] * e[2] + m[5] * e[1] AS x
+      FROM fc WHERE idx < n - 1
+    )
+  )
+),
+ic AS (SELECT b.g, cut - 51 AS nobs, (cut - 51) * (ln(2 * pi()) + ln(sse / (cut - 51)) + 1) AS fit FROM b{_TOP} b JOIN ends ON ends.g = b.g)"""
+)
+
 GRID_VALUES = ", ".join("(" + ", ".join(f"{v}::DOUBLE" for v in w) + ")" for w in GRID)
 
 ORACLES = {
@@ -496,4 +565,7 @@ WHERE date_trunc('hour', ts) + INTERVAL 1 hour <= (SELECT max(ts) - INTERVAL 1 h
     + f" SELECT event_type, ts, y, {_r('score', 'score')}, {_r('threshold', 'threshold')}, idx >= 23 AND score > threshold AS is_anomaly FROM pr JOIN t USING (event_type)",
     "pca_recon": _recursive(PATTERNS)
     + f" SELECT event_type, ts, y, {_r('score', 'score')}, {_r('threshold', 'threshold')}, idx >= 23 AND score > threshold AS is_anomaly FROM pr JOIN t USING (event_type)",
+    "sarima_css": _recursive(SARIMA)
+    + f""" SELECT event_type, ts, y, {_r('pred', 'pred')}, {_r('fit + 14', 'aic')}, {_r('fit + ln(nobs) * 7', 'bic')}
+FROM s JOIN fc ON fc.g = s.event_type AND fc.idx = s.idx AND pred IS NOT NULL JOIN ic ON ic.g = s.event_type""",
 }
