@@ -26,6 +26,7 @@ TREES = 100
 SAMPLE = 256
 SEED = 42
 EULER = 0.5772156649
+PRIME = 2147483647  # 2^31 - 1
 # Candidates drawn per wanted window, so that a tree hardly ever comes up short.
 SURPLUS = 1.3
 
@@ -70,56 +71,69 @@ def average_path(size: int) -> float:
     return 2 * (math.log(size - 1) + EULER) - 2 * (size - 1) / size
 
 
-def grow_tree(x: np.ndarray, limit: int, rng: np.random.Generator) -> list[dict]:
-    """Random cuts until a window is alone or ``limit`` is reached."""
+def draw(*parts):
+    """A number in [0, 1) fixed by its arguments: whole numbers, or columns of them.
+
+    The parts are lined up modulo a prime and sent twice through the fifth power, which
+    permutes the numbers below that prime. All steps stay within 64 bits, so every engine
+    gets the same.
+    """
+    h = parts[0]
+    for part in parts[1:]:
+        h = (h * 48271 + part) % PRIME
+    for _ in range(2):
+        square = h * h % PRIME
+        h = (square * square % PRIME * h + 16807) % PRIME
+    return h / float(PRIME)
+
+
+def grow_tree(x: np.ndarray, limit: int, seed: int, tree: int) -> list[dict]:
+    """Cut at random until a window is alone or ``limit`` is reached.
+
+    Nodes are numbered as in a heap: 1 is the root, 2k and 2k + 1 are the children of k.
+    """
     nodes: list[dict] = []
-    waiting = [(np.arange(len(x)), 0, None, "")]
+    waiting = [(np.arange(len(x)), 0, 1)]
     while waiting:
-        rows, depth, parent, side = waiting.pop()
-        me = len(nodes)
-        node = {"node": me, "feature": 0, "cut": 0.0, "left": me, "right": me, "path": depth + average_path(len(rows))}
+        rows, depth, me = waiting.pop()
+        node = {"node": me, "feature": 0, "cut": 0.0, "leaf": True, "path": depth + average_path(len(rows))}
         nodes.append(node)
-        if parent is not None:
-            nodes[parent][side] = me
         part = x[rows]
         low, high = part.min(axis=0), part.max(axis=0)
         usable = np.flatnonzero(high > low)
         if depth >= limit or len(rows) <= 1 or len(usable) == 0:
             continue
-        node["feature"] = int(rng.choice(usable))
-        f = node["feature"]
-        cut = float(rng.uniform(low[f], high[f]))
+        f = int(usable[int(draw(seed, tree, me, 1) * len(usable))])
+        cut = float(low[f] + draw(seed, tree, me, 2) * (high[f] - low[f]))
         # Between two neighbouring floats the draw may be the lower one, which parts nothing.
-        node["cut"] = cut if cut > low[f] else float(high[f])
+        node.update(feature=f, cut=cut if cut > low[f] else float(high[f]), leaf=False)
         below = part[:, f] < node["cut"]
-        waiting += [(rows[~below], depth + 1, me, "right"), (rows[below], depth + 1, me, "left")]
+        waiting += [(rows[~below], depth + 1, 2 * me + 1), (rows[below], depth + 1, 2 * me)]
     return nodes
 
 
-def _unit_hash(*parts: Column | str | int) -> Column:
-    """A number in [0, 1) fixed by its arguments."""
-    cols = [F.lit(p) if isinstance(p, int) else F.col(p) if isinstance(p, str) else p for p in parts]
-    return F.pmod(F.xxhash64(*cols), F.lit(1 << 52)) / F.lit(float(1 << 52))
-
-
 def sample_windows(series: DataFrame, keys: Sequence[str], windows: int, length: int, trees: int, sample: int, seed: int) -> DataFrame:
     """``tree, turn, idx, keys``: at most ``sample`` window places per tree.
 
     About ``SURPLUS * sample * trees`` rows come out, whatever the size of the series.
     """
     chance = min(1.0, SURPLUS * sample / windows)
-    places = series.where(has_window(length)).select(*keys, "idx")
+    key = F.pmod(F.xxhash64(*keys), F.lit(PRIME)) if keys else F.lit(0).cast("bigint")
+    first = F.lit(seed).cast("bigint")
+    places = series.where(has_window(length)).select(*keys, "idx", key.alias("_key"))
+    member = lambda *names: draw(first, *map(F.col, names), F.lit(1))
+    turn = draw(first, F.col("tree"), F.col("_key"), F.col("idx"), F.lit(2))
     if chance * trees > 1:
         drawn = places.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).where(
-            _unit_hash(seed, "tree", *keys, "idx") < chance
+            member("tree", "_key", "idx") < chance
         )
     else:
         # So many windows that a window is in one tree at most: one draw per window.
-        drawn = places.where(_unit_hash(seed, *keys, "idx") < chance * trees).withColumn(
-            "tree", F.floor(_unit_hash(seed + 1, *keys, "idx") * trees).cast("int")
+        drawn = places.where(member("_key", "idx") < chance * trees).withColumn(
+            "tree", F.floor(draw(first, F.col("_key"), F.col("idx"), F.lit(3)) * trees).cast("int")
         )
-    order = Window.partitionBy("tree").orderBy(_unit_hash(seed + 2, "tree", *keys, "idx"), *keys, "idx")
-    return drawn.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= sample)
+    order = Window.partitionBy("tree").orderBy(turn, *keys, "idx")
+    return drawn.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= sample).drop("_key")
 
 
 def fit_forest(
@@ -143,22 +157,26 @@ def fit_forest(
         .agg(F.sort_array(F.collect_list(F.struct("place", "v"))).alias("r"))
         .select("tree", "turn", F.col("r.v").alias("x"))
     )
-    schema = "tree int, node int, feature int, cut double, left int, right int, path double"
+    schema = "tree int, node int, feature int, cut double, leaf boolean, path double"
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("turn")
         tree = int(pdf["tree"].iloc[0])
-        nodes = grow_tree(np.vstack(pdf["x"].to_numpy()), limit, np.random.default_rng([seed, tree]))
-        return pd.DataFrame(nodes).assign(tree=tree)[["tree", "node", "feature", "cut", "left", "right", "path"]]
-
-    nodes = x.groupBy("tree").applyInPandas(grow, schema).toPandas().sort_values(["tree", "node"])
-    first = nodes.groupby("tree")["node"].size().cumsum().shift(fill_value=0)
-    offset = nodes["tree"].map(first).to_numpy()
+        nodes = grow_tree(np.vstack(pdf["x"].to_numpy()), limit, seed, tree)
+        return pd.DataFrame(nodes).assign(tree=tree)[["tree", "node", "feature", "cut", "leaf", "path"]]
+
+    nodes = x.groupBy("tree").applyInPandas(grow, schema).toPandas().sort_values(["tree", "node"]).reset_index(drop=True)
+    place = {(t, k): at for at, (t, k) in enumerate(zip(nodes["tree"], nodes["node"]))}
+    children = [
+        place[t, k] if leaf else place[t, 2 * k + side]
+        for t, k, leaf in zip(nodes["tree"], nodes["node"], nodes["leaf"])
+        for side in (0, 1)
+    ]
     return Forest(
-        roots=first.to_numpy(),
+        roots=np.flatnonzero(nodes["node"].to_numpy() == 1),
         feature=nodes["feature"].to_numpy(),
         cut=nodes["cut"].to_numpy(),
-        children=(nodes[["left", "right"]].to_numpy() + offset[:, None]).ravel(),
+        children=np.asarray(children),
         path=nodes["path"].to_numpy(),
         depth=limit,
         norm=max(average_path(size), 1.0),

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from demandtide.operators.isolation import EULER, PRIME, SAMPLE, SEED, SURPLUS, TREES
 from demandtide.operators.sarima import CANDIDATES, EDGE, ROUNDS, strides
 from demandtide.operators.smoothing import GRID
 from demandtide.operators.stationarity import CRITICAL, LARGE_P, SMALL_P, TAU_MAX, TAU_MIN, TAU_STAR
 from demandtide.operators.trend import KNOT_RANGE, KNOTS, PENALTY, SEASONS
 
 
-def _r(expr: str, name: str) -> str:
+def _r(expr: str, name: str, places: int = 6) -> str:
     # Adding 0.0 turns a negative zero into zero.
-    return f"round({expr}, 6) + 0.0 AS {name}"
+    return f"round({expr}, {places}) + 0.0 AS {name}"
 
 
 def _series(table: str = "events", ts: str = "ts", keys: str = "", unit: str = "hour", where: str = "true", common: bool = False) -> str:
@@ -416,6 +417,72 @@ fc AS (
 ic AS (SELECT b.g, cut - 51 AS nobs, (cut - 51) * (ln(2 * pi()) + ln(sse / (cut - 51)) + 1) AS fit FROM b{_TOP} b JOIN ends ON ends.g = b.g)"""
 )
 
+def _draw(*parts: str) -> str:
+    """The forest's draw from whole numbers, as one expression."""
+    h = f"{SEED}::BIGINT"
+    for part in parts:
+        h = f"(({h} * 48271 + {part}) % {PRIME})"
+    for _ in range(2):
+        square = f"({h} * {h} % {PRIME})"
+        h = f"(({square} * {square} % {PRIME} * {h} + 16807) % {PRIME})"
+    return f"({h} / {PRIME}.0::DOUBLE)"
+
+
+_DEPTH = 8
+
+
+def _level(k: int) -> str:
+    """CTEs of one level of all trees: the cut of every node that parts, then the rows moved down."""
+    return f""",
+f{k} AS MATERIALIZED (
+  SELECT tree, node, i, min(x[i]) AS lo, max(x[i]) AS hi FROM a{k}, range(1, 25) r(i) WHERE node >= {2**k} GROUP BY ALL HAVING min(x[i]) < max(x[i])
+),
+l{k} AS MATERIALIZED (SELECT tree, node, list(i ORDER BY i) AS fs FROM f{k} GROUP BY ALL),
+p{k} AS MATERIALIZED (SELECT tree, node, fs[1 + floor({_draw('tree', 'node', '1')} * len(fs))::BIGINT] AS f, {_draw('tree', 'node', '2')} AS u FROM l{k}),
+s{k} AS MATERIALIZED (
+  SELECT p.tree, p.node, f, CASE WHEN lo + u * (hi - lo) > lo THEN lo + u * (hi - lo) ELSE hi END AS cut
+  FROM p{k} p JOIN f{k} ON f{k}.tree = p.tree AND f{k}.node = p.node AND f{k}.i = f
+),
+a{k + 1} AS MATERIALIZED (
+  SELECT a.tree, x, CASE WHEN cut IS NULL THEN a.node ELSE 2 * a.node + (x[f] >= cut)::INTEGER END AS node
+  FROM a{k} a LEFT JOIN s{k} s ON s.tree = a.tree AND s.node = a.node
+),
+v{k + 1} AS MATERIALIZED (
+  SELECT v.tree, idx, x, CASE WHEN cut IS NULL THEN v.node ELSE 2 * v.node + (x[f] >= cut)::INTEGER END AS node
+  FROM v{k} v LEFT JOIN s{k} s ON s.tree = v.tree AND s.node = v.node
+)"""
+
+
+def _average_path(n: str) -> str:
+    return f"CASE WHEN {n} <= 1 THEN 0 WHEN {n} = 2 THEN 1 ELSE 2 * (ln({n} - 1) + {EULER}::DOUBLE) - 2 * ({n} - 1) / {n}::DOUBLE END"
+
+
+FOREST = (
+    ALL
+    + f""",
+win AS MATERIALIZED (
+  SELECT * FROM (SELECT idx, list(y) OVER (ORDER BY idx ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) AS x FROM s) WHERE idx >= 23
+),
+size AS (SELECT count(*) AS w FROM win),
+drawn AS MATERIALIZED (
+  SELECT tree, idx, x, {_draw('tree', '0', 'idx', '1')} AS member, {_draw('tree', '0', 'idx', '2')} AS turn FROM win, range(0, {TREES}) r(tree)
+),
+a0 AS MATERIALIZED (
+  SELECT tree, x, 1 AS node FROM drawn, size WHERE member < least(1.0::DOUBLE, {SURPLUS}::DOUBLE * {SAMPLE} / w)
+  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY turn, idx) <= {SAMPLE}
+),
+v0 AS MATERIALIZED (SELECT tree, idx, x, 1 AS node FROM win, range(0, {TREES}) r(tree))"""
+    + "".join(_level(k) for k in range(_DEPTH))
+    + f""",
+leaf AS (SELECT tree, node, floor(log2(node)) + {_average_path('count(*)')} AS path FROM a{_DEPTH} GROUP BY tree, node),
+sc AS (
+  SELECT idx, pow(2, -avg(path) / (SELECT {_average_path(f'least({SAMPLE}, w)')} FROM size)) AS score
+  FROM v{_DEPTH} v JOIN leaf ON leaf.tree = v.tree AND leaf.node = v.node GROUP BY 1
+),
+pr AS (SELECT ts, s.idx, y, coalesce(score, 0) AS score FROM s LEFT JOIN sc ON sc.idx = s.idx),
+t AS (SELECT quantile_cont(score, 0.95) AS threshold FROM pr WHERE idx >= 23)"""
+)
+
 GRID_VALUES = ", ".join("(" + ", ".join(f"{v}::DOUBLE" for v in w) + ")" for w in GRID)
 
 ORACLES = {
@@ -476,7 +543,7 @@ t AS (
 ),
 ph AS (SELECT event_type, idx % 24 AS phase, avg(y - trend) AS p FROM t GROUP BY ALL),
 se AS (SELECT event_type, phase, p - avg(p) OVER (PARTITION BY event_type) AS seasonal FROM ph)
-SELECT t.event_type, ts, y AS observed, {_r('trend', 'trend')}, {_r('seasonal', 'seasonal')}, {_r('y - trend - seasonal', 'resid')}
+SELECT t.event_type, ts, y AS observed, {_r('trend', 'trend', 8)}, {_r('seasonal', 'seasonal', 8)}, {_r('y - trend - seasonal', 'resid', 8)}
 FROM t JOIN se ON t.event_type = se.event_type AND t.idx % 24 = se.phase""",
     "walk_forward_folds": WALK + " SELECT event_type, fold, train_end, test_end FROM f",
     "walk_forward_rmse": WALK + f" SELECT event_type, fold, {_r('rmse', 'rmse')} FROM sc",
@@ -568,4 +635,6 @@ WHERE date_trunc('hour', ts) + INTERVAL 1 hour <= (SELECT max(ts) - INTERVAL 1 h
     "sarima_css": _recursive(SARIMA)
     + f""" SELECT event_type, ts, y, {_r('pred', 'pred')}, {_r('fit + 14', 'aic')}, {_r('fit + ln(nobs) * 7', 'bic')}
 FROM s JOIN fc ON fc.g = s.event_type AND fc.idx = s.idx AND pred IS NOT NULL JOIN ic ON ic.g = s.event_type""",
+    "isolation_forest": FOREST
+    + f" SELECT ts, y, {_r('score', 'score')}, {_r('threshold', 'threshold')}, idx >= 23 AND score > threshold AS is_anomaly FROM pr, t",
 }

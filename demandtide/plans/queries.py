@@ -29,8 +29,8 @@ from demandtide.streaming.hourly import closed_hours, run_once
 KEY = ["event_type"]
 
 
-def r6(name: str, col: Column | None = None) -> Column:
-    return F.round(F.col(name) if col is None else col, 6).alias(name)
+def r6(name: str, col: Column | None = None, places: int = 6) -> Column:
+    return F.round(F.col(name) if col is None else col, places).alias(name)
 
 
 def overall(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,8 +202,9 @@ def recon_windows(spark, sf_dir):
 
 
 def decompose_hourly(spark, sf_dir):
+    # Many of these are whole 128ths, half way between two values of six places.
     d = decompose(by_type(spark, sf_dir), KEY)
-    return d.select("event_type", "ts", "observed", r6("trend"), r6("seasonal"), r6("resid"))
+    return d.select("event_type", "ts", "observed", *[r6(c, places=8) for c in ("trend", "seasonal", "resid")])
 
 
 # --- validation and evaluation -----------------------------------------------------
