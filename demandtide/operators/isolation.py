@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandtide.operators.features import norm_params, normalize
@@ -74,17 +74,15 @@ def average_path(size: int) -> float:
 def draw(*parts):
     """A number in [0, 1) fixed by its arguments: whole numbers, or columns of them.
 
-    The parts are lined up modulo a prime and sent twice through the fifth power, which
-    permutes the numbers below that prime. All steps stay within 64 bits, so every engine
-    gets the same.
+    The parts are lined up modulo a prime and sent through the fifth power, which permutes
+    the numbers below that prime. All steps stay within 64 bits, so every engine gets the
+    same, and the expression stays small enough to be compiled.
     """
     h = parts[0]
     for part in parts[1:]:
         h = (h * 48271 + part) % PRIME
-    for _ in range(2):
-        square = h * h % PRIME
-        h = (square * square % PRIME * h + 16807) % PRIME
-    return h / float(PRIME)
+    square = h * h % PRIME
+    return (square * square % PRIME * h + 16807) % PRIME / float(PRIME)
 
 
 def grow_tree(x: np.ndarray, limit: int, seed: int, tree: int) -> list[dict]:

@@ -24,14 +24,6 @@ def has_window(length: int = 24) -> Column:
     return F.col("idx") >= length - 1
 
 
-def pad_scores(series: DataFrame, window_scores: DataFrame, method: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Window scores on every row of the series; rows without a window score 0."""
-    scored = series.join(window_scores.select(*keys, "idx", "score"), [*keys, "idx"], "left")
-    return scored.select(
-        *keys, F.lit(method).alias("method"), "ts", "idx", "n", "y", F.coalesce("score", F.lit(0.0)).alias("score")
-    )
-
-
 def window_mean_error(errors: DataFrame, method: str, keys: Sequence[str] = (), length: int = 24, block: int = BLOCK) -> DataFrame:
     """Score = mean of the column ``err`` over the window."""
     scored = over_time(

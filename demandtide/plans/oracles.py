@@ -422,10 +422,8 @@ def _draw(*parts: str) -> str:
     h = f"{SEED}::BIGINT"
     for part in parts:
         h = f"(({h} * 48271 + {part}) % {PRIME})"
-    for _ in range(2):
-        square = f"({h} * {h} % {PRIME})"
-        h = f"(({square} * {square} % {PRIME} * {h} + 16807) % {PRIME})"
-    return f"({h} / {PRIME}.0::DOUBLE)"
+    square = f"({h} * {h} % {PRIME})"
+    return f"((({square} * {square} % {PRIME} * {h} + 16807) % {PRIME}) / {PRIME}.0::DOUBLE)"
 
 
 _DEPTH = 8

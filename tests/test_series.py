@@ -129,6 +129,13 @@ def test_exact_sample(spark):
     }
 
 
+def test_drawn_sample(spark):
+    ids = spark.range(10_000)
+    drawn = se.sample_rows(ids, 0.1)
+    assert 800 < drawn.count() < 1200 and drawn.collect() == se.sample_rows(ids, 0.1).collect()
+    assert se.sample_rows(ids, 1.0).count() == 10_000
+
+
 def test_rescaled_sample(spark):
     s = se.demand_series(log(spark, ["2024-01-01 00:10"]))
     assert se.rescale_sampled(s, 0.1).collect()[0].y == 10.0
