@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandtide.llm import decontamination, jaccard, mixing, quality, sharding
+from demandtide.llm import archives, decontamination, jaccard, katz, mixing, personal, quality, sharding, templates, toolcalls
 from demandtide.sources import tables as tb
 
 
@@ -13,6 +13,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(tb.table(spark, sf_dir, "documents"), tb.table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal_data(tb.table(spark, sf_dir, "documents"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards of at most 1 MiB of text."""
     docs = sharding.shard(tb.table(spark, sf_dir, "documents"))
@@ -25,6 +29,14 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col("q")[f].alias(f) for f in fields])
 
 
+def op5_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.katz_scores(tb.table(spark, sf_dir, "documents"))
+
+
+def op6_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.main_text(tb.table(spark, sf_dir, "pages"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(tb.table(spark, sf_dir, "documents"))
 
@@ -35,4 +47,17 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicate(docs, mixing.target_rates(docs, "source"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op3_sharding, op4_quality, op7_ngram_jaccard, op8_mixing)}
+def op9_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user turn as a call answered by the assistant's next turn."""
+    calls, results = toolcalls.calls_of(tb.table(spark, sf_dir, "conversations"))
+    return toolcalls.link(calls, results, toolcalls.reply_schema(spark))
+
+
+def op10_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives.round_trip(spark, tb.table(spark, sf_dir, "pages"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_decontamination, op2_personal_data, op3_sharding, op4_quality, op5_katz, op6_site_templates, op7_ngram_jaccard, op8_mixing, op9_tool_calls, op10_archives)
+}
