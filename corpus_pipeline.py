@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandtide.llm import base, decontamination, jaccard, mixing, quality, sharding
+from demandtide.llm import base, decontamination, jaccard, mixing, quality, sharding, sql
 from demandtide.sources import tables as tb
 
 
@@ -45,8 +45,8 @@ STAGES = [
     ("sharding", sharded),
 ]
 
-#: Near-copy classes need reachability over all documents, which is tested by brute force instead.
-ORACLE_SQL = None
+#: DuckDB's SQL for the rows of ``run``.
+ORACLE_SQL = sql.PIPELINE
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

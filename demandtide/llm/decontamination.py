@@ -12,7 +12,7 @@ fixed, so the corpus is read once and only shingles that may matter leave it.
 Native: DataFrame functions only.
 
 Defined results: a null or wordless text has n_words 0 and no hits; an item without words has
-no window; equal items all count; repeated rows get equal results each; an empty benchmark
+no window; equal items all count; an item without id is found but not among the listed items; repeated rows get equal results each; an empty benchmark
 leaves every document clean. Other columns of either table are not read.
 """
 
