@@ -16,7 +16,8 @@ Only entries that can reach the threshold are made:
   no link between different classes is missed.
 * Overlaps of the remaining pairs are accumulated over whole rows, so every link is exact.
 
-Shingles and sets are 64-bit hashes: among 10**10 different sets about three would share a hash.
+Shingles and sets are 64-bit hashes (among 10**10 different sets about three would share one); two
+documents' shingles are compared by 40 of the bits.
 
 Python works on whole Arrow batches inside tasks; Spark deals out, sorts, joins and spills.
 
@@ -46,6 +47,8 @@ COUNTER_BITS, PIECES = 20, 32
 HOT = 50_000
 #: Words of the bitmap of nodes whose rows are needed: 2 MiB, whatever the tables' size.
 BITMAP_BITS = 24
+#: Nodes of a block whose pairs are all made at once.
+SMALL = 8
 #: Chains through each block's nodes beside its star.
 CHAINS = 12
 #: Rows of a pair block compared at once.
@@ -65,7 +68,15 @@ def _node(s: np.ndarray) -> tuple[int, int]:
 
 def _least_overlap(n1, n2, percent: int):
     """Smallest overlap o with 100 o >= percent (n1 + n2 - o)."""
-    return (percent * (n1.astype(np.int64) + n2) + 99 + percent) // (100 + percent)
+    return (percent * (np.int64(1) * n1 + n2) + 99 + percent) // (100 + percent)
+
+
+def _rare(s: np.ndarray, percent: int, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rarest columns of a row, rare ones first, and how often the count saw them."""
+    often = count[(s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
+    # Stable: equal counts stay in the order of their hashes.
+    order = np.argsort(often, kind="stable")[: len(s) - (percent * len(s) + 99) // 100 + 1]
+    return s[order], often[order]
 
 
 def _rows(docs: DataFrame, n: int) -> DataFrame:
@@ -131,12 +142,9 @@ def _cells(docs: DataFrame, n: int, percent: int, counts: np.ndarray, hot: int)
                     continue
                 if len(seen) < 1 << 20:
                     seen.add(node)
-                m = len(s)
-                first = m - (percent * m + 99) // 100 + 1
-                often = count[(s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
-                # Stable: equal counts stay in the order of their hashes.
-                order = np.argsort(often, kind="stable")[:first]
-                parts.append((s[order], often[order], np.full(first, node, np.int64), np.full(first, m, np.int32), np.arange(first, dtype=np.int32)))
+                rare, often = _rare(s, percent, count)
+                m = len(rare)
+                parts.append((rare, often, np.full(m, node, np.int64), np.full(m, len(s), np.int32), np.arange(m, dtype=np.int32)))
             if parts:
                 token, often, node, size, pos = (np.concatenate(x) for x in zip(*parts))
                 salts = np.maximum(1, -(-often.astype(np.int64) // hot)).astype(np.int32)
@@ -167,39 +175,49 @@ def _runs(batches, columns: list[str]):
 
 
 def _star(cells: DataFrame, percent: int) -> DataFrame:
-    """Of every block with two nodes or more: its cells (kind "cell") and the pairs of its star
-    and chains that can reach the threshold (kind "pair")."""
+    """Pairs of nodes of one block that can reach the threshold (kind "pair"): all of a block of up to
+    ``SMALL`` nodes, else those of its star and chains. Larger blocks' cells (kind "cell") go on."""
     schema = T.StructType([T.StructField("kind", T.StringType()), *CELL.fields, *PAIR.fields])
 
     def run(batches):
         arrow = to_arrow_schema(schema)
         for cols, edge in _runs(batches, [f.name for f in CELL.fields]):
-            token, salt, salts, node, n, pos = cols
+            # Equal nodes, from copies, lie side by side.
+            first = np.repeat(edge[:-1], np.diff(edge))
+            new = np.ones(len(first), dtype=bool)
+            new[1:] = (cols[3][1:] != cols[3][:-1]) | (first[1:] != first[:-1])
+            token, salt, salts, node, n, pos = (x[new] for x in cols)
+            edge = np.concatenate(([0], np.cumsum(np.add.reduceat(new, edge[:-1]))))
             size = np.diff(edge)
             lead = np.repeat(edge[:-1], size)
             block = np.repeat(size, size)
+            small = (block <= SMALL) & (salts == 1)
             # The first node is one of those early enough to be the smaller of a pair.
-            use = ((block > 1) | (salts > 1)) & (7 * pos[lead].astype(np.int64) <= n[lead])
-            at = np.flatnonzero((node != node[lead]) & use)
-            left, right = [lead[at]], [at]
-            for seed in range(CHAINS):
+            large = ~small & (7 * pos[lead].astype(np.int64) <= n[lead])
+            left, right = [], []
+            for step in range(1, SMALL):
+                one = np.flatnonzero((lead[step:] == lead[:-step]) & small[step:])
+                left.append(one)
+                right.append(one + step)
+            at = np.flatnonzero((node != node[lead]) & large)
+            left.append(lead[at])
+            right.append(at)
+            big = np.flatnonzero(large)
+            for seed in range(CHAINS if len(big) else 0):
                 # Neighbours in an order drawn by hash, the same in every column.
-                order = np.lexsort((mix(node.view(np.uint64) ^ np.uint64(seed * 0x9E3779B9 + 1)), lead))
-                one, two = order[:-1], order[1:]
-                ok = (lead[one] == lead[two]) & (node[one] != node[two]) & use[one]
-                left.append(one[ok])
-                right.append(two[ok])
+                order = big[np.lexsort((mix(node[big].view(np.uint64) ^ np.uint64(seed * 0x9E3779B9 + 1)), lead[big]))]
+                same = lead[order[:-1]] == lead[order[1:]]
+                left.append(order[:-1][same])
+                right.append(order[1:][same])
             a, b = np.concatenate(left), np.concatenate(right)
-            need = _least_overlap(n[a], n[b], percent)
-            ok = np.minimum(n[a] - pos[a], n[b] - pos[b]) >= need
+            ok = np.minimum(n[a] - pos[a], n[b] - pos[b]) >= _least_overlap(n[a], n[b], percent)
             lo, hi = np.minimum(node[a[ok]], node[b[ok]]), np.maximum(node[a[ok]], node[b[ok]])
             if len(lo):
                 pairs = np.unique(np.stack([lo, hi], 1), axis=0)
                 m = len(pairs)
                 yield pa.RecordBatch.from_arrays([pa.array(["pair"] * m, pa.string()), *[pa.nulls(m, f.type) for f in list(arrow)[1:7]], pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=arrow)
-            k = np.flatnonzero(use)
-            if len(k):
-                yield pa.RecordBatch.from_arrays([pa.array(["cell"] * len(k), pa.string()), *[pa.array(x[k]) for x in cols], pa.nulls(len(k), pa.int64()), pa.nulls(len(k), pa.int64())], schema=arrow)
+            if len(big):
+                yield pa.RecordBatch.from_arrays([pa.array(["cell"] * len(big), pa.string()), *[pa.array(x[big]) for x in (token, salt, salts, node, n, pos)], pa.nulls(len(big), pa.int64()), pa.nulls(len(big), pa.int64())], schema=arrow)
 
     late = F.col("pos").cast("bigint") * 7 > F.col("n")
     dealt = cells.repartition("token", "salt").sortWithinPartitions("token", "salt", late, "node")
@@ -208,7 +226,7 @@ def _star(cells: DataFrame, percent: int) -> DataFrame:
 
 def _between(cells: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes of one column but of different classes that can reach the threshold."""
-    known = cells.distinct().join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    known = cells.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     known = base.kept(known.select(*CELL.fieldNames(), "label"), "labelled")
     main = known.groupBy("token", "label").agg(F.count("*").alias("c")).groupBy("token").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("classes"))
     mixed = known.join(main.filter("classes > 1"), "token")
@@ -242,62 +260,87 @@ def _between(cells: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, PAIR).distinct()
 
 
-def _bitmap(nodes: DataFrame) -> np.ndarray:
-    """A set of nodes as bits, by the nodes' leading bits; the array's size is fixed."""
-    at = F.shiftrightunsigned("node", 64 - BITMAP_BITS)
-    words = nodes.select(F.shiftright(at, 6).alias("at"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(node, {64 - BITMAP_BITS}) & 63 AS int))").alias("bit"))
+def _bitmap(hashes: DataFrame) -> np.ndarray:
+    """The set of hashes ``h`` as bits, by their leading bits; the array's size is fixed."""
+    at = F.shiftrightunsigned("h", 64 - BITMAP_BITS)
+    words = hashes.select(F.shiftright(at, 6).alias("at"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - BITMAP_BITS}) & 63 AS int))").alias("bit"))
     out = np.zeros(1 << (BITMAP_BITS - 6), dtype=np.int64)
     rows = words.groupBy("at").agg(F.bit_or("bit").alias("bit")).toArrow()
     out[rows["at"].to_numpy()] = rows["bit"].to_numpy()
     return out.view(np.uint64)
 
 
-def _whole_rows(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """``node, cells``: the whole sets of ``nodes``, as bytes."""
+def _rows_of(docs: DataFrame, nodes: DataFrame, classes: DataFrame, n: int, form) -> DataFrame:
+    """``node, cells``: what ``form`` makes of the sets of ``nodes``, as bytes.
+
+    Each node's set is made from the document of its smallest id. The bitmap of those ids lets a few
+    other documents through, whose rows meet no pair or repeat one."""
     schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("cells", T.BinaryType())])
-    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(nodes))
+    ids = nodes.join(classes.select(F.col("k1").alias("node"), "least"), "node").select(F.xxhash64("least").alias("h"))
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(ids))
 
     def run(batches):
-        arrow, tables, seen = to_arrow_schema(schema), Tables(), set()
-        bit = shared.value
+        arrow, tables = to_arrow_schema(schema), Tables()
         for batch in batches:
-            node, cells = [], []
-            for _, s in shingle_sets(batch.column("text"), n, tables):
-                if not len(s):
-                    continue
-                k = _node(s)[0]
-                at = (k & (2**64 - 1)) >> (64 - BITMAP_BITS)
-                if int(bit[at >> 6]) >> (at & 63) & 1 and k not in seen:
-                    if len(seen) < 1 << 20:
-                        seen.add(k)
-                    node.append(k)
-                    cells.append(s.tobytes())
-            if node:
-                yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(cells, arrow.field("cells").type)], schema=arrow)
-
-    found = docs.select("id", "text").mapInArrow(run, schema)
-    return base.kept(found.join(nodes, "node", "left_semi"), "whole-rows").groupBy("node").agg(F.first("cells").alias("cells"))
-
-
-def _links(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` whose whole rows reach the threshold."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    rows = base.kept(_whole_rows(docs, nodes, n), "rows")
+            at = batch.column("h").to_numpy().view(np.uint64) >> np.uint64(64 - BITMAP_BITS)
+            wanted = shared.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)
+            sets = [s for _, s in shingle_sets(batch.column("text").filter(pa.array(wanted.astype(bool))), n, tables) if len(s)]
+            yield pa.RecordBatch.from_arrays([pa.array([_node(s)[0] for s in sets], pa.int64()), pa.array([form(s) for s in sets], arrow.field("cells").type)], schema=arrow)
+
+    return base.kept(docs.select(F.xxhash64("id").alias("h"), "text").mapInArrow(run, schema), "rows")
+
+
+def _whole(s: np.ndarray) -> bytes:
+    """A set's hashes to 40 bits: enough to tell the shingles of two documents apart."""
+    short = s >> np.uint64(24)
+    return short.astype(np.uint32).tobytes() + (short >> np.uint64(32)).astype(np.uint8).tobytes()
+
+
+def _read_whole(b: bytes) -> np.ndarray:
+    m = len(b) // 5
+    return np.frombuffer(b, np.uint32, m).astype(np.uint64) | np.frombuffer(b, np.uint8, m, 4 * m).astype(np.uint64) << np.uint64(32)
+
+
+def _checked(pairs: DataFrame, rows: DataFrame, passes) -> DataFrame:
+    """Those of ``pairs`` whose two rows pass."""
     left = rows.select(F.col("node").alias("a"), F.col("cells").alias("x"))
     right = rows.select(F.col("node").alias("b"), F.col("cells").alias("y"))
 
     def run(batches):
         arrow = to_arrow_schema(PAIR)
         for batch in batches:
-            keep = np.zeros(batch.num_rows, dtype=bool)
-            for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"))):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
-            at = np.flatnonzero(keep)
-            yield pa.RecordBatch.from_arrays([batch.column("a").take(pa.array(at)), batch.column("b").take(pa.array(at))], schema=arrow)
+            at = pa.array([i for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"))) if passes(x.as_buffer(), y.as_buffer())], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], schema=arrow)
+
+    return base.kept(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, PAIR), "links")
+
+
+def _links(docs: DataFrame, pairs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
+    """Those of ``pairs`` that reach the threshold.
+
+    Overlaps are accumulated twice over whole rows: with 16 bits of each column, which can only
+    count too many and so discards no link, and, for the pairs left, with 40 bits.
+    """
+
+    def nodes(of: DataFrame) -> DataFrame:
+        return of.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+    def short(s: np.ndarray) -> bytes:
+        return np.sort((s & np.uint64(0xFFFF)).astype(np.uint16)).tobytes()
+
+    def may(x, y) -> bool:
+        x, y = np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16)
+        (u, c), (v, d) = (np.unique(z, return_counts=True) for z in (x, y))
+        _, i, j = np.intersect1d(u, v, assume_unique=True, return_indices=True)
+        return int(np.minimum(c[i], d[j]).sum()) >= int(_least_overlap(len(x), len(y), percent))
+
+    def linked(x, y) -> bool:
+        x, y = _read_whole(x), _read_whole(y)
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * both >= percent * (len(x) + len(y) - both)
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, PAIR)
+    likely = _checked(pairs, _rows_of(docs, nodes(pairs), classes, n, short), may)
+    return _checked(likely, _rows_of(docs, nodes(likely), classes, n, _whole), linked)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75, hot: int = HOT) -> DataFrame:
@@ -306,17 +349,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     docs = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     found = _rows(docs, n)
     rows = found.filter("kind = 'row'")
+    classes = base.kept(rows.filter("size > 0").groupBy("k1", "k2").agg(F.min("id").alias("least")), "nodes")
     counts = _counts(found.filter("kind = 'count'"))
     stars = _star(_cells(docs, n, percent, counts, hot), percent)
     cells = stars.filter("kind = 'cell'").select(*CELL.fieldNames())
     pairs = base.kept(stars.filter("kind = 'pair'").select("a", "b").distinct(), "star-pairs")
-    links = base.kept(_links(docs, pairs, n, percent), "links")
+    links = _links(docs, pairs, classes, n, percent)
     labels = components(links)
     more = base.kept(_between(cells, labels, percent).join(pairs, ["a", "b"], "left_anti"), "other-pairs")
     if not more.isEmpty():
-        links = links.union(base.kept(_links(docs, more, n, percent), "links"))
+        links = links.union(_links(docs, more, classes, n, percent))
         labels = components(links)
-    classes = rows.filter("size > 0").groupBy("k1", "k2").agg(F.min("id").alias("least"))
     labelled = classes.join(labels.select(F.col("node").alias("k1"), "label"), "k1", "left").withColumn("label", F.coalesce("label", "k1"))
     labelled = base.kept(labelled, "classes")
     smallest = labelled.groupBy("label").agg(F.min("least").alias("component"))
