@@ -29,7 +29,8 @@ def smape(y: Column, p: Column) -> Column:
 
 
 def r2(y: Column, p: Column) -> Column:
-    """1 - SSres/SStot. ``var_pop`` merges centred moments, so one pass stays stable."""
+    """1 - SSres/SStot over rows with a prediction. ``var_pop`` merges centred moments, so one pass stays stable."""
+    y = F.when(p.isNotNull(), y)
     sse = F.sum((y - p) * (y - p))
     n = F.count(y)
     sst = F.var_pop(y) * n

@@ -57,6 +57,21 @@ def evaluate(predictions: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return predictions.groupBy(*keys, "model").agg(*all_metrics(F.col("actual"), F.col("pred")))
 
 
+def on_common_rows(predictions: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Predictions of the rows that every model of the same kind of forecast predicts.
+
+    The kinds, ``one step`` and ``ahead``, come as column ``forecast``: their errors do not compare,
+    and a model that starts later would otherwise be judged on easier or harder rows.
+    """
+    keys = list(keys)
+    kind = F.when(F.max("horizon").over(Window.partitionBy(*keys, "model")) > 1, "ahead").otherwise("one step")
+    rows = predictions.where(F.col("pred").isNotNull()).withColumn("forecast", kind)
+    models = rows.groupBy("forecast").agg(F.count_distinct("model").alias("models"))
+    have = rows.groupBy(*keys, "forecast", "ts").agg(F.count("*").alias("have"))
+    shared = have.join(models, "forecast").where(F.col("have") == F.col("models")).select(*keys, "forecast", "ts")
+    return rows.join(shared, [*keys, "forecast", "ts"], "left_semi").select(*predictions.columns, "forecast")
+
+
 def align_heads(predictions: DataFrame, series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Pair the i-th prediction of a model with the i-th test row, whatever their timestamps.
 
@@ -72,7 +87,7 @@ def align_heads(predictions: DataFrame, series: DataFrame, keys: Sequence[str] =
 
 
 def rank_by_rmse(metrics: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    return metrics.withColumn("rank", F.rank().over(Window.partitionBy(*keys).orderBy("RMSE")))
+    return metrics.withColumn("rank", F.rank().over(Window.partitionBy(*keys).orderBy(F.col("RMSE").asc_nulls_last())))
 
 
 def rank_models(metrics: DataFrame, keys: Sequence[str] = (), names: Sequence[str] = ("MAE", "RMSE", "MAPE", "R2")) -> DataFrame:

@@ -119,17 +119,10 @@ def sample_windows(series: DataFrame, keys: Sequence[str], windows: int, length:
     key = F.pmod(F.xxhash64(*keys), F.lit(PRIME)) if keys else F.lit(0).cast("bigint")
     first = F.lit(seed).cast("bigint")
     places = series.where(has_window(length)).select(*keys, "idx", key.alias("_key"))
-    member = lambda *names: draw(first, *map(F.col, names), F.lit(1))
     turn = draw(first, F.col("tree"), F.col("_key"), F.col("idx"), F.lit(2))
-    if chance * trees > 1:
-        drawn = places.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).where(
-            member("tree", "_key", "idx") < chance
-        )
-    else:
-        # So many windows that a window is in one tree at most: one draw per window.
-        drawn = places.where(member("_key", "idx") < chance * trees).withColumn(
-            "tree", F.floor(draw(first, F.col("_key"), F.col("idx"), F.lit(3)) * trees).cast("int")
-        )
+    # One draw for each tree and window at every size; only the trees that take a window become rows.
+    takes = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: draw(first, tree, F.col("_key"), F.col("idx"), F.lit(1)) < chance)
+    drawn = places.withColumn("tree", F.explode(takes))
     order = Window.partitionBy("tree").orderBy(turn, *keys, "idx")
     return drawn.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= sample).drop("_key")
 
@@ -209,12 +202,14 @@ def forest_scores(
     )
 
 
-def isolation_forest(series: DataFrame, keys: Sequence[str] = (), length: int = 24, seed: int = SEED) -> DataFrame:
+def isolation_forest(
+    series: DataFrame, keys: Sequence[str] = (), length: int = 24, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED, value: str = "y"
+) -> DataFrame:
     """Fit and score. With keys the series are normalized first, so that large ones do not stand out as such.
 
     Scaling all values of one series changes nothing for a forest on that series alone.
     """
     if not keys:
-        return forest_scores(series, fit_forest(series, length=length, seed=seed), length=length)
+        return forest_scores(series, fit_forest(series, (), value, length, trees, sample, seed), value=value, length=length)
     z = normalize(series, norm_params(series, keys), keys).withColumn("z", F.coalesce("z", F.lit(0.0)))
-    return forest_scores(z, fit_forest(z, keys, "z", length, seed=seed), keys, "z", length)
+    return forest_scores(z, fit_forest(z, keys, "z", length, trees, sample, seed), keys, "z", length)

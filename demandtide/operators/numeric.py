@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from types import SimpleNamespace
 from typing import Any
 
 import pandas as pd
@@ -31,7 +32,8 @@ def map_block_groups(blocks: DataFrame, func: Callable[[list], Iterable[dict]],
         out: list[dict] = []
         numbers = 0
         for pdf in batches:
-            rows = list(pdf.itertuples(index=False))
+            # By position: a key's name need not be a Python name.
+            rows = [SimpleNamespace(**dict(zip(pdf.columns, r))) for r in pdf.itertuples(index=False, name=None)]
             for lo in range(0, len(rows), size):
                 for made in func(rows[lo : lo + size]):
                     out.append(made)

@@ -85,6 +85,9 @@ def score_chart(scores: DataFrame, keys: Sequence[str] = (), rows: int = 1000) -
 
 
 def widen_scores(scores: DataFrame, methods: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """``ts, trip_count, anomaly_score_<method> ...``; the methods are named, so no extra job finds them."""
-    wide = scores.groupBy(*keys, "ts", F.col("y").cast("bigint").alias("trip_count")).pivot("method", list(methods)).agg(F.first("score"))
+    """``ts, trip_count, anomaly_score_<method> ...``; the methods are named, so no extra job finds them.
+
+    ``trip_count`` keeps the type of ``y``: rescaled samples have fractions.
+    """
+    wide = scores.groupBy(*keys, "ts", F.col("y").alias("trip_count")).pivot("method", list(methods)).agg(F.first("score"))
     return wide.select(*keys, "ts", "trip_count", *[F.col(m).alias(f"anomaly_score_{m}") for m in methods])

@@ -13,11 +13,18 @@ from demandtide.functions.calendar import bucket_number, bucket_start, parse_tim
 # Rows of one series that share a task: 24 weeks of hours. All work along time is
 # cut into such pieces, so a single long series still spreads over the cluster.
 BLOCK = 4032
+# Names of the series' own columns and of the blocks it is packed in.
+RESERVED = frozenset(("ts", "idx", "n", "y", "b", "c", "blk", "at", "values", "rows", "cut", "rank", "first_b", "last_b", "next_b"))
 
 
 def between(events: DataFrame, ts_col: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Keep ``start <= ts < end``, stated on the raw column so that it reaches the scan."""
+    """Keep ``start <= ts < end``, stated on the raw column so that it reaches the scan.
+
+    Texts are read first; those that are no time drop out.
+    """
     ts = F.col(ts_col)
+    if events.schema[ts_col].dataType.typeName() not in ("timestamp_ntz", "timestamp", "date"):
+        ts = parse_timestamp(ts)
     if start is not None:
         events = events.where(ts >= F.lit(start).cast("timestamp_ntz"))
     if end is not None:
@@ -67,6 +74,8 @@ def fill_gaps(
     the job when one stray timestamp would stretch a series beyond it.
     """
     keys = list(keys)
+    if clash := {k.lower() for k in keys} & RESERVED:
+        raise ValueError(f"rename the key columns {sorted(clash)}: a series has columns of these names")
     block_of = lambda b: F.floor(b / BLOCK)
     extent = bucket_extent(counts, keys)
     if common_range and keys:

@@ -319,7 +319,14 @@ def _two_methods(spark, sf_dir) -> DataFrame:
 
 def anomaly_wide(spark, sf_dir):
     wide = scores.widen_scores(_two_methods(spark, sf_dir), ["profile", "moving_average"])
-    return wide.select("ts", "trip_count", r6("anomaly_score_profile"), r6("anomaly_score_moving_average"))
+    return wide.select("ts", F.col("trip_count").cast("bigint").alias("trip_count"), r6("anomaly_score_profile"), r6("anomaly_score_moving_average"))
+
+
+def anomaly_wide_rescaled(spark, sf_dir):
+    """Counts of a sample have fractions once they stand for the whole log."""
+    scored = _two_methods(spark, sf_dir)
+    wide = scores.widen_scores(se.rescale_sampled(scored, 0.3), ["profile", "moving_average"])
+    return wide.select("ts", r6("trip_count"), r6("anomaly_score_profile"), r6("anomaly_score_moving_average"))
 
 
 def display_threshold_flags(spark, sf_dir):
@@ -405,9 +412,10 @@ def training_history(spark, sf_dir):
 
 
 def compare_forecasts(spark, sf_dir):
-    """All forecasters on the test part, with their metrics and ranks."""
-    metrics = ev.evaluate(forecast_all(kept(by_type(spark, sf_dir)), KEY), KEY)
-    return ev.rank_by_rmse(metrics, KEY).select("event_type", "model", *_metric_columns(), "rank")
+    """All forecasters on the test rows they share, with their metrics and their ranks among forecasts of their kind."""
+    shared = ev.on_common_rows(forecast_all(kept(by_type(spark, sf_dir)), KEY), KEY)
+    by = [*KEY, "forecast"]
+    return ev.rank_by_rmse(ev.evaluate(kept(shared), by), by).select(*by, "model", *_metric_columns(), "rank")
 
 
 # --- detectors ---------------------------------------------------------------------
@@ -421,6 +429,11 @@ def isolation_forest(spark, sf_dir):
     return _flagged(score_by_forest(kept(overall(spark, sf_dir))))
 
 
+def isolation_forest_by_user(spark, sf_dir):
+    """Many series in one forest."""
+    return _flagged(score_by_forest(kept(se.demand_series(tb.table(spark, sf_dir, "events"), keys=["user_id"])), ["user_id"]), ["user_id"])
+
+
 def pca_recon(spark, sf_dir):
     return _flagged(pattern_scores(kept(by_type(spark, sf_dir)), KEY), KEY)
 
@@ -481,6 +494,7 @@ QUERIES = {
         anomaly_points,
         anomaly_summary,
         anomaly_wide,
+        anomaly_wide_rescaled,
         display_threshold_flags,
         score_chart,
         hist50,
@@ -499,6 +513,7 @@ QUERIES = {
         training_history,
         compare_forecasts,
         isolation_forest,
+        isolation_forest_by_user,
         pca_recon,
         sequence_residual,
         hourly_demand_stream,

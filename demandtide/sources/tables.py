@@ -115,7 +115,7 @@ def read_series_csv(spark: SparkSession, path: str, schema: T.StructType = SERIE
     return reader.csv(path)
 
 
-def write_processed(features: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
+def write_processed(features: DataFrame, path: str) -> None:
     """The feature table, one folder per split: read all of it, or prune to one."""
     features.write.mode("overwrite").partitionBy("split").parquet(path)
 
@@ -124,8 +124,10 @@ def write_norm_params(params: DataFrame, path: str) -> None:
     params.write.mode("overwrite").json(path)
 
 
-def read_norm_params(spark: SparkSession, path: str, keys: Sequence[str] = ()) -> DataFrame:
-    schema = T.StructType([T.StructField(k, T.StringType()) for k in keys] + NORM_SCHEMA.fields)
+def read_norm_params(spark: SparkSession, path: str, keys: Sequence[str] | T.StructType = ()) -> DataFrame:
+    """``keys`` as fields keep their types; bare names are read as text."""
+    fields = keys.fields if isinstance(keys, T.StructType) else [T.StructField(k, T.StringType()) for k in keys]
+    schema = T.StructType(fields + NORM_SCHEMA.fields)
     return spark.read.schema(schema).json(path)
 
 

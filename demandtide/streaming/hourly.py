@@ -24,11 +24,11 @@ def _as_instant(ts: Column) -> Column:
 def closed_hours(events: DataFrame, ts_col: str = "ts", keys: Sequence[str] = (), delay: str = "1 hour") -> DataFrame:
     """``keys, ts, trip_count`` for hours older than the latest event minus ``delay``.
 
-    A watermark needs an instant; wall-clock times are read as UTC and given back as they were.
+    A watermark needs an instant; wall-clock times are read as UTC and given back as they were. An
+    instant is taken by the session's wall clock first, as in batch. Rows without time or key drop out.
     """
-    named = events.select(*keys, F.col(ts_col).alias("ts"))
-    at = _as_instant(F.col("ts")) if named.schema["ts"].dataType.typeName() == "timestamp_ntz" else F.col("ts")
-    hours = named.select(*keys, at.alias("at")).withWatermark("at", delay).groupBy(F.window("at", "1 hour"), *keys)
+    named = events.select(*keys, F.col(ts_col).cast("timestamp_ntz").alias("ts")).dropna()
+    hours = named.select(*keys, _as_instant(F.col("ts")).alias("at")).withWatermark("at", delay).groupBy(F.window("at", "1 hour"), *keys)
     start = bucket_start(F.floor(F.unix_seconds("window.start") / 3600).cast("bigint"), "hour")
     return hours.agg(F.count("*").alias("trip_count")).select(*keys, start.alias("ts"), "trip_count")
 
