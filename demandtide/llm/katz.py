@@ -257,8 +257,11 @@ def _count_pairs(unigrams: Unigrams):
         at, hot = 0, {}
         for block, bucket, p in zip(pdf["block"], pdf["bucket"], parts):
             m = len(p[0])
-            mine = np.searchsorted(names, p[4])
-            rows.append({"kind": "answer", "block": block, "bucket": bucket, "counts": _pack(total[place[at : at + m]].astype(np.uint32)), "stats": _pack(stats[mine])})
+            mine, asked = np.searchsorted(names, p[4]), total[place[at : at + m]]
+            told = stats[mine]
+            # The sum matters only where the block has a pair to back off for.
+            told[~np.logical_or.reduceat(asked == 0, np.cumsum(p[6], dtype=np.int64) - p[6]), LARGEST] = 0
+            rows.append({"kind": "answer", "block": block, "bucket": bucket, "counts": _pack(asked.astype(np.uint32)), "stats": _pack(told)})
             hot |= {int(k): int(i) for k, i, f in zip(p[4], mine, p[5]) if f}
             at += m
         for k, i in hot.items():
