@@ -22,6 +22,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import json
+import math
 import struct
 import zipfile
 import zlib
@@ -39,6 +40,8 @@ from demandtide.session import scratch_dir
 
 #: Bytes of records after which a task begins its next package.
 PACKAGE_BYTES = 32 << 20
+#: Bytes of packages that one task reads, in slices of the second size.
+TASK_BYTES, SLICE_BYTES = 8 << 20, 1 << 20
 #: Repeated payloads up to which their table is broadcast.
 BROADCAST_PAYLOADS = 100_000
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
@@ -197,8 +200,10 @@ def read_packages(packages: DataFrame, folder: str, id_type: T.DataType) -> Data
             if file is not None:
                 file.close()
 
-    listed = packages.select("path", "size").repartition("path").mapInArrow(indexes, places)
-    slices = listed.repartition("path", F.floor(F.col("offset") / (4 << 20))).sortWithinPartitions("path", "offset")
+    # Stated numbers of tasks: the rows are small, but each stands for bytes to read.
+    tasks = max(1, math.ceil((packages.agg(F.sum("size")).first()[0] or 0) / TASK_BYTES))
+    listed = packages.select("path", "size").repartition(tasks, "path").mapInArrow(indexes, places)
+    slices = listed.repartition(tasks, "path", F.floor(F.col("offset") / SLICE_BYTES)).sortWithinPartitions("path", "offset")
     return slices.mapInArrow(records, schema)
 
 
