@@ -37,10 +37,12 @@ def lag_frame(
 ) -> tuple[DataFrame, DataFrame]:
     """Windows as vectors with their label ``z``, and the normalization used.
 
-    ``across`` lets windows reach from the training into the test part.
+    ``across`` lets windows reach from the training into the test part. A key whose training part is
+    constant, such as an idle zone, has no spread to divide by: its windows hold zeros and its
+    forecast is that constant.
     """
-    params = norm_params(series, keys, fit_on, test_size)
-    z = with_split(normalize(series, params, keys), test_size).where(F.col("z").isNotNull())
+    params = norm_params(series, keys, fit_on, test_size).withColumn("std", F.coalesce("std", F.lit(0.0)))
+    z = with_split(normalize(series, params, keys), test_size).where(F.col("y").isNotNull()).withColumn("z", F.coalesce("z", F.lit(0.0)))
     windows = supervised_windows(z, keys, length, "z", None if across else "split")
     return windows.withColumn("features", array_to_vector("x")).drop("x"), params
 

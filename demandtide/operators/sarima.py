@@ -343,6 +343,6 @@ def information(sse: float, nobs: int, params: int) -> tuple[float | None, float
 def sarima(
     table: DataFrame, keys: Sequence[str] = (), period: int = 24, block: int = SEARCH_BLOCK, long_series: bool | None = None
 ) -> DataFrame:
-    """Fit on ``idx < cut``; the rest of the rows with ``pred, aic, bic``."""
+    """Fit on ``idx < cut``; the rest of the rows with ``pred, aic, bic``, NULL for keys too short to fit."""
     ahead = forecast_sarima(fit_sarima(table, keys, period, block, long_series), keys, period)
-    return table.where(F.col("idx") >= F.col("cut")).join(ahead, [*keys, "idx"])
+    return table.where(F.col("idx") >= F.col("cut")).join(ahead, [*keys, "idx"], "left")

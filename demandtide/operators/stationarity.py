@@ -55,12 +55,12 @@ def _lag_rows(y: np.ndarray, at: int, first: int, lags: int) -> tuple[np.ndarray
 
 
 def adf_test(series: DataFrame, keys: Sequence[str] = (), block: int = BLOCK, margin: int = 256) -> DataFrame:
-    """``tau, pvalue, usedlag, nobs, cv1, cv5, cv10, is_stationary`` per key.
+    """``tau, pvalue, usedlag, nobs, cv1, cv5, cv10, is_stationary, reason`` per key.
 
     All lag lengths are compared on the rows that have the longest lag. Their normal
     equations are leading parts of one matrix, so the data is read once; the chosen
-    length then gets back the few rows at the series start it can also use. A series
-    that is too short or constant gives no row. ``margin`` rows are shared between
+    length then gets back the few rows at the series start it can also use. Every key has a
+    row: where there is no test, its values are NULL and ``reason`` says why. ``margin`` rows are shared between
     neighbouring blocks and must hold the longest lag; 256 do up to 20 million rows.
     """
     keys = list(keys)
@@ -79,17 +79,20 @@ def adf_test(series: DataFrame, keys: Sequence[str] = (), block: int = BLOCK, ma
 
     sums = gram(blocks, keys, design, ["blk", "n", "head"], {"n": F.max("n"), "head": F.min_by("head", "blk")})
 
+    def none(reason: str) -> dict:
+        return {**dict.fromkeys(["tau", "pvalue", "usedlag", "nobs", *CRITICAL, "is_stationary"]), "reason": reason}
+
     def test(m: np.ndarray, row) -> dict | None:
         lags = m.shape[0] - 3
         nobs = int(row.n) - 1 - lags
         try:
             r = np.linalg.cholesky(m[:-1, :-1])
         except np.linalg.LinAlgError:
-            return None
+            return none("no spread in the compared rows")
         u = np.linalg.solve(r, m[:-1, -1])
         ssr = m[-1, -1] - np.cumsum(u * u)[1:]  # entry l: lags 0..l
         if not np.all(ssr > 0):
-            return None
+            return none("no error left")
         count = np.arange(lags + 1)
         aic = nobs * (math.log(2 * math.pi) + np.log(ssr / nobs) + 1) + 2 * (count + 2)
         best = int(np.argmin(aic))
@@ -103,12 +106,12 @@ def adf_test(series: DataFrame, keys: Sequence[str] = (), block: int = BLOCK, ma
         try:
             inverse = np.linalg.inv(own[:-1, :-1])
         except np.linalg.LinAlgError:
-            return None
+            return none("no spread in the compared rows")
         beta = inverse @ own[:-1, -1]
         rest = float(own[-1, -1] - beta @ own[:-1, -1])
         df = nobs - (best + 2)
         if df <= 0 or rest <= 0:
-            return None
+            return none("no error left")
         tau = float(beta[1] / math.sqrt(rest / df * inverse[1, 1]))
         p = p_value(tau)
         return {
@@ -118,6 +121,7 @@ def adf_test(series: DataFrame, keys: Sequence[str] = (), block: int = BLOCK, ma
             "nobs": nobs,
             **{name: critical_value(name, nobs) for name in CRITICAL},
             "is_stationary": p < 0.05,
+            "reason": None,
         }
 
     doubles = ["cv1", "cv5", "cv10"]
@@ -125,9 +129,14 @@ def adf_test(series: DataFrame, keys: Sequence[str] = (), block: int = BLOCK, ma
         [T.StructField("tau", T.DoubleType()), T.StructField("pvalue", T.DoubleType())]
         + [T.StructField("usedlag", T.IntegerType()), T.StructField("nobs", T.LongType())]
         + [T.StructField(c, T.DoubleType()) for c in doubles]
-        + [T.StructField("is_stationary", T.BooleanType())]
+        + [T.StructField("is_stationary", T.BooleanType()), T.StructField("reason", T.StringType())]
     )
-    return solve(sums, keys, test, fields)
+    found = solve(sums, keys, test, fields)
+    if not keys:
+        return found
+    # Keys without six rows that hold a value never reach the regression.
+    every = mean.select(*keys).join(found.withColumn("_there", F.lit(True)), keys, "left")
+    return every.withColumn("reason", F.when(F.col("_there").isNull(), "too short").otherwise(F.col("reason"))).drop("_there")
 
 
 def dickey_fuller(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -493,6 +493,8 @@ ORACLES = {
     + " SELECT l_returnflag, ts, idx, y::BIGINT AS trip_count FROM s",
     "hourly_demand_bounded": _series(keys="event_type", where="ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15'")
     + " SELECT event_type, ts, idx, y::BIGINT AS trip_count FROM s",
+    "text_log_bounded": _series(keys="event_type", where="event_id % 10 <> 0 AND ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15'")
+    + " SELECT event_type, ts, idx, y::BIGINT AS trip_count FROM s",
     "series_extent": TYPED + " SELECT event_type, count(*) AS n, min(ts) AS min_ts, max(ts) AS max_ts FROM s GROUP BY 1",
     "head_preview": ALL + " SELECT ts, y::BIGINT AS trip_count FROM s ORDER BY ts LIMIT 5",
     "sample_hash": "SELECT event_id FROM events WHERE (event_id * 2654435761) % 4294967296 < 429496730",
@@ -515,6 +517,7 @@ FROM s""",
     "norm_params": TYPED + f" SELECT event_type, {_r('avg(y)', 'mean')}, {_r('stddev_samp(y)', 'std')} FROM s GROUP BY 1",
     "norm_params_train": TYPED
     + f" SELECT event_type, {_r('avg(y)', 'mean')}, {_r('stddev_samp(y)', 'std')} FROM s WHERE idx < floor(n * 0.8::DOUBLE) GROUP BY 1",
+    "norm_params_roundtrip": _series(keys="user_id") + f" SELECT user_id, {_r('avg(y)', 'mean')}, {_r('stddev_samp(y)', 'std')} FROM s GROUP BY 1",
     "denormalize_roundtrip": TYPED + " SELECT event_type, ts, y, y AS y_back FROM s",
     "train_test_split": TYPED + """ SELECT event_type, CASE WHEN idx < floor(n * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split,
 count(*) AS n, min(ts) AS min_ts, max(ts) AS max_ts FROM s GROUP BY ALL""",
@@ -547,6 +550,9 @@ FROM t JOIN se ON t.event_type = se.event_type AND t.idx % 24 = se.phase""",
     "walk_forward_rmse": WALK + f" SELECT event_type, fold, {_r('rmse', 'rmse')} FROM sc",
     "walk_forward_summary": WALK + f" SELECT event_type, {_r('avg(rmse)', 'mean_rmse')}, {_r('stddev_pop(rmse)', 'std_rmse')} FROM sc GROUP BY 1",
     "forecast_metrics": RANKED + " SELECT * FROM mr",
+    "metrics_with_gaps": PRED + f""",
+m AS (SELECT event_type, model, {METRICS} FROM p WHERE idx % 5 <> 0 GROUP BY ALL)
+SELECT event_type, model, {METRIC_SELECT}, rank() OVER (PARTITION BY event_type ORDER BY RMSE NULLS LAST)::INTEGER AS rank FROM m""",
     "forecast_metrics_head_aligned": TYPED + f""",
 te AS (SELECT *, idx - floor(n * 0.8::DOUBLE)::BIGINT AS place FROM s WHERE idx >= floor(n * 0.8::DOUBLE)),
 x AS (SELECT event_type, place - 24 AS place, avg(y) OVER (PARTITION BY event_type ORDER BY place ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS pred FROM te),
@@ -576,6 +582,11 @@ FROM p WHERE idx >= n - 500 GROUP BY event_type, ts, actual""",
 SELECT ts, y::BIGINT AS trip_count,
   {_r("max(CASE WHEN method = 'profile' THEN score END)", 'anomaly_score_profile')},
   {_r("max(CASE WHEN method = 'moving_average' THEN score END)", 'anomaly_score_moving_average')}
+FROM tw GROUP BY ts, y""",
+    "anomaly_wide_rescaled": TWO + f"""
+SELECT ts, {_r("y / 0.3::DOUBLE", 'trip_count')},
+  {_r("max(CASE WHEN method = 'profile' THEN score END)", 'anomaly_score_profile')},
+  {_r("max(CASE WHEN method = 'moving_average' THEN score END)", 'anomaly_score_moving_average')}
 FROM tw GROUP BY ts, y""",
     "display_threshold_flags": PROFILE + f""",
 tail AS (SELECT * FROM pr WHERE idx >= n - 500),

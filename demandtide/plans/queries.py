@@ -90,6 +90,13 @@ def hourly_demand_bounded(spark, sf_dir):
     return se.demand_series(events, keys=KEY, start="2024-01-08", end="2024-01-15").select("event_type", "ts", "idx", trips())
 
 
+def text_log_bounded(spark, sf_dir):
+    """Times as text, a tenth of them unreadable, within bounds."""
+    events = tb.table(spark, sf_dir, "events")
+    text = F.when(F.col("event_id") % 10 == 0, F.lit("n/a")).otherwise(F.col("ts").cast("string"))
+    return se.demand_series(events.withColumn("ts", text), keys=KEY, start="2024-01-08", end="2024-01-15").select("event_type", "ts", "idx", trips())
+
+
 def series_extent(spark, sf_dir):
     return se.series_extent(by_type(spark, sf_dir), KEY)
 
@@ -169,6 +176,20 @@ def norm_params_train(spark, sf_dir):
     return ft.norm_params(by_type(spark, sf_dir), KEY, fit_on="train").select("event_type", r6("mean"), r6("std"))
 
 
+def norm_params_roundtrip(spark, sf_dir):
+    """Parameters of many keys as JSON and back, keys as whole numbers."""
+    s = se.demand_series(tb.table(spark, sf_dir, "events"), keys=["user_id"])
+    path = scratch_dir(spark, "norm-params")
+    tb.write_norm_params(ft.norm_params(s, ["user_id"]), path)
+    return tb.read_norm_params(spark, path, s.select("user_id").schema).select("user_id", r6("mean"), r6("std"))
+
+
+def adf_by_user(spark, sf_dir):
+    """Many series, some too short or flat for a test: those give the reason."""
+    found = adf_test(se.demand_series(tb.table(spark, sf_dir, "events"), keys=["user_id"]), ["user_id"])
+    return found.select("user_id", r6("tau"), r6("pvalue"), "usedlag", "nobs", "is_stationary", "reason")
+
+
 def denormalize_roundtrip(spark, sf_dir):
     s = by_type(spark, sf_dir)
     params = ft.norm_params(s, KEY)
@@ -255,6 +276,12 @@ def forecast_metrics(spark, sf_dir):
     return ev.evaluate(_predictions(spark, sf_dir), KEY).select("event_type", "model", *_metric_columns())
 
 
+def metrics_with_gaps(spark, sf_dir):
+    """Every fifth prediction missing: those rows count in no measure."""
+    gappy = _predictions(spark, sf_dir).withColumn("pred", F.when(F.col("idx") % 5 != 0, F.col("pred")))
+    return ev.rank_by_rmse(ev.evaluate(gappy, KEY), KEY).select("event_type", "model", *_metric_columns(), "rank")
+
+
 def forecast_metrics_head_aligned(spark, sf_dir):
     """The window mean starts 24 rows into the test part and is still paired from its head."""
     s = ft.with_split(by_type(spark, sf_dir))
@@ -463,6 +490,7 @@ QUERIES = {
         daily_orders,
         daily_shipments,
         hourly_demand_bounded,
+        text_log_bounded,
         series_extent,
         head_preview,
         sample_hash,
@@ -475,6 +503,7 @@ QUERIES = {
         normalize,
         norm_params,
         norm_params_train,
+        norm_params_roundtrip,
         denormalize_roundtrip,
         train_test_split,
         moving_average_24,
@@ -485,6 +514,7 @@ QUERIES = {
         walk_forward_rmse,
         walk_forward_summary,
         forecast_metrics,
+        metrics_with_gaps,
         forecast_metrics_head_aligned,
         model_ranking,
         predictions_long,
@@ -503,6 +533,7 @@ QUERIES = {
         box_by_hour,
         df_lag0,
         adf,
+        adf_by_user,
         holt_winters_fixed,
         holt_winters_grid,
         fourier_trend_forecast,

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from demandtide.operators.evaluate import evaluate, on_common_rows, rank_by_rmse
 from demandtide.operators.features import norm_params
 from demandtide.operators.isolation import draw, isolation_forest, sample_windows
+from demandtide.operators.lagmodels import lag_forecast
+from demandtide.operators.sarima import sarima
 from demandtide.operators.scores import widen_scores
 from demandtide.operators.series import demand_series, rescale_sampled
+from demandtide.operators.stationarity import adf_test
 from demandtide.operators.trend import trend_forecast
 from demandtide.sources.tables import read_norm_params, write_norm_params
 from demandtide.streaming.hourly import closed_hours, run_once
@@ -91,3 +94,19 @@ def test_trees_draw_windows_alike_at_every_size(spark, make_series):
             want += [(tree, i) for i in sorted(able, key=lambda i: (draw(42, tree, 0, i, 2), i))[:sample]]
         assert got == sorted(want)
     assert isolation_forest(series, trees=5, sample=16).where("score > 0").count() == 2977
+
+
+def test_no_key_vanishes_from_the_unit_root_test(spark, make_series):
+    values = {"season": season(200), "late": [0.0] * 95 + [1.0] * 5, "edges": [1.0] + [0.0] * 98 + [1.0], "flat": [2.0] * 100, "short": [1.0, 2.0, 3.0]}
+    rows = {r["k"]: r for r in adf_test(make_series(values), ["k"]).collect()}
+    assert set(rows) == set(values)
+    assert rows["season"]["reason"] is None and rows["season"]["pvalue"] is not None
+    assert all(rows[k]["tau"] is None and rows[k]["usedlag"] is None and rows[k]["reason"] for k in ("late", "flat", "short"))
+
+
+def test_idle_and_short_keys_keep_their_forecast_rows(spark, make_series):
+    table = make_series({"busy": season(200), "idle": [3.0] * 160 + [4.0] * 40, "short": [1.0] * 8})
+    lag = lag_forecast(table, "lr", ["k"]).where("k = 'idle'").agg(F.count("*"), F.min("pred"), F.max("pred")).first()
+    assert lag[0] == 16 and abs(lag[1] - 3) < 1e-9 and abs(lag[2] - 3) < 1e-9
+    short = sarima(table, ["k"]).where("k = 'short'").collect()
+    assert [r["pred"] for r in short] == [None, None]
