@@ -10,10 +10,10 @@ def decontamination(docs: str) -> str:
     return rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_AZ}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {docs}),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_AZ}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
-win AS (SELECT DISTINCT item, w[i:i + 9] AS x, least(len(w), 10) AS n
+win AS (SELECT DISTINCT item, array_to_string(w[i:i + 9], ' ') AS x, least(len(w), 10) AS n
         FROM (SELECT *, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM b WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT n FROM win),
-place AS (SELECT doc_id, n, i, w[i:i + n - 1] AS x
+place AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS x
           FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, sizes WHERE len(w) >= n)),
 hit AS (SELECT doc_id, i, place.n, item FROM place JOIN win ON place.x = win.x AND place.n = win.n),
 word AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hit) GROUP BY doc_id),
@@ -42,7 +42,7 @@ def quality(docs: str) -> str:
     return rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS.format("coalesce(text, '')")} AS w,
                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM {docs}),
-win AS (SELECT doc_id, i, w[i:i + 2] AS x FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS i FROM d WHERE len(w) > 2)),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS x FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS i FROM d WHERE len(w) > 2)),
 twice AS (SELECT doc_id, x FROM win GROUP BY doc_id, x HAVING count(*) > 1),
 rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM win JOIN twice USING (doc_id, x)) GROUP BY doc_id),
 line AS (SELECT doc_id, x, {_WORDS.format("x")} AS v FROM (SELECT doc_id, unnest(list_distinct(lines)) AS x FROM d)),
@@ -66,7 +66,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 def jaccard(docs: str) -> str:
     return rf"""
 WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(_AZ)} AS w FROM {docs}),
-s AS (SELECT DISTINCT doc_id, w[i:i + 4] AS x FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS x FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 links AS (SELECT a.doc_id AS x, b.doc_id AS y FROM s AS a JOIN s AS b ON a.x = b.x AND a.doc_id <> b.doc_id JOIN n AS na ON na.doc_id = a.doc_id JOIN n AS nb ON nb.doc_id = b.doc_id
           GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))),
