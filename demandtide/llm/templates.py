@@ -159,9 +159,9 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
     """One row per page row: page_id, url, text, n_chars."""
     id_type = pages.schema[page_id].dataType
     block = T.StructType([T.StructField("text", T.StringType()), T.StructField("path", T.ArrayType(T.IntegerType()))])
-    schema = T.StructType([T.StructField("page_id", id_type), T.StructField("url", T.StringType()), T.StructField("page_key", T.LongType()), T.StructField("host", T.StringType()), T.StructField("blocks", T.ArrayType(block)), T.StructField("trees", T.ArrayType(T.LongType()))])
+    schema = T.StructType([T.StructField("page_id", id_type), T.StructField("url", T.StringType()), T.StructField("host", T.StringType()), T.StructField("blocks", T.ArrayType(block)), T.StructField("trees", T.ArrayType(T.LongType()))])
     host = F.coalesce(F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
-    read = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.xxhash64(F.col(html)).alias("page_key"), host.alias("host"), F.col(html).alias("html"))
+    read = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), host.alias("host"), F.col(html).alias("html"))
 
     def run(batches):
         arrow = to_arrow_schema(schema)
@@ -170,16 +170,18 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
                 part = batch.slice(lo, 500)
                 cuts = [cut(x.as_py() or "") for x in part.column("html")]
                 blocks = [[{"text": t, "path": p} for t, p in b] for b, _ in cuts]
-                yield pa.RecordBatch.from_arrays([*[part.column(c).cast(arrow.field(c).type) for c in ("page_id", "url", "page_key", "host")], pa.array(blocks, arrow.field("blocks").type), pa.array([h for _, h in cuts], arrow.field("trees").type)], schema=arrow)
+                yield pa.RecordBatch.from_arrays([*[part.column(c).cast(arrow.field(c).type) for c in ("page_id", "url", "host")], pa.array(blocks, arrow.field("blocks").type), pa.array([h for _, h in cuts], arrow.field("trees").type)], schema=arrow)
 
     cuts = base.kept(read.mapInArrow(run, schema), "page-cuts")
-    trees = cuts.select("page_id", "page_key", "host", F.posexplode("trees").alias("number", "tree")).filter("tree IS NOT NULL")
     sizes = cuts.groupBy("host").agg(F.count("*").alias("pages"))
     seen = cuts.select("host", F.explode(F.array_distinct("trees")).alias("tree")).filter("tree IS NOT NULL").groupBy("host", "tree").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
     recurring = base.kept(seen.join(sizes, "host").filter(F.col("n") >= F.lit(share) * F.col("pages")).select("host", "tree"), "recurring-subtrees")
-    gone = trees.join(base.small(recurring, BROADCAST_SUBTREES), ["host", "tree"]).groupBy(F.col("page_id").alias("g_id"), F.col("page_key").alias("g_key"), F.col("host").alias("g_host")).agg(F.collect_set("number").alias("gone"))
-    joined = cuts.join(gone, cuts["page_id"].eqNullSafe(gone["g_id"]) & (cuts["page_key"] == gone["g_key"]) & (cuts["host"] == gone["g_host"]), "left")
-    none = F.array().cast("array<int>")
-    left = F.filter("blocks", lambda b: ~F.arrays_overlap(b["path"], F.coalesce("gone", none)))
+    # A host has at most 1 / share times as many as a page has subtrees.
+    by_host = recurring.groupBy(F.col("host").alias("of_host")).agg(F.collect_list("tree").alias("template"))
+    if recurring.limit(BROADCAST_SUBTREES + 1).count() <= BROADCAST_SUBTREES:
+        by_host = F.broadcast(by_host)
+    joined = cuts.join(by_host, F.col("host") == F.col("of_host"), "left")
+    gone = lambda b: F.coalesce(F.exists(b["path"], lambda k: F.array_contains("template", F.col("trees")[k])), F.lit(False))
+    left = F.filter("blocks", lambda b: ~gone(b))
     text = F.array_join(F.transform(left, lambda b: b["text"]), " ")
     return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("bigint"))
