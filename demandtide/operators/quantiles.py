@@ -49,12 +49,16 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, q: float, n
     ranked = inside.withColumn("upto", F.sum("c").over(run))
     place = F.lit(q) * (F.col("cnt") - 1)
     lower = F.floor(place)
+    # Should the sketch ever err by more than it may, the job ends instead of giving a wrong number.
+    missed = F.col("lower").isNotNull() & ((F.coalesce("under", F.lit(0)) > F.col("lower")) | F.col("a").isNull() | F.col("b").isNull())
     return (
         ranked.groupBy(*keys)
         .agg(
             F.min(F.when(F.col("upto") > lower, F.col("v"))).alias("a"),
             F.min(F.when(F.col("upto") > F.least(lower + 1, F.col("cnt") - 1), F.col("v"))).alias("b"),
             F.max(place - lower).alias("t"),
+            F.max(lower).alias("lower"),
+            F.max(F.when(F.col("v").isNull(), F.col("upto"))).alias("under"),
         )
-        .select(*keys, (F.col("a") + (F.col("b") - F.col("a")) * F.col("t")).alias(name))
+        .select(*keys, F.when(missed, F.raise_error(F.lit("the sketch's bracket misses the quantile")).cast("double")).otherwise(F.col("a") + (F.col("b") - F.col("a")) * F.col("t")).alias(name))
     )
