@@ -146,4 +146,8 @@ def clean(docs: DataFrame, text: str = "text", **rules) -> DataFrame:
     """Documents that pass, columns unchanged. The text stays whole: the lines decide, and what
     learns from the documents later wants the layout the author gave them."""
     q = base.column_name("q", docs.columns)
-    return judged(docs, text, **rules).filter(F.col(q)["kept"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    mark = base.column_name("mark", [*docs.columns, q])
+    # A filter would be pushed down into the figures and make the lambdas work them out again for
+    # each element; it does not pass a column that is not deterministic.
+    marked = judged(docs, text, **rules).withColumn(mark, F.monotonically_increasing_id())
+    return marked.filter(F.col(q)["kept"] & (F.col(mark) >= 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
