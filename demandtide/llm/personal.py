@@ -251,7 +251,10 @@ def field_spans(text: str, known: list[tuple[int, int, int]], unary: np.ndarray,
 def _training(docs: DataFrame, train_docs: int) -> list:
     """Mentions of the training documents, as bare features, labels and edges."""
     schema = T.StructType([T.StructField("x", T.ArrayType(T.ArrayType(T.DoubleType()))), T.StructField("y", T.ArrayType(T.IntegerType())), T.StructField("e", T.ArrayType(T.ArrayType(T.IntegerType())))])
-    held = docs.filter(F.col("text").rlike(ANY.pattern)).orderBy(F.xxhash64("id", "text"), "id").limit(train_docs).select("text")
+    marked = docs.filter(F.col("text").rlike(ANY.pattern)).select(F.xxhash64("id", "text").alias("h"), "text")
+    # Hashes alone are put in order; of the texts only the chosen ones move.
+    last = marked.select("h").orderBy("h").limit(train_docs).agg(F.max("h")).first()[0]
+    held = marked.filter(F.col("h") <= F.lit(last)).select("text").limit(train_docs)
 
     def run(batches):
         for batch in batches:
