@@ -1,10 +1,13 @@
 """Main text of web pages: site templates go by subtrees that recur across a host's pages.
 
 Every page is cut once into text blocks and element subtrees. A subtree's hash covers its tags and
-text. Spark counts, per host, in how many pages each hash occurs; a subtree that recurs in at least
-``min_pages`` pages and ``share`` of the host's pages is template and is deleted with all blocks below it.
+text. Spark counts, per host, in how many different contents (the texts of a page's articles, or else of its
+main element or body) each hash occurs: copies of a page have one vote. A subtree that recurs in at least
+``min_pages`` contents and ``share`` of the host's contents is template and is deleted with all blocks below
+it. A block is below the elements that hold all of its text.
 Inside an article, paragraphs and headings are prose and stay although copies of an article repeat
-them; only other containers there can be template.
+them, and so do inline elements and all that holds prose or an article; only other containers there can be
+template. Beside paragraphs such a container is judged over pages as well, copies included.
 
 What a menu, header, footer, form, notice, advert, sidebar or comment says may differ from page to
 page, so elements that are one by tag, role or class are left out in the cut already. Blocks come
@@ -66,32 +69,43 @@ def _is_note(name: str, more: str, in_article: bool) -> bool:
     return bool(parts & NOTE_CLASSES) or (not in_article and "header" in parts)
 
 
-def cut(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
-    """Blocks (text, numbers of the subtrees around it) in page order, and the subtrees' hashes."""
+def cut(page: str) -> tuple[list[tuple[str, list[int]]], list[int], list[int]]:
+    """Blocks (text, numbers of the subtrees around it) in page order, the subtrees' hashes, and the
+    hashes of containers beside an article's paragraphs."""
     blocks: list[tuple[str, int, list[int]]] = []  # text, region, subtrees
     hashes: list[int] = []
     eligible: list[bool] = []
     stack: list[list] = []  # name, number, hash state, region, note
     words: list[str] = []
+    depth, blank = 0, True  # elements that hold all of the words, no word yet
+    inside: list[int] = []  # subtrees inside articles
+    paragraphs = False
 
     def flush() -> None:
+        nonlocal blank
+        blank = True
         text = " ".join(markup.unescape("".join(words)).split())
         words.clear()
         if text and not (stack and stack[-1][4]):
-            blocks.append((text, stack[-1][3] if stack else 0, [x[1] for x in stack]))
+            blocks.append((text, stack[-1][3] if stack else 0, [x[1] for x in stack[:depth]]))
 
     def pop() -> None:
+        nonlocal depth
         name, number, state, _, _ = stack[-1]
         if name in BLOCKS:
             flush()
         stack.pop()
+        depth = min(depth, len(stack))
         digest = state.digest()
         hashes[number] = int.from_bytes(digest, "big", signed=True)
         if stack:
             stack[-1][2].update(b"<" + name.encode() + digest)
 
     def add(text: str) -> None:
+        nonlocal depth, blank
         if text:
+            if blank:
+                depth, blank = len(stack), text.isspace()
             words.append(text)
             if stack:
                 stack[-1][2].update(" ".join(text.split()).encode("utf-8", "replace"))
@@ -147,19 +161,31 @@ def cut(page: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
             flush()
         stack.append([name, len(hashes), hashlib.blake2b(name.encode(), digest_size=8), region, note])
         hashes.append(0)
-        eligible.append(name not in ("html", "body", "main", "article") and not (region == 2 and name in PROSE))
+        eligible.append(name not in ("html", "body", "main", "article") and not (region == 2 and (name in PROSE or name not in BLOCKS)))
+        if region == 2:
+            inside.append(len(eligible) - 1)
+            paragraphs |= name == "p" and not note
+            if name == "article" or (name in PROSE and not note):
+                for x in stack[:-1]:
+                    eligible[x[1]] = False
     while stack:
         pop()
     flush()
     best = max((b[1] for b in blocks), default=0)
-    return [(text, [k for k in path if eligible[k]]) for text, region, path in blocks if region == best], [h if eligible[k] else None for k, h in enumerate(hashes)]
+    kept = [(text, [k for k in path if eligible[k]]) for text, region, path in blocks if region == best]
+    return kept, [h if eligible[k] else None for k, h in enumerate(hashes)], [hashes[k] for k in inside if eligible[k]] if paragraphs else []
+
+
+def _content(blocks: list[tuple[str, list[int]]]) -> int:
+    """A hash of the blocks' texts."""
+    return int.from_bytes(hashlib.blake2b("\n".join(t for t, _ in blocks).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", min_pages: int = 5, share: float = 0.1) -> DataFrame:
     """One row per page row: page_id, url, text, n_chars."""
     id_type = pages.schema[page_id].dataType
     block = T.StructType([T.StructField("text", T.StringType()), T.StructField("path", T.ArrayType(T.IntegerType()))])
-    schema = T.StructType([T.StructField("page_id", id_type), T.StructField("url", T.StringType()), T.StructField("host", T.StringType()), T.StructField("blocks", T.ArrayType(block)), T.StructField("trees", T.ArrayType(T.LongType()))])
+    schema = T.StructType([T.StructField("page_id", id_type), T.StructField("url", T.StringType()), T.StructField("host", T.StringType()), T.StructField("blocks", T.ArrayType(block)), T.StructField("trees", T.ArrayType(T.LongType())), T.StructField("beside", T.ArrayType(T.LongType())), T.StructField("content", T.LongType())])
     host = F.coalesce(F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     read = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), host.alias("host"), F.col(html).alias("html"))
 
@@ -169,13 +195,17 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
                 cuts = [cut(x.as_py() or "") for x in part.column("html")]
-                blocks = [[{"text": t, "path": p} for t, p in b] for b, _ in cuts]
-                yield pa.RecordBatch.from_arrays([*[part.column(c).cast(arrow.field(c).type) for c in ("page_id", "url", "host")], pa.array(blocks, arrow.field("blocks").type), pa.array([h for _, h in cuts], arrow.field("trees").type)], schema=arrow)
+                blocks = [[{"text": t, "path": p} for t, p in b] for b, _, _ in cuts]
+                lists = [pa.array([x[k] for x in cuts], arrow.field(c).type) for k, c in ((1, "trees"), (2, "beside"))]
+                yield pa.RecordBatch.from_arrays([*[part.column(c).cast(arrow.field(c).type) for c in ("page_id", "url", "host")], pa.array(blocks, arrow.field("blocks").type), *lists, pa.array([_content(b) for b, _, _ in cuts], pa.int64())], schema=arrow)
 
     cuts = base.kept(read.mapInArrow(run, schema), "page-cuts")
-    sizes = cuts.groupBy("host").agg(F.count("*").alias("pages"))
-    seen = cuts.select("host", F.explode(F.array_distinct("trees")).alias("tree")).filter("tree IS NOT NULL").groupBy("host", "tree").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
-    recurring = base.kept(seen.join(sizes, "host").filter(F.col("n") >= F.lit(share) * F.col("pages")).select("host", "tree"), "recurring-subtrees")
+    sizes = cuts.groupBy("host", "content").agg(F.count("*").alias("n")).groupBy("host").agg(F.count("*").alias("contents"), F.sum("n").alias("pages"))
+    each = cuts.select("host", "content", F.explode(F.array_distinct("trees")).alias("tree"), F.array_contains("beside", F.col("tree")).alias("beside")).filter("tree IS NOT NULL")
+    votes = each.groupBy("host", "tree", "content").agg(F.count_if("beside").alias("copies"))
+    seen = votes.groupBy("host", "tree").agg(F.count("*").alias("n"), F.sum("copies").alias("copies")).filter(F.greatest("n", "copies") >= min_pages)
+    many = lambda n, of: (F.col(n) >= min_pages) & (F.col(n) >= F.lit(share) * F.col(of))
+    recurring = base.kept(seen.join(sizes, "host").filter(many("n", "contents") | many("copies", "pages")).select("host", "tree"), "recurring-subtrees")
     # A host has at most 1 / share times as many as a page has subtrees.
     by_host = recurring.groupBy(F.col("host").alias("of_host")).agg(F.collect_list("tree").alias("template"))
     if recurring.limit(BROADCAST_SUBTREES + 1).count() <= BROADCAST_SUBTREES:

@@ -169,6 +169,25 @@ def test_templates_go_and_prose_stays(spark):
     assert {r["text"] for r in templates.main_text(frame(spark, articles, "page_id long, url string, html string")).collect()} == {"T licence text"}
 
 
+def test_copies_of_a_page_keep_their_article(spark):
+    """An open <b>, wrappers in and around the article, text in bare containers, no article at all."""
+    forms = {
+        "open": ("<article><h1>T</h1><p>First <b>words here<p>Second part</article>", "T First words here Second part"),
+        "wrapped": ("<div><section><article><div><p>One <em>two</em><p>three</div></article></section></div>", "One two three"),
+        "bare": ("<article><h1>T</h1><div>One</div><div>two</div></article>", "T One two"),
+        "main": ("<main><div>One</div><p>two</main>", "One two"),
+        "body": ("<div><p>One</p><div>two</div></div>", "One two"),
+    }
+    pages = [(f"{k}{i}", f"http://{k}.org/{i}", f"<html><body>{form}</body></html>") for k, (form, _) in forms.items() for i in range(50)]
+    # Outside articles: an open inline element does not take the words before it along.
+    pages += [(f"inline{i}", f"http://inline.org/{i}", f"<p>Text {i} <b>more<p>rest {i}") for i in range(20)]
+    # A container that different articles share is template still.
+    pages += [(f"box{i}", f"http://box.org/{i}", f"<article><h1>T {i}</h1><div>Our shop</div></article>") for i in range(20)]
+    rows = by_id(templates.main_text(frame(spark, pages, "page_id string, url string, html string")), "page_id")
+    assert {i: r["text"] for i, r in rows.items() if i.rstrip("0123456789") in forms} == {f"{k}{i}": text for k, (_, text) in forms.items() for i in range(50)}
+    assert rows["inline3"]["text"] == "Text 3 more rest 3" and rows["box3"]["text"] == "T 3"
+
+
 # --- 7 ---------------------------------------------------------------------------
 
 
