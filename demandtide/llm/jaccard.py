@@ -71,6 +71,12 @@ def _least_overlap(n1, n2, percent: int):
     return (percent * (np.int64(1) * n1 + n2) + 99 + percent) // (100 + percent)
 
 
+def _early(pos, n, percent: int):
+    """Whether a node can be the smaller one of a pair that meets first at the place ``pos`` of its
+    ``n`` columns: those before are missing in the other."""
+    return pos * (100 + percent) <= n * (100 - percent)
+
+
 def _rare(s: np.ndarray, percent: int, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The rarest columns of a row, rare ones first, and how often the count saw them."""
     often = count[(s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
@@ -176,7 +182,8 @@ def _runs(batches, columns: list[str]):
 
 def _star(cells: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes of one block that can reach the threshold (kind "pair"): all of a block of up to
-    ``SMALL`` nodes, else those of its star and chains. Larger blocks' cells (kind "cell") go on."""
+    ``SMALL`` nodes, else those of its star and chains. The cells (kind "cell") of larger blocks with an
+    early node and of all salted blocks go on."""
     schema = T.StructType([T.StructField("kind", T.StringType()), *CELL.fields, *PAIR.fields])
 
     def run(batches):
@@ -193,7 +200,7 @@ def _star(cells: DataFrame, percent: int) -> DataFrame:
             block = np.repeat(size, size)
             small = (block <= SMALL) & (salts == 1)
             # The first node is one of those early enough to be the smaller of a pair.
-            large = ~small & (7 * pos[lead].astype(np.int64) <= n[lead])
+            large = ~small & _early(pos[lead].astype(np.int64), n[lead].astype(np.int64), percent)
             left, right = [], []
             for step in range(1, SMALL):
                 one = np.flatnonzero((lead[step:] == lead[:-step]) & small[step:])
@@ -216,20 +223,24 @@ def _star(cells: DataFrame, percent: int) -> DataFrame:
                 pairs = np.unique(np.stack([lo, hi], 1), axis=0)
                 m = len(pairs)
                 yield pa.RecordBatch.from_arrays([pa.array(["pair"] * m, pa.string()), *[pa.nulls(m, f.type) for f in list(arrow)[1:7]], pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=arrow)
-            if len(big):
-                yield pa.RecordBatch.from_arrays([pa.array(["cell"] * len(big), pa.string()), *[pa.array(x[big]) for x in (token, salt, salts, node, n, pos)], pa.nulls(len(big), pa.int64()), pa.nulls(len(big), pa.int64())], schema=arrow)
+            # A column's early nodes may all have other salts.
+            on = np.flatnonzero(large | (salts > 1))
+            if len(on):
+                yield pa.RecordBatch.from_arrays([pa.array(["cell"] * len(on), pa.string()), *[pa.array(x[on]) for x in (token, salt, salts, node, n, pos)], pa.nulls(len(on), pa.int64()), pa.nulls(len(on), pa.int64())], schema=arrow)
 
-    late = F.col("pos").cast("bigint") * 7 > F.col("n")
+    late = ~_early(F.col("pos").cast("bigint"), F.col("n").cast("bigint"), percent)
     dealt = cells.repartition("token", "salt").sortWithinPartitions("token", "salt", late, "node")
     return base.kept(dealt.mapInArrow(run, schema), "stars", by="kind")
 
 
 def _between(cells: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes of one column but of different classes that can reach the threshold."""
+    """Pairs of nodes of one column but of different classes that can reach the threshold. Columns
+    without an early node in any of their blocks have none that another column does not show."""
     known = cells.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     known = base.kept(known.select(*CELL.fieldNames(), "label"), "labelled")
-    main = known.groupBy("token", "label").agg(F.count("*").alias("c")).groupBy("token").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("classes"))
-    mixed = known.join(main.filter("classes > 1"), "token")
+    early = _early(F.col("pos").cast("bigint"), F.col("n").cast("bigint"), percent)
+    main = known.groupBy("token", "label").agg(F.count("*").alias("c"), F.bool_or(early).alias("early")).groupBy("token").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("classes"), F.bool_or("early").alias("early"))
+    mixed = known.join(main.filter("classes > 1 AND early").drop("early"), "token")
     # Nodes outside a column's largest class go to each of its salted blocks, the others stay.
     rows = mixed.withColumn("minor", F.col("label") != F.col("main"))
     rows = rows.withColumn("salt", F.explode(F.when(F.col("minor"), F.sequence(F.lit(0), F.col("salts") - 1)).otherwise(F.array("salt"))))

@@ -228,6 +228,19 @@ def test_jaccard_against_all_pairs(spark, hot):
     assert got == {i: v for i, v in classes(texts).items()}
 
 
+def test_jaccard_across_the_salts_of_a_column(spark):
+    """Many copies of a text, one node, make its columns hot; in a variant a quarter longer they are all late."""
+    rng, texts = random.Random(6), {}
+    for k in range(6):
+        words = [f"t{k}w{i}" for i in range(300)]
+        for _ in range(60):
+            texts[len(texts)] = " ".join(words)
+        texts[len(texts)] = " ".join(words + [f"new{k}x{rng.random()}" for _ in range(80)])
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.near_duplicates(frame(spark, list(texts.items())), hot=5).collect()}
+    assert got == classes(texts)
+    assert {i: c for i, (_, c) in got.items()} == {i: i // 61 * 61 for i in texts}
+
+
 def test_jaccard_of_little(spark):
     assert jaccard.near_duplicates(frame(spark, [])).count() == 0
     assert [r["component_id"] for r in jaccard.near_duplicates(frame(spark, [(None, "a"), (None, "a")])).collect()] == [None, None]
