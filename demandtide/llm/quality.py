@@ -4,10 +4,12 @@ Line rules, for lines with a word:
 
 * symbols: words that carry one of ``#*$%&|<>`` and words that end in two or more ``!``/``?`` are
   together more than a fifth of the line's words
-* shouting: four or more words with letters, all of them upper-case
-* navigation: three or more separators (``|``, or ``»``, ``›``, ``•``), or at most three words with a
-  separator of the second kind, or ending in ``|`` or ``:``
-* boilerplate: equal to an earlier line, or one of the stock phrases of web pages
+* shouting: four or more words with letters, all of them with upper-case and none with lower-case
+  ones; scripts without case do not shout
+* navigation: three or more separators (``|``, or ``»``, ``›``, ``•``), more than one to ten words, or at
+  most three words with a separator of the second kind, or ending in ``|`` or ``:``
+* boilerplate: equal to an earlier line, or beginning with a stock phrase of web pages that is at least
+  a tenth of its words
 * wording: no letter at all in a line of three or more words
 
 A document is rejected when the failed lines hold more than ``max_lost`` of its word characters,
@@ -31,6 +33,8 @@ from demandtide.llm import base
 # Beginnings of stock lines, lower-case.
 BOILERPLATE = r"^\s*(accept (all )?cookies|this (web)?site uses cookies|subscribe to our newsletter|share (this )?on (facebook|twitter|x)\b|click here to|sign (in|up) (to|for)|skip to (main )?content|back to top|javascript (is|must be))"
 
+#: Words of a line to each separator or word of a stock phrase from which on they do not fail it.
+SHARE = 10
 #: Words of a window whose repetition counts.
 REPEAT = 3
 #: Bits of a packed window that hold its position; longer documents are sorted as structs.
@@ -93,14 +97,24 @@ def failed_line(line: Column) -> Column:
     Patterns start at a word's first character and never step back, so a line takes time in
     proportion to its length; the costly ones run only where a cheap one has found a character.
     """
-    n = F.size(F.array_remove(F.split(line, base.SPACE), ""))
+    def size(text: Column) -> Column:
+        return F.size(F.array_remove(F.split(text, base.SPACE), ""))
+
+    n = size(line)
     marked = F.regexp_count(line, F.lit(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D#*$%&|<>]*+[#*$%&|<>]")) + F.regexp_count(line, F.lit(r"[!?]{2}(?![^\x20\x09-\x0D])"))
     letters = F.regexp_count(line, F.lit(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D\p{L}]*+\p{L}"))
+    upper = F.regexp_count(line, F.lit(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D\p{Lu}]*+\p{Lu}"))
+
+    def parted(separator: str) -> Column:
+        found = F.regexp_count(line, F.lit(separator))
+        return (found >= 3) & (found * SHARE > n)
+
+    low = F.lower(line)
     return (
-        F.when(line.rlike(r"[#*$%&|<>]|[!?]{2}"), (marked * 5 > n) | (F.regexp_count(line, F.lit(r"[|]")) >= 3)).otherwise(False)
-        | F.when(line.rlike(r"[»›•]|[|:]\s*$"), (F.regexp_count(line, F.lit(r"[»›•]")) >= 3) | (n <= 3)).otherwise(False)
-        | F.when(~line.rlike(r"\p{Ll}"), (letters >= 4) | ((letters == 0) & (n >= 3))).otherwise(False)
-        | F.lower(line).rlike(BOILERPLATE)
+        F.when(line.rlike(r"[#*$%&|<>]|[!?]{2}"), (marked * 5 > n) | parted(r"[|]")).otherwise(False)
+        | F.when(line.rlike(r"[»›•]|[|:]\s*$"), parted(r"[»›•]") | (n <= 3)).otherwise(False)
+        | F.when(~line.rlike(r"\p{Ll}"), ((letters >= 4) & (upper == letters)) | ((letters == 0) & (n >= 3))).otherwise(False)
+        | F.when(low.rlike(BOILERPLATE), size(F.regexp_extract(low, BOILERPLATE, 0)) * SHARE >= n).otherwise(False)
     )
 
 

@@ -134,6 +134,26 @@ def test_quality_figures_and_rules(spark):
     assert quality.clean(df.limit(0)).count() == 0
 
 
+def test_quality_keeps_clean_texts_of_any_script_and_line_length(spark):
+    def prose(letters, n=200):
+        rng = random.Random(3)
+        return ["".join(rng.choices(letters, k=5)) for _ in range(n)]
+
+    def lines(words):
+        return "\n".join(" ".join(words[i : i + 20]) + "." for i in range(0, len(words), 20))
+
+    one = prose("abcdéèçh", 2000)
+    quoted = " ".join(one[:500] + ["«", "mot", "»"] * 4 + one[500:] + ["|"] * 3)
+    kept = {
+        "arabic": lines(prose("ابتثجحخد")), "hebrew": lines(prose("אבגדהוזח")), "hindi": lines(prose("कखगघचछजझ")), "korean": lines(prose("가나다라마바사아")),
+        "acronyms": lines([w if i % 4 else "WHO" + str(i) for i, w in enumerate(prose("ابتثجحخد"))]), "french": quoted, "opening": "Click here to " + " ".join(one),
+    }
+    lost = {"loud": lines(prose("ABCDEFГД")), "menu": "\n".join(f"{a} » {b} › {c} • {a}{b}" for a, b, c in zip(one[::3], one[1::3], one[2::3])), "sign": "\n".join(f"Sign in to {w}" for w in one[:200])}
+    rows = by_id(quality.judged(frame(spark, list((kept | lost).items()), "doc_id string, text string")))
+    assert {i for i, r in rows.items() if r["q"]["kept"]} == set(kept)
+    assert {r["q"]["n_failed_lines"] for i, r in rows.items() if i in kept} == {0}
+
+
 def test_repeated_words_of_very_long_texts(spark, monkeypatch):
     monkeypatch.setattr(quality, "PLACE_BITS", 4)  # more than 15 words: the way for long texts
     rng = random.Random(4)
