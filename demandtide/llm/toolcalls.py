@@ -4,7 +4,7 @@ Calls and results are tables. ``calls_of`` takes them from conversations, in two
 
 * messages that are JSON: an assistant's ``{"tool_calls": [{"id", "name", "arguments", "after"}]}`` and a
   tool's ``{"tool_call_id", "content"}``; ``after`` lists the calls that must come first;
-* plain turns: each user message is a call of the tool ``reply`` with arguments ``prompt`` and ``turn``,
+* plain turns, which are all other messages, JSON or not: each user message is a call of the tool ``reply`` with arguments ``prompt`` and ``turn``,
   whose result is the next turn if the assistant speaks it, and which comes after the conversation's
   call two turns before.
 
@@ -16,7 +16,8 @@ conversations in which a call names a later one. What is left when no call can b
 Native: DataFrame functions only.
 
 Defined results: a call without result has ``result`` null and status "open"; of several results of one id the
-first by turn counts; a result without call is status "orphan"; repeated ids are separate calls that share the
+first by turn counts; a result without call is status "orphan", and so is, with ``call_id`` null and its text as result, each tool
+message that names no call; repeated ids are separate calls that share the
 result; arguments that are not a JSON object, unknown tools and names of calls that do not exist are errors
 of the call, which stays; null messages are skipped; empty tables give empty tables; other columns are not read.
 """
@@ -44,14 +45,18 @@ def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls (conv_id, turn, place, call_id, name, arguments, after) and results (conv_id, turn,
     call_id, content) of a table conv_id, turn, role, text."""
     m = conversations.select("conv_id", "turn", "role", "text").filter(F.col("text").isNotNull())
-    is_json = F.col("text").rlike(r"^\s*\{") & F.col("role").isin("assistant", "tool")
-    spoken = m.filter(is_json).withColumn("j", F.from_json("text", "tool_calls array<struct<id:string,name:string,arguments:string,after:array<string>>>, tool_call_id string, content string"))
+    read = F.from_json("text", "tool_calls array<struct<id:string,name:string,arguments:string,after:array<string>>>, tool_call_id string, content string")
+    m = m.withColumn("j", F.when(F.col("text").rlike(r"^\s*\{") & F.col("role").isin("assistant", "tool"), read))
+    names = F.when(F.col("role") == "assistant", F.size("j.tool_calls") > 0).when(F.col("role") == "tool", F.col("j.tool_call_id").isNotNull())
+    is_json = F.coalesce(names, F.lit(False))
+    spoken = m.filter(is_json)
     asked = spoken.filter("role = 'assistant'").select("conv_id", "turn", F.posexplode("j.tool_calls").alias("place", "c"))
     asked = asked.select("conv_id", "turn", "place", F.col("c.id").alias("call_id"), F.coalesce("c.name", F.lit("")).alias("name"), F.coalesce("c.arguments", F.lit("")).alias("arguments"), F.coalesce("c.after", F.array().cast("array<string>")).alias("after"))
-    told = spoken.filter("role = 'tool' AND j.tool_call_id IS NOT NULL").select("conv_id", "turn", F.col("j.tool_call_id").alias("call_id"), F.coalesce("j.content", F.lit("")).alias("content"))
+    told = spoken.filter("role = 'tool'").select("conv_id", "turn", F.col("j.tool_call_id").alias("call_id"), F.coalesce("j.content", F.lit("")).alias("content"))
 
     turn_id = lambda turn: F.concat(F.lit("turn-"), turn.cast("string"))
     plain = m.filter(~is_json)
+    loose = plain.filter("role = 'tool'").select("conv_id", "turn", F.lit(None).cast("string").alias("call_id"), F.col("text").alias("content"))
     asks = plain.filter("role = 'user'")
     named = asks.select(F.col("conv_id").alias("p_conv"), (F.col("turn") + 2).alias("p_turn")).distinct()
     arguments = F.to_json(F.struct(F.col("text").alias("prompt"), F.col("turn").alias("turn")))
@@ -62,7 +67,7 @@ def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     # The turn before may be no call (two assistant turns in a row): then there is nothing to link.
     ids = asks.select(F.col("conv_id").alias("a_conv"), F.col("call_id").alias("a_id")).distinct()
     answers = answers.join(ids, answers["conv_id"].eqNullSafe(ids["a_conv"]) & (answers["call_id"] == ids["a_id"]), "left_semi")
-    return asked.unionByName(asks), told.unionByName(answers)
+    return asked.unionByName(asks), told.unionByName(loose).unionByName(answers)
 
 
 def _levels(calls: DataFrame) -> DataFrame:
@@ -106,7 +111,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     """One row per call, and per result without one: conv_id, level, turn, place, call_id, name, status
     ("linked", "open", "orphan"), n_errors and json. Ordered by (level, turn, place) every call of a
     conversation follows those it names; level is -1 in a circle."""
-    first = results.groupBy("conv_id", "call_id").agg(F.min_by(F.struct("turn", "content"), F.struct("turn", "content")).alias("r"))
+    first = results.filter("call_id IS NOT NULL").groupBy("conv_id", "call_id").agg(F.min_by(F.struct("turn", "content"), F.struct("turn", "content")).alias("r"))
+    first = first.union(results.filter("call_id IS NULL").select("conv_id", "call_id", F.struct("turn", "content").alias("r")))
     calls = base.kept(calls, "calls")
     exists = calls.select("conv_id", F.col("call_id").alias("one")).distinct()
     # Names of calls that do not exist.

@@ -337,6 +337,21 @@ def test_tool_calls_are_linked_ordered_and_checked(spark):
     assert toolcalls.link(*empty, schemas).count() == 0
 
 
+def test_messages_that_only_look_like_calls(spark):
+    answers = ['{"price": 3}', '{ not json', '{"tool_calls": []}', '{"tool_calls": null}', '{"tool_call_id": "a"}']
+    said = [(k, t, r, x) for k, a in enumerate(answers) for t, r, x in ((0, "user", "ask"), (1, "assistant", a))]
+    loose = ["plain result", '{"content": "no id"}', "{broken", "plain result", '["a"]']
+    said += [(9, k, "tool", x) for k, x in enumerate(loose)]
+    calls, results = toolcalls.calls_of(frame(spark, said, "conv_id long, turn long, role string, text string"))
+    rows = {(r["conv_id"], r["turn"]): r for r in toolcalls.link(calls, results, toolcalls.reply_schema(spark)).collect()}
+    assert len(rows) == len(answers) + len(loose)
+    for k, a in enumerate(answers):
+        assert rows[k, 0]["status"] == "linked" and json.loads(rows[k, 0]["json"])["result"] == a
+    for k, x in enumerate(loose):
+        r = rows[9, k]
+        assert (r["status"], r["call_id"], json.loads(r["json"])["result"]) == ("orphan", None, x)
+
+
 # --- 10 --------------------------------------------------------------------------
 
 
