@@ -3,14 +3,15 @@
 Every page is cut once into text blocks and element subtrees. A subtree's hash covers its tags and
 text. Spark counts, per host, in how many different contents (the texts of a page's articles, or else of its
 main element or body) each hash occurs: copies of a page have one vote. A subtree that recurs in at least
-``min_pages`` contents and ``share`` of the host's contents is template and is deleted with all blocks below
-it. A block is below the elements that hold all of its text.
+``min_pages`` contents and ``share`` of the host's contents, or in ``enough`` contents however many the host
+has, is template and is deleted with all blocks below it. A block is below the elements that hold all of its text.
 Inside an article, paragraphs and headings are prose and stay although copies of an article repeat
 them, and so do inline elements and all that holds prose or an article; only other containers there can be
 template. Beside paragraphs such a container is judged over pages as well, copies included.
 
 What a menu, header, footer, form, notice, advert, sidebar or comment says may differ from page to
-page, so elements that are one by tag, role or class are left out in the cut already. Blocks come
+page, so elements that are one by tag, role or class are left out in the cut already. A class or id counts as a whole
+name, all of whose parts say so, and neither it nor the tag ``form`` leaves out what is or holds an article. Blocks come
 from the page's articles, or its main element, or, without either, its body.
 
 The cut runs inside tasks, page by page; counting, joining and joining up are Spark's.
@@ -45,6 +46,8 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li ul ol dl dt dd table tbody thead tr td th figcaption".split())
 NOTE_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog toolbar".split())
 NOTE_CLASSES = frozenset("ad ads advert adverts advertisement advertising adsbygoogle sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead comment comments commentlist disqus respond replies reply share sharing social related recommended widget toolbar pagination pager skip".split())
+#: Parts of names beside those.
+PLACES = frozenset("site page main top bottom header".split())
 # A start tag of the first kind ends an open element of the second, not looking beyond the third.
 CLOSES = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("tr", "td", "th"), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "option": (("option",), ("select",))}
 
@@ -52,26 +55,33 @@ TAG = re.compile(r"<(?:!--(?P<note>.*?)(?:-->|\Z)|(?P<bang>[!?])[^>]*(?:>|\Z)|(?
 NAMED = re.compile(r"([^\s=\"'/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 
 
-def _is_note(name: str, more: str, in_article: bool) -> bool:
-    """Whether an element is something other than the article, by its name or attributes."""
-    if name in LEFT_OUT or (name == "header" and not in_article):
-        return True
-    if not more or more.isspace():
-        return False
-    known = {k.lower(): (a or b or c or "") for k, a, b, c in NAMED.findall(more)}
-    if re.search(r"(?:^|\s)hidden(?:\s|$)", NAMED.sub(" ", more)) or known.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", known.get("style", "")):
-        return True
-    if known.get("role", "").lower() in NOTE_ROLES:
-        return True
-    if name in ("html", "body", "main"):
-        return False
-    parts = set(re.split(r"[^a-z0-9]+", (known.get("class", "") + " " + known.get("id", "")).lower()))
-    return bool(parts & NOTE_CLASSES) or (not in_article and "header" in parts)
-
-
-def cut(page: str) -> tuple[list[tuple[str, list[int]]], list[int], list[int]]:
+def _is_note(name: str, more: str, in_article: bool, holds: bool) -> tuple[bool, bool]:
+    """Whether an element is something other than the article, by its name or attributes; and whether
+    only its class, its id or the tag ``form`` says so, which those that hold an article are spared."""
+    if name in LEFT_OUT and name != "form" or (name == "header" and not in_article):
+        return True, False
+    known = {}
+    if more and not more.isspace():
+        known = {k.lower(): (a or b or c or "") for k, a, b, c in NAMED.findall(more)}
+        if re.search(r"(?:^|\s)hidden(?:\s|$)", NAMED.sub(" ", more)) or known.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", known.get("style", "")):
+            return True, False
+        if known.get("role", "").lower() in NOTE_ROLES:
+            return True, False
+    if holds or name in ("html", "body", "main", "article"):
+        return False, False
+    if name == "form":
+        return True, True
+    for whole in (known.get("class", "") + " " + known.get("id", "")).lower().split():
+        parts = set(re.split(r"[^a-z0-9]+", whole)) - {""}
+        if parts <= NOTE_CLASSES | PLACES and (parts & NOTE_CLASSES or (not in_article and "header" in parts)):
+            return True, True
+    return False, False
+
+
+def cut(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[str, list[int]]], list[int], list[int]]:
     """Blocks (text, numbers of the subtrees around it) in page order, the subtrees' hashes, and the
-    hashes of containers beside an article's paragraphs."""
+    hashes of containers beside an article's paragraphs. Where a name has left out an article, the page
+    is cut again with the numbers ``spared`` of the elements that hold it."""
     blocks: list[tuple[str, int, list[int]]] = []  # text, region, subtrees
     hashes: list[int] = []
     eligible: list[bool] = []
@@ -80,6 +90,8 @@ def cut(page: str) -> tuple[list[tuple[str, list[int]]], list[int], list[int]]:
     depth, blank = 0, True  # elements that hold all of the words, no word yet
     inside: list[int] = []  # subtrees inside articles
     paragraphs = False
+    soft: set[int] = set()  # elements left out by a mere name
+    holders: set[int] = set()  # those of them that hold an article
 
     def flush() -> None:
         nonlocal blank
@@ -153,10 +165,15 @@ def cut(page: str) -> tuple[list[tuple[str, list[int]]], list[int], list[int]]:
                 while len(stack) > place:
                     pop()
         up = stack[-1] if stack else ["", 0, None, 0, False]
-        note = up[4] or _is_note(name, m["more"], up[3] == 2)
+        own, mere = _is_note(name, m["more"], up[3] == 2, len(hashes) in spared)
+        note = up[4] or own
         region = max(up[3], 2 if name == "article" else 1 if name == "main" or 'role="main"' in m["more"] else 0)
         if m["more"].rstrip().endswith("/") and name not in BLOCKS:
             continue
+        if mere:
+            soft.add(len(hashes))
+        if name == "article":
+            holders.update(x[1] for x in stack if x[1] in soft)
         if note and not up[4]:
             flush()
         stack.append([name, len(hashes), hashlib.blake2b(name.encode(), digest_size=8), region, note])
@@ -171,6 +188,8 @@ def cut(page: str) -> tuple[list[tuple[str, list[int]]], list[int], list[int]]:
     while stack:
         pop()
     flush()
+    if holders:
+        return cut(page, frozenset(holders))
     best = max((b[1] for b in blocks), default=0)
     kept = [(text, [k for k in path if eligible[k]]) for text, region, path in blocks if region == best]
     return kept, [h if eligible[k] else None for k, h in enumerate(hashes)], [hashes[k] for k in inside if eligible[k]] if paragraphs else []
@@ -181,7 +200,7 @@ def _content(blocks: list[tuple[str, list[int]]]) -> int:
     return int.from_bytes(hashlib.blake2b("\n".join(t for t, _ in blocks).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
-def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", min_pages: int = 5, share: float = 0.1) -> DataFrame:
+def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", min_pages: int = 5, share: float = 0.1, enough: int = 1000) -> DataFrame:
     """One row per page row: page_id, url, text, n_chars."""
     id_type = pages.schema[page_id].dataType
     block = T.StructType([T.StructField("text", T.StringType()), T.StructField("path", T.ArrayType(T.IntegerType()))])
@@ -205,8 +224,9 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
     votes = each.groupBy("host", "tree", "content").agg(F.count_if("beside").alias("copies"))
     seen = votes.groupBy("host", "tree").agg(F.count("*").alias("n"), F.sum("copies").alias("copies")).filter(F.greatest("n", "copies") >= min_pages)
     many = lambda n, of: (F.col(n) >= min_pages) & (F.col(n) >= F.lit(share) * F.col(of))
-    recurring = base.kept(seen.join(sizes, "host").filter(many("n", "contents") | many("copies", "pages")).select("host", "tree"), "recurring-subtrees")
-    # A host has at most 1 / share times as many as a page has subtrees.
+    common = many("n", "contents") | (F.col("n") >= max(min_pages, enough))
+    recurring = base.kept(seen.join(sizes, "host").filter(common | many("copies", "pages")).select("host", "tree"), "recurring-subtrees")
+    # A host has at most max(1 / share, contents / enough) times as many as a page has subtrees.
     by_host = recurring.groupBy(F.col("host").alias("of_host")).agg(F.collect_list("tree").alias("template"))
     if recurring.limit(BROADCAST_SUBTREES + 1).count() <= BROADCAST_SUBTREES:
         by_host = F.broadcast(by_host)

@@ -208,6 +208,23 @@ def test_copies_of_a_page_keep_their_article(spark):
     assert rows["inline3"]["text"] == "Text 3 more rest 3" and rows["box3"]["text"] == "T 3"
 
 
+def test_names_leave_out_no_article(spark):
+    forms = [
+        '<article class="post comments-open"><p>Text</article>', '<article class="post category-promotion"><p>Text</article>', '<article class="promo"><p>Text</article>',
+        '<div class="content has-sidebar"><article><p>Text</article></div>', '<div class="content has-sidebar"><p>Text</div>', '<div id="popup"><section class="related"><article><p>Text</article></section></div>',
+        '<form id="page"><article><p>Text</article></form>', '<div class="cookie-banner">no</div><div class="ad">no</div><div id="site-footer">no</div><form>no</form><p>Text</p>',
+    ]
+    pages = [(i, f"http://h{i}.org/", f"<body>{form}</body>") for i, form in enumerate(forms)]
+    assert [r["text"] for r in templates.main_text(frame(spark, pages, "page_id long, url string, html string")).orderBy("page_id").collect()] == ["Text"] * len(forms)
+
+
+def test_menus_of_a_section_of_a_large_host(spark):
+    """Below a tenth of the host's pages, but on a thousand of them."""
+    pages = spark.range(11000).selectExpr("id AS page_id", "'http://a.org/' AS url", "concat('<body>', if(id < 1000, '<div>section menu</div>', ''), if(id < 999, '<div>rare</div>', ''), '<p>Text ', id, '</body>') AS html")
+    rows = by_id(templates.main_text(pages).filter("page_id IN (5, 5000)"), "page_id")
+    assert (rows[5]["text"], rows[5000]["text"]) == ("rare Text 5", "Text 5000")
+
+
 # --- 7 ---------------------------------------------------------------------------
 
 
