@@ -15,11 +15,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the document with the smallest id."""
-    near = base.column_name("near_id", docs.columns)
-    found = jaccard.near_duplicates(docs)
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(near)).distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep[near]), "left_semi")
+    """Of each class of near copies the row with the smallest id, null last; of several rows of that id
+    the one of the smallest hash over all columns, once."""
+    key = base.column_name("row_key", docs.columns)
+    cells = [F.col(f"`{c}`") for c in docs.columns]
+    # Nulls leave the hash as it is, so their places are hashed too.
+    row = F.xxhash64(*cells, *[c.isNull() for c in cells])
+    keyed = docs.withColumn(key, F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), row.alias("row")))
+    found = jaccard.near_duplicates(keyed, doc_id=key)
+    keep = base.kept(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("kept_key")).agg(F.count("*").alias("n")), "kept-keys")
+    one = lambda wanted: keyed.join(keep.filter(wanted).select("kept_key"), keyed[key].eqNullSafe(F.col("kept_key")), "left_semi")
+    out = one("n = 1")
+    if not keep.filter("n > 1").isEmpty():
+        out = out.unionByName(one("n > 1").dropDuplicates([key]))
+    return out.select(*cells)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

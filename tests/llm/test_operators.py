@@ -12,6 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from demandtide.llm import archives, decontamination, hashing, jaccard, katz, mixing, personal, quality, sharding, templates, toolcalls
 from demandtide.llm.components import components
 
@@ -283,6 +284,16 @@ def test_jaccard_of_little(spark):
     assert [r["component_id"] for r in jaccard.near_duplicates(frame(spark, [(None, "a"), (None, "a")])).collect()] == [None, None]
 
 
+def test_one_row_of_each_group(spark):
+    """Repeated rows, an id of two texts, the same text under several ids and under none."""
+    a, b, c = (" ".join(f"{k}{i}" for i in range(60)) for k in "abc")
+    rows = [(1, a, "en", "s", 1)] * 3 + [(2, a, "en", "s", 1), (2, b, "en", "s", 1), (3, b, "en", "s", 1), (4, c, "en", "s", 1), (4, c, "de", "s", 1), (None, c, None, None, 1), (5, "", "en", "s", 1), (5, "", "en", "s", 1), (6, None, "en", "s", 1), (7, a + " more", "en", "s", 1)]
+    out = corpus_pipeline.one_of_each_group(spark, frame(spark, rows, DOCS), "")
+    assert out.columns == [c.split()[0] for c in DOCS.split(", ")]
+    assert sorted((r["doc_id"], r["text"]) for r in out.collect() if r["text"]) == [(1, a), (2, b), (4, c)]
+    assert sorted(r["doc_id"] for r in out.collect() if not r["text"]) == [5, 6]
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 2000), (2000, 1000), (5, 5)]
     got = {r["node"]: r["label"] for r in components(frame(spark, edges, "a long, b long")).collect()}
