@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandtide.llm import archives, decontamination, jaccard, katz, mixing, personal, quality, sharding, templates, toolcalls
+from demandtide.llm import archives, audit, decontamination, jaccard, katz, mixing, personal, pieces, quality, search, sharding, templates, toolcalls
 from demandtide.sources import tables as tb
 
 
@@ -57,7 +57,25 @@ def op10_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.round_trip(spark, tb.table(spark, sf_dir, "pages"))
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids with the end id, their number, and the text they decode to; covered: bytes the spans cover."""
+    import public_tokenizers
+
+    model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    coded = pieces.encode(tb.table(spark, sf_dir, "documents"), model)
+    digests = coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.element_at("ends", -1).cast("bigint").alias("covered"), "ids")
+    return pieces.decode(digests, model).withColumn("decoded_sha256", F.sha2("decoded", 256)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "covered")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(tb.table(spark, sf_dir, "documents"), tb.table(spark, sf_dir, "labels"))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(tb.table(spark, sf_dir, "documents"), tb.table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_decontamination, op2_personal_data, op3_sharding, op4_quality, op5_katz, op6_site_templates, op7_ngram_jaccard, op8_mixing, op9_tool_calls, op10_archives)
+    for f in (op1_decontamination, op2_personal_data, op3_sharding, op4_quality, op5_katz, op6_site_templates, op7_ngram_jaccard, op8_mixing, op9_tool_calls, op10_archives, op11_pieces, op12_filter_audit, op13_search)
 }

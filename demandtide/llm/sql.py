@@ -113,6 +113,43 @@ SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha256(h) AS payload
 FROM p LEFT JOIN f USING (h)
 """
 
+#: Every order played through, filter by filter.
+OP12 = r"""
+WITH RECURSIVE t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS x FROM documents),
+w AS (SELECT *, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS v, min(doc_id) OVER (PARTITION BY x) AS least FROM t),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+             CASE WHEN len(v) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(v)) < 80 * len(v) THEN 'B' ELSE '' END
+             || CASE WHEN 100 * len(regexp_replace(x, '[^A-Z]+', '', 'g')) > 10 * len(x) THEN 'C' ELSE '' END
+             || CASE WHEN regexp_matches(x, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > least THEN 'E' ELSE '' END AS fails
+      FROM w LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY part, fails),
+o(filter_order) AS (SELECT '' UNION ALL SELECT filter_order || x FROM o, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) WHERE NOT contains(filter_order, x)),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS own, substr(filter_order, 1, step - 1) AS before
+      FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step) WHERE len(filter_order) = 5),
+g AS (SELECT part, filter_order, step, own, n, good, toxic, fails = own AS alone, contains(fails, own) AS hit,
+             before <> '' AND regexp_matches(fails, '[' || CASE WHEN before = '' THEN '-' ELSE before END || ']') AS gone FROM c, s),
+r AS (SELECT part, filter_order, step, own, CAST(coalesce(sum(n) FILTER (NOT gone AND NOT hit), 0) AS BIGINT) AS kept,
+             CAST(coalesce(sum(n) FILTER (NOT gone AND hit), 0) AS BIGINT) AS removed, CAST(coalesce(sum(n) FILTER (gone AND hit), 0) AS BIGINT) AS redundant,
+             CAST(coalesce(sum(n) FILTER (alone), 0) AS BIGINT) AS unique_fails, CAST(coalesce(sum(good) FILTER (NOT gone AND hit), 0) AS BIGINT) AS good_lost,
+             CAST(coalesce(sum(toxic) FILTER (NOT gone AND hit), 0) AS BIGINT) AS toxic_lost FROM g GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r
+"""
+
+OP13 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+tf AS (SELECT r, doc_id, len(w) AS n, term, count(*) AS tf FROM (SELECT r, doc_id, w, unnest(w) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+a AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+q AS (SELECT q, item_id, term, count(*) AS times FROM (SELECT q, item_id, unnest(w) AS term FROM i) GROUP BY ALL),
+s AS (SELECT q, item_id, r, doc_id, CAST(sum(times * CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+      FROM q JOIN df USING (term) JOIN tf USING (term), a GROUP BY q, item_id, r, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 20
+"""
+
 #: Quality rules, one document of each near-copy class, no benchmark passages, mixing, shards.
 PIPELINE = f"""
 WITH q AS ({quality("documents")}),
@@ -134,4 +171,6 @@ ORACLES = {
     "op8_mixing": mixing("documents"),
     "op9_tool_calls": OP9,
     "op10_archives": OP10,
+    "op12_filter_audit": OP12,
+    "op13_search": OP13,
 }
