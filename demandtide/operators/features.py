@@ -15,6 +15,11 @@ def calendar_features(series: DataFrame, ts_col: str = "ts") -> DataFrame:
     return series.select("*", *[c.alias(name) for name, c in calendar_columns(F.col(ts_col)).items()])
 
 
+def with_target(series: DataFrame, value: str = "y") -> DataFrame:
+    """The series with the column ``value`` as its target ``y``."""
+    return series if value == "y" else series.withColumn("y", F.col(value).cast("double"))
+
+
 def with_cut(series: DataFrame, test_size: float = 0.2) -> DataFrame:
     """Add ``cut``, the position of the first test row: the whole part of ``n * (1 - test_size)``.
 

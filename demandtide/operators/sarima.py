@@ -1,9 +1,14 @@
-"""Seasonal ARIMA (2,1,2)(1,1,1,period) by conditional least squares, (1,1,1) for short series.
+"""Seasonal ARIMA of any order (p,d,q)(P,D,Q,period) by conditional least squares.
 
-The search tries evenly spread candidate parameters, keeps the best and halves the box around
-it, round after round. A series that fits in one block is searched within its task. A
-longer one is searched over all its blocks at once, each round being a few Spark stages
-(see ``recursion``); both ways try the same candidates.
+The lag polynomials are products of a plain and a seasonal one. Candidates are drawn as partial
+autocorrelations, so every one of them is stationary and invertible whatever the order. The search
+tries evenly spread candidates, keeps the best and halves the box around it, round after round. A
+series that fits in one block is searched within its task. A longer one is searched over all its
+blocks at once, each round being a few Spark stages (see ``recursion``); both ways try the same
+candidates.
+
+Without stated orders a series gets (2,1,2)(1,1,1,period), or (1,1,1) when it is short for that. There
+is no constant term.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandtide.operators.attach import attach
-from demandtide.operators.features import train_rows
+from demandtide.operators.features import train_rows, with_target
 from demandtide.operators.numeric import DOUBLES, key_fields, key_values, map_block_groups, map_blocks
 from demandtide.operators.recursion import block_starts, last_block, state_of, with_starts
 from demandtide.operators.windows import pack_blocks
@@ -34,62 +39,114 @@ ABREAST = 8
 _PIECE = 256
 
 
+def _from_partial(r: np.ndarray) -> list[np.ndarray]:
+    """Weights of lags 1, 2, .. of the stationary recursion with partial autocorrelations ``r`` (last axis)."""
+    weights: list[np.ndarray] = []
+    for k in range(r.shape[-1]):
+        last = r[..., k]
+        weights = [w - last * back for w, back in zip(weights, reversed(weights))] + [last]
+    return weights
+
+
 @dataclass(frozen=True)
 class Order:
     """A model order: which lags take part, and how many search numbers it has."""
 
-    seasonal: bool
-    period: int
+    p: int
+    d: int
+    q: int
+    seasonal_p: int = 0
+    seasonal_d: int = 0
+    seasonal_q: int = 0
+    period: int = 1
+
+    def __post_init__(self) -> None:
+        counts = (self.p, self.d, self.q, self.seasonal_p, self.seasonal_d, self.seasonal_q)
+        if min(counts) < 0 or self.period < 1 or (self.seasonal and self.period < 2):
+            raise ValueError(f"no model order: {self}")
 
     @property
-    def lags(self) -> tuple[int, ...]:
-        s = self.period
-        return (1, 2, s, s + 1, s + 2) if self.seasonal else (1,)
+    def seasonal(self) -> bool:
+        return self.seasonal_p + self.seasonal_d + self.seasonal_q > 0
+
+    def _lags(self, plain: int, seasons: int) -> tuple[int, ...]:
+        return tuple(i + self.period * j for j in range(seasons + 1) for i in range(plain + 1) if i + j)
+
+    @property
+    def ar_lags(self) -> tuple[int, ...]:
+        return self._lags(self.p, self.seasonal_p)
+
+    @property
+    def ma_lags(self) -> tuple[int, ...]:
+        return self._lags(self.q, self.seasonal_q)
 
     @property
     def dims(self) -> int:
-        return 6 if self.seasonal else 2
+        return self.p + self.q + self.seasonal_p + self.seasonal_q
 
     @property
     def lost(self) -> int:
         """Rows lost to differencing."""
-        return self.period + 1 if self.seasonal else 1
+        return self.d + self.period * self.seasonal_d
 
     @property
     def memory(self) -> int:
-        return self.lags[-1]
+        return max((1, *self.ar_lags, *self.ma_lags))
+
+    @property
+    def margin(self) -> int:
+        """Values that the first row of a block needs from before it."""
+        return self.lost + self.memory
 
     @property
     def shortest(self) -> int:
-        return 4 * self.period if self.seasonal else 8
+        return max(4 * self.period if self.seasonal else 8, self.lost + 2 * self.memory + self.dims + 2)
 
     def difference(self, y: np.ndarray) -> np.ndarray:
         """Differenced values for ``y[lost:]``."""
-        d = y[1:] - y[:-1]
-        return d[self.period :] - d[: -self.period] if self.seasonal else d
+        y = np.diff(y, self.d)
+        for _ in range(self.seasonal_d):
+            y = y[self.period :] - y[: -self.period]
+        return y
+
+    @property
+    def undo(self) -> dict[int, float]:
+        """Weights by lag of earlier values in a value, given its difference."""
+        poly = np.ones(1)
+        for step, times in ((1, self.d), (self.period, self.seasonal_d)):
+            for _ in range(times):
+                poly = np.concatenate([poly, np.zeros(step)]) - np.concatenate([np.zeros(step), poly])
+        return {lag: -c for lag, c in enumerate(poly.tolist()) if lag and c}
 
     def coefficients(self, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """AR and MA weights by lag on the last axis, from search numbers in (-1, 1).
+        """AR and MA weights by lag on the last axis, from search numbers in (-1, 1)."""
+        parts = np.split(u, np.cumsum([self.p, self.q, self.seasonal_p]), axis=-1)
+        phi, sphi = _from_partial(parts[0]), _from_partial(parts[2])
+        # Invertible: the weights of a stationary recursion with the other sign.
+        the, sthe = ([x if len(w) == 1 else -x for x in w] for w in map(_from_partial, (parts[1], parts[3])))
+        a, m = list(phi), list(the)
+        for own in sphi:
+            a += [own, *[-x * own for x in phi]]
+        for own in sthe:
+            m += [own, *[x * own for x in the]]
+        stack = lambda w: np.stack(w, axis=-1) if w else np.zeros((*u.shape[:-1], 0))
+        return stack(a), stack(m)
+
+
+def default_orders(period: int) -> tuple[Order, ...]:
+    return Order(2, 1, 2, 1, 1, 1, period), Order(1, 1, 1)
+
 
-        The first two pairs are partial autocorrelations, so every candidate is
-        stationary and invertible.
-        """
-        if not self.seasonal:
-            return u[..., :1], u[..., 1:2]
-        phi1, phi2 = u[..., 0] * (1 - u[..., 1]), u[..., 1]
-        the1, the2 = -u[..., 2] * (1 - u[..., 3]), -u[..., 3]
-        sphi, sthe = u[..., 4], u[..., 5]
-        a = np.stack([phi1, phi2, sphi, -phi1 * sphi, -phi2 * sphi], axis=-1)
-        m = np.stack([the1, the2, sthe, the1 * sthe, the2 * sthe], axis=-1)
-        return a, m
+def orders_of(order: Sequence[int] | None, seasonal_order: Sequence[int] | None, period: int) -> tuple[Order, ...]:
+    """The stated order, ``(p, d, q)`` and ``(P, D, Q, period)``, or the default ones."""
+    if order is None and seasonal_order is None:
+        return default_orders(period)
+    return (Order(*(order or (0, 0, 0)), *(seasonal_order or ())),)
 
 
-def order_for(rows: int, period: int) -> Order | None:
-    """The seasonal order, the simple one for a short series, none for a very short one."""
-    for order in (Order(True, period), Order(False, period)):
-        if rows >= order.shortest:
-            return order
-    return None
+def order_for(rows: int, orders: Sequence[Order]) -> Order | None:
+    """The first order the series is long enough for."""
+    return next((o for o in orders if rows >= o.shortest), None)
 
 
 def strides(dims: int) -> np.ndarray:
@@ -122,27 +179,28 @@ def run_errors(
     """
     # Longest first: at any time the series still running are the first few.
     ranked = sorted(range(len(series)), key=lambda r: -len(series[r]))
-    lags, memory, first = order.lags, order.memory, own - at
+    memory, first = order.memory, own - at
     counts = np.array([len(series[r]) - first for r in ranked])
     w = np.zeros((memory + first + counts[0], len(series)))  # row memory + i is position at + i
     for place, r in enumerate(ranked):
         if len(series[r]) > order.lost:
             w[memory + order.lost : memory + len(series[r]), place] = order.difference(series[r])
     a, m = (c[ranked] for c in order.coefficients(sets))
-    ma = [m[..., j] for j in range(len(lags))]
+    ma = [m[..., j] for j in range(len(order.ma_lags))]
     errors = np.zeros((memory + _PIECE, *sets.shape[:2]))
     errors[:memory] = start[ranked].transpose(2, 0, 1)
     sse, ends = np.zeros(sets.shape[:2]), np.zeros(start.shape)
     for lo in range(0, counts[0], _PIECE):
         size = min(_PIECE, counts[0] - lo)
         rows = memory + first + lo + np.arange(size)
-        past = np.stack([w[rows - lag] for lag in lags], axis=-1).transpose(1, 0, 2)
-        u = w[rows].T[:, :, None] - past @ a.transpose(0, 2, 1)  # (series, time, sets)
+        u = np.repeat(w[rows].T[:, :, None], sets.shape[1], axis=2)  # (series, time, sets)
+        if order.ar_lags:
+            u -= np.stack([w[rows - lag] for lag in order.ar_lags], axis=-1).transpose(1, 0, 2) @ a.transpose(0, 2, 1)
         running = np.searchsorted(-counts, -(lo + np.arange(size)), side="left")
         for i in range(size):
             live = running[i]
             e = u[:live, i]
-            for j, lag in enumerate(lags):
+            for j, lag in enumerate(order.ma_lags):
                 e -= ma[j][:live] * errors[memory + i - lag, :live]
             errors[memory + i, :live] = e
         skip = max(order.lost + memory - (own + lo), 0)  # rows of this piece that do not count
@@ -164,7 +222,7 @@ def _carry_over(order: Order, sets: np.ndarray, block: int) -> np.ndarray:
     size = order.memory
     one = np.zeros((len(sets), size, size))
     one[:, np.arange(size - 1), np.arange(1, size)] = 1.0
-    for j, lag in enumerate(order.lags):
+    for j, lag in enumerate(order.ma_lags):
         one[:, -1, size - lag] -= m[:, j]
     out = np.repeat(np.eye(size)[None], len(sets), 0)
     for bit in bin(block)[2:]:
@@ -197,20 +255,20 @@ def _model_fields() -> list[T.StructField]:
     ]
 
 
-def _margin(period: int) -> int:
-    return 2 * period + 3
-
-
 def fit_sarima(
-    table: DataFrame, keys: Sequence[str] = (), period: int = 24, block: int = SEARCH_BLOCK, long_series: bool | None = None
+    table: DataFrame, keys: Sequence[str] = (), orders: Sequence[Order] = default_orders(24), block: int = SEARCH_BLOCK, long_series: bool | None = None
 ) -> DataFrame:
     """``keys, cut, n, params, sse, tail, errors``: what a forecast needs, one row per series.
 
+    A series gets the first of ``orders`` it is long enough for; one longer than ``block`` the first of all.
+
     ``long_series`` says whether a series has more than ``block`` training rows; None
     looks it up, which costs one pass over ``table``. Give a written or cached series.
     """
     keys = list(keys)
-    series = table.where(F.col("cut") >= Order(False, period).shortest)
+    if orders[0].margin > block or orders[0].shortest > block:
+        raise ValueError("a block must hold what the order looks back on")
+    series = table.where(F.col("cut") >= min(o.shortest for o in orders))
     if long_series is None:
         long_series = not series.where((F.col("idx") == 0) & (F.col("cut") > block)).isEmpty()
     schema = T.StructType(key_fields(table, keys) + _model_fields())
@@ -219,30 +277,30 @@ def fit_sarima(
     def fit(rows: list) -> Iterable[dict]:
         by_order: dict[Order, list] = {}
         for row in rows:
-            by_order.setdefault(order_for(len(row.values), period), []).append(row)
+            by_order.setdefault(order_for(len(row.values), orders), []).append(row)
+        by_order.pop(None, None)
         for order, alike in by_order.items():
             ys = [np.asarray(row.values, dtype=float) for row in alike]
             for row, y, (params, sse, last) in zip(alike, ys, search(order, ys)):
-                tail = y[-_margin(period) :]
+                tail = y[-order.margin :]
                 yield {**key_values(row, keys), "cut": row.cut, "n": row.n, "params": params, "sse": sse, "tail": tail, "errors": last}
 
     fitted = map_block_groups(short, fit, schema, ABREAST)
-    return fitted.unionByName(_fit_long(series, keys, period, block, schema)) if long_series else fitted
+    return fitted.unionByName(_fit_long(series, keys, orders[0], block, schema)) if long_series else fitted
 
 
-def _fit_long(series: DataFrame, keys: list[str], period: int, block: int, schema: T.StructType) -> DataFrame:
+def _fit_long(series: DataFrame, keys: list[str], order: Order, block: int, schema: T.StructType) -> DataFrame:
     """The search over blocks. Blocks and the small per-round result are written, not recomputed."""
     spark = series.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(scratch_dir(spark, "checkpoint"))
-    order = Order(True, period)
     long = train_rows(series).where(F.col("cut") > block)
     blocks = (
-        pack_blocks(long, keys, before=_margin(period), block=block, carry=["cut"])
+        pack_blocks(long, keys, before=order.margin, block=block, carry=["cut"])
         .withColumn("more", F.col("blk") < last_block("cut", block))
         .checkpoint()
     )
-    found = blocks.where(F.col("blk") == 0).select(*keys, F.array_repeat(F.lit(0.0), order.dims).alias("center"))
+    found = blocks.where(F.col("blk") == 0).select(*keys, F.array_repeat(F.lit(0.0), order.dims).cast(DOUBLES).alias("center"))
     for turn in range(ROUNDS):
         tried = attach(blocks, found, keys, ["center"])
         every = lambda row, turn=turn: candidates(np.asarray(row.center, dtype=float), turn)
@@ -280,7 +338,7 @@ def _score_blocks(tried: DataFrame, keys: list[str], order: Order, block: int, s
         + [T.StructField("cut", T.LongType()), T.StructField("n", T.LongType())]
         + [T.StructField(c, DOUBLES) for c in ("center", "tail", "errors")]
     )
-    margin = _margin(order.period)
+    margin = order.margin
 
     def score(row) -> Iterable[dict]:
         y = np.asarray(row.values, dtype=float)
@@ -297,7 +355,7 @@ def _score_blocks(tried: DataFrame, keys: list[str], order: Order, block: int, s
     return map_blocks(with_starts(tried, starts, keys), score, schema)
 
 
-def forecast_sarima(model: DataFrame, keys: Sequence[str] = (), period: int = 24) -> DataFrame:
+def forecast_sarima(model: DataFrame, keys: Sequence[str] = (), orders: Sequence[Order] = default_orders(24)) -> DataFrame:
     """``keys, idx, pred, aic, bic`` from the cut to the end of each series.
 
     The recursion of the differenced values runs with future errors 0 and both
@@ -310,23 +368,23 @@ def forecast_sarima(model: DataFrame, keys: Sequence[str] = (), period: int = 24
 
     def ahead(row) -> Iterable[dict]:
         cut, n = int(row.cut), int(row.n)
-        order = Order(len(row.params) == 6, period)
+        order = order_for(cut, orders)
         a, m = (c[0] for c in order.coefficients(np.asarray([row.params], dtype=float)))
         nobs = cut - order.lost - order.memory
         aic, bic = information(float(row.sse), nobs, order.dims + 1)
-        depth = order.memory
+        depth, undo = order.memory, order.undo
         y = [float(v) for v in row.tail]
         w = [float(v) for v in order.difference(np.asarray(y))]
         w = [0.0] * max(depth - len(w), 0) + w
         e = [float(v) for v in row.errors]
         base = {**key_values(row, keys), "aic": aic, "bic": bic}
         for idx in range(cut, n):
-            step = sum(a[j] * w[-lag] + m[j] * e[-lag] for j, lag in enumerate(order.lags))
-            level = y[-1] + step + (y[-period] - y[-period - 1] if order.seasonal else 0.0)
+            step = sum(a[j] * w[-lag] for j, lag in enumerate(order.ar_lags)) + sum(m[j] * e[-lag] for j, lag in enumerate(order.ma_lags))
+            level = step + sum(c * y[-lag] for lag, c in undo.items())
             w.append(step)
             e.append(0.0)
             y.append(level)
-            w, e, y = w[-depth:], e[-depth:], y[-(period + 1) :]
+            w, e, y = w[-depth:], e[-depth:], y[-max(order.lost, 1) :]
             yield {**base, "idx": idx, "pred": level}
 
     return map_blocks(model, ahead, schema)
@@ -341,8 +399,20 @@ def information(sse: float, nobs: int, params: int) -> tuple[float | None, float
 
 
 def sarima(
-    table: DataFrame, keys: Sequence[str] = (), period: int = 24, block: int = SEARCH_BLOCK, long_series: bool | None = None
+    table: DataFrame,
+    keys: Sequence[str] = (),
+    period: int = 24,
+    block: int = SEARCH_BLOCK,
+    long_series: bool | None = None,
+    order: Sequence[int] | None = None,
+    seasonal_order: Sequence[int] | None = None,
+    value: str = "y",
 ) -> DataFrame:
-    """Fit on ``idx < cut``; the rest of the rows with ``pred, aic, bic``, NULL for keys too short to fit."""
-    ahead = forecast_sarima(fit_sarima(table, keys, period, block, long_series), keys, period)
+    """Fit on ``idx < cut``; the rest of the rows with ``pred, aic, bic``, NULL for keys too short to fit.
+
+    ``order`` and ``seasonal_order`` state the model as ``(p, d, q)`` and ``(P, D, Q, period)``.
+    """
+    table = with_target(table, value)
+    orders = orders_of(order, seasonal_order, period)
+    ahead = forecast_sarima(fit_sarima(table, keys, orders, block, long_series), keys, orders)
     return table.where(F.col("idx") >= F.col("cut")).join(ahead, [*keys, "idx"], "left")

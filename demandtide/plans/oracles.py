@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from demandtide.operators.isolation import EULER, PRIME, SAMPLE, SEED, SURPLUS, TREES
-from demandtide.operators.sarima import CANDIDATES, EDGE, ROUNDS, strides
+from demandtide.operators.sarima import CANDIDATES, EDGE, ROUNDS, Order, strides
 from demandtide.operators.smoothing import GRID
 from demandtide.operators.stationarity import CRITICAL, LARGE_P, SMALL_P, TAU_MAX, TAU_MIN, TAU_STAR
 from demandtide.operators.trend import KNOT_RANGE, KNOTS, PENALTY, SEASONS
@@ -417,6 +417,69 @@ fc AS (
 ic AS (SELECT b.g, cut - 51 AS nobs, (cut - 51) * (ln(2 * pi()) + ln(sse / (cut - 51)) + 1) AS fit FROM b{_TOP} b JOIN ends ON ends.g = b.g)"""
 )
 
+
+
+def _weights(numbers: list[str]) -> list[str]:
+    """Weights of lags 1, 2, .. from partial autocorrelations, as expressions."""
+    out: list[str] = []
+    for last in numbers:
+        out = [f"({w} - {last} * {back})" for w, back in zip(out, reversed(out))] + [last]
+    return out
+
+
+def _arima(order: Order, value: str = "y") -> str:
+    """CTEs ``fc`` (forecasts) and ``ic`` (information) of one order over the series ``s`` without keys."""
+    o, depth, keep = order, order.memory, max(order.lost, 1)
+    u = [f"u[{i + 1}]" for i in range(o.dims)]
+    cuts = [0, o.p, o.p + o.q, o.p + o.q + o.seasonal_p, o.dims]
+    phi, the, sphi, sthe = (_weights(u[a:b]) for a, b in zip(cuts, cuts[1:]))
+    the, sthe = ([w if len(x) == 1 else f"(-{w})" for w in x] for x in (the, sthe))
+    a = phi + [e for own in sphi for e in (own, *[f"(-{x} * {own})" for x in phi])]
+    m = the + [e for own in sthe for e in (own, *[f"({x} * {own})" for x in the])]
+    steps = ", ".join(f"{float(v)!r}::DOUBLE" for v in strides(o.dims))
+    error = " - ".join(["w0", *[f"a[{i + 1}] * w{lag}" for i, lag in enumerate(o.ar_lags)], *[f"m[{i + 1}] * e[{depth + 1 - lag}]" for i, lag in enumerate(o.ma_lags)]])
+    ahead = " + ".join([*[f"a[{i + 1}] * wl[{depth + 1 - lag}]" for i, lag in enumerate(o.ar_lags)], *[f"m[{i + 1}] * e[{depth + 1 - lag}]" for i, lag in enumerate(o.ma_lags)]])
+    level = " + ".join(["x", *[f"{c!r}::DOUBLE * yl[{keep + 1 - lag}]" for lag, c in o.undo.items()]])
+    differenced = " - ".join(["y", *[f"{c!r}::DOUBLE * lag(y, {lag}) OVER w" for lag, c in o.undo.items()]])
+    lags = "".join(f", coalesce(lag(wv, {k}) OVER w, 0) AS w{k}" for k in sorted(set(o.ar_lags)))
+    out = f""",
+ends AS (SELECT n, floor(n * 0.8::DOUBLE)::BIGINT AS cut FROM s WHERE idx = 0),
+dw AS (SELECT idx, y, {differenced} AS wv FROM (SELECT idx, {value} AS y FROM s) WINDOW w AS (ORDER BY idx)),
+d AS (SELECT idx, wv AS w0{lags} FROM dw, ends WHERE idx < cut WINDOW w AS (ORDER BY idx)),
+c0 AS (SELECT list_transform(range(0, {o.dims}), lambda v: 0.0::DOUBLE) AS ce)"""
+    for turn in range(ROUNDS):
+        out += f""",
+t{turn} AS (
+  SELECT i, CASE WHEN i = 0 THEN ce ELSE list_transform([{steps}], lambda v, d: greatest(-{EDGE}::DOUBLE, least({EDGE}::DOUBLE,
+    ce[d] + {EDGE * 0.5**turn!r}::DOUBLE * (2 * ((0.5::DOUBLE + (i + {turn * CANDIDATES}) * v) % 1) - 1)))) END AS u
+  FROM c{turn}, range(0, {CANDIDATES}) r(i)
+),
+e{turn} AS (
+  SELECT i, u, [{", ".join(a)}]::DOUBLE[] AS a, [{", ".join(m)}]::DOUBLE[] AS m, {o.lost - 1}::BIGINT AS idx,
+    list_transform(range(0, {depth}), lambda v: 0.0::DOUBLE) AS e, 0.0::DOUBLE AS sse FROM t{turn}
+  UNION ALL
+  SELECT i, u, a, m, idx, list_append(e[2:{depth}], x), sse + CASE WHEN idx >= {o.margin} THEN x * x ELSE 0 END
+  FROM (SELECT i, u, a, m, d.idx, e, sse, {error} AS x FROM e{turn} e JOIN d ON d.idx = e.idx + 1)
+),
+b{turn} AS (SELECT e.* FROM e{turn} e JOIN ends ON ends.cut - 1 = e.idx QUALIFY row_number() OVER (ORDER BY sse, i) = 1),
+c{turn + 1} AS (SELECT u AS ce FROM b{turn})"""
+    return out + f""",
+past AS (SELECT list(wv ORDER BY idx) FILTER (WHERE idx >= cut - {depth}) AS wl, list(y ORDER BY idx) FILTER (WHERE idx >= cut - {keep}) AS yl FROM dw, ends WHERE idx < cut),
+fc AS (
+  SELECT cut - 1 AS idx, n, a, m, e, wl, yl, NULL::DOUBLE AS pred FROM b{_TOP}, past, ends
+  UNION ALL
+  SELECT idx + 1, n, a, m, list_append(e[2:{depth}], 0.0::DOUBLE), list_append(wl[2:{depth}], x), list_append(yl[2:{keep}], lv), lv
+  FROM (SELECT *, {level} AS lv FROM (SELECT *, {ahead} AS x FROM fc WHERE idx < n - 1))
+),
+ic AS (SELECT cut - {o.margin} AS nobs, (cut - {o.margin}) * (ln(2 * pi()) + ln(sse / (cut - {o.margin})) + 1) AS fit FROM b{_TOP}, ends)"""
+
+
+def _arima_rows(name: str, order: Order) -> str:
+    """One order's forecast rows, as a whole statement."""
+    return _recursive(ALL + _arima(order)) + f""" SELECT '{name}' AS model, ts, y, {_r('pred', 'pred')}, {_r(f'fit + {2 * (order.dims + 1)}', 'aic')}, {_r(f'fit + ln(nobs) * {order.dims + 1}', 'bic')}
+FROM s JOIN fc ON fc.idx = s.idx AND pred IS NOT NULL, ic"""
+
+
 def _draw(*parts: str) -> str:
     """The forest's draw from whole numbers, as one expression."""
     h = f"{SEED}::BIGINT"
@@ -644,6 +707,7 @@ WHERE date_trunc('hour', ts) + INTERVAL 1 hour <= (SELECT max(ts) - INTERVAL 1 h
     "sarima_css": _recursive(SARIMA)
     + f""" SELECT event_type, ts, y, {_r('pred', 'pred')}, {_r('fit + 14', 'aic')}, {_r('fit + ln(nobs) * 7', 'bic')}
 FROM s JOIN fc ON fc.g = s.event_type AND fc.idx = s.idx AND pred IS NOT NULL JOIN ic ON ic.g = s.event_type""",
+    "sarima_orders": " UNION ALL ".join(f"SELECT * FROM ({_arima_rows(name, order)})" for name, order in (("(1,0,1)", Order(1, 0, 1)), ("(0,1,1)(0,1,1,24)", Order(0, 1, 1, 0, 1, 1, 24)))),
     "isolation_forest": FOREST
     + f" SELECT ts, y, {_r('score', 'score')}, {_r('threshold', 'threshold')}, idx >= 23 AND score > threshold AS is_anomaly FROM pr, t",
 }

@@ -422,6 +422,14 @@ def sarima_css(spark, sf_dir):
     return sarima(ft.with_cut(kept(by_type(spark, sf_dir))), KEY).select("event_type", "ts", "y", r6("pred"), r6("aic"), r6("bic"))
 
 
+def sarima_orders(spark, sf_dir):
+    """Two stated orders; the seasonal one searched over blocks of ten days."""
+    table = ft.with_cut(kept(overall(spark, sf_dir)))
+    plain = sarima(table, order=(1, 0, 1)).withColumn("model", F.lit("(1,0,1)"))
+    seasonal = sarima(table, block=240, order=(0, 1, 1), seasonal_order=(0, 1, 1, 24)).withColumn("model", F.lit("(0,1,1)(0,1,1,24)"))
+    return plain.unionByName(seasonal).select("model", "ts", "y", r6("pred"), r6("aic"), r6("bic"))
+
+
 def _lag_regression(name):
     def query(spark, sf_dir):
         out = lm.lag_forecast(kept(by_type(spark, sf_dir)), name, KEY)
@@ -538,6 +546,7 @@ QUERIES = {
         holt_winters_grid,
         fourier_trend_forecast,
         sarima_css,
+        sarima_orders,
         lag_regression_lr,
         lag_regression_rf,
         lag_regression_gbt,

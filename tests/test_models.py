@@ -59,8 +59,9 @@ def test_adf_equals_least_squares(make_series, block):
         ar[i] = 0.4 * ar[i - 1] + 0.3 * ar[i - 2] + rng.normal()
     values = {"walk": walk, "ar": ar, "short": rng.normal(size=12), "constant": np.full(50, 5.0), "tiny": np.arange(4.0)}
     got = {r.k: r for r in stationarity.adf_test(make_series(values), ["k"], block=block, margin=64).collect()}
-    assert set(got) == {"walk", "ar", "short"}
-    for k in got:
+    assert set(got) == set(values)
+    assert all(got[k].tau is None and got[k].reason for k in ("constant", "tiny"))
+    for k in ("walk", "ar", "short"):
         tau, lag = plain_adf(values[k])
         assert got[k].usedlag == lag and got[k].tau == pytest.approx(tau, rel=1e-7)
     assert not got["walk"].is_stationary and got["ar"].is_stationary
@@ -142,36 +143,86 @@ def test_penalty_choice_ranks_all(make_series):
 # --- seasonal ARIMA ----------------------------------------------------------------
 
 
-def plain_errors(y, a, m, lags, lost):
-    w = np.diff(y) if lost == 1 else np.diff(y)[24:] - np.diff(y)[:-24]
+SEASONAL, PLAIN = sarima.default_orders(24)
+
+
+def plain_errors(y, a, m, order):
+    w = np.diff(y, order.d)
+    for _ in range(order.seasonal_d):
+        w = w[order.period :] - w[: -order.period]
     e = np.zeros(len(w))
     for i in range(len(w)):
-        e[i] = w[i] - sum(a[j] * (w[i - k] if i >= k else 0) + m[j] * (e[i - k] if i >= k else 0) for j, k in enumerate(lags))
+        e[i] = w[i] - sum(a[j] * w[i - k] for j, k in enumerate(order.ar_lags) if i >= k) - sum(m[j] * e[i - k] for j, k in enumerate(order.ma_lags) if i >= k)
     return w, e
 
 
-@pytest.mark.parametrize("seasonal,lost", [(True, 25), (False, 1)])
-def test_sarima_errors_equal_a_plain_loop(seasonal, lost):
+ORDERS = [SEASONAL, PLAIN, sarima.Order(1, 0, 1), sarima.Order(0, 1, 1, 0, 1, 1, 24), sarima.Order(3, 2, 0, 2, 0, 1, 7), sarima.Order(0, 0, 4), sarima.Order(2, 0, 0), sarima.Order(0, 1, 0)]
+
+
+@pytest.mark.parametrize("order", ORDERS, ids=str)
+def test_sarima_errors_equal_a_plain_loop(order):
     """Series of different lengths run abreast, over more than one piece of time."""
-    order = sarima.Order(seasonal, 24)
     ys = [season(200, 1), season(600, 2), season(256, 3)]
     sets = np.stack([sarima.candidates(np.full(order.dims, 0.1 * r), 1)[:4] for r in range(3)])
     sse, last = sarima.run_errors(order, ys, 0, 0, sets, np.zeros((3, 4, order.memory)))
     a, m = order.coefficients(sets)
     for r, y in enumerate(ys):
         for p in range(4):
-            _, e = plain_errors(y, a[r, p], m[r, p], order.lags, lost)
+            _, e = plain_errors(y, a[r, p], m[r, p], order)
             assert sse[r, p] == pytest.approx((e[order.memory :] ** 2).sum(), rel=1e-10)
             np.testing.assert_allclose(last[r, p], e[-order.memory :], rtol=1e-8, atol=1e-10)
 
 
-def test_sarima_candidates_are_stationary():
-    order = sarima.Order(True, 24)
-    a, m = order.coefficients(sarima.candidates(np.zeros(6), 0))
-    for phi in a[:, :2]:
-        assert np.all(np.abs(np.roots([1, -phi[0], -phi[1]])) < 1)
-    for the in m[:, :2]:
-        assert np.all(np.abs(np.roots([1, the[0], the[1]])) < 1)
+@pytest.mark.parametrize("order", ORDERS, ids=str)
+def test_sarima_candidates_are_stationary(order):
+    """All roots of both lag polynomials, seasonal parts included, lie within the unit circle."""
+    a, m = order.coefficients(sarima.candidates(np.zeros(order.dims), 0))
+    for weights, lags, sign in ((a, order.ar_lags, -1), (m, order.ma_lags, 1)):
+        for w in weights[::20]:
+            poly = np.zeros(max(lags, default=0) + 1)
+            poly[0] = 1
+            np.add.at(poly, list(lags), sign * w)
+            assert np.all(np.abs(np.roots(poly)) < 1)
+
+
+@pytest.mark.parametrize("order, seasonal", [((1, 0, 1), None), ((0, 1, 1), (0, 1, 1, 24)), ((3, 1, 2), (1, 0, 1, 7)), ((0, 2, 1), None), ((0, 1, 0), None)])
+def test_stated_orders_by_hand(make_series, order, seasonal):
+    """Fit and forecast of any order equal a plain recursion; blocks and one run agree."""
+    y = season(400)
+    s = make_series(y)
+    o = sarima.Order(*order, *(seasonal or ()))
+    model = sarima.fit_sarima(s, orders=(o,)).collect()[0]
+    got = ordered(sarima.sarima(s, order=order, seasonal_order=seasonal))
+    a, m = (c[0] for c in o.coefficients(np.asarray([model.params])))
+    w, e = plain_errors(y[:320], a, m, o)
+    assert model.sse == pytest.approx((e[o.memory :] ** 2).sum())
+    full, w, e = list(y[:320]), list(w), list(e)
+    for _ in range(80):
+        w.append(sum(a[j] * w[-k] for j, k in enumerate(o.ar_lags)) + sum(m[j] * e[-k] for j, k in enumerate(o.ma_lags)))
+        e.append(0.0)
+        full.append(w[-1] + sum(c * full[-k] for k, c in o.undo.items()))
+    np.testing.assert_allclose(got.pred, full[320:], rtol=1e-8)
+    many = ordered(sarima.sarima(s, order=order, seasonal_order=seasonal, block=130))
+    np.testing.assert_allclose(many[["pred", "aic", "bic"]], got[["pred", "aic", "bic"]], rtol=1e-7)
+
+
+def test_a_stated_order_finds_its_process(make_series):
+    rng = np.random.default_rng(4)
+    y = np.zeros(4000)
+    shock = rng.normal(size=4000)
+    for i in range(2, 4000):
+        y[i] = 0.6 * y[i - 1] - 0.3 * y[i - 2] + shock[i]
+    o = sarima.Order(2, 0, 0)
+    model = sarima.fit_sarima(make_series(y), orders=(o,)).collect()[0]
+    np.testing.assert_allclose(o.coefficients(np.asarray([model.params]))[0][0], [0.6, -0.3], atol=0.05)
+
+
+def test_odd_orders_are_refused(make_series):
+    for bad in (dict(order=(-1, 0, 0)), dict(order=(1, 0, 0), seasonal_order=(1, 0, 0, 1))):
+        with pytest.raises(ValueError):
+            sarima.sarima(make_series(season(50)), **bad)
+    with pytest.raises(ValueError, match="block"):
+        sarima.sarima(make_series(season(50)), block=20)
 
 
 def test_sarima_blocks_equal_one_run(make_series):
@@ -186,8 +237,8 @@ def test_sarima_forecast_by_hand(make_series):
     s = make_series(y)
     model = sarima.fit_sarima(s).collect()[0]
     got = ordered(sarima.sarima(s)).pred.to_numpy()
-    a, m = (c[0] for c in sarima.Order(True, 24).coefficients(np.asarray([model.params])))
-    w, e = plain_errors(y[:320], a, m, (1, 2, 24, 25, 26), 25)
+    a, m = (c[0] for c in SEASONAL.coefficients(np.asarray([model.params])))
+    w, e = plain_errors(y[:320], a, m, SEASONAL)
     assert model.sse == pytest.approx((e[26:] ** 2).sum())
     full, w, e = list(y[:320]), list(w), list(e)
     for _ in range(80):
