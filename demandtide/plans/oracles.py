@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from demandtide.operators.descent import EPOCHS, FADE, FADE_SQUARES, FLOOR, RATE
 from demandtide.operators.isolation import EULER, PRIME, SAMPLE, SEED, SURPLUS, TREES
 from demandtide.operators.sarima import CANDIDATES, EDGE, ROUNDS, Order, strides
 from demandtide.operators.smoothing import GRID
@@ -293,6 +294,35 @@ lr AS (SELECT event_type, idx, ts, y, train, mean, std, z, list_dot_product(x[1:
     )
 
 
+def _adam() -> str:
+    """CTE ``ep(k, b)``: weights after epoch k, from the sums ``ga`` of the training and ``gb`` of the test windows."""
+    zeros = "list_transform(range(0, 25), lambda v: 0.0::DOUBLE)"
+    return (
+        _lag_regression("train", ", train")
+        + """,
+xb AS (SELECT 1 AS g, t, unnest(range(1, 27)) AS i, unnest(x) AS v FROM full_ WHERE NOT train)"""
+        + _matrix("x", "ga")
+        + _matrix("xb", "gb")
+        + f""",
+ep AS (
+  SELECT 0 AS k, {zeros} AS b, {zeros} AS speed, {zeros} AS square
+  UNION ALL
+  SELECT k + 1, list_transform(b, lambda w, i: w - {RATE} * (u[i] / (1 - pow({FADE}::DOUBLE, k + 1))) / (sqrt(q[i] / (1 - pow({FADE_SQUARES}::DOUBLE, k + 1))) + {FLOOR})), u, q
+  FROM (
+    SELECT k, b, list_transform(speed, lambda w, i: {FADE} * w + {1 - FADE!r}::DOUBLE * gr[i]) AS u,
+      list_transform(square, lambda w, i: {FADE_SQUARES} * w + {1 - FADE_SQUARES!r}::DOUBLE * gr[i] * gr[i]) AS q
+    FROM (SELECT ep.*, list_transform(m[1:25], lambda r: 2 / m[1][1] * (list_dot_product(r[1:25], b) - r[26])) AS gr FROM ep, ga WHERE k < {EPOCHS})
+  )
+)"""
+    )
+
+
+def _epoch_loss(sums: str, split: str) -> str:
+    quadratic = "list_sum(list_transform(b, lambda w, i: w * list_dot_product(m[i][1:25], b)))"
+    cross = "list_sum(list_transform(b, lambda w, i: w * m[i][26]))"
+    return f"SELECT 'lag_adam' AS model, '{split}' AS split, k AS iteration, {_r(f'(m[26][26] - 2 * {cross} + {quadratic}) / m[1][1]', 'loss')} FROM ep, {sums} WHERE k > 0"
+
+
 SEQUENCE = _lag_regression("true", "") + """,
 er AS (SELECT s.event_type, s.ts, s.idx, s.y, (z - hat) * (z - hat) AS err FROM s LEFT JOIN lr ON lr.event_type = s.event_type AND lr.idx = s.idx),
 pr AS (
@@ -707,6 +737,9 @@ WHERE date_trunc('hour', ts) + INTERVAL 1 hour <= (SELECT max(ts) - INTERVAL 1 h
     "sarima_css": _recursive(SARIMA)
     + f""" SELECT event_type, ts, y, {_r('pred', 'pred')}, {_r('fit + 14', 'aic')}, {_r('fit + ln(nobs) * 7', 'bic')}
 FROM s JOIN fc ON fc.g = s.event_type AND fc.idx = s.idx AND pred IS NOT NULL JOIN ic ON ic.g = s.event_type""",
+    "training_history": _recursive(_adam()) + f" {_epoch_loss('ga', 'train')} UNION ALL {_epoch_loss('gb', 'test')}",
+    "model_artifact": _recursive(_adam())
+    + f""" SELECT event_type, ts, y AS actual, {_r('list_dot_product(x[1:25], b) * std + mean', 'pred')} FROM full_, ep WHERE k = {EPOCHS} AND NOT train""",
     "sarima_orders": " UNION ALL ".join(f"SELECT * FROM ({_arima_rows(name, order)})" for name, order in (("(1,0,1)", Order(1, 0, 1)), ("(0,1,1)(0,1,1,24)", Order(0, 1, 1, 0, 1, 1, 24)))),
     "isolation_forest": FOREST
     + f" SELECT ts, y, {_r('score', 'score')}, {_r('threshold', 'threshold')}, idx >= 23 AND score > threshold AS is_anomaly FROM pr, t",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandtide.operators import evaluate as ev
-from demandtide.operators import explore, folds, scores
+from demandtide.operators import descent, explore, folds, scores
 from demandtide.operators import features as ft
 from demandtide.operators import series as se
 from demandtide.operators import windows as wi
@@ -443,9 +443,23 @@ lag_regression_lr, lag_regression_rf, lag_regression_gbt = map(_lag_regression,
 
 
 def training_history(spark, sf_dir):
+    """Loss on both splits after every epoch."""
+    return descent.loss_history(descent.fit_epochs(kept(by_type(spark, sf_dir)), KEY)).select("model", "split", "iteration", r6("loss"))
+
+
+def learner_history(spark, sf_dir):
+    """Objective per step of the linear learner, error per tree of the boosted one."""
     return lm.training_history(kept(by_type(spark, sf_dir)), KEY).select("model", "split", "iteration", r6("loss"))
 
 
+def model_artifact(spark, sf_dir):
+    """Losses and weights of the epochs written as a model, read back, and used for a forecast."""
+    series, path = kept(by_type(spark, sf_dir)), scratch_dir(spark, "model")
+    descent.save_epochs(descent.fit_epochs(series, KEY), path)
+    out = descent.epoch_forecast(series, descent.load_epochs(spark, path), KEY)
+    return out.select("event_type", "ts", F.col("y").alias("actual"), r6("pred"))
+
+
 def compare_forecasts(spark, sf_dir):
     """All forecasters on the test rows they share, with their metrics and their ranks among forecasts of their kind."""
     shared = ev.on_common_rows(forecast_all(kept(by_type(spark, sf_dir)), KEY), KEY)
@@ -551,6 +565,8 @@ QUERIES = {
         lag_regression_rf,
         lag_regression_gbt,
         training_history,
+        learner_history,
+        model_artifact,
         compare_forecasts,
         isolation_forest,
         isolation_forest_by_user,
