@@ -22,6 +22,7 @@ other columns are not read. In ``decode`` null ids give an empty text, an id out
 from __future__ import annotations
 
 import heapq
+import math
 import re
 import struct
 
@@ -41,6 +42,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
 UNKNOWN_SURFACE = " ⁇ "
 
+#: Characters of a part up to which its pairs are looked through as a list, and the score of no pair.
+FEW, NEVER = 64, -math.inf
 #: Parts whose pieces each table remembers, and the longest of them.
 REMEMBERED, LONGEST = 1 << 18, 48
 
@@ -123,6 +126,7 @@ class Model:
         self.byte_id = {int(self.pieces[i][1:-1], 16): i for i in byte_ids}
         self.id_of = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == NORMAL}
         self.score = {p: scores[i] for p, i in self.id_of.items()}
+        self.pairs = {p: struct.pack("=ii", i, len(p)) for p, i in self.id_of.items()}
         self.end = trainer.get(42, 2)
         self.suffix, self.dummy = bool(trainer.get(24, 0)), bool(normalizer.get(3, 1))
         self.trim, self.escape = bool(normalizer.get(4, 1)), bool(normalizer.get(5, 1))
@@ -183,6 +187,27 @@ class Model:
 
     def merge(self, part: str) -> list[str]:
         """The symbols left when no two neighbours make a piece."""
+        return self._merge_few(part) if len(part) <= FEW else self._merge_many(part)
+
+    def _merge_few(self, part: str) -> list[str]:
+        """The best pair of all, again and again: the quickest way for a word."""
+        symbol, score = list(part), self.score
+        pairs = [score.get(a + b, NEVER) for a, b in zip(part, part[1:])]
+        while pairs:
+            best = max(pairs)
+            if best == NEVER:
+                break
+            i = pairs.index(best)
+            symbol[i : i + 2] = [symbol[i] + symbol[i + 1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = score.get(symbol[i - 1] + symbol[i], NEVER)
+            if i < len(pairs):
+                pairs[i] = score.get(symbol[i] + symbol[i + 1], NEVER)
+        return symbol
+
+    def _merge_many(self, part: str) -> list[str]:
+        """The same with the pairs in a heap, for parts of any length."""
         n = len(part)
         symbol, after, before = list(part), list(range(1, n + 1)), list(range(-1, n - 1))
         waiting: list = []
@@ -211,19 +236,14 @@ class Model:
         return [s for s in symbol if s]
 
     def encoded(self, part: str) -> bytes:
-        """Pairs of id and length in characters of a part's pieces; of a character's bytes only the
-        last one has the length."""
-        out: list[int] = []
-        for s in self.merge(part):
-            i = self.id_of.get(s)
-            if i is not None:
-                out += (i, len(s))
-                continue
-            for c in s:
-                for b in c.encode():
-                    out += (self.byte_id[b], 0)
-                out[-1] = 1
-        return np.array(out, np.int32).tobytes()
+        """Pairs of id and length in characters of a part's pieces."""
+        pairs = self.pairs
+        return b"".join([pairs.get(s) or self._by_bytes(s) for s in self.merge(part)])
+
+    def _by_bytes(self, character: str) -> bytes:
+        """A character without a piece: only the last of its bytes has its length."""
+        ids = [self.byte_id[b] for b in character.encode()]
+        return b"".join([struct.pack("=ii", i, k == len(ids)) for k, i in enumerate(ids, 1)])
 
 
 def read_model(path: str) -> bytes:

@@ -49,9 +49,10 @@ def test_query_equals_library(spark, library):
         assert r["covered"] == len(texts[r["doc_id"]].encode())
 
 
-@pytest.mark.parametrize("remembered", [1 << 18, 3])
-def test_pieces_and_spans_equal_library(spark, library, monkeypatch, remembered):
+@pytest.mark.parametrize("remembered, few", [(1 << 18, 64), (3, 64), (3, 0)])
+def test_pieces_and_spans_equal_library(spark, library, monkeypatch, remembered, few):
     monkeypatch.setattr(pieces, "REMEMBERED", remembered)
+    monkeypatch.setattr(pieces, "FEW", few)
     texts = _odd_texts()
     got = _coded(spark, texts, pieces.read_model(FILE))
     for i, text in enumerate(texts):
