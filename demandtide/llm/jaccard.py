@@ -11,9 +11,10 @@ Only entries that can reach the threshold are made:
 * Columns are blocks dealt out by hash. A column that the count calls hot is cut into salted
   blocks.
 * The answer is classes, so a column's nodes are first multiplied with one of them (a star) and with
-  their neighbours in a few random orders (chains), and afterwards, with the classes found so far,
-  only with nodes of other classes. Copies by the thousand thus cost a few pairs each, not a square;
-  no link between different classes is missed.
+  their neighbours in a few random orders (chains). Then come rounds: with the classes found so far,
+  a node outside a column's largest class meets a few nodes of other classes, four times as many
+  each round, and classes are joined. What stays apart is at last multiplied in full. Copies by the
+  thousand thus cost some pairs each, not a square; no link between different classes is missed.
 * Overlaps of the remaining pairs are accumulated over whole rows, so every link is exact.
 
 Shingles and sets are 64-bit hashes (among 10**10 different sets about three would share one); two
@@ -50,7 +51,11 @@ BITMAP_BITS = 24
 #: Nodes of a block whose pairs are all made at once.
 SMALL = 8
 #: Chains through each block's nodes beside its star.
-CHAINS = 12
+CHAINS = 4
+#: Nodes of other classes that a node meets in a column, round by round; then it meets all of them.
+ROUNDS = (8, 32, 128, 512)
+#: Nodes outside the largest class of a mixed column, on average, up to which they meet all at once.
+FEW = 8
 #: Rows of a pair block compared at once.
 BLOCK = 1 << 20
 
@@ -233,17 +238,30 @@ def _star(cells: DataFrame, percent: int) -> DataFrame:
     return base.kept(dealt.mapInArrow(run, schema), "stars", by="kind")
 
 
-def _between(cells: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes of one column but of different classes that can reach the threshold. Columns
-    without an early node in any of their blocks have none that another column does not show."""
+def _mixed(cells: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """The cells of columns that hold nodes of several classes, with their class, the column's largest
+    one (``main``) and the nodes outside of that (``others``). Columns without an early node in any of
+    their blocks have none that another column does not show."""
     known = cells.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     known = base.kept(known.select(*CELL.fieldNames(), "label"), "labelled")
     early = _early(F.col("pos").cast("bigint"), F.col("n").cast("bigint"), percent)
-    main = known.groupBy("token", "label").agg(F.count("*").alias("c"), F.bool_or(early).alias("early")).groupBy("token").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("classes"), F.bool_or("early").alias("early"))
-    mixed = known.join(main.filter("classes > 1 AND early").drop("early"), "token")
-    # Nodes outside a column's largest class go to each of its salted blocks, the others stay.
+    sizes = known.groupBy("token", "label").agg(F.count("*").alias("c"), F.bool_or(early).alias("early"))
+    main = sizes.groupBy("token").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("classes"), F.bool_or("early").alias("early"), F.sum("c").alias("size"), F.max("c").alias("c"))
+    return base.kept(known.join(main.filter("classes > 1 AND early").select("token", "main", (F.col("size") - F.col("c")).alias("others")), "token"), "mixed")
+
+
+def _between(mixed: DataFrame, percent: int, partners: int | None, turn: int) -> DataFrame:
+    """Pairs of nodes of one column but of different classes that can reach the threshold: all of them,
+    or for each node outside the column's largest class those with the ``partners`` nodes behind it in
+    an order drawn by ``turn``."""
+    # Nodes outside the largest class go to each of a column's salted blocks, or to one of them; the others stay.
     rows = mixed.withColumn("minor", F.col("label") != F.col("main"))
-    rows = rows.withColumn("salt", F.explode(F.when(F.col("minor"), F.sequence(F.lit(0), F.col("salts") - 1)).otherwise(F.array("salt"))))
+    if partners is None:
+        salts = F.when(F.col("minor"), F.sequence(F.lit(0), F.col("salts") - 1)).otherwise(F.array("salt"))
+        rows = rows.withColumn("salt", F.explode(salts))
+    else:
+        drawn = F.pmod(F.xxhash64("node", F.lit(turn)), F.col("salts")).cast("int")
+        rows = rows.withColumn("salt", F.when(F.col("minor"), drawn).otherwise(F.col("salt")))
     names = ["token", "salt", "node", "n", "pos", "label", "minor"]
 
     def run(batches):
@@ -251,18 +269,28 @@ def _between(cells: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
         for cols, edge in _runs(batches, names):
             _, _, node, n, pos, label, minor = cols
             found = []
+
+            def meet(a: np.ndarray, b: np.ndarray) -> None:
+                ok = (label[a] != label[b]) & (np.minimum(n[a] - pos[a], n[b] - pos[b]) >= _least_overlap(n[a], n[b], percent))
+                x, y = (node[i[ok]] for i in np.broadcast_arrays(a, b))
+                if len(x):
+                    found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
+                if sum(map(len, found)) > BLOCK:
+                    found[:] = [np.unique(np.concatenate(found), axis=0)]
+
             for lo, hi in zip(edge[:-1], edge[1:]):
                 mine = np.flatnonzero(minor[lo:hi]) + lo
-                for i in range(0, len(mine), max(1, BLOCK // (hi - lo))):
-                    a = mine[i : i + max(1, BLOCK // (hi - lo))][:, None]
-                    b = np.arange(lo, hi)[None, :]
-                    ok = (label[a] != label[b]) & (np.minimum(n[a] - pos[a], n[b] - pos[b]) >= _least_overlap(n[a], n[b], percent))
-                    x, y = np.nonzero(ok)
-                    if len(x):
-                        x, y = node[a[x, 0]], node[b[0, y]]
-                        found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
-                if sum(map(len, found)) > BLOCK:
-                    found = [np.unique(np.concatenate(found), axis=0)]
+                size = hi - lo
+                if partners is None or partners >= size - 1:
+                    for i in range(0, len(mine), max(1, BLOCK // size)):
+                        meet(mine[i : i + max(1, BLOCK // size), None], np.arange(lo, hi)[None, :])
+                    continue
+                # The same order in every column, so that its nodes meet the same ones there.
+                order = lo + np.argsort(mix(node[lo:hi].view(np.uint64) ^ np.uint64(turn * 0x9E3779B9 + 7)), kind="stable")
+                place = np.empty(size, np.int64)
+                place[order - lo] = np.arange(size)
+                for step in range(1, partners + 1):
+                    meet(mine, order[(place[mine - lo] + step) % size])
             if found:
                 pairs = np.unique(np.concatenate(found), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=arrow)
@@ -367,10 +395,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     pairs = base.kept(stars.filter("kind = 'pair'").select("a", "b").distinct(), "star-pairs")
     links = _links(docs, pairs, classes, n, percent)
     labels = components(links)
-    more = base.kept(_between(cells, labels, percent).join(pairs, ["a", "b"], "left_anti"), "other-pairs")
-    if not more.isEmpty():
-        links = links.union(_links(docs, more, classes, n, percent))
-        labels = components(links)
+    for turn, partners in enumerate((*ROUNDS, None)):
+        mixed = _mixed(cells, labels, percent)
+        others = mixed.agg(F.avg("others")).first()[0]
+        if others is None:
+            break
+        last = partners is None or others <= FEW
+        more = base.kept(_between(mixed, percent, None if last else partners, turn).join(pairs, ["a", "b"], "left_anti"), "other-pairs")
+        if not more.isEmpty():
+            links = links.union(_links(docs, more, classes, n, percent))
+            labels = components(links)
+            pairs = pairs.union(more)
+        if last:
+            break
     labelled = classes.join(labels.select(F.col("node").alias("k1"), "label"), "k1", "left").withColumn("label", F.coalesce("label", "k1"))
     labelled = base.kept(labelled, "classes")
     smallest = labelled.groupBy("label").agg(F.min("least").alias("component"))

@@ -248,9 +248,13 @@ def classes(texts, percent=75):
     return {i: (len(s), find(i)) for i, s in sets.items()}
 
 
-@pytest.mark.parametrize("hot", [jaccard.HOT, 5])
-def test_jaccard_against_all_pairs(spark, hot):
-    """Groups of near copies, shared passages, short texts; also with every frequent column salted."""
+@pytest.mark.parametrize("hot, few, rounds", [(jaccard.HOT, jaccard.FEW, jaccard.ROUNDS), (5, 0, (1, 2)), (50, 0, (1, 1, 1, 4))])
+def test_jaccard_against_all_pairs(spark, monkeypatch, hot, few, rounds):
+    """Groups of near copies, shared passages, short texts; also with every frequent column salted and
+    with rounds of few partners."""
+    monkeypatch.setattr(jaccard, "FEW", few)
+    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+    monkeypatch.setattr(jaccard, "CHAINS", 1)
     rng = random.Random(5)
     vocabulary = [f"v{i}" for i in range(300)]
     passage = rng.choices(vocabulary, k=60)
@@ -279,6 +283,23 @@ def test_jaccard_across_the_salts_of_a_column(spark):
     assert {i: c for i, (_, c) in got.items()} == {i: i // 61 * 61 for i in texts}
 
 
+@pytest.mark.parametrize("changed, growth", [(0.01, 2), (0.02, 3)])
+def test_pairs_of_a_group_grow_in_proportion(spark, monkeypatch, changed, growth):
+    """Four times the copies of a text: not sixteen times the pairs, and the same classes as from all. Of looser
+    copies some link with none; only these meet all others that the bounds let through."""
+    made, checked = [], jaccard._links
+    monkeypatch.setattr(jaccard, "_links", lambda docs, pairs, *rest: made.append(pairs.count()) or checked(docs, pairs, *rest))
+    rng = random.Random(8)
+    words, each = [f"w{i}" for i in range(200)], []
+    for size in (100, 400):
+        texts = {i: " ".join(f"x{i}y{k}" if rng.random() < changed else w for k, w in enumerate(words)) for i in range(size)}
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.near_duplicates(frame(spark, list(texts.items()))).collect()}
+        assert got == classes(texts)
+        each.append(sum(made) / size)
+        made.clear()
+    assert each[1] <= growth * each[0]
+
+
 def test_jaccard_of_little(spark):
     assert jaccard.near_duplicates(frame(spark, [])).count() == 0
     assert [r["component_id"] for r in jaccard.near_duplicates(frame(spark, [(None, "a"), (None, "a")])).collect()] == [None, None]
