@@ -723,6 +723,11 @@ SELECT s.event_type, ts, {_r('level + (s.idx - last) * trend + season[((s.idx -
 FROM s JOIN f ON s.event_type = f.event_type AND s.idx > f.last""",
     "hourly_demand_stream": """SELECT event_type, date_trunc('hour', ts)::TIMESTAMP AS ts, count(*) AS trip_count FROM events
 WHERE date_trunc('hour', ts) + INTERVAL 1 hour <= (SELECT max(ts) - INTERVAL 1 hour FROM events) GROUP BY ALL""",
+    "stream_gap_filled": f"""WITH m AS (SELECT max(ts) - INTERVAL 1 hour AS mark FROM events),
+c AS (SELECT event_type, date_trunc('hour', ts)::TIMESTAMP AS ts, count(*) AS c FROM events GROUP BY ALL),
+sp AS (SELECT event_type, unnest(generate_series(min(ts), date_trunc('hour', any_value(mark))::TIMESTAMP - INTERVAL 1 hour, INTERVAL 1 hour)) AS ts FROM c, m GROUP BY event_type),
+s AS (SELECT event_type, ts, coalesce(c, 0)::DOUBLE AS y FROM sp LEFT JOIN c USING (event_type, ts))
+SELECT event_type, ts, y, {_r('avg(y) OVER (PARTITION BY event_type ORDER BY ts ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING)', 'pred')} FROM s""",
     "adf": _recursive(ADF)
     + f""" SELECT g AS event_type, {_r('tau', 'tau')}, {_r('pvalue', 'pvalue')},
 {', '.join(_r(_surface(c), c) for c in CRITICAL)}, lag::INTEGER AS usedlag, nobs, pvalue < 0.05 AS is_stationary FROM pv""",

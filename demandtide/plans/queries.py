@@ -24,6 +24,7 @@ from demandtide.operators.trend import trend_forecast
 from demandtide.plans.models import forecast_all
 from demandtide.session import scratch_dir
 from demandtide.sources import tables as tb
+from demandtide.streaming.gapless import run_gapless
 from demandtide.streaming.hourly import closed_hours, run_once
 
 KEY = ["event_type"]
@@ -502,6 +503,14 @@ def hourly_demand_stream(spark, sf_dir):
     return out.select("event_type", "ts", "trip_count")
 
 
+def stream_gap_filled(spark, sf_dir):
+    """Every hour of each type up to the watermark, empty ones included, with the mean of the 24 hours before."""
+    schema = tb.table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    out = run_gapless(stream, scratch_dir(spark, "gapless"), keys=KEY)
+    return out.select("event_type", "ts", "y", r6("pred"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -573,5 +582,6 @@ QUERIES = {
         pca_recon,
         sequence_residual,
         hourly_demand_stream,
+        stream_gap_filled,
     )
 }
