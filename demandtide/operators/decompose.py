@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from demandtide.operators.prefix import long_centered_trend
 from demandtide.operators.series import BLOCK
 from demandtide.operators.windows import over_time
 
@@ -14,9 +15,12 @@ from demandtide.operators.windows import over_time
 def centered_trend(series: DataFrame, keys: Sequence[str] = (), period: int = 24, block: int = BLOCK) -> DataFrame:
     """Add ``trend``: the mean of one period around each row, NULL near both ends.
 
-    An even period has no middle row, so the two outermost rows count half.
+    An even period has no middle row, so the two outermost rows count half. Periods beyond two
+    blocks are taken from prefix sums.
     """
     half = period // 2
+    if half > block:
+        return long_centered_trend(series, keys, period, block)
 
     def build(w):
         total = F.sum("y").over(w.rowsBetween(-half, half))

@@ -13,6 +13,8 @@ from demandtide.functions.calendar import bucket_number, bucket_start, parse_tim
 # Rows of one series that share a task: 24 weeks of hours. All work along time is
 # cut into such pieces, so a single long series still spreads over the cluster.
 BLOCK = 4032
+# Rows that an exact sample puts in order in one task.
+SLICE_ROWS = 100_000
 # Names of the series' own columns and of the blocks it is packed in.
 RESERVED = frozenset(("ts", "idx", "n", "y", "b", "c", "blk", "at", "values", "rows", "cut", "rank", "first_b", "last_b", "next_b"))
 
@@ -166,14 +168,19 @@ def sample_by_hash(df: DataFrame, id_col: str, frac: float) -> DataFrame:
     return df.where(_id_hash(id_col) < math.ceil(frac * 4294967296))
 
 
-def sample_exact(df: DataFrame, id_col: str, frac: float) -> DataFrame:
-    """Exactly ``round(frac * rows)`` rows without replacement, the smallest id hashes.
+def sample_exact(df: DataFrame, id_col: str, frac: float, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Exactly ``round(frac * rows)`` rows without replacement: those of the smallest id hashes, among equal
+    hashes those of the smallest ids.
 
-    The row count is a scalar subquery and only a thin slice of the rows is ever sorted.
+    The last hash that is kept whole is found digit by digit: one count per digit's value and pass,
+    over the rows that agree in the digits before. Only a slice of at most ``slice_rows`` rows is ever put in
+    order; rows alike in every column are exchangeable and need none.
     """
-    keep = df.agg(F.round(F.count("*") * F.lit(frac)).cast("bigint").alias("k")).scalar()
-    hashed = df.withColumn("_h", _id_hash(id_col))
-    return _smallest(hashed, "_h", id_col, keep).drop("_h")
+    total = df.count()
+    keep = round(frac * total)
+    if not 0 < keep < total:
+        return df if keep else df.limit(0)
+    return _smallest(df.withColumn("_h", _id_hash(id_col)), id_col, keep, slice_rows).drop("_h")
 
 
 def _id_hash(id_col: str):
@@ -184,27 +191,35 @@ def _id_hash(id_col: str):
     return F.pmod(low * F.lit(2654435761) + high, F.lit(4294967296))
 
 
-def _smallest(df: DataFrame, order: str, tie: str, k) -> DataFrame:
-    """The k rows smallest by (order, tie), without a global sort.
-
-    Counts per hash slice give the slice in which row k falls. Slices below it are
-    kept whole; only that one slice is ranked.
-    """
-    slices = 65_536
-    slice_of = F.floor(F.col(order) * slices / F.lit(4294967296)).cast("int")
-    df = df.withColumn("_s", slice_of)
-    cum = Window.orderBy("_s")  # one row per slice
-    edge = (
-        df.groupBy("_s")
-        .agg(F.count("*").alias("c"))
-        .select("_s", "c", F.sum("c").over(cum).alias("upto"))
-        .select("_s", (F.col("upto") - F.col("c")).alias("before"), "upto")
-        .where((F.col("before") < k) & (F.col("upto") >= k))
-    )
-    cut = edge.agg(F.struct(F.max("_s").alias("s"), F.max("before").alias("before")).alias("e")).scalar()
-    whole = df.where(F.col("_s") < cut.getField("s"))
-    ranked = df.where(F.col("_s") == cut.getField("s")).withColumn(
-        "_r", F.row_number().over(Window.partitionBy("_s").orderBy(order, tie))
-    )
-    part = ranked.where(F.col("_r") <= k - cut.getField("before")).drop("_r")
-    return whole.unionByName(part).drop("_s")
+def _digits(df: DataFrame, id_col: str) -> list:
+    """Digits of 16 bits, most significant first: of the hash, of the id, of a hash over the whole row."""
+    ident, row = F.col(id_col).cast("bigint"), F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns])
+    words = [(F.col("_h"), (16, 0)), (ident, (48, 32, 16, 0)), (row, (48, 32, 16, 0))]
+    cut = lambda v, shift: F.shiftright(v, shift).bitwiseAND(65_535)
+    digits = [cut(v, shift) for v, shifts in words for shift in shifts]
+    # Negative numbers come first: the sign bit is turned round.
+    for at in (2, 6):
+        digits[at] = digits[at].bitwiseXOR(32_768)
+    return digits
+
+
+def _smallest(df: DataFrame, id_col: str, keep: int, slice_rows: int) -> DataFrame:
+    """The ``keep`` rows smallest by (hash, id, hash of the row), without a global sort."""
+    whole, same, rest = F.lit(False), F.lit(True), df
+    for digit in _digits(df, id_col):
+        # At most 65,536 counts, however many rows.
+        counts = sorted((r[0], r[1]) for r in rest.groupBy(digit.alias("d")).agg(F.count("*").alias("c")).collect())
+        for cut, held in counts:
+            if keep <= held:
+                break
+            keep -= held
+        whole, same = whole | (same & (digit < cut)), same & (digit == cut)
+        rest = df.where(same)
+        if keep == held:
+            return df.where(whole | same)
+        if held <= slice_rows:
+            order = Window.orderBy("_h", id_col, *[F.col(f"`{c}`").cast("string") for c in df.columns])
+            part = rest.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= keep).drop("_r")
+            return df.where(whole).unionByName(part)
+    # All rows left are alike: one of them, as often as rows are wanted.
+    return df.where(whole).unionByName(rest.limit(1).withColumn("_r", F.explode(F.sequence(F.lit(1), F.lit(keep)))).drop("_r"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandtide.operators.attach import attach
+from demandtide.operators.features import with_target
 from demandtide.operators.gram import gram, solve
 from demandtide.operators.series import BLOCK
 from demandtide.operators.windows import differences, pack_blocks
@@ -54,30 +55,37 @@ def _lag_rows(y: np.ndarray, at: int, first: int, lags: int) -> tuple[np.ndarray
     return x, dy[t - 1]
 
 
-def adf_test(series: DataFrame, keys: Sequence[str] = (), block: int = BLOCK, margin: int = 256) -> DataFrame:
+def _reach(n: str = "n"):
+    """Rows before a block that the longest lag of a series of ``n`` rows looks back on."""
+    return (F.ceil(12 * F.pow(F.col(n) / 100, F.lit(0.25))) + 2).cast("bigint")
+
+
+def adf_test(series: DataFrame, keys: Sequence[str] = (), block: int = BLOCK, value: str = "y") -> DataFrame:
     """``tau, pvalue, usedlag, nobs, cv1, cv5, cv10, is_stationary, reason`` per key.
 
     All lag lengths are compared on the rows that have the longest lag. Their normal
     equations are leading parts of one matrix, so the data is read once; the chosen
     length then gets back the few rows at the series start it can also use. Every key has a
-    row: where there is no test, its values are NULL and ``reason`` says why. ``margin`` rows are shared between
-    neighbouring blocks and must hold the longest lag; 256 do up to 20 million rows.
+    row: where there is no test, its values are NULL and ``reason`` says why; without keys there is one
+    row. A block also gets the rows before it that the longest lag of its own series needs, so
+    series of any length are tested.
     """
     keys = list(keys)
+    series = with_target(series, value)
     mean = series.groupBy(*keys).agg(F.avg("y").alias("mean"))
     centred = attach(series.na.drop(subset=["y"]), mean, keys, ["mean"]).select(*keys, "idx", "n", (F.col("y") - F.col("mean")).alias("y"))
-    blocks = pack_blocks(centred.where(F.col("n") >= 6), keys, before=margin, block=block).withColumn(
-        "head", F.when(F.col("blk") == 0, F.slice("values", 1, margin))
-    )
+    blocks = pack_blocks(centred.where(F.col("n") >= 6), keys, before=_reach(), block=block)
+    # The first rows of a series, as far as they lie in this block.
+    own = F.greatest(F.col("blk") * block - F.col("at"), F.lit(0)).cast("int")
+    rows = F.least(_reach() - F.col("blk") * block, F.size("values") - own).cast("int")
+    blocks = blocks.withColumn("head", F.when(rows > 0, F.struct("blk", F.slice("values", own + 1, F.greatest(rows, F.lit(1))).alias("v"))))
 
     def design(row):
         lags = max_lag(int(row.n))
-        if lags + 1 > margin:
-            raise ValueError(f"a series of {row.n} rows needs margin > {lags}")
         y = np.asarray(row.values, dtype=float)
         return _lag_rows(y, int(row.at), max(int(row.blk) * block, lags + 1), lags)
 
-    sums = gram(blocks, keys, design, ["blk", "n", "head"], {"n": F.max("n"), "head": F.min_by("head", "blk")})
+    sums = gram(blocks, keys, design, ["blk", "n", "head"], {"n": F.max("n"), "head": F.flatten(F.array_sort(F.collect_list("head")).getField("v"))})
 
     def none(reason: str) -> dict:
         return {**dict.fromkeys(["tau", "pvalue", "usedlag", "nobs", *CRITICAL, "is_stationary"]), "reason": reason}
@@ -133,20 +141,26 @@ def adf_test(series: DataFrame, keys: Sequence[str] = (), block: int = BLOCK, ma
     )
     found = solve(sums, keys, test, fields)
     if not keys:
-        return found
+        # One row, whether or not the regression was reached.
+        filled = found.agg(F.count("*").alias("_rows"), *[F.first(c).alias(c) for c in found.columns])
+        return filled.withColumn("reason", F.when(F.col("_rows") == 0, "too short").otherwise(F.col("reason"))).drop("_rows")
     # Keys without six rows that hold a value never reach the regression.
     every = mean.select(*keys).join(found.withColumn("_there", F.lit(True)), keys, "left")
     return every.withColumn("reason", F.when(F.col("_there").isNull(), "too short").otherwise(F.col("reason"))).drop("_there")
 
 
 def dickey_fuller(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """The test without lags: a regression of ``dy`` on ``y_lag``, in plain aggregates."""
+    """The test without lags: a regression of ``dy`` on ``y_lag``, in plain aggregates. A series without
+    spread or error left has NULL."""
     d = differences(series, keys)
     x, y = F.col("y_lag"), F.col("dy")
     sums = d.groupBy(*keys).agg(
         F.regr_slope(y, x).alias("slope"), F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"), F.count("*").alias("m")
     )
     rest = F.col("syy") - F.col("slope") * F.col("slope") * F.col("sxx")
-    return sums.where((F.col("m") > 2) & (F.col("sxx") > 0) & (rest > 0)).select(
-        *keys, (F.col("slope") / F.sqrt(rest / (F.col("m") - 2) / F.col("sxx"))).alias("tau")
-    )
+    able = (F.col("m") > 2) & (F.col("sxx") > 0) & (rest > 0)
+    tau = F.when(able, F.col("slope") / F.sqrt(F.when(able, rest / (F.col("m") - 2) / F.col("sxx")))).alias("tau")
+    if not keys:
+        return sums.select(tau)
+    # Series of one row have no difference.
+    return series.select(*keys).distinct().join(sums.select(*keys, tau), list(keys), "left")

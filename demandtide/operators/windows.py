@@ -8,16 +8,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from demandtide.operators.prefix import long_trailing_mean
 from demandtide.operators.series import BLOCK
 
 
-def with_margin(series: DataFrame, keys: Sequence[str], before: int, after: int = 0, block: int = BLOCK) -> DataFrame:
+def with_margin(series: DataFrame, keys: Sequence[str], before: int | Column, after: int = 0, block: int = BLOCK) -> DataFrame:
     """Copy each row into every block that needs it; ``_blk`` says which.
 
     Block k owns ``idx`` in ``[k*block, (k+1)*block)`` and also receives ``before``
     rows on its left and ``after`` on its right. The copies add ``(before+after)/block``.
+    ``before`` may depend on the series; a margin may reach over several blocks.
     """
-    if max(before, after) > block:
+    if isinstance(before, int) and max(before, after) > block:
         raise ValueError("the margin must fit in one block")
     lo = F.floor(F.greatest(F.col("idx") - after, F.lit(0)) / block)
     hi = F.floor(F.least(F.col("idx") + before, F.col("n") - 1) / block)
@@ -50,7 +52,10 @@ def over_time(
 
 
 def trailing_mean(series: DataFrame, keys: Sequence[str] = (), window: int = 24, name: str = "pred", block: int = BLOCK) -> DataFrame:
-    """Mean of the ``window`` values before each row, or of as many as there are."""
+    """Mean of the ``window`` values before each row, or of as many as there are. A window beyond a block
+    is taken from prefix sums."""
+    if window > block:
+        return long_trailing_mean(series, keys, window, name, block)
     return over_time(series, keys, lambda w: {name: F.avg("y").over(w.rowsBetween(-window, -1))}, before=window, block=block)
 
 
@@ -115,7 +120,7 @@ def pack_blocks(
     series: DataFrame,
     keys: Sequence[str] = (),
     value: str = "y",
-    before: int = 0,
+    before: int | Column = 0,
     block: int = BLOCK,
     carry: Sequence[str] = (),
     along: Sequence[str] = (),

@@ -639,6 +639,17 @@ ph AS (SELECT event_type, idx % 24 AS phase, avg(y - trend) AS p FROM t GROUP BY
 se AS (SELECT event_type, phase, p - avg(p) OVER (PARTITION BY event_type) AS seasonal FROM ph)
 SELECT t.event_type, ts, y AS observed, {_r('trend', 'trend', 8)}, {_r('seasonal', 'seasonal', 8)}, {_r('y - trend - seasonal', 'resid', 8)}
 FROM t JOIN se ON t.event_type = se.event_type AND t.idx % 24 = se.phase""",
+    "decompose_yearly": _series(unit="minute") + f""",
+t AS (
+  SELECT *, CASE WHEN idx >= 4380 AND idx < n - 4380 THEN
+    (sum(y) OVER (ORDER BY idx ROWS BETWEEN 4380 PRECEDING AND 4380 FOLLOWING) - (lag(y, 4380) OVER (ORDER BY idx) + lead(y, 4380) OVER (ORDER BY idx)) / 2) / 8760 END AS trend
+  FROM s WHERE n >= 17520
+),
+ph AS (SELECT idx % 8760 AS phase, avg(y - trend) AS p FROM t GROUP BY ALL),
+se AS (SELECT phase, p - avg(p) OVER () AS seasonal FROM ph)
+SELECT ts, y AS observed, {_r('trend', 'trend', 8)}, {_r('seasonal', 'seasonal', 8)}, {_r('y - trend - seasonal', 'resid', 8)} FROM t JOIN se ON t.idx % 8760 = se.phase""",
+    "moving_average_long": _series(keys="event_type", unit="minute")
+    + f" SELECT event_type, ts, y, {_r('avg(y) OVER (PARTITION BY event_type ORDER BY idx ROWS BETWEEN 8640 PRECEDING AND 1 PRECEDING)', 'pred')} FROM s",
     "walk_forward_folds": WALK + " SELECT event_type, fold, train_end, test_end FROM f",
     "walk_forward_rmse": WALK + f" SELECT event_type, fold, {_r('rmse', 'rmse')} FROM sc",
     "walk_forward_summary": WALK + f" SELECT event_type, {_r('avg(rmse)', 'mean_rmse')}, {_r('stddev_pop(rmse)', 'std_rmse')} FROM sc GROUP BY 1",
@@ -703,6 +714,21 @@ SELECT event_type, point, {_r('any_value(x)', 'x')},
 FROM g JOIN v USING (event_type) GROUP BY event_type, point""",
     "box_by_weekday": _box("weekday"),
     "box_by_hour": _box("hour"),
+    "box_value": """WITH q AS (
+  SELECT event_type, count(value) AS n, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS med, quantile_cont(value, 0.75) AS q3 FROM events GROUP BY 1
+)
+SELECT event_type, n, q1, med, q3,
+  min(value) FILTER (WHERE value >= q1 - 1.5 * (q3 - q1) AND value <= q3 + 1.5 * (q3 - q1)) AS whisker_lo,
+  max(value) FILTER (WHERE value >= q1 - 1.5 * (q3 - q1) AND value <= q3 + 1.5 * (q3 - q1)) AS whisker_hi,
+  count(*) FILTER (WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) AS n_out
+FROM events JOIN q USING (event_type) GROUP BY ALL""",
+    "kde_value": f"""WITH b AS (SELECT event_type, min(value) AS a, max(value) AS z, stddev_samp(value) * pow(count(value), -0.2::DOUBLE) AS h, count(value) AS rows FROM events GROUP BY 1),
+v AS (SELECT event_type, value AS y, count(*) AS c FROM events GROUP BY ALL),
+g AS (SELECT b.*, i::INTEGER AS point, a + (z - a) * i / 199.0::DOUBLE AS x FROM b, range(0, 200) r(i))
+SELECT event_type, point, {_r('any_value(x)', 'x')},
+  {_r('sum(c * exp(-((x - y) / h) * ((x - y) / h) / 2)) / any_value(rows * h * sqrt(2 * pi()))', 'density')}
+FROM g JOIN v USING (event_type) GROUP BY event_type, point""",
+    "percentiles_value": "SELECT event_type, " + ", ".join(_r(f"quantile_cont(value, {p / 100})", f"p{p}") for p in (1, 25, 50, 75, 95, 99)) + " FROM events GROUP BY 1",
     "df_lag0": TYPED + f""",
 d AS (
   SELECT event_type, lag(y) OVER (PARTITION BY event_type ORDER BY idx) AS x, y - lag(y) OVER (PARTITION BY event_type ORDER BY idx) AS dy FROM s

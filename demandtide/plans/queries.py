@@ -16,6 +16,7 @@ from demandtide.operators import windows as wi
 from demandtide.operators import lagmodels as lm
 from demandtide.operators.decompose import decompose
 from demandtide.operators.isolation import isolation_forest as score_by_forest
+from demandtide.operators.quantiles import exact_percentiles
 from demandtide.operators.reconstruction import pattern_scores
 from demandtide.operators.sarima import sarima
 from demandtide.operators.smoothing import holt_winters, smoothed
@@ -229,6 +230,18 @@ def decompose_hourly(spark, sf_dir):
     return d.select("event_type", "ts", "observed", *[r6(c, places=8) for c in ("trend", "seasonal", "resid")])
 
 
+def decompose_yearly(spark, sf_dir):
+    """A period longer than a block: 8,760 rows, of minutes for want of a year of hours."""
+    minutes = kept(se.demand_series(tb.table(spark, sf_dir, "events"), bucket="minute"))
+    return decompose(minutes, period=8760).select("ts", "observed", *[r6(c, places=8) for c in ("trend", "seasonal", "resid")])
+
+
+def moving_average_long(spark, sf_dir):
+    """Minutes per type against the mean of the six days before."""
+    minutes = kept(se.demand_series(tb.table(spark, sf_dir, "events"), keys=KEY, bucket="minute"))
+    return wi.trailing_mean(minutes, KEY, 8640).select("event_type", "ts", "y", r6("pred"))
+
+
 # --- validation and evaluation -----------------------------------------------------
 
 
@@ -385,6 +398,26 @@ def box_by_hour(spark, sf_dir):
     return explore.box_by_hour(overall(spark, sf_dir))
 
 
+def _event_values(spark, sf_dir) -> DataFrame:
+    return tb.table(spark, sf_dir, "events").select("event_type", "value")
+
+
+def box_value(spark, sf_dir):
+    """Quartiles and whiskers of a continuous column."""
+    return explore.box_statistics(_event_values(spark, sf_dir), {"event_type": F.col("event_type")}, value="value")
+
+
+def kde_value(spark, sf_dir):
+    """Density of a continuous column."""
+    return explore.density(_event_values(spark, sf_dir), KEY, value="value").select("event_type", "point", r6("x"), r6("density"))
+
+
+def percentiles_value(spark, sf_dir):
+    """Several exact percentiles of a continuous column at once; few values are put in order at a time."""
+    wanted = {f"p{p}": p / 100 for p in (1, 25, 50, 75, 95, 99)}
+    return exact_percentiles(_event_values(spark, sf_dir), KEY, "value", wanted, small=50).select("event_type", *[r6(p) for p in wanted])
+
+
 # --- stationarity ------------------------------------------------------------------
 
 
@@ -541,6 +574,8 @@ QUERIES = {
         lag_windows,
         recon_windows,
         decompose_hourly,
+        decompose_yearly,
+        moving_average_long,
         walk_forward_folds,
         walk_forward_rmse,
         walk_forward_summary,
@@ -562,6 +597,9 @@ QUERIES = {
         kde,
         box_by_weekday,
         box_by_hour,
+        box_value,
+        kde_value,
+        percentiles_value,
         df_lag0,
         adf,
         adf_by_user,

@@ -58,7 +58,7 @@ def test_adf_equals_least_squares(make_series, block):
     for i in range(2, 300):
         ar[i] = 0.4 * ar[i - 1] + 0.3 * ar[i - 2] + rng.normal()
     values = {"walk": walk, "ar": ar, "short": rng.normal(size=12), "constant": np.full(50, 5.0), "tiny": np.arange(4.0)}
-    got = {r.k: r for r in stationarity.adf_test(make_series(values), ["k"], block=block, margin=64).collect()}
+    got = {r.k: r for r in stationarity.adf_test(make_series(values), ["k"], block=block).collect()}
     assert set(got) == set(values)
     assert all(got[k].tau is None and got[k].reason for k in ("constant", "tiny"))
     for k in ("walk", "ar", "short"):
@@ -67,9 +67,22 @@ def test_adf_equals_least_squares(make_series, block):
     assert not got["walk"].is_stationary and got["ar"].is_stationary
 
 
-def test_adf_margin_must_hold_the_lags(make_series):
-    with pytest.raises(Exception, match="needs margin"):
-        stationarity.adf_test(make_series(season(500)), margin=8).collect()
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_lags_reach_over_several_blocks(make_series, keys):
+    """Blocks shorter than the longest lag and than the head of a series."""
+    values = {"a": season(500, 1), "b": season(90, 2), "c": [1.0, 2.0]}
+    s = make_series(values if keys else values["a"])
+    one, many = (sorted((tuple(r) for r in stationarity.adf_test(s, keys, block=b).collect()), key=repr) for b in (4032, 8))
+    assert [r[len(keys) + 2] for r in one] == [r[len(keys) + 2] for r in many]
+    for x, y in zip(one, many):
+        assert [v for v in x if not isinstance(v, float)] == [v for v in y if not isinstance(v, float)]
+        np.testing.assert_allclose([v for v in x if isinstance(v, float)], [v for v in y if isinstance(v, float)], rtol=1e-8)
+
+
+def test_short_series_have_a_row_without_keys_too(make_series):
+    assert [(r.tau, r.reason) for r in stationarity.adf_test(make_series([1.0, 2.0, 3.0])).collect()] == [(None, "too short")]
+    plain = {r.k: r.tau for r in stationarity.dickey_fuller(make_series({"flat": [2.0] * 50, "walk": np.cumsum(np.random.default_rng(1).normal(size=60)), "one": [1.0]}), ["k"]).collect()}
+    assert set(plain) == {"flat", "walk", "one"} and plain["flat"] is None and plain["one"] is None and plain["walk"] is not None
 
 
 def test_p_values_at_the_critical_values():
