@@ -16,6 +16,11 @@ def last_part(name: Column) -> Column:
     return F.element_at(F.split(name, "_"), -1)
 
 
+def file_name(name: Column) -> Column:
+    """``Lag Regression`` becomes ``lag_regression``: lower case, no white space."""
+    return F.regexp_replace(F.lower(F.trim(name)), r"\s+", "_")
+
+
 def metric_line(model: Column, *values: Column) -> Column:
     """One line of the metrics report."""
     return F.format_string("%-20s" + " %10.2f" * len(values), model, *values)

@@ -15,16 +15,19 @@ from pyspark.sql import functions as F
 from demandtide.functions.metrics import HIGHER_IS_BETTER, all_metrics
 from demandtide.operators.windows import last_rows
 
+#: The two kinds of forecast.
+ONE_STEP, AHEAD = "one step", "ahead"
+
 
 def as_predictions(rows: DataFrame, model: str, keys: Sequence[str] = (), one_step: bool = False) -> DataFrame:
     """Forecast rows (``ts, idx, n, cut, y, pred``) in the long layout, with their ``horizon``.
 
     The horizon is 1 for a model that sees all earlier actuals, else the distance from the
-    last training row. Metrics of the two kinds do not compare.
+    last training row. Metrics of the two kinds do not compare; ``forecast`` names the kind.
     """
     horizon = F.lit(1).cast("bigint") if one_step else F.col("idx") - F.col("cut") + 1
     return rows.select(
-        *keys, F.lit(model).alias("model"), "ts", "idx", "n", F.col("y").alias("actual"), "pred", horizon.alias("horizon")
+        *keys, F.lit(model).alias("model"), "ts", "idx", "n", F.col("y").alias("actual"), "pred", horizon.alias("horizon"), F.lit(ONE_STEP if one_step else AHEAD).alias("forecast")
     )
 
 
@@ -57,19 +60,48 @@ def evaluate(predictions: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return predictions.groupBy(*keys, "model").agg(*all_metrics(F.col("actual"), F.col("pred")))
 
 
+def _with_kind(predictions: DataFrame) -> DataFrame:
+    """The kind of forecast as column ``forecast``. Tables without it tell by the model's horizons over all keys."""
+    if "forecast" in predictions.columns:
+        return predictions
+    kinds = predictions.groupBy("model").agg(F.when(F.max("horizon") > 1, AHEAD).otherwise(ONE_STEP).alias("forecast"))
+    return predictions.join(kinds, "model").select(*predictions.columns, "forecast")
+
+
 def on_common_rows(predictions: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Predictions of the rows that every model of the same kind of forecast predicts.
+    """Predictions of the rows that every model with a forecast for the key predicts, by kind of forecast.
 
     The kinds, ``one step`` and ``ahead``, come as column ``forecast``: their errors do not compare,
-    and a model that starts later would otherwise be judged on easier or harder rows.
+    and a model that starts later would otherwise be judged on easier or harder rows. A kind belongs
+    to a model, not to a key; a model without any forecast for a key does not take part there.
     """
-    keys = list(keys)
-    kind = F.when(F.max("horizon").over(Window.partitionBy(*keys, "model")) > 1, "ahead").otherwise("one step")
-    rows = predictions.where(F.col("pred").isNotNull()).withColumn("forecast", kind)
-    models = rows.groupBy("forecast").agg(F.count_distinct("model").alias("models"))
-    have = rows.groupBy(*keys, "forecast", "ts").agg(F.count("*").alias("have"))
-    shared = have.join(models, "forecast").where(F.col("have") == F.col("models")).select(*keys, "forecast", "ts")
-    return rows.join(shared, [*keys, "forecast", "ts"], "left_semi").select(*predictions.columns, "forecast")
+    by = [*keys, "forecast"]
+    rows = _with_kind(predictions).where(F.col("pred").isNotNull())
+    models = rows.groupBy(*by).agg(F.count_distinct("model").alias("models"))
+    rest = [c for c in rows.columns if c not in (*by, "ts")]
+    each = rows.groupBy(*by, "ts").agg(F.collect_list(F.struct(*rest)).alias("each"))
+    shared = each.join(models, by).where(F.array_size(F.array_distinct(F.col("each.model"))) == F.col("models"))
+    out = shared.select(*by, "ts", F.inline("each"))
+    return out.select(*[c for c in predictions.columns if c != "forecast"], "forecast")
+
+
+def compare_models(predictions: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """``keys, forecast, model``, the metrics on common rows, ``rank`` by RMSE and ``reason``.
+
+    Every key has a row for every model of the table. Where there are no metrics, ``reason`` says
+    whether the model has no forecast for the key or shares no row with the others. Write
+    ``predictions`` first: it is read several times.
+    """
+    by = [*keys, "forecast", "model"]
+    named = _with_kind(predictions)
+    metrics = rank_by_rmse(evaluate(on_common_rows(named, keys), [*keys, "forecast"]), [*keys, "forecast"])
+    # As many as there are models: one small array for all keys.
+    models = named.groupBy().agg(F.collect_set(F.struct("forecast", "model")).alias("m")).scalar()
+    seen = named.groupBy(*by).agg(F.count("pred").alias("_rows"))
+    every = named.select(*(keys or [F.lit(0).alias("_all")])).distinct().select(*keys, F.explode(models).alias("m")).select(*keys, "m.*")
+    joined = every.join(seen, by, "left").join(metrics, by, "left")
+    reason = F.when(F.coalesce("_rows", F.lit(0)) == 0, "no forecast").when(F.col("RMSE").isNull(), "no common rows")
+    return joined.withColumn("reason", reason).drop("_rows")
 
 
 def align_heads(predictions: DataFrame, series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from typing import Protocol
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandtide.functions.metrics import rmse
+from demandtide.operators.attach import attach
+from demandtide.operators.features import test_rows, train_rows
+from demandtide.operators.numeric import DOUBLES, key_fields, key_values, map_blocks
+from demandtide.operators.series import BLOCK
+from demandtide.operators.windows import pack_blocks, unpack_blocks
+from demandtide.session import scratch_dir
 
 
 def _fold_size(n_splits: int, test_size: int | None) -> Column:
@@ -92,11 +102,101 @@ def summarize_folds(fold_scores: DataFrame, keys: Sequence[str] = ()) -> DataFra
     return fold_scores.groupBy(*keys).agg(F.avg("rmse").alias("mean_rmse"), F.stddev_pop("rmse").alias("std_rmse"))
 
 
+class BlockModel(Protocol):
+    """A model that is fitted piece by piece, so that no task ever needs a whole series.
+
+    States and parameters are flat arrays of numbers. ``merge`` gets pieces in the order of time.
+    """
+
+    def start(self) -> np.ndarray: ...
+
+    def update(self, state: np.ndarray, idx: np.ndarray, y: np.ndarray) -> np.ndarray: ...
+
+    def merge(self, earlier: np.ndarray, later: np.ndarray) -> np.ndarray: ...
+
+    def finish(self, state: np.ndarray) -> np.ndarray: ...
+
+    def predict(self, params: np.ndarray, idx: np.ndarray) -> np.ndarray: ...
+
+
+@dataclass(frozen=True)
+class PhaseMeans:
+    """The mean of each phase of a period: a small example of a ``BlockModel``. NaN where a phase has no value."""
+
+    period: int = 24
+
+    def start(self) -> np.ndarray:
+        return np.zeros(2 * self.period)
+
+    def update(self, state: np.ndarray, idx: np.ndarray, y: np.ndarray) -> np.ndarray:
+        phase = idx % self.period
+        return state + np.concatenate([np.bincount(phase, y, self.period), np.bincount(phase, minlength=self.period)])
+
+    def merge(self, earlier: np.ndarray, later: np.ndarray) -> np.ndarray:
+        return earlier + later
+
+    def finish(self, state: np.ndarray) -> np.ndarray:
+        total, count = np.split(state, 2)
+        return np.divide(total, count, out=np.full(self.period, np.nan), where=count > 0)
+
+    def predict(self, params: np.ndarray, idx: np.ndarray) -> np.ndarray:
+        return params[idx % self.period]
+
+
+def block_forecaster(model: BlockModel, block: int = BLOCK, fan: int = 64) -> Callable[[DataFrame, list[str]], DataFrame]:
+    """Turn a mergeable model into a forecaster for series of any length, also for ``walk_forward``.
+
+    Every block of the training part makes a state; states are merged ``fan`` at a time, level by
+    level, so no task holds more than ``fan`` of them. Test blocks are predicted side by side. Rows
+    without a value take no part in the fit.
+    """
+
+    def forecaster(table: DataFrame, keys: list[str]) -> DataFrame:
+        keys = list(keys)
+        made = [T.StructField("blk", T.LongType()), T.StructField("state", DOUBLES)]
+        schema = T.StructType(key_fields(table, keys) + made)
+
+        def fit(row) -> Iterable[dict]:
+            idx, y = np.asarray(row.places), np.asarray(row.values, dtype=float)
+            known = ~np.isnan(y)
+            yield {**key_values(row, keys), "blk": row.blk, "state": model.update(model.start(), idx[known], y[known])}
+
+        def merged(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values("blk")
+            state = reduce(model.merge, (np.asarray(s, dtype=float) for s in pdf["state"]))
+            return pdf[[*keys, "blk"]].iloc[:1].assign(blk=pdf["blk"].iloc[0] // fan, state=[state])
+
+        train = pack_blocks(train_rows(table), keys, block=block, along=["ts"]).withColumn("places", F.col("rows.idx")).drop("rows")
+        states = _written(map_blocks(train, fit, schema))
+        last = states.agg(F.max("blk")).first()[0]
+        while last:
+            states = _written(states.groupBy(*keys, F.floor(F.col("blk") / fan).alias("_group")).applyInPandas(merged, schema))
+            last //= fan
+
+        @F.pandas_udf(DOUBLES)
+        def predict(places: pd.Series, state: pd.Series) -> pd.Series:
+            return pd.Series([model.predict(model.finish(np.asarray(s, dtype=float)), np.asarray(p)) for p, s in zip(places, state)])
+
+        test = pack_blocks(test_rows(table), keys, block=block, along=["ts", "cut", "y"])
+        with_state = attach(test, states, keys, ["state"])
+        out = with_state.withColumn("made", predict(F.col("rows.idx"), "state"))
+        rows = unpack_blocks(out, keys, ["ts", "cut", "y"], F.col("made"), "pred", block)
+        return rows.withColumn("pred", F.when(~F.isnan("pred"), F.col("pred")))
+
+    return forecaster
+
+
+def _written(states: DataFrame) -> DataFrame:
+    path = scratch_dir(states.sparkSession, "states")
+    states.write.parquet(path)
+    return states.sparkSession.read.schema(states.schema).parquet(path)
+
+
 def pandas_forecaster(func: Callable[[pd.DataFrame, pd.DataFrame], np.ndarray]) -> Callable[[DataFrame, list[str]], DataFrame]:
     """Wrap a user's ``func(train, test) -> predictions`` for ``walk_forward``.
 
     The function sees one series of one fold at a time, as ``ts, y`` frames, and must
-    take it whole: use it for series that fit in a task, and a DataFrame forecaster beyond.
+    take it whole: use it for series that fit in a task, and ``block_forecaster`` beyond.
     """
 
     def forecaster(table: DataFrame, keys: list[str]) -> DataFrame:

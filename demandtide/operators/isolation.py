@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandtide.operators.features import norm_params, normalize
@@ -27,6 +27,8 @@ SAMPLE = 256
 SEED = 42
 EULER = 0.5772156649
 PRIME = 2147483647  # 2^31 - 1
+# Smaller draws count as this one: a logarithm needs more than 0.
+LEAST_DRAW = 1e-12
 # Candidates drawn per wanted window, so that a tree hardly ever comes up short.
 SURPLUS = 1.3
 
@@ -113,16 +115,30 @@ def grow_tree(x: np.ndarray, limit: int, seed: int, tree: int) -> list[dict]:
 def sample_windows(series: DataFrame, keys: Sequence[str], windows: int, length: int, trees: int, sample: int, seed: int) -> DataFrame:
     """``tree, turn, idx, keys``: at most ``sample`` window places per tree.
 
-    About ``SURPLUS * sample * trees`` rows come out, whatever the size of the series.
+    About ``SURPLUS * sample * trees`` rows come out, whatever the size of the series. A window draws the
+    gap to the next tree that takes it (a geometric number), again and again until the trees are
+    through: of many windows nearly all need one draw.
     """
     chance = min(1.0, SURPLUS * sample / windows)
     key = F.pmod(F.xxhash64(*keys), F.lit(PRIME)) if keys else F.lit(0).cast("bigint")
     first = F.lit(seed).cast("bigint")
+    missed = math.log(1 - chance) if chance < 1 else -math.inf
+
+    def gap(turn: Column) -> Column:
+        if chance >= 1:
+            return F.lit(0).cast("bigint")
+        return F.floor(F.ln(F.greatest(draw(first, turn, F.col("_key"), F.col("idx"), F.lit(1)), F.lit(LEAST_DRAW))) / F.lit(missed))
+
     places = series.where(has_window(length)).select(*keys, "idx", key.alias("_key"))
+    # The first gap alone decides about most windows, in plain arithmetic.
+    some = places.withColumn("_first", gap(F.lit(0).cast("bigint"))).where(F.col("_first") < trees)
+    taken = F.aggregate(
+        F.sequence(F.lit(1).cast("bigint"), F.lit(trees).cast("bigint")),
+        F.array("_first"),
+        lambda t, k: F.when(F.element_at(t, -1) >= trees, t).otherwise(F.concat(t, F.array(F.element_at(t, -1) + 1 + gap(k)))),
+    )
+    drawn = some.withColumn("tree", F.explode(F.filter(taken, lambda t: t < trees))).withColumn("tree", F.col("tree").cast("int")).drop("_first")
     turn = draw(first, F.col("tree"), F.col("_key"), F.col("idx"), F.lit(2))
-    # One draw for each tree and window at every size; only the trees that take a window become rows.
-    takes = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: draw(first, tree, F.col("_key"), F.col("idx"), F.lit(1)) < chance)
-    drawn = places.withColumn("tree", F.explode(takes))
     order = Window.partitionBy("tree").orderBy(turn, *keys, "idx")
     return drawn.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= sample).drop("_key")
 

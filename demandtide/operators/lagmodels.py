@@ -14,7 +14,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegres
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandtide.operators.features import denormalize, norm_params, normalize, with_split
+from demandtide.operators.features import denormalize, norm_params, normalize, with_split, with_target
 from demandtide.operators.scores import window_mean_error
 from demandtide.operators.windows import supervised_windows
 
@@ -48,12 +48,13 @@ def lag_frame(
 
 
 def lag_forecast(
-    series: DataFrame, learner_name: str = "lr", keys: Sequence[str] = (), length: int = 24, fit_on: str = "train", test_size: float = 0.2
+    series: DataFrame, learner_name: str = "lr", keys: Sequence[str] = (), length: int = 24, fit_on: str = "train", test_size: float = 0.2, value: str = "y"
 ) -> DataFrame:
     """Train on the training windows, forecast the test windows: the rows with ``pred``.
 
     The first ``length`` test rows have no window of their own and no forecast.
     """
+    series = with_target(series, value)
     frame, params = lag_frame(series, keys, length, fit_on, test_size)
     model = learner(learner_name).fit(frame.where(F.col("split") == "train").select("features", "z"))
     test = model.transform(frame.where(F.col("split") == "test"))
@@ -81,13 +82,14 @@ def boosting_losses(model: GBTRegressionModel, part: DataFrame) -> list[float]:
     return list(model.evaluateEachIteration(part, "squared"))
 
 
-def sequence_scores(series: DataFrame, keys: Sequence[str] = (), length: int = 24, method: str = "sequence") -> DataFrame:
+def sequence_scores(series: DataFrame, keys: Sequence[str] = (), length: int = 24, method: str = "sequence", value: str = "y") -> DataFrame:
     """Score table: mean squared one-step error of a linear lag model over each window.
 
     Trained on all rows, as a detector looks back. The first ``length`` rows have no
     one-step error; windows average those they have.
     """
     keys = list(keys)
+    series = with_target(series, value)
     frame, params = lag_frame(series, keys, length, fit_on="all", across=True)
     model = learner("lr").fit(frame.select("features", "z"))
     err = (F.col("z") - F.col("z_pred")) * (F.col("z") - F.col("z_pred"))

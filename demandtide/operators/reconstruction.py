@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandtide.operators.attach import attach
-from demandtide.operators.features import norm_params, normalize
+from demandtide.operators.features import norm_params, normalize, with_target
 from demandtide.operators.gram import gram, solve
 from demandtide.operators.numeric import DOUBLES
 from demandtide.operators.series import BLOCK
@@ -44,7 +44,7 @@ def fit_patterns(blocks: DataFrame, keys: Sequence[str] = (), length: int = 24,
 
 
 def pattern_scores(
-    series: DataFrame, keys: Sequence[str] = (), length: int = 24, patterns: int = 8, method: str = "patterns", block: int = BLOCK
+    series: DataFrame, keys: Sequence[str] = (), length: int = 24, patterns: int = 8, method: str = "patterns", block: int = BLOCK, value: str = "y"
 ) -> DataFrame:
     """Score table: mean squared distance of each normalized window from its projection.
 
@@ -52,6 +52,7 @@ def pattern_scores(
     row comes out.
     """
     keys = list(keys)
+    series = with_target(series, value)
     z = normalize(series, norm_params(series, keys), keys).withColumn("z", F.coalesce("z", F.lit(0.0)))
     along = ["ts", "y"]
     blocks = pack_blocks(z, keys, "z", before=length - 1, block=block, along=along)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from demandtide.functions.calendar import monday_first
 from demandtide.operators.attach import attach
-from demandtide.operators.features import norm_params, normalize
+from demandtide.operators.features import norm_params, normalize, with_target
 from demandtide.operators.quantiles import exact_percentile
 from demandtide.operators.series import BLOCK
 from demandtide.operators.windows import last_rows, over_time
@@ -34,9 +34,10 @@ def window_mean_error(errors: DataFrame, method: str, keys: Sequence[str] = (),
     )
 
 
-def profile_scores(series: DataFrame, keys: Sequence[str] = (), length: int = 24, method: str = "profile") -> DataFrame:
+def profile_scores(series: DataFrame, keys: Sequence[str] = (), length: int = 24, method: str = "profile", value: str = "y") -> DataFrame:
     """How far a window of normalized values is from the usual (weekday, hour) values."""
     keys = list(keys)
+    series = with_target(series, value)
     z = normalize(series, norm_params(series, keys), keys).select(
         *keys, "ts", "idx", "n", "y", "z", monday_first(F.col("ts")).alias("dow"), F.hour("ts").alias("hour")
     )

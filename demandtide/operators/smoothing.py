@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandtide.operators.attach import attach
-from demandtide.operators.features import train_rows
+from demandtide.operators.features import train_rows, with_target
 from demandtide.operators.numeric import DOUBLES, key_fields, key_values, map_block_groups, map_blocks
 from demandtide.operators.recursion import block_starts, last_block, state_of, with_starts
 from demandtide.operators.windows import pack_blocks
@@ -183,7 +183,8 @@ def forecast_smoothing(table: DataFrame, fitted: DataFrame, keys: Sequence[str]
 
 
 def holt_winters(
-    table: DataFrame, keys: Sequence[str] = (), grid: Sequence[Params] = GRID, period: int = 24, block: int = RUN_BLOCK
+    table: DataFrame, keys: Sequence[str] = (), grid: Sequence[Params] = GRID, period: int = 24, block: int = RUN_BLOCK, value: str = "y"
 ) -> DataFrame:
     """Fit on ``idx < cut`` and forecast the rest: the rows with ``pred, alpha, beta, gamma, sse``."""
+    table = with_target(table, value)
     return forecast_smoothing(table, fit_smoothing(table, keys, grid, period, block), keys, period)

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from demandtide.operators.descent import EPOCHS, FADE, FADE_SQUARES, FLOOR, RATE
-from demandtide.operators.isolation import EULER, PRIME, SAMPLE, SEED, SURPLUS, TREES
+from demandtide.operators.isolation import EULER, LEAST_DRAW, PRIME, SAMPLE, SEED, SURPLUS, TREES
 from demandtide.operators.sarima import CANDIDATES, EDGE, ROUNDS, Order, strides
 from demandtide.operators.smoothing import GRID
 from demandtide.operators.stationarity import CRITICAL, LARGE_P, SMALL_P, TAU_MAX, TAU_MIN, TAU_STAR
-from demandtide.operators.trend import KNOT_RANGE, KNOTS, PENALTY, SEASONS
+from demandtide.operators.trend import KNOT_RANGE, KNOTS, PENALTIES, PENALTY, SEASONS
 
 
 def _r(expr: str, name: str, places: int = 6) -> str:
@@ -548,6 +548,11 @@ def _average_path(n: str) -> str:
     return f"CASE WHEN {n} <= 1 THEN 0 WHEN {n} = 2 THEN 1 ELSE 2 * (ln({n} - 1) + {EULER}::DOUBLE) - 2 * ({n} - 1) / {n}::DOUBLE END"
 
 
+def _gap(turn: str) -> str:
+    """Trees passed over before the next one that takes a window."""
+    return f"CASE WHEN missed IS NULL THEN 0 ELSE floor(ln(greatest({_draw(turn, '0', 'idx', '1')}, {LEAST_DRAW}::DOUBLE)) / missed)::BIGINT END"
+
+
 FOREST = (
     ALL
     + f""",
@@ -555,12 +560,15 @@ win AS MATERIALIZED (
   SELECT * FROM (SELECT idx, list(y) OVER (ORDER BY idx ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) AS x FROM s) WHERE idx >= 23
 ),
 size AS (SELECT count(*) AS w FROM win),
-drawn AS MATERIALIZED (
-  SELECT tree, idx, x, {_draw('tree', '0', 'idx', '1')} AS member, {_draw('tree', '0', 'idx', '2')} AS turn FROM win, range(0, {TREES}) r(tree)
+odds AS (SELECT CASE WHEN {SURPLUS}::DOUBLE * {SAMPLE} < w THEN ln(1 - {SURPLUS}::DOUBLE * {SAMPLE} / w) END AS missed FROM size),
+drawn AS (
+  SELECT idx, 0::BIGINT AS k, {_gap('0')} AS tree FROM win, odds
+  UNION ALL
+  SELECT idx, k + 1, tree + 1 + {_gap('(k + 1)')} FROM drawn, odds WHERE tree < {TREES}
 ),
 a0 AS MATERIALIZED (
-  SELECT tree, x, 1 AS node FROM drawn, size WHERE member < least(1.0::DOUBLE, {SURPLUS}::DOUBLE * {SAMPLE} / w)
-  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY turn, idx) <= {SAMPLE}
+  SELECT tree::INTEGER AS tree, x, 1 AS node FROM drawn JOIN win USING (idx) WHERE tree < {TREES}
+  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY {_draw('tree', '0', 'idx', '2')}, idx) <= {SAMPLE}
 ),
 v0 AS MATERIALIZED (SELECT tree, idx, x, 1 AS node FROM win, range(0, {TREES}) r(tree))"""
     + "".join(_level(k) for k in range(_DEPTH))
@@ -576,6 +584,79 @@ t AS (SELECT quantile_cont(score, 0.95) AS threshold FROM pr WHERE idx >= 23)"""
 
 GRID_VALUES = ", ".join("(" + ", ".join(f"{v}::DOUBLE" for v in w) + ")" for w in GRID)
 
+HOLT = _smoothing(GRID_VALUES, "idx < floor(n * 0.8::DOUBLE)") + """,
+e AS (SELECT event_type, a, b, c, sum((y - pred) * (y - pred)) AS sse, max(idx) AS last FROM hw WHERE idx >= 0 GROUP BY ALL),
+best AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY sse) = 1),
+f AS (SELECT best.*, level, trend, season FROM best JOIN hw ON hw.event_type = best.event_type AND hw.a = best.a AND hw.b = best.b AND hw.c = best.c AND hw.idx = best.last)"""
+
+# A ridge per fold and penalty on the training part, the penalty of the least mean error, and its ridge on all of that part.
+_BENDS = f"list_transform(m, lambda r, i: list_transform(r, lambda v, j: v + CASE WHEN i = j AND i > {_PLAIN} AND i < {_LAST} THEN penalty ELSE 0 END))"
+TUNED = (
+    TYPED
+    + f""",
+b AS (SELECT *, floor(n * 0.8::DOUBLE)::BIGINT AS cut FROM s),
+u AS (SELECT *, idx / (cut - 1)::DOUBLE AS u FROM b),
+long AS (SELECT event_type AS e, idx AS t, cut, unnest(range(1, {_LAST + 1})) AS i, unnest([1.0::DOUBLE, u, {_WAVES}, {_HINGES}, y]) AS v FROM u),
+fo AS (
+  SELECT event_type AS e, fold, cut // 2 + (fold - 1) * (cut // 6) AS train_end, cut // 2 + fold * (cut // 6) AS test_end
+  FROM b, range(1, 6) r(fold) WHERE idx = 0 AND cut // 2 + fold * (cut // 6) <= cut
+),
+x AS (SELECT long.e || '/' || fold AS g, t, i, v FROM long JOIN fo ON fo.e = long.e AND t < train_end)"""
+    + _matrix("x", "mm")
+    + f""",
+pens AS (SELECT unnest(range(0, {len(PENALTIES)})) AS place, unnest([{", ".join(f"{v}::DOUBLE" for v in PENALTIES)}]) AS penalty),
+m0 AS (SELECT g || '/' || place AS g, {_BENDS} AS m FROM mm, pens)"""
+    + _eliminate("m0", "el", "len(m) - 1")
+    + f""",
+hat AS (
+  SELECT fo.e, fold, place, t, sum(CASE WHEN i < {_LAST} THEN v * m[i][{_LAST}] ELSE 0 END) AS pred, sum(CASE WHEN i = {_LAST} THEN v END) AS y
+  FROM long JOIN fo ON fo.e = long.e AND t >= train_end AND t < test_end, pens JOIN el ON el.k = {_LAST - 1}
+  WHERE el.g = fo.e || '/' || fold || '/' || place GROUP BY ALL
+),
+er AS (SELECT e, fold, place, sqrt(avg((y - pred) * (y - pred))) AS rmse FROM hat GROUP BY ALL),
+best AS (SELECT e, place, avg(rmse) AS mean_rmse FROM er GROUP BY e, place QUALIFY row_number() OVER (PARTITION BY e ORDER BY avg(rmse), place) = 1),
+xf AS (SELECT e AS g, t, i, v FROM long WHERE t < cut)"""
+    + _matrix("xf", "mf")
+    + f""",
+m1 AS (SELECT g, {_BENDS} AS m FROM mf JOIN best ON best.e = mf.g JOIN pens USING (place))"""
+    + _eliminate("m1", "ef", "len(m) - 1")
+    + f""",
+pr AS (
+  SELECT long.e AS g, t, any_value(penalty) AS penalty, any_value(mean_rmse) AS mean_rmse, sum(v * m[i][{_LAST}]) AS pred
+  FROM long JOIN ef ON ef.g = long.e AND ef.k = {_LAST - 1} JOIN best ON best.e = long.e JOIN pens USING (place) WHERE t >= cut AND i < {_LAST} GROUP BY ALL
+)"""
+)
+
+
+def _plain_forecasts() -> dict[str, str]:
+    """``event_type, ts, actual, pred`` of the models that SQL states, as they come."""
+    return {
+        "moving_average": PRED + " SELECT event_type, ts, actual, pred FROM p WHERE model = 'moving_average'",
+        "lag_linear": _recursive(_lag_regression("train", ", train")) + " SELECT event_type, ts, y AS actual, hat * std + mean AS pred FROM lr WHERE NOT train",
+        "exp_smoothing": _recursive(HOLT)
+        + " SELECT s.event_type, ts, y AS actual, level + (s.idx - last) * trend + season[((s.idx - last - 1) % 24) + 1] AS pred FROM s JOIN f ON s.event_type = f.event_type AND s.idx > f.last",
+        "trend_waves": _recursive(TREND) + " SELECT event_type, ts, y AS actual, pred FROM pr JOIN s ON s.event_type = pr.g AND s.idx = pr.t",
+        "sarima": _recursive(SARIMA) + " SELECT event_type, ts, y AS actual, pred FROM s JOIN fc ON fc.g = s.event_type AND fc.idx = s.idx AND pred IS NOT NULL",
+    }
+
+
+#: Each kind's models on the rows they all predict.
+COMPARED = (
+    "WITH p AS ("
+    + " UNION ALL ".join(f"SELECT '{'one step' if m in ('moving_average', 'lag_linear') else 'ahead'}' AS forecast, '{m}' AS model, * FROM ({sql})" for m, sql in _plain_forecasts().items())
+    + f"""),
+c AS (SELECT event_type, forecast, ts FROM p GROUP BY ALL HAVING count(*) = CASE WHEN forecast = 'ahead' THEN 3 ELSE 2 END),
+m AS (SELECT event_type, forecast, model, {METRICS} FROM p JOIN c USING (event_type, forecast, ts) GROUP BY ALL)
+SELECT event_type, forecast, model, {", ".join(_r(m, m, 4) for m in ("MAE", "RMSE", "MAPE", "SMAPE", "R2"))},
+  rank() OVER (PARTITION BY event_type, forecast ORDER BY RMSE)::INTEGER AS rank, NULL::VARCHAR AS reason FROM m"""
+)
+
+
+def _logged(sql: str) -> str:
+    """The same over the logarithm of the counts."""
+    return sql.replace("coalesce(c.c, 0)::DOUBLE AS y", "ln(1 + coalesce(c.c, 0)::DOUBLE) AS y")
+
+
 ORACLES = {
     "hourly_demand": ALL + " SELECT ts, idx, y::BIGINT AS trip_count FROM s",
     "hourly_demand_by_type": TYPED + " SELECT event_type, ts, idx, y::BIGINT AS trip_count FROM s",
@@ -739,11 +820,8 @@ r AS (
 SELECT event_type, {_r('b / sqrt((syy - b * b * sxx) / (m - 2) / sxx)', 'tau')} FROM r""",
     "holt_winters_fixed": _recursive(_smoothing("(0.3::DOUBLE, 0.05::DOUBLE, 0.1::DOUBLE)", "true"))
     + f" SELECT event_type, idx, y, {_r('pred', 'pred')} FROM hw WHERE idx >= 0",
-    "holt_winters_grid": _recursive(_smoothing(GRID_VALUES, "idx < floor(n * 0.8::DOUBLE)"))
-    + f""",
-e AS (SELECT event_type, a, b, c, sum((y - pred) * (y - pred)) AS sse, max(idx) AS last FROM hw WHERE idx >= 0 GROUP BY ALL),
-best AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY sse) = 1),
-f AS (SELECT best.*, level, trend, season FROM best JOIN hw ON hw.event_type = best.event_type AND hw.a = best.a AND hw.b = best.b AND hw.c = best.c AND hw.idx = best.last)
+    "holt_winters_grid": _recursive(HOLT)
+    + f"""
 SELECT s.event_type, ts, {_r('level + (s.idx - last) * trend + season[((s.idx - last - 1) % 24) + 1]', 'pred')},
   a AS alpha, b AS beta, c AS gamma, {_r('sse', 'sse')}
 FROM s JOIN f ON s.event_type = f.event_type AND s.idx > f.last""",
@@ -771,7 +849,31 @@ FROM s JOIN fc ON fc.g = s.event_type AND fc.idx = s.idx AND pred IS NOT NULL JO
     "training_history": _recursive(_adam()) + f" {_epoch_loss('ga', 'train')} UNION ALL {_epoch_loss('gb', 'test')}",
     "model_artifact": _recursive(_adam())
     + f""" SELECT event_type, ts, y AS actual, {_r('list_dot_product(x[1:25], b) * std + mean', 'pred')} FROM full_, ep WHERE k = {EPOCHS} AND NOT train""",
+    "series_csv_roundtrip": ALL + " SELECT ts, y::BIGINT AS trip_count FROM s",
+    "processed_roundtrip": TYPED
+    + " SELECT event_type, CASE WHEN idx < floor(n * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split, hour(ts)::INTEGER AS hour, count(*) AS n, sum(y) AS total, max(ts) AS last FROM s GROUP BY ALL",
+    "floored_events": "SELECT event_type, date_trunc('minute', ts)::TIMESTAMP AS minute, count(*) AS n FROM events GROUP BY ALL",
+    "regression_frames": TYPED
+    + """ SELECT event_type, ts AS ds, y, 'train' AS part FROM s WHERE idx < floor(n * 0.8::DOUBLE) AND idx % 7 <> 0
+UNION ALL SELECT event_type, ts, NULL, 'future' FROM s WHERE idx >= floor(n * 0.8::DOUBLE)""",
+    "metrics_report": RANKED
+    + """, named AS (SELECT *, CASE model WHEN 'moving_average' THEN 'Moving Average' ELSE 'Same Hour Yesterday' END AS title FROM mr)
+SELECT event_type, model, title, model AS file_name, string_split(model, '_')[-1] AS last_part, printf('%-20s %10.2f %10.2f', title, round(MAE, 2), round(RMSE, 2)) AS line FROM named""",
+    "walk_forward_callback": WALK
+    + f""",
+ph AS (SELECT f.event_type, fold, idx % 24 AS p, avg(y) AS m FROM s JOIN f ON s.event_type = f.event_type AND idx < train_end GROUP BY ALL)
+SELECT f.event_type, f.fold, {_r('sqrt(avg((y - m) * (y - m)))', 'rmse')}
+FROM s JOIN f ON s.event_type = f.event_type AND idx >= train_end AND idx < test_end JOIN ph ON ph.event_type = f.event_type AND ph.fold = f.fold AND p = idx % 24 GROUP BY ALL""",
+    "ingest_after_failure": """SELECT year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month,
+CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 1 ELSE 3 END::INTEGER AS run, count(*) AS n FROM orders GROUP BY ALL""",
+    "fourier_trend_tuned": _recursive(TUNED)
+    + f" SELECT event_type, ts, y, {_r('pred', 'pred')}, penalty, {_r('mean_rmse', 'mean_rmse')} FROM pr JOIN s ON s.event_type = pr.g AND s.idx = pr.t",
     "sarima_orders": " UNION ALL ".join(f"SELECT * FROM ({_arima_rows(name, order)})" for name, order in (("(1,0,1)", Order(1, 0, 1)), ("(0,1,1)(0,1,1,24)", Order(0, 1, 1, 0, 1, 1, 24)))),
-    "isolation_forest": FOREST
+    "isolation_forest": _recursive(FOREST)
     + f" SELECT ts, y, {_r('score', 'score')}, {_r('threshold', 'threshold')}, idx >= 23 AND score > threshold AS is_anomaly FROM pr, t",
 }
+ORACLES |= {
+    "compare_models": COMPARED,
+    "fourier_trend_target": _logged(ORACLES["fourier_trend_forecast"]).replace("ts, y,", "ts, round(y, 6) + 0.0 AS y,"),
+    "profile_recon_target": _logged(ORACLES["profile_recon_flags"]),
+}

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandtide.functions import labels
+from demandtide.functions.calendar import floor_to_bucket
 from demandtide.operators import evaluate as ev
 from demandtide.operators import descent, explore, folds, scores
 from demandtide.operators import features as ft
@@ -136,6 +138,18 @@ def ingest_missing_months(spark, sf_dir):
     return spark.read.parquet(target).groupBy("year", "month", "run").agg(F.count("*").alias("n"))
 
 
+def ingest_after_failure(spark, sf_dir):
+    """A run that ended while months were half written: the next one writes these again and leaves whole ones."""
+    orders = tb.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    target = scratch_dir(spark, "ingest")
+    tb.write_months(se.between(orders, "o_orderdate", end="1998-01-01").withColumn("run", F.lit(1)), target, "o_orderdate")
+    late = se.between(orders, "o_orderdate", start="1998-01-01").withColumn("run", F.lit(2)).select("*", *tb.months_of("o_orderdate"))
+    late.where(F.dayofmonth("o_orderdate") <= 15).write.mode("append").partitionBy("year", "month").parquet(target)
+    tb.ingest_months(orders.withColumn("run", F.lit(3)), target, "o_orderdate")
+    schema = late.select("o_orderkey", "o_orderdate", "run", "year", "month").schema
+    return tb.read_complete_months(spark, target, schema).groupBy("year", "month", "run").agg(F.count("*").alias("n"))
+
+
 def scan_monthly_files(spark, sf_dir):
     """Orders as month files, read back for a list of months that goes beyond them."""
     orders = tb.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
@@ -155,6 +169,36 @@ def csv_roundtrip(spark, sf_dir):
     return se.demand_series(tb.read_events_csv(spark, path, events.schema), keys=KEY).select("event_type", "ts", "idx", trips())
 
 
+def series_csv_roundtrip(spark, sf_dir):
+    """The hourly series as CSV and back, in the layout of the series file."""
+    path = scratch_dir(spark, "series-csv")
+    tb.write_csv(overall(spark, sf_dir).select(F.col("ts").alias("timestamp"), trips()), path)
+    return tb.read_series_csv(spark, path).select(F.col("timestamp").alias("ts"), "trip_count")
+
+
+def processed_roundtrip(spark, sf_dir):
+    """Features with both parts written as one table, the parts read back and counted by hour of day."""
+    path = scratch_dir(spark, "processed")
+    table = ft.calendar_features(ft.with_split(by_type(spark, sf_dir)))
+    tb.write_processed(table, path)
+    back = spark.read.schema(table.schema).parquet(path)
+    return back.groupBy("event_type", "split", "hour").agg(F.count("*").alias("n"), F.sum("y").alias("total"), F.max("ts").alias("last"))
+
+
+def floored_events(spark, sf_dir):
+    """Events per opening time of their minute and type."""
+    events = tb.table(spark, sf_dir, "events")
+    return events.groupBy("event_type", floor_to_bucket(F.col("ts"), "minute").alias("minute")).agg(F.count("*").alias("n"))
+
+
+def regression_frames(spark, sf_dir):
+    """The training frame without missing values and the future frame, in the naming of regression libraries."""
+    table = ft.with_cut(by_type(spark, sf_dir)).withColumn("y", F.when(F.col("idx") % 7 != 0, F.col("y")))
+    train = ft.regression_frame(ft.drop_missing(ft.train_rows(table)), KEY)
+    future = ft.future_frame(ft.test_rows(table), KEY)
+    return train.withColumn("part", F.lit("train")).unionByName(future.withColumn("part", F.lit("future")), allowMissingColumns=True)
+
+
 # --- features and splits -----------------------------------------------------------
 
 
@@ -258,6 +302,11 @@ def walk_forward_rmse(spark, sf_dir):
     return folds.walk_forward(by_type(spark, sf_dir), _ma, KEY).select("event_type", "fold", r6("rmse"))
 
 
+def walk_forward_callback(spark, sf_dir):
+    """A model given by its own code, fitted block by block and merged."""
+    return folds.walk_forward(kept(by_type(spark, sf_dir)), folds.block_forecaster(folds.PhaseMeans(24)), KEY).select("event_type", "fold", r6("rmse"))
+
+
 def walk_forward_summary(spark, sf_dir):
     """The moving average looks only at earlier rows, so it runs once for all folds."""
     per_fold = folds.walk_forward(by_type(spark, sf_dir), _ma, KEY, refit=False)
@@ -310,6 +359,23 @@ def model_ranking(spark, sf_dir):
     return ev.rank_models(metrics, KEY)
 
 
+def metrics_report(spark, sf_dir):
+    """The metrics written as a report, read back, with the names and lines as printed."""
+    path = scratch_dir(spark, "metrics")
+    metrics = ev.evaluate(_predictions(spark, sf_dir), KEY).select("event_type", "model", *_metric_columns())
+    tb.write_metrics(metrics, path)
+    back = tb.read_events_csv(spark, path, metrics.schema)
+    shown = labels.title(F.col("model"))
+    return back.select(
+        "event_type",
+        "model",
+        shown.alias("title"),
+        labels.file_name(shown).alias("file_name"),
+        labels.last_part(F.col("model")).alias("last_part"),
+        labels.metric_line(shown, F.round("MAE", 2), F.round("RMSE", 2)).alias("line"),
+    )
+
+
 def predictions_long(spark, sf_dir):
     return _predictions(spark, sf_dir).select("event_type", "model", "ts", "actual", r6("pred"))
 
@@ -452,6 +518,27 @@ def fourier_trend_forecast(spark, sf_dir):
     return trend_forecast(_cut(spark, sf_dir), KEY).select("event_type", "ts", "y", r6("pred"))
 
 
+def fourier_trend_tuned(spark, sf_dir):
+    """The penalty of the bends chosen within the training part."""
+    out = trend_forecast(_cut(spark, sf_dir), KEY, penalty=None)
+    return out.select("event_type", "ts", "y", r6("pred"), "penalty", r6("mean_rmse"))
+
+
+def _logged(table: DataFrame) -> DataFrame:
+    return table.withColumn("log_count", F.log1p("y"))
+
+
+def fourier_trend_target(spark, sf_dir):
+    """A forecast of another column than the count."""
+    return trend_forecast(_logged(_cut(spark, sf_dir)), KEY, value="log_count").select("event_type", "ts", r6("y"), r6("pred"))
+
+
+def profile_recon_target(spark, sf_dir):
+    """A detector on another column than the count."""
+    flagged = scores.flag_scores(kept(scores.profile_scores(_logged(by_type(spark, sf_dir)), KEY, value="log_count")), KEY)
+    return flagged.select("event_type", "ts", r6("score"), r6("threshold"), "is_anomaly")
+
+
 def sarima_css(spark, sf_dir):
     return sarima(ft.with_cut(kept(by_type(spark, sf_dir))), KEY).select("event_type", "ts", "y", r6("pred"), r6("aic"), r6("bic"))
 
@@ -501,6 +588,13 @@ def compare_forecasts(spark, sf_dir):
     return ev.rank_by_rmse(ev.evaluate(kept(shared), by), by).select(*by, "model", *_metric_columns(), "rank")
 
 
+def compare_models(spark, sf_dir):
+    """The forecasters that SQL can state, every key with a row for each of them."""
+    models = ("sarima", "exp_smoothing", "trend_waves", "moving_average", "lag_linear")
+    found = ev.compare_models(kept(forecast_all(kept(by_type(spark, sf_dir)), KEY, models)), KEY)
+    return found.select(*KEY, "forecast", "model", *[r6(m, places=4) for m in ("MAE", "RMSE", "MAPE", "SMAPE", "R2")], "rank", "reason")
+
+
 # --- detectors ---------------------------------------------------------------------
 
 
@@ -561,8 +655,13 @@ QUERIES = {
         sample_exact,
         union_slices,
         ingest_missing_months,
+        ingest_after_failure,
         scan_monthly_files,
         csv_roundtrip,
+        series_csv_roundtrip,
+        processed_roundtrip,
+        floored_events,
+        regression_frames,
         time_features,
         normalize,
         norm_params,
@@ -579,10 +678,12 @@ QUERIES = {
         walk_forward_folds,
         walk_forward_rmse,
         walk_forward_summary,
+        walk_forward_callback,
         forecast_metrics,
         metrics_with_gaps,
         forecast_metrics_head_aligned,
         model_ranking,
+        metrics_report,
         predictions_long,
         predictions_wide,
         profile_recon_scores,
@@ -606,6 +707,9 @@ QUERIES = {
         holt_winters_fixed,
         holt_winters_grid,
         fourier_trend_forecast,
+        fourier_trend_tuned,
+        fourier_trend_target,
+        profile_recon_target,
         sarima_css,
         sarima_orders,
         lag_regression_lr,
@@ -615,6 +719,7 @@ QUERIES = {
         learner_history,
         model_artifact,
         compare_forecasts,
+        compare_models,
         isolation_forest,
         isolation_forest_by_user,
         pca_recon,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -12,6 +13,9 @@ from pyspark.sql import types as T
 SERIES_SCHEMA = T.StructType(
     [T.StructField("timestamp", T.TimestampNTZType()), T.StructField("trip_count", T.LongType())]
 )
+MANIFEST = T.StructType(
+    [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType()), T.StructField("rows", T.LongType()), T.StructField("at", T.LongType())]
+)
 NORM_SCHEMA = T.StructType([T.StructField("mean", T.DoubleType()), T.StructField("std", T.DoubleType())])
 
 
@@ -80,22 +84,61 @@ def missing_months(source: DataFrame, present: DataFrame, ts_col: str) -> DataFr
     return source.select("*", *months_of(ts_col)).join(present.select("year", "month").distinct(), ["year", "month"], "left_anti")
 
 
+def _manifest(target: str) -> str:
+    """The folder of the manifest: beside the months, so that reading them does not meet it."""
+    return target.rstrip("/") + "-manifest"
+
+
+def _entries(spark: SparkSession, target: str) -> DataFrame:
+    path = _manifest(target)
+    return spark.read.schema(MANIFEST).parquet(path) if _present(spark, [path]) else spark.createDataFrame([], MANIFEST)
+
+
+def complete_months(spark: SparkSession, target: str) -> DataFrame:
+    """``year, month, rows`` of the months whose last entry in the manifest says that they are whole."""
+    last = _entries(spark, target).groupBy("year", "month").agg(F.max_by("rows", "at").alias("rows"))
+    return last.where(F.col("rows") >= 0)
+
+
+def read_complete_months(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """The rows of whole months; half-written ones are passed over. ``schema`` has ``year`` and ``month`` last."""
+    rows = spark.read.schema(schema).parquet(target)
+    return rows.join(F.broadcast(complete_months(spark, target).select("year", "month")), ["year", "month"], "left_semi").select(*schema.fieldNames())
+
+
+def _note(months: DataFrame, target: str) -> None:
+    """Add entries ``year, month, rows`` to the manifest; rows -1 says that a month is being written."""
+    at = F.lit(time.time_ns())
+    months.select("year", "month", F.col("rows").cast("bigint").alias("rows"), at.alias("at")).coalesce(1).write.mode("append").parquet(_manifest(target))
+
+
+def _write_whole(parts: DataFrame, target: str) -> None:
+    """Write month folders between two entries: a failure on the way leaves the months open, and the next
+    run writes them again. The counts come from what was written."""
+    spark = parts.sparkSession
+    wanted = [(r["year"], r["month"]) for r in parts.select("year", "month").distinct().collect()]
+    if not wanted:
+        return
+    months = spark.createDataFrame(wanted, "year int, month int")
+    _note(months.withColumn("rows", F.lit(-1)), target)
+    parts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(target)
+    there = spark.read.schema(parts.schema).parquet(target).join(F.broadcast(months), ["year", "month"], "left_semi")
+    _note(there.groupBy("year", "month").agg(F.count("*").alias("rows")), target)
+
+
 def ingest_months(source: DataFrame, target: str, ts_col: str) -> None:
-    """Add the months ``target`` lacks, one folder per month; months already there stay untouched.
+    """Add the months ``target`` lacks, one folder per month; whole months already there stay untouched.
 
-    The months present come from the folder names, no file is opened for them.
+    A month counts as there when the manifest says it is whole. One that a failed run left half
+    written, or that some other tool put there, is written again and replaced.
     """
-    spark = source.sparkSession
-    months = T.StructType([T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
-    present = spark.read.parquet(target).select("year", "month") if _present(spark, [target]) else spark.createDataFrame([], months)
-    new = missing_months(source, present, ts_col)
-    new.write.mode("append").partitionBy("year", "month").parquet(target)
+    new = missing_months(source, complete_months(source.sparkSession, target), ts_col)
+    _write_whole(new.select(*source.columns, "year", "month"), target)
 
 
 def write_months(df: DataFrame, target: str, ts_col: str) -> None:
     """Write month folders; months in ``df`` replace their old content, others stay."""
-    parts = df.select("*", *months_of(ts_col))
-    parts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(target)
+    _write_whole(df.select("*", *months_of(ts_col)), target)
 
 
 def read_events_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -193,3 +193,42 @@ def test_horizons(make_series):
     s = make_series(season(50)).withColumn("pred", F.col("y")).where("idx >= cut")
     assert [r.horizon for r in ev.as_predictions(s, "m").orderBy("idx").collect()] == list(range(1, 11))
     assert {r.horizon for r in ev.as_predictions(s, "m", one_step=True).collect()} == {1}
+
+
+@pytest.mark.parametrize("block, fan", [(4032, 64), (20, 2), (20, 3)])
+def test_a_merged_model_equals_one_fitted_at_once(make_series, block, fan):
+    """States merged level by level; phases without a value have no forecast."""
+    values = {"a": season(700, 1), "b": season(130, 2), "tiny": [1.0] * 10}
+    s = make_series(values).withColumn("y", F.when(F.col("idx") % 24 != 5, F.col("y")))
+    got = folds.block_forecaster(folds.PhaseMeans(24), block, fan)(s, ["k"]).collect()
+    for k, y in values.items():
+        y, cut = np.asarray(y), int(len(y) * 0.8)
+        idx = np.arange(len(y))
+        for r in (r for r in got if r["k"] == k):
+            train = y[:cut][(idx[:cut] % 24 == r["idx"] % 24) & (idx[:cut] % 24 != 5)]
+            assert r["pred"] == (pytest.approx(train.mean()) if len(train) else None)
+        assert sorted(r["idx"] for r in got if r["k"] == k) == list(range(cut, len(y)))
+
+
+class _Ordered:
+    """A model whose merge depends on the order of time: the last value and how many there were."""
+
+    def start(self):
+        return np.array([np.nan, 0.0])
+
+    def update(self, state, idx, y):
+        return np.array([y[-1] if len(y) else state[0], state[1] + len(y)])
+
+    def merge(self, earlier, later):
+        return np.array([earlier[0] if np.isnan(later[0]) else later[0], earlier[1] + later[1]])
+
+    def finish(self, state):
+        return state
+
+    def predict(self, params, idx):
+        return params[0] + params[1] * 1000 + 0 * idx
+
+
+def test_states_are_merged_in_order(make_series):
+    out = folds.block_forecaster(_Ordered(), 7, 2)(make_series(np.arange(500.0)), []).collect()
+    assert {r["pred"] for r in out} == {399 + 400_000}

@@ -1,10 +1,12 @@
 """Odd keys, odd times, gaps in predictions: cases in which a wrong answer once came out unseen."""
 
+import math
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from demandtide.operators.evaluate import evaluate, on_common_rows, rank_by_rmse
+from demandtide.operators.evaluate import compare_models, evaluate, on_common_rows, rank_by_rmse
 from demandtide.operators.features import norm_params
 from demandtide.operators.isolation import draw, isolation_forest, sample_windows
 from demandtide.operators.lagmodels import lag_forecast
@@ -53,6 +55,21 @@ def test_models_are_compared_on_shared_rows_of_their_kind(spark):
     assert got == [("early", 2, "one step"), ("early", 3, "one step"), ("far", 1, "ahead"), ("far", 2, "ahead"), ("far", 3, "ahead"), ("late", 2, "one step"), ("late", 3, "one step")]
 
 
+def test_no_model_and_no_key_vanishes_from_the_comparison(spark):
+    """A key with one test row takes nothing from the others; a model without forecast is a row with its reason."""
+    rows = [(k, m, t, h) for k, n in (("long", 20), ("one", 1)) for m, ahead in (("far", True), ("near", False)) for t in range(n) for h in [t + 1 if ahead else 1]]
+    rows += [("long", "mean", t, 1) for t in range(3, 20)] + [("apart", "near", 0, 1), ("apart", "mean", 1, 1), ("apart", "far", 0, 1)]
+    df = spark.createDataFrame([(k, m, t, float(t), t + 1.0, h) for k, m, t, h in rows], "k string, model string, ts long, actual double, pred double, horizon long")
+    common = on_common_rows(df, ["k"]).groupBy("k", "forecast", "model").count().collect()
+    assert {tuple(r) for r in common} == {("long", "ahead", "far", 20), ("long", "one step", "near", 17), ("long", "one step", "mean", 17), ("one", "ahead", "far", 1), ("one", "one step", "near", 1), ("apart", "ahead", "far", 1)}
+    found = {(r["k"], r["model"]): r for r in compare_models(df, ["k"]).collect()}
+    assert set(found) == {(k, m) for k in ("long", "one", "apart") for m in ("far", "near", "mean")}
+    assert found["one", "mean"]["reason"] == "no forecast" and found["one", "mean"]["RMSE"] is None
+    assert found["apart", "near"]["reason"] == found["apart", "mean"]["reason"] == "no common rows"
+    assert found["long", "mean"]["reason"] is None and found["long", "mean"]["RMSE"] == 1.0 and found["long", "mean"]["forecast"] == "one step"
+    assert len(compare_models(df.where("k = 'long'").drop("k")).collect()) == 3
+
+
 def test_wide_scores_keep_fractions(spark):
     df = spark.createDataFrame([("m", 1, 2.0, 0.5), ("m", 2, 3.0, 0.5)], "method string, ts long, y double, score double")
     assert widen_scores(rescale_sampled(df, 0.3), ["m"]).agg(F.round(F.sum("trip_count"), 9)).first()[0] == round(5 / 0.3, 9)
@@ -84,14 +101,23 @@ def test_stream_and_batch_agree_in_another_zone(spark, tmp_path):
 
 
 def test_trees_draw_windows_alike_at_every_size(spark, make_series):
-    """One draw for each tree and window, also where far fewer windows than all are wanted."""
+    """Gaps to the next tree, drawn by one rule, also where far fewer windows than all are wanted."""
     series = make_series([float(i % 7) for i in range(3000)])
     for sample in (256, 8):
         got = sorted((r["tree"], r["idx"]) for r in sample_windows(series, [], 2977, 24, 20, sample, 42).select("tree", "idx").collect())
+        missed, takes = math.log(1 - 1.3 * sample / 2977), []
+        for i in range(23, 3000):
+            tree, k = -1, 0
+            while True:
+                tree, k = tree + 1 + math.floor(math.log(max(draw(42, k, 0, i, 1), 1e-12)) / missed), k + 1
+                if tree >= 20:
+                    break
+                takes.append((tree, i))
+        # As many as one draw for each tree and window would give, about.
+        assert abs(len(takes) / (20 * 1.3 * sample) - 1) < 0.25
         want = []
         for tree in range(20):
-            able = [i for i in range(23, 3000) if draw(42, tree, 0, i, 1) < min(1.0, 1.3 * sample / 2977)]
-            want += [(tree, i) for i in sorted(able, key=lambda i: (draw(42, tree, 0, i, 2), i))[:sample]]
+            want += [(tree, i) for i in sorted((i for t, i in takes if t == tree), key=lambda i: (draw(42, tree, 0, i, 2), i))[:sample]]
         assert got == sorted(want)
     assert isolation_forest(series, trees=5, sample=16).where("score > 0").count() == 2977
 

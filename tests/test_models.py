@@ -148,9 +148,34 @@ def test_trend_equals_numpy_ridge(make_series, block):
     np.testing.assert_allclose(got, design(t[cut:]) @ beta, rtol=1e-7)
 
 
-def test_penalty_choice_ranks_all(make_series):
-    got = trend.choose_penalty(make_series(season(480)).drop("cut"), candidates=(1.0, 100.0)).collect()
-    assert sorted(r["rank"] for r in got) == [1, 2] and all(r.mean_rmse < 3 for r in got)
+@pytest.mark.parametrize("block", [4032, 70])
+def test_penalty_equals_refitting_every_fold(make_series, block):
+    """Sums of products per stretch give what a ridge on each fold's own rows gives; the test part is not looked at."""
+    rng = np.random.default_rng(6)
+    bent = season(600) + np.maximum(np.arange(600) - 250, 0) * 0.3 + rng.normal(size=600) * 4
+    values = {"bent": bent, "short": season(30), "other": np.concatenate([bent[:480], np.full(120, 1e6)])}
+    got = {r.k: r for r in trend.fit_tuned_trend(make_series(values), ["k"], block=block).collect()}
+    freqs, knots = np.asarray(trend._waves(trend.SEASONS)), 0.8 * np.arange(1, 26) / 25
+    y, cut = bent[:480], 480
+    x = trend._design(np.arange(cut), cut, freqs, knots)
+    rmses = []
+    for fold in range(5):
+        a, z = 240 + fold * 80, 240 + (fold + 1) * 80
+        if z > cut:
+            break
+        betas = [np.linalg.solve(x[:a].T @ x[:a] + np.diag([0.0] * 16 + [p] * 25), x[:a].T @ y[:a]) for p in trend.PENALTIES]
+        rmses.append([np.sqrt(np.mean((y[a:z] - x[a:z] @ b) ** 2)) for b in betas])
+    means = np.mean(rmses, axis=0)
+    assert len(rmses) == 3
+    np.testing.assert_allclose(got["bent"].rmses, means, rtol=1e-6)
+    assert got["bent"].penalty == trend.PENALTIES[int(np.argmin(means))] == got["other"].penalty
+    assert got["other"].slope == pytest.approx(got["bent"].slope)
+
+
+def test_tuned_forecast_of_too_little(make_series):
+    """Without a fold the middle penalty is taken."""
+    got = trend.fit_tuned_trend(make_series([1.0, 2.0, 3.0, 4.0, 5.0])).collect()
+    assert [(r.penalty, r.mean_rmse) for r in got] == [(10.0, None)]
 
 
 # --- seasonal ARIMA ----------------------------------------------------------------

@@ -42,6 +42,35 @@ def test_ingest_adds_only_new_months(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == [2, 9]
 
 
+def test_a_failed_ingest_is_made_good(spark, tmp_path, monkeypatch):
+    """Months half written by a run that failed, before or after their files came, are written again as a whole."""
+    target = str(tmp_path / "t")
+    rows = [(i, dt.datetime(2023, 1 + i % 3, 1 + i % 25)) for i in range(90)]
+    log = spark.createDataFrame(rows, "id long, ts timestamp_ntz")
+    tb.ingest_months(log.where("month(ts) = 1"), target, "ts")
+
+    def fails(months, where):
+        entries(months, where)
+        # The files of February come in part, then the run ends.
+        half = log.where("month(ts) = 2 AND id < 45").select("*", *tb.months_of("ts"))
+        half.write.mode("append").partitionBy("year", "month").parquet(where)
+        raise RuntimeError("lost")
+
+    entries = tb._note
+    monkeypatch.setattr(tb, "_note", fails)
+    with pytest.raises(RuntimeError):
+        tb.ingest_months(log, target, "ts")
+    monkeypatch.setattr(tb, "_note", entries)
+    assert {(r.month, r.rows) for r in tb.complete_months(spark, target).collect()} == {(1, 30)}
+    schema = log.select("*", *tb.months_of("ts")).schema
+    assert tb.read_complete_months(spark, target, schema).count() == 30
+    tb.ingest_months(log, target, "ts")
+    assert sorted(r.id for r in spark.read.parquet(target).collect()) == list(range(90))
+    assert {(r.month, r.rows) for r in tb.complete_months(spark, target).collect()} == {(1, 30), (2, 30), (3, 30)}
+    tb.ingest_months(log, target, "ts")
+    assert tb.read_complete_months(spark, target, schema).count() == 90
+
+
 def test_series_csv(spark, tmp_path):
     s = overall(spark, SF).select(F.col("ts").alias("timestamp"), F.col("y").cast("bigint").alias("trip_count"))
     tb.write_csv(s, str(tmp_path / "s"))
