@@ -1,19 +1,23 @@
-"""Katz back-off bigram model: Good-Turing discounted counts, exactly normalised back-off weights.
+"""Katz back-off model of any order: Good-Turing discounted counts, exactly normalised back-off weights.
 
 Counts come from the training documents (crc32 of the id as text, modulo 5, not 1); every document is
-scored. ``P(w|h) = d(c) c / c(h)`` for a pair seen ``c`` times, else ``alpha(h) P(w)``, where ``P(w)`` is the
-discounted unigram probability and an unseen word takes the unigrams' freed mass.
-``alpha(h) = (1 - sum of discounted P(w|h)) / (1 - sum of P(w))`` over the words seen after ``h``, so each
-history's probabilities add up to one.
+scored. ``P(w|h) = d(c) c / c(h)`` for an n-gram seen ``c`` times, else ``alpha(h) P(w|h')``, where ``h'`` is the
+history without its first word, and so on down to the discounted unigrams, whose freed mass an unseen
+word takes. ``alpha(h) = (1 - sum of discounted P(w|h)) / (1 - sum of P(w|h'))`` over the words seen after
+``h``, so each history's probabilities add up to one. The first words of a text have shorter histories;
+one start mark stands before the first.
 
 How the work is dealt out: documents become *blocks* of at most ``BLOCK_TOKENS`` tokens, coded as numbers
-and written to the shared folder. A block asks the owners of its words (buckets of the word hash) for
-global counts, and the owners of its histories for global pair counts. An owner merges what all blocks sent,
-which is the partitioned table, and answers each block in the order it asked. So neither counts nor tokens
-of the whole corpus meet anywhere, and a pair travels once per block, not once per token. A history of more than
+and written to the shared folder under a name made of their content. Level by level, a block asks the
+owners of its n-grams (buckets of the history's hash) for global counts and sends along what the level
+below says of each. An owner merges what all blocks sent, which is the partitioned table of that
+level, and answers each block in the order it asked; with the answers the block has the probabilities of
+all its n-grams of the level and asks for the next. So neither counts nor tokens of the whole corpus
+meet anywhere, and an n-gram travels once per block and level, not once per token. A history of more than
 ``HOT`` tokens has several owners, dealt by the following word; their sums meet per history.
 
-Words are 64-bit hashes; the following word of a pair is compared by its upper 48 bits.
+Words and histories are 64-bit hashes; the following word of an n-gram is compared by its upper 48 bits.
+Counts have 64 bits.
 
 Defined results: a null or empty text is one token, the end; a null id counts as the text "" for the fold;
 rows that repeat an id are scored each; no training document: scores rest on unseen words alone;
@@ -22,9 +26,11 @@ an empty table gives an empty table; other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import io
 import json
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -48,8 +54,10 @@ BUCKETS_PER_TASK = 4
 #: Counts up to which Good-Turing discounts apply.
 LARGEST = 5
 START, END = np.uint64(1), np.uint64(2)
+#: The bucket of blocks that have nothing to ask.
+NOBODY = -1
 
-ASK = "block long, bucket int, words binary, counts binary, extra binary, runs binary, rare binary"
+ASK = "block long, bucket int, words binary, counts binary, lower binary, runs binary, histories binary"
 ANSWER = "kind string, block long, bucket int, counts binary, stats binary, n long, v long, history long, ofs array<double>"
 
 
@@ -129,11 +137,13 @@ def _ask_words(docs: DataFrame, folder: str, buckets: int) -> DataFrame:
         train = np.repeat(~held, length)
         counts = np.bincount(ids[1:][train], minlength=len(words))
         counts[ids[0]] = (~held).sum()
-        block = (TaskContext.get().partitionId() << 24) + number
+        # A task that runs again over rows in another order writes other files and asks for those.
+        content = hashlib.blake2b(b"".join(x.tobytes() for x in (words, ids, length, held)), digest_size=8, key=b"%d/%d" % (TaskContext.get().partitionId(), number))
+        block = int.from_bytes(content.digest()) >> 1
         _save(folder, f"block-{block}", words=words, ids=ids[1:].astype(np.uint32), length=length, held=held, doc=np.array([json.dumps(r[0]) for r in rows]))
         bucket = (words >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-        out = [(block, int(bucket[a]), words[a:z].tobytes(), _pack(counts[a:z].astype(np.uint32))) for a, z in _segments(bucket)]
-        return pd.DataFrame(out, columns=["block", "bucket", "words", "counts"]).assign(extra=b"", runs=b"", rare=b"")
+        out = [(block, int(bucket[a]), words[a:z].tobytes(), _pack(counts[a:z].astype(np.int64))) for a, z in _segments(bucket)]
+        return pd.DataFrame(out, columns=["block", "bucket", "words", "counts"]).assign(lower=b"", runs=b"", histories=b"")
 
     def run(batches):
         tables, rows, held, number = Tables(), [], 0, 0
@@ -171,9 +181,9 @@ def _count_words(pdf: pd.DataFrame) -> pd.DataFrame:
     """Owner of words: merges, answers each block, adds the totals."""
     pdf = pdf.sort_values("block")
     words = [np.frombuffer(x, np.uint64) for x in pdf["words"]]
-    counts = np.concatenate([_unpack(x, np.uint32) for x in pdf["counts"]])
+    counts = np.concatenate([_unpack(x, np.int64) for x in pdf["counts"]])
     types, place = np.unique(np.concatenate(words), return_inverse=True)
-    total = np.bincount(place, weights=counts, minlength=len(types)).astype(np.int64)
+    total = _sums(place, counts, len(types))
     true = types != START
     n = np.bincount(np.minimum(total[true], LARGEST + 2), minlength=LARGEST + 3)[: LARGEST + 2]
     rows = [{"kind": "total", "n": int(total[true].sum()), "v": int((total[true] > 0).sum()), "ofs": n.astype(float).tolist()}]
@@ -184,17 +194,48 @@ def _count_words(pdf: pd.DataFrame) -> pd.DataFrame:
     return _frame(rows)
 
 
-def _pairs_of(block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of a block: each token's pair, the pairs' history and word, the training count of pairs,
-    each token's document."""
-    ids, length = block["ids"].astype(np.int64), block["length"]
-    size = len(block["words"])
-    first = np.concatenate(([0], np.cumsum(length)[:-1]))
-    before = np.concatenate(([0], ids[:-1]))
-    before[first] = np.searchsorted(block["words"], START)
-    pairs, place = np.unique(before * size + ids, return_inverse=True)
-    train = np.repeat(~block["held"], length)
-    return place, pairs // size, pairs % size, np.bincount(place[train], minlength=len(pairs)), first
+def _sums(place: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
+    """Whole sums per place, exact beyond the 53 bits of a weight."""
+    out = np.zeros(size, dtype=np.int64)
+    np.add.at(out, place, counts)
+    return out
+
+
+@dataclass
+class _Level:
+    """A block's different n-grams of one length, in the order of (history, word)."""
+
+    at: np.ndarray  # each token's n-gram, -1 where the text has no history of that length
+    history: np.ndarray  # number of the history among the n-grams of the level below
+    word: np.ndarray
+    lower: np.ndarray  # number of the n-gram without its first word on the level below
+    train: np.ndarray  # occurrences in the block's training documents
+    hash: np.ndarray
+
+
+def _first(block) -> np.ndarray:
+    """First token of each document."""
+    return np.concatenate(([0], np.cumsum(block["length"])[:-1]))
+
+
+def _levels(block, order: int) -> list[_Level]:
+    """The n-grams of a block up to ``order``; those of one word are the block's words."""
+    ids, words, first = block["ids"].astype(np.int64), block["words"], _first(block)
+    train = np.repeat(~block["held"], block["length"])
+    none = np.zeros(0, np.int64)
+    out = [_Level(ids, none, np.arange(len(words)), none, none, words)]
+    for k in range(2, order + 1):
+        below = out[-1]
+        before = np.concatenate(([-1], below.at[:-1]))
+        before[first] = np.searchsorted(words, START) if k == 2 else -1
+        there = before >= 0
+        grams, place = np.unique(before[there] * len(words) + ids[there], return_inverse=True)
+        at = np.full(len(ids), -1)
+        at[there] = place
+        history, word, lower = grams // len(words), grams % len(words), np.empty(len(grams), np.int64)
+        lower[place] = below.at[there]
+        out.append(_Level(at, history, word, lower, np.bincount(place[train[there]], minlength=len(grams)), mix(below.hash[history] * np.uint64(0xD6E8FEB86659FD93) + words[word])))
+    return out
 
 
 def _owners(history: np.ndarray, word: np.ndarray, count: np.ndarray, buckets: int) -> np.ndarray:
@@ -203,112 +244,148 @@ def _owners(history: np.ndarray, word: np.ndarray, count: np.ndarray, buckets: i
     return ((mix(history + which) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def _ask_pairs(folder: str, buckets: int):
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        block = _load(folder, f"block-{key[0]}")
-        counts = np.concatenate([_unpack(x, np.int64) for x in pdf.sort_values("bucket")["counts"]])
-        _save(folder, f"counts-{key[0]}", counts=counts)
-        words = block["words"]
-        _, h, w, c, _ = _pairs_of(block)
-        bucket = _owners(words[h], words[w], counts[h], buckets)
-        order = np.argsort(bucket, kind="stable")
-        rows = []
-        for a, z in _segments(bucket[order]):
-            mine = order[a:z]
-            hs = h[mine]
-            edge = np.concatenate(([0], np.flatnonzero(np.diff(hs)) + 1, [len(hs)]))
-            short = words[w[mine]] >> np.uint64(16)
-            low, high = short.astype(np.uint32), (short >> np.uint64(32)).astype(np.uint16)
-            rows.append((key[0], int(bucket[mine[0]]), low.tobytes() + high.tobytes(), _pack(c[mine].astype(np.uint32)), _pack(counts[w[mine]].astype(np.uint32)), _pack(np.diff(edge).astype(np.uint32)), np.concatenate((words[hs[edge[:-1]]], (counts[hs[edge[:-1]]] >= HOT).astype(np.uint64))).tobytes()))
-        return pd.DataFrame(rows, columns=["block", "bucket", "words", "counts", "extra", "runs", "rare"])
+def _dealt(levels: list[_Level], words: np.ndarray, k: int, counts: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of level ``k`` in the order in which they go to their owners, and these."""
+    level, below = levels[k - 1], levels[k - 2]
+    bucket = _owners(below.hash[level.history], words[level.word], counts[level.history], buckets)
+    order = np.argsort(bucket, kind="stable")
+    return order, bucket[order]
+
+
+def _ask_grams(block_id: int, block, levels: list[_Level], k: int, counts: np.ndarray, lower: np.ndarray, buckets: int) -> pd.DataFrame:
+    """A row per owner: runs of histories, the words after them, training counts, probabilities of the level below."""
+    level, words = levels[k - 1], block["words"]
+    order, bucket = _dealt(levels, words, k, counts, buckets)
+    rows = []
+    for a, z in _segments(bucket):
+        mine = order[a:z]
+        hs = level.history[mine]
+        edge = np.concatenate(([0], np.flatnonzero(np.diff(hs)) + 1, [len(hs)]))
+        short = words[level.word[mine]] >> np.uint64(16)
+        low, high = short.astype(np.uint32), (short >> np.uint64(32)).astype(np.uint16)
+        # The sum over seen words takes its terms from blocks that have seen them.
+        told = np.where(level.train[mine] > 0, lower[level.lower[mine]], 0.0)
+        lead = hs[edge[:-1]]
+        names = np.concatenate((levels[k - 2].hash[lead], (counts[lead] >= HOT).astype(np.uint64)))
+        rows.append((block_id, int(bucket[a]), low.tobytes() + high.tobytes(), _pack(level.train[mine]), _pack(told), _pack(np.diff(edge).astype(np.uint32)), names.tobytes()))
+    if not rows:
+        # Texts too short for the level: the block stays in the round.
+        rows.append((block_id, NOBODY, b"", b"", b"", b"", b""))
+    return pd.DataFrame(rows, columns=["block", "bucket", "words", "counts", "lower", "runs", "histories"])
+
+
+def _count_grams(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Owner of histories: merges the n-grams, answers each block; per history the numbers of words
+    seen 1..LARGEST times after it and the sum of their probabilities on the level below, or, for one
+    of several owners, its part of them."""
+    pdf = pdf.sort_values("block")
+    if pdf["bucket"].iloc[0] == NOBODY:
+        return _frame([{"kind": "answer", "block": b, "bucket": NOBODY, "counts": _pack(np.zeros(0, np.int64)), "stats": _pack(np.zeros(0))} for b in pdf["block"]])
+    parts = []
+    for w, c, x, r, h in zip(pdf["words"], pdf["counts"], pdf["lower"], pdf["runs"], pdf["histories"]):
+        m = len(w) // 6
+        word = np.frombuffer(w[: 4 * m], np.uint32).astype(np.uint64) | np.frombuffer(w[4 * m :], np.uint16).astype(np.uint64) << np.uint64(32)
+        runs, both = _unpack(r, np.uint32), np.frombuffer(h, np.uint64)
+        parts.append((word, _unpack(c, np.int64), _unpack(x, np.float64), np.repeat(both[: len(runs)], runs), both[: len(runs)], both[len(runs) :], runs))
+    word, c, lower, history = (np.concatenate([p[k] for p in parts]) for k in range(4))
+    order = np.lexsort((word, history))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (word[order[1:]] != word[order[:-1]]) | (history[order[1:]] != history[order[:-1]])
+    start = np.flatnonzero(new)
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.cumsum(new) - 1
+    total = np.add.reduceat(c[order], start)
+    below = np.maximum.reduceat(lower[order], start)
+    seen = total > 0
+    names, owner = np.unique(history[order[new]], return_inverse=True)
+    stats = np.zeros((len(names), LARGEST + 1))
+    for r in range(1, LARGEST + 1):
+        stats[:, r - 1] = np.bincount(owner[total == r], minlength=len(names))
+    stats[:, LARGEST] = np.bincount(owner[seen], weights=below[seen], minlength=len(names))
+    n = np.bincount(np.minimum(total[seen], LARGEST + 2), minlength=LARGEST + 3)[: LARGEST + 2]
+    rows = [{"kind": "total", "n": int(total.sum()), "v": int(seen.sum()), "ofs": n.astype(float).tolist()}]
+    at, hot = 0, {}
+    for block, bucket, p in zip(pdf["block"], pdf["bucket"], parts):
+        m = len(p[0])
+        mine, asked = np.searchsorted(names, p[4]), total[place[at : at + m]]
+        told = stats[mine]
+        # The sum matters only where the block has an n-gram to back off for.
+        told[~np.logical_or.reduceat(asked == 0, np.cumsum(p[6], dtype=np.int64) - p[6]), LARGEST] = 0
+        rows.append({"kind": "answer", "block": block, "bucket": bucket, "counts": _pack(asked), "stats": _pack(told)})
+        hot |= {int(k): int(i) for k, i, f in zip(p[4], mine, p[5]) if f}
+        at += m
+    for k, i in hot.items():
+        rows.append({"kind": "part", "history": int(np.uint64(k).view(np.int64)), "ofs": stats[i].tolist()})
+    return _frame(rows)
 
-    return run
 
+def _absorb(pdf: pd.DataFrame, block, levels: list[_Level], k: int, counts: np.ndarray, lower: np.ndarray, buckets: int, d: np.ndarray, hot: dict[int, list[float]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts and probabilities of a block's n-grams of level ``k`` from its owners' answers."""
+    pdf = pdf.sort_values("bucket")
+    level, below = levels[k - 1], levels[k - 2]
+    order, bucket = _dealt(levels, block["words"], k, counts, buckets)
+    h = level.history
+    total = np.empty(len(order), dtype=np.int64)
+    total[order] = np.concatenate([_unpack(x, np.int64) for x in pdf["counts"]])
+    # The statistics come once for each run of a history within an owner's n-grams.
+    lead = np.ones(len(order), dtype=bool)
+    lead[1:] = (h[order[1:]] != h[order[:-1]]) | (bucket[1:] != bucket[:-1])
+    stats = np.zeros((len(counts), LARGEST + 1))
+    stats[h[order[lead]]] = np.concatenate([_unpack(x, np.float64) for x in pdf["stats"]]).reshape(-1, LARGEST + 1)
+    for i in np.flatnonzero(counts >= HOT):
+        stats[i] = hot.get(int(below.hash[i].view(np.int64)), stats[i])
+    freed = (stats[:, :LARGEST] * np.arange(1, LARGEST + 1) * (1 - d[1:])).sum(1)
+    known = counts > 0
+    # A history that frees nothing counts one token more, for all words not seen after it.
+    whole = np.where(freed > 0, counts, counts + 1)
+    mass = np.where(known, np.where(freed > 0, freed, 1.0) / np.maximum(whole, 1), 1.0)
+    alpha = np.where(known, mass / np.maximum(1 - stats[:, LARGEST], 1e-300), 1.0)
+    factor = np.where(total <= LARGEST, d[np.minimum(total, LARGEST)], 1.0)
+    return total, np.where(total > 0, factor * total / np.maximum(whole[h], 1), alpha[h] * lower[level.lower])
+
+
+def _next_level(folder: str, k: int, buckets: int, unigrams: Unigrams, d: np.ndarray | None, hot: dict):
+    """A function over a block's answers of level ``k - 1`` that keeps what they say and asks for level ``k``."""
 
-def _count_pairs(unigrams: Unigrams):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Owner of histories: merges the pairs, answers each block; per history the numbers of words
-        seen 1..LARGEST times after it and the sum of their P(w), or, for one of several owners, its
-        part of them."""
-        pdf = pdf.sort_values("block")
-        parts = []
-        for w, c, x, r, h in zip(pdf["words"], pdf["counts"], pdf["extra"], pdf["runs"], pdf["rare"]):
-            m = len(w) // 6
-            word = np.frombuffer(w[: 4 * m], np.uint32).astype(np.uint64) | np.frombuffer(w[4 * m :], np.uint16).astype(np.uint64) << np.uint64(32)
-            runs, both = _unpack(r, np.uint32), np.frombuffer(h, np.uint64)
-            parts.append((word, _unpack(c, np.uint32), _unpack(x, np.uint32), np.repeat(both[: len(runs)], runs), both[: len(runs)], both[len(runs) :], runs))
-        word, c, cw, history = (np.concatenate([p[k] for p in parts]) for k in range(4))
-        order = np.lexsort((word, history))
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = (word[order[1:]] != word[order[:-1]]) | (history[order[1:]] != history[order[:-1]])
-        group = np.cumsum(new) - 1
-        total = np.bincount(group, weights=c[order]).astype(np.int64)
-        place = np.empty(len(order), dtype=np.int64)
-        place[order] = group
-        first = order[new]
-        seen = total > 0
-        names, owner = np.unique(history[first], return_inverse=True)
-        stats = np.zeros((len(names), LARGEST + 1))
-        for r in range(1, LARGEST + 1):
-            stats[:, r - 1] = np.bincount(owner[total == r], minlength=len(names))
-        stats[:, LARGEST] = np.bincount(owner[seen], weights=unigrams(cw[first][seen].astype(np.int64)), minlength=len(names))
-        n = np.bincount(np.minimum(total[seen], LARGEST + 2), minlength=LARGEST + 3)[: LARGEST + 2]
-        rows = [{"kind": "total", "n": int(total.sum()), "v": int(seen.sum()), "ofs": n.astype(float).tolist()}]
-        at, hot = 0, {}
-        for block, bucket, p in zip(pdf["block"], pdf["bucket"], parts):
-            m = len(p[0])
-            mine, asked = np.searchsorted(names, p[4]), total[place[at : at + m]]
-            told = stats[mine]
-            # The sum matters only where the block has a pair to back off for.
-            told[~np.logical_or.reduceat(asked == 0, np.cumsum(p[6], dtype=np.int64) - p[6]), LARGEST] = 0
-            rows.append({"kind": "answer", "block": block, "bucket": bucket, "counts": _pack(asked.astype(np.uint32)), "stats": _pack(told)})
-            hot |= {int(k): int(i) for k, i, f in zip(p[4], mine, p[5]) if f}
-            at += m
-        for k, i in hot.items():
-            rows.append({"kind": "part", "history": int(np.uint64(k).view(np.int64)), "ofs": stats[i].tolist()})
-        return _frame(rows)
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        block = _load(folder, f"block-{key[0]}")
+        levels = _levels(block, k)
+        counts, p = _known(folder, key[0], pdf, block, levels, k - 1, buckets, unigrams, d, hot)
+        _save(folder, f"level-{k - 1}-{key[0]}", counts=counts, p=p)
+        return _ask_grams(key[0], block, levels, k, counts, p, buckets)
 
     return run
 
 
-def _score(folder: str, buckets: int, unigrams: Unigrams, n: np.ndarray, hot: dict[int, list[float]], columns: list[str]):
-    d = discounts(n)
+def _known(folder: str, name: int, pdf: pd.DataFrame, block, levels, k: int, buckets: int, unigrams: Unigrams, d: np.ndarray | None, hot: dict) -> tuple[np.ndarray, np.ndarray]:
+    if k == 1:
+        counts = np.concatenate([_unpack(x, np.int64) for x in pdf.sort_values("bucket")["counts"]])
+        return counts, unigrams(counts)
+    below = _load(folder, f"level-{k - 1}-{name}")
+    return _absorb(pdf, block, levels, k, below["counts"], below["p"], buckets, d, hot)
+
 
+def _score(folder: str, order: int, buckets: int, unigrams: Unigrams, d: np.ndarray | None, hot: dict, columns: list[str]):
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
         block = _load(folder, f"block-{key[0]}")
-        counts = _load(folder, f"counts-{key[0]}")["counts"]
-        words, ids = block["words"], block["ids"].astype(np.int64)
-        place, h, w, _, first = _pairs_of(block)
-        pdf = pdf.sort_values("bucket")
-        bucket = _owners(words[h], words[w], counts[h], buckets)
-        order = np.argsort(bucket, kind="stable")
-        total = np.empty(len(order), dtype=np.int64)
-        total[order] = np.concatenate([_unpack(x, np.uint32) for x in pdf["counts"]])
-        # The statistics come once for each run of a history within an owner's pairs.
-        lead = np.ones(len(order), dtype=bool)
-        lead[1:] = (h[order[1:]] != h[order[:-1]]) | (bucket[order[1:]] != bucket[order[:-1]])
-        stats = np.zeros((len(words), LARGEST + 1))
-        stats[h[order[lead]]] = np.concatenate([_unpack(x, np.float64) for x in pdf["stats"]]).reshape(-1, LARGEST + 1)
-        for k in np.flatnonzero(counts >= HOT):
-            stats[k] = hot.get(int(words[k].view(np.int64)), stats[k])
-        freed = (stats[:, :LARGEST] * np.arange(1, LARGEST + 1) * (1 - d[1:])).sum(1)
-        known = counts > 0
-        # A history that frees nothing counts one token more, for all words not seen after it.
-        whole = np.where(freed > 0, counts, counts + 1)
-        mass = np.where(known, np.where(freed > 0, freed, 1.0) / np.maximum(whole, 1), 1.0)
-        alpha = np.where(known, mass / np.maximum(1 - stats[:, LARGEST], 1e-300), 1.0)
-        p1 = unigrams(counts)
-        factor = np.where(total <= LARGEST, d[np.minimum(total, LARGEST)], 1.0)
-        p = np.where(total > 0, factor * total / np.maximum(whole[h], 1), alpha[h] * p1[w])
-        base_p = np.log10((counts + 0.5) / (unigrams.tokens + 0.5 * (unigrams.types + 1)))
+        levels, ids, first = _levels(block, order), block["ids"].astype(np.int64), _first(block)
+        counts, p = _known(folder, key[0], pdf, block, levels, order, buckets, unigrams, d, hot)
+        words = counts
+        of_token = np.append(p, 1.0)[levels[-1].at]
+        # The first words of a text have n-grams of the lower levels only.
+        for k in range(order - 1, 0, -1):
+            below = _load(folder, f"level-{k}-{key[0]}")
+            words = below["counts"]
+            of_token = np.where(levels[k].at >= 0, of_token, below["p"][levels[k - 1].at])
+        base_p = np.log10((words + 0.5) / (unigrams.tokens + 0.5 * (unigrams.types + 1)))
         out = pd.DataFrame({
             "doc_id": pd.Series([json.loads(x) for x in block["doc"]], dtype=object if any(x == "null" for x in block["doc"]) else None),
             "held_out": block["held"],
             "n_tokens": block["length"].astype(np.int64),
-            "n_known": np.add.reduceat(known[ids].astype(np.int64), first),
+            "n_known": np.add.reduceat((words > 0)[ids].astype(np.int64), first),
             "train_tokens": np.full(len(first), unigrams.tokens, dtype=np.int64),
             "base_score": np.add.reduceat(base_p[ids], first),
-            "score": np.add.reduceat(np.log10(p)[place], first),
+            "score": np.add.reduceat(np.log10(of_token), first),
         })
         return out[columns]
 
@@ -321,20 +398,24 @@ def _totals(answers: DataFrame) -> tuple[int, int, np.ndarray]:
     return int(row["n"] or 0), int(row["v"] or 0), np.array([row[f"n{r}"] or 0.0 for r in range(LARGEST + 2)])
 
 
-def katz_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+def katz_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = 3) -> DataFrame:
+    """One row per document row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (by a
+    model of n-grams of up to ``order`` words)."""
+    if order < 1:
+        raise ValueError("the order is 1 or more")
     docs = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     schema = T.StructType([T.StructField("doc_id", docs.schema["id"].dataType), *T._parse_datatype_string("held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double").fields])
     folder = scratch_dir(docs.sparkSession, "katz")
     buckets = max(16, BUCKETS_PER_TASK * docs.rdd.getNumPartitions())
     columns = [f.name for f in schema.fields]
 
-    words = base.kept(_ask_words(docs, folder, buckets).groupBy("bucket").applyInPandas(_count_words, ANSWER), "word-counts")
-    unigrams = Unigrams(*_totals(words))
-    asked = words.filter("kind = 'answer'").groupBy("block").applyInPandas(_ask_pairs(folder, buckets), ASK)
-    pairs = base.kept(asked.groupBy("bucket").applyInPandas(_count_pairs(unigrams), ANSWER), "pair-counts")
-    _, _, n = _totals(pairs)
-    parts = pairs.filter("kind = 'part'").groupBy("history").agg(F.array(*[F.sum(F.element_at("ofs", r + 1)) for r in range(LARGEST + 1)]).alias("s"))
-    # At most one row for each HOT tokens of the corpus.
-    hot = {r["history"]: list(r["s"]) for r in parts.collect()}
-    return pairs.filter("kind = 'answer'").groupBy("block").applyInPandas(_score(folder, buckets, unigrams, n, hot, columns), schema)
+    answers = base.kept(_ask_words(docs, folder, buckets).groupBy("bucket").applyInPandas(_count_words, ANSWER), "counts-1")
+    unigrams, d, hot = Unigrams(*_totals(answers)), None, {}
+    for k in range(2, order + 1):
+        asked = answers.filter("kind = 'answer'").groupBy("block").applyInPandas(_next_level(folder, k, buckets, unigrams, d, hot), ASK)
+        answers = base.kept(asked.groupBy("bucket").applyInPandas(_count_grams, ANSWER), f"counts-{k}")
+        d = discounts(_totals(answers)[2])
+        parts = answers.filter("kind = 'part'").groupBy("history").agg(F.array(*[F.sum(F.element_at("ofs", r + 1)) for r in range(LARGEST + 1)]).alias("s"))
+        # At most one row for each HOT tokens of the corpus.
+        hot = {r["history"]: list(r["s"]) for r in parts.collect()}
+    return answers.filter("kind = 'answer'").groupBy("block").applyInPandas(_score(folder, order, buckets, unigrams, d, hot, columns), schema)

@@ -1,12 +1,15 @@
 """The operators' queries against their SQL, and what SQL cannot say against brute force."""
 
 import collections
+import functools
 import hashlib
 import html
 import math
 import re
 import zlib
 
+import numpy as np
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -61,63 +64,98 @@ def test_personal_data_against_plain_patterns(spark, texts):
         assert set(filter(None, joined.split(","))) <= set(r["spans"].split(","))
 
 
-def _katz(texts):
-    """The model in plain Python: a function from a text's tokens to its two scores."""
+def _katz(texts, order):
+    """The model in plain Python: a function from a word and its history to its probability."""
     tokens = {i: [*x.encode().lower().split(), None] for i, x in texts.items()}
     train = {i: w for i, w in tokens.items() if zlib.crc32(str(i).encode()) % 5 != 1}
-    one, two = collections.Counter(), collections.Counter()
+    count = [collections.Counter() for _ in range(order + 1)]
     for w in train.values():
-        one.update(w)
-        two.update(zip(["<s>", *w[:-1]], w))
+        marked = ["<s>", *w]
+        for t in range(1, len(marked)):
+            for k in range(1, min(order, t + 1) + 1):
+                count[k][tuple(marked[t - k + 1 : t + 1])] += 1
+    count[0]["<s>"] = len(train)
 
     def factor(counts):
         n = collections.Counter(counts.values())
-        cut = 6 * n[6] / n[1]
+        cut = 6 * n[6] / n[1] if n[1] else 1
         d = {r: ((r + 1) * n[r + 1] / (r * n[r]) - cut) / (1 - cut) if n[r] and cut < 1 else 1.0 for r in range(1, 6)}
         return lambda c: d[c] if c <= 5 and 0 < d[c] < 1 else 1.0
 
-    d1, d2, total = factor(one), factor(two), sum(one.values())
-    unseen = sum(c * (1 - d1(c)) for c in one.values()) / total
-    p1 = lambda w: d1(one[w]) * one[w] / total if one[w] else unseen
-    after = collections.defaultdict(dict)
-    for (h, w), c in two.items():
-        after[h][w] = c
-    count = lambda h: len(train) if h == "<s>" else one[h]
-    alpha, whole = {}, {}
-    for h, seen in after.items():
-        freed = sum(c * (1 - d2(c)) for c in seen.values())
-        whole[h] = count(h) + (freed <= 0)
-        alpha[h] = (freed if freed > 0 else 1) / whole[h] / (1 - sum(map(p1, seen)))
-
-    def p2(h, w):
-        c = two[h, w]
-        return d2(c) * c / whole[h] if c else alpha.get(h, 1.0) * p1(w)
-
-    return tokens, train, one, p1, p2, unseen, after
-
-
-@pytest.mark.parametrize("small", [False, True])
-def test_katz_against_plain_counts(spark, texts, monkeypatch, small):
-    """Also with many blocks and histories of several owners."""
+    d = [None, *[factor(count[k]) for k in range(1, order + 1)]]
+    total = sum(count[1].values())
+    unseen = sum(c * (1 - d[1](c)) for c in count[1].values()) / total
+    after = [collections.defaultdict(dict) for _ in range(order + 1)]
+    for k in range(2, order + 1):
+        for g, c in count[k].items():
+            after[k][g[:-1]][g[-1]] = c
+
+    @functools.cache
+    def weight(h):
+        """Tokens of the history, as they count, and its back-off weight."""
+        k = len(h) + 1
+        seen = after[k].get(h)
+        if not seen:
+            return 1, 1.0
+        freed = sum(c * (1 - d[k](c)) for c in seen.values())
+        whole = sum(seen.values()) + (freed <= 0)
+        return whole, (freed if freed > 0 else 1) / whole / (1 - sum(prob(w, h[1:]) for w in seen))
+
+    def prob(w, h):
+        if not h:
+            c = count[1][w,]
+            return d[1](c) * c / total if c else unseen
+        c = count[len(h) + 1][(*h, w)]
+        whole, alpha = weight(h)
+        return d[len(h) + 1](c) * c / whole if c else alpha * prob(w, h[1:])
+
+    return tokens, train, {g[0]: c for g, c in count[1].items()}, prob, after
+
+
+@pytest.mark.parametrize("order, small", [(3, False), (3, True), (1, True), (2, True), (4, True)])
+def test_katz_against_plain_counts(spark, texts, monkeypatch, order, small):
+    """Every order; also with many blocks and histories of several owners."""
     if small:
         monkeypatch.setattr(katz, "BLOCK_TOKENS", 5000)
         monkeypatch.setattr(katz, "HOT", 500)
-    tokens, train, one, p1, p2, unseen, after = _katz(texts)
+    tokens, train, one, prob, after = _katz(texts, order)
     total = sum(one.values())
-    rows = {r["doc_id"]: r for r in QUERIES["op5_katz"](spark, SF).collect()}
+    found = katz.katz_scores(spark.read.parquet(f"{SF}/documents.parquet"), order=order) if small else QUERIES["op5_katz"](spark, SF)
+    rows = {r["doc_id"]: r for r in found.collect()}
     assert set(rows) == set(texts)
     for i, w in tokens.items():
         r = rows[i]
-        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (i not in train, len(w), sum(one[x] > 0 for x in w), total)
-        assert math.isclose(r["base_score"], sum(math.log10((one[x] + 0.5) / (total + 0.5 * (len(one) + 1))) for x in w), abs_tol=1e-6)
-        assert math.isclose(r["score"], sum(math.log10(p2(h, x)) for h, x in zip(["<s>", *w[:-1]], w)), abs_tol=1e-6)
-    for h in list(after)[:20]:
-        unseen_mass = 1 - sum(map(p1, after[h]))
-        assert math.isclose(sum(p2(h, w) for w in after[h]) + p2(h, b"no such word") / p1(b"no such word") * unseen_mass, 1, rel_tol=1e-9)
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (i not in train, len(w), sum(x in one for x in w), total)
+        assert math.isclose(r["base_score"], sum(math.log10((one.get(x, 0) + 0.5) / (total + 0.5 * (len(one) + 1))) for x in w), abs_tol=1e-6)
+        marked = ["<s>", *w]
+        assert math.isclose(r["score"], sum(math.log10(prob(marked[t], tuple(marked[max(0, t - order + 1) : t]))) for t in range(1, len(marked))), rel_tol=1e-9, abs_tol=1e-6)
+    for k in range(2, order + 1):
+        for h in list(after[k])[:20]:
+            left = 1 - sum(prob(w, h[1:]) for w in after[k][h])
+            assert math.isclose(sum(prob(w, h) for w in after[k][h]) + prob(b"no such word", h) / prob(b"no such word", h[1:]) * left, 1, rel_tol=1e-9)
     held = [r for r in rows.values() if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_katz_counts_beyond_32_bits():
+    """An owner's sums and discounts of counts that do not fit in 32 bits."""
+    word = np.array([7 << 16, 9 << 16], np.uint64)
+    short = word >> np.uint64(16)
+    packed = short.astype(np.uint32).tobytes() + (short >> np.uint64(32)).astype(np.uint16).tobytes()
+    big = np.array([3 << 40, 1], np.int64)
+    ask = lambda block: {"block": block, "bucket": 0, "words": packed, "counts": katz._pack(big), "lower": katz._pack(np.array([0.25, 0.125])), "runs": katz._pack(np.array([2], np.uint32)), "histories": np.array([5, 0], np.uint64).tobytes()}
+    out = katz._count_grams(pd.DataFrame([ask(1), ask(2)]))
+    answers = out[out["kind"] == "answer"]
+    for packed_counts, packed_stats in zip(answers["counts"], answers["stats"]):
+        assert katz._unpack(packed_counts, np.int64).tolist() == [6 << 40, 2]
+        assert katz._unpack(packed_stats, np.float64)[:5].tolist() == [0, 1, 0, 0, 0]
+    words = pd.DataFrame([{"block": b, "words": word.tobytes(), "counts": katz._pack(big)} for b in (1, 2)]).assign(bucket=0)
+    out = katz._count_words(words)
+    assert int(out.loc[out["kind"] == "total", "n"].iloc[0]) == (6 << 40) + 2
+    assert [katz._unpack(x, np.int64).tolist() for x in out.loc[out["kind"] == "answer", "counts"]] == [[6 << 40, 2]] * 2
+    assert katz.Unigrams((6 << 40) + 2, 2, np.array([0, 0, 1, 0, 0, 0, 0]))(np.array([6 << 40]))[0] == pytest.approx(1, rel=1e-9)
+
+
 def test_main_text_against_the_marked_articles(spark):
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     rows = QUERIES["op6_site_templates"](spark, SF).collect()
