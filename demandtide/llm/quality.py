@@ -58,8 +58,9 @@ def _sorted_windows(w: Column, n: int) -> tuple[Column, Column]:
 
 def _repeated_starts(w: Column, narrow: Column, wide: Column, n: int) -> Column:
     """Positions of windows that occur twice or more: equal ones lie side by side in the sorted
-    arrays; neighbours of equal hash are compared word by word. All arguments are columns, not
-    expressions, which the lambdas would evaluate again for each element."""
+    arrays; neighbours of equal hash are compared word by word. Only where different windows share
+    a hash is the whole array looked through. All arguments are columns, not expressions, which the
+    lambdas would evaluate again for each element."""
     mask = (1 << PLACE_BITS) - 1
 
     def twins(sorted_: Column, place, hash_) -> Column:
@@ -72,7 +73,10 @@ def _repeated_starts(w: Column, narrow: Column, wide: Column, n: int) -> Column:
             return out
 
         def twin(x: Column, i: Column) -> Column:
-            return F.when((i > 0) & same(sorted_[F.greatest(i - 1, F.lit(0))], x), True).otherwise((i < last) & same(sorted_[F.least(i + 1, last)], x))
+            left, right = sorted_[F.greatest(i - 1, F.lit(0))], sorted_[F.least(i + 1, last)]
+            collides = ((i > 0) & (hash_(left) == hash_(x))) | ((i < last) & (hash_(right) == hash_(x)))
+            anywhere = F.exists(sorted_, lambda y: (place(y) != place(x)) & same(y, x))
+            return F.when((i > 0) & same(left, x), True).when((i < last) & same(right, x), True).when(collides, anywhere).otherwise(False)
 
         return F.array_sort(F.transform(F.filter(sorted_, twin), place))
 

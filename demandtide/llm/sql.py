@@ -47,12 +47,14 @@ twice AS (SELECT doc_id, x FROM win GROUP BY doc_id, x HAVING count(*) > 1),
 rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM win JOIN twice USING (doc_id, x)) GROUP BY doc_id),
 line AS (SELECT doc_id, x, {_WORDS.format("x")} AS v FROM (SELECT doc_id, unnest(list_distinct(lines)) AS x FROM d)),
 figure AS (SELECT *, len(v) AS n, len(list_filter(v, lambda y: regexp_matches(y, '[#*$%&|<>]'))) + len(list_filter(v, lambda y: regexp_matches(y, '[!?][!?]$'))) AS marked,
-                  len(list_filter(v, lambda y: regexp_matches(y, '\p{{L}}'))) AS letters FROM line),
+                  len(list_filter(v, lambda y: regexp_matches(y, '\p{{L}}'))) AS letters, len(list_filter(v, lambda y: regexp_matches(y, '\p{{Lu}}'))) AS upper,
+                  len(regexp_extract_all(x, '[|]')) AS bars, len(regexp_extract_all(x, '[»›•]')) AS arrows,
+                  len(regexp_extract_all(regexp_extract(lower(x), '{boilerplate}'), '[^\x20\x09-\x0D]+')) AS stock FROM line),
 good AS (SELECT doc_id, sum({chars.format("x")}) AS left_chars, count(*) AS n FROM figure
-         WHERE NOT (marked * 5 > n OR len(regexp_extract_all(x, '[|]')) >= 3 OR len(regexp_extract_all(x, '[»›•]')) >= 3
-                    OR (n <= 3 AND (regexp_matches(x, '[»›•]') OR regexp_matches(x, '[|:]\s*$')))
-                    OR (NOT regexp_matches(x, '\p{{Ll}}') AND (letters >= 4 OR (letters = 0 AND n >= 3)))
-                    OR regexp_matches(lower(x), '{boilerplate}')) GROUP BY doc_id),
+         WHERE NOT (marked * 5 > n OR (bars >= 3 AND bars * 10 > n) OR (arrows >= 3 AND arrows * 10 > n)
+                    OR (n <= 3 AND (arrows > 0 OR regexp_matches(x, '[|:][\x20\x09-\x0D]*$')))
+                    OR (NOT regexp_matches(x, '\p{{Ll}}') AND ((letters >= 4 AND upper = letters) OR (letters = 0 AND n >= 3)))
+                    OR (stock > 0 AND stock * 10 >= n)) GROUP BY doc_id),
 base AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST({chars.format("t")} AS BIGINT) AS word_chars,
                 CAST(len(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
                 coalesce(rep.n, 0) AS n_repeat_words, CAST(len(lines) - coalesce(good.n, 0) AS BIGINT) AS n_failed_lines, CAST(coalesce(left_chars, 0) AS BIGINT) AS left_chars
