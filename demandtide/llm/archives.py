@@ -11,7 +11,8 @@ and records are read from the archive member where they lie. Index rows are deal
 large package is read by many tasks.
 
 Of records with equal payloads of at least ``least`` bytes the one of the smallest page id is a
-response, the others revisit it. Rows that share that id and payload are all responses.
+response, the others revisit it, naming its URI and date. Rows that share that id and payload are
+all responses. Every record has an id of its own; all have the date of the writing call.
 
 Defined results: a null html is an empty payload, a null url an empty one; null ids come last and are kept
 as null; an empty table gives no package and no rows; other columns are not read.
@@ -19,6 +20,7 @@ as null; an empty table gives no package and no rows; other columns are not read
 
 from __future__ import annotations
 
+import datetime
 import gzip
 import hashlib
 import json
@@ -40,32 +42,33 @@ from demandtide.session import scratch_dir
 
 #: Bytes of records after which a task begins its next package.
 PACKAGE_BYTES = 32 << 20
-#: Bytes of packages that one task reads, in slices of the second size.
-TASK_BYTES, SLICE_BYTES = 8 << 20, 1 << 20
+#: Bytes of packages that one task reads, in slices of the second size, and the most tasks to deal them to.
+TASK_BYTES, SLICE_BYTES, MOST_TASKS = 32 << 20, 1 << 20, 100_000
 #: Repeated payloads up to which their table is broadcast.
 BROADCAST_PAYLOADS = 100_000
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 
 
 def typed(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = 100) -> DataFrame:
-    """``page_id, url, payload, payload_digest, record_type, refers_to`` of each page."""
+    """``page_id, url, payload, payload_digest, record_type, refers_to, refers_to_url`` of each page."""
     payload = F.coalesce(F.col(html), F.lit("")).cast("binary")
     rows = pages.select(F.col(page_id).alias("page_id"), F.coalesce(F.col(url), F.lit("")).alias("url"), payload.alias("payload"), F.sha2(payload, 256).alias("payload_digest"))
     long = rows.filter(F.length("payload") >= least)
-    first = long.groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("c")).filter("c > 1").select("payload_digest", "first")
+    first = long.groupBy("payload_digest").agg(F.min(F.struct("page_id", "url")).alias("least"), F.min("page_id").alias("first"), F.count("*").alias("c")).filter("c > 1")
+    first = first.select("payload_digest", "first", F.when(F.col("least.page_id").isNotNull(), F.col("least.url")).alias("first_url"))
     joined = rows.join(base.small(base.kept(first, "payloads"), BROADCAST_PAYLOADS), "payload_digest", "left")
     again = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
-    return joined.select("page_id", "url", "payload", "payload_digest", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first")).alias("refers_to"))
+    return joined.select("page_id", "url", "payload", "payload_digest", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first")).alias("refers_to"), F.when(again, F.col("first_url")).alias("refers_to_url"))
 
 
-def record(page_id, url: str, payload: bytes, digest: str, kind: str, refers_to) -> bytes:
-    """One WARC/1.1 record; a revisit has the head of the answer only."""
+def record(place: str, date: str, page_id, url: str, payload: bytes, digest: str, kind: str, refers_to=None, refers_to_url: str | None = None) -> bytes:
+    """One WARC/1.1 record; a revisit has the head of the answer only. ``place`` tells records apart."""
     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = head if kind == "revisit" else head + payload
-    name = hashlib.sha256(json.dumps([page_id, url, digest]).encode()).hexdigest()
-    fields = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:sha256:{name}>"), ("WARC-Target-URI", " ".join(url.split())), ("WARC-Payload-Digest", f"sha256:{digest}"), ("X-Page-ID", json.dumps(page_id))]
+    name = hashlib.sha256(json.dumps([place, page_id, url, digest]).encode()).hexdigest()
+    fields = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:sha256:{name}>"), ("WARC-Date", date), ("WARC-Target-URI", " ".join(url.split())), ("WARC-Payload-Digest", f"sha256:{digest}"), ("X-Page-ID", json.dumps(page_id))]
     if kind == "revisit":
-        fields += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("X-Refers-To-Page-ID", json.dumps(refers_to))]
+        fields += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To-Target-URI", " ".join((refers_to_url or "").split())), ("WARC-Refers-To-Date", date), ("X-Refers-To-Page-ID", json.dumps(refers_to))]
     fields += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
     return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields).encode() + b"\r\n" + block + b"\r\n\r\n"
 
@@ -73,6 +76,8 @@ def record(page_id, url: str, payload: bytes, digest: str, kind: str, refers_to)
 def write_packages(rows: DataFrame, folder: str, package_bytes: int = PACKAGE_BYTES) -> DataFrame:
     """Writes what ``typed`` gives; one row ``path, size, records`` per package."""
     schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("size", T.LongType()), T.StructField("records", T.LongType())])
+    # One date and name for the whole call: a task that runs again writes the same records.
+    date, call = datetime.datetime.now(datetime.UTC).strftime("%Y-%m-%dT%H:%M:%SZ"), folder.rpartition("/")[2]
 
     def run(batches):
         context, number = TaskContext.get(), 0
@@ -81,7 +86,7 @@ def write_packages(rows: DataFrame, folder: str, package_bytes: int = PACKAGE_BY
 
         def all_rows():
             for batch in batches:
-                yield from zip(*[batch.column(c) for c in ("page_id", "url", "payload", "payload_digest", "record_type", "refers_to")])
+                yield from zip(*[batch.column(c) for c in ("page_id", "url", "payload", "payload_digest", "record_type", "refers_to", "refers_to_url")])
 
         todo = all_rows()
         row = next(todo, None)
@@ -92,8 +97,9 @@ def write_packages(rows: DataFrame, folder: str, package_bytes: int = PACKAGE_BY
             with fs.open_output_stream(attempt) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_STORED, allowZip64=True) as package:
                 with package.open(DATA, "w", force_zip64=True) as data:
                     while row is not None and at < package_bytes:
-                        page_id, url, payload, digest, kind, refers = (x.as_py() for x in row)
-                        packed = gzip.compress(record(page_id, url, payload, digest, kind, refers), 1, mtime=0)
+                        page_id, *rest = (x.as_py() for x in row)
+                        place = f"{call}/{context.partitionId()}/{number}/{len(index)}"
+                        packed = gzip.compress(record(place, date, page_id, *rest), 1, mtime=0)
                         data.write(packed)
                         index.append(json.dumps({"page_id": page_id, "offset": at, "length": len(packed)}))
                         at += len(packed)
@@ -201,7 +207,7 @@ def read_packages(packages: DataFrame, folder: str, id_type: T.DataType) -> Data
                 file.close()
 
     # Stated numbers of tasks: the rows are small, but each stands for bytes to read.
-    tasks = max(1, math.ceil((packages.agg(F.sum("size")).first()[0] or 0) / TASK_BYTES))
+    tasks = min(MOST_TASKS, max(1, math.ceil((packages.agg(F.sum("size")).first()[0] or 0) / TASK_BYTES)))
     listed = packages.select("path", "size").repartition(tasks, "path").mapInArrow(indexes, places)
     slices = listed.repartition(tasks, "path", F.floor(F.col("offset") / SLICE_BYTES)).sortWithinPartitions("path", "offset")
     return slices.mapInArrow(records, schema)

@@ -1,9 +1,11 @@
 """Defined results in odd cases: nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
+import gzip
 import io
 import itertools
 import json
 import random
+import re
 import struct
 import zipfile
 
@@ -426,6 +428,26 @@ def test_packages_are_zip_files_and_many_are_read(spark, tmp_path):
     assert back == {i: f"<p>{'é' * i}".encode() for i in range(300)}
 
 
+def test_records_have_the_fields_the_format_asks_for(spark, tmp_path):
+    """A date, an id of their own even where id, url and payload repeat, and for revisits what they refer to."""
+    body = "x" * 200
+    pages = frame(spark, [(1, "http://h/1", body)] * 3 + [(2, "http://h/2", body), (3, "http://h/3", "short")], "page_id long, url string, html string")
+    folder = f"file://{tmp_path}/packages"
+    paths = [r["path"] for r in archives.write_packages(archives.typed(pages), folder).collect()]
+    records = []
+    for path in paths:
+        with zipfile.ZipFile(path) as z:
+            text = gzip.decompress(z.read(archives.DATA))
+        while text:
+            fields, _ = archives.parse(text)
+            size = text.index(b"\r\n\r\n") + 4 + int(fields["Content-Length"]) + 4
+            records.append(fields)
+            text = text[size:]
+    assert len(records) == 5 and len({r["WARC-Record-ID"] for r in records}) == 5
+    assert all(re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", r["WARC-Date"]) for r in records)
+    assert [(r["WARC-Refers-To-Target-URI"], r["WARC-Refers-To-Date"]) for r in records if r["WARC-Type"] == "revisit"] == [("http://h/1", records[0]["WARC-Date"])]
+
+
 def test_zip64_directories():
     """Entries whose sizes and places stand in the ZIP64 fields, behind a ZIP64 end record."""
     data = b"payload"
