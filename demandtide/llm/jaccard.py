@@ -12,9 +12,10 @@ Only entries that can reach the threshold are made:
   blocks.
 * The answer is classes, so a column's nodes are first multiplied with one of them (a star) and with
   their neighbours in a few random orders (chains). Then come rounds: with the classes found so far,
-  a node outside a column's largest class meets a few nodes of other classes, four times as many
-  each round, and classes are joined. What stays apart is at last multiplied in full. Copies by the
-  thousand thus cost some pairs each, not a square; no link between different classes is missed.
+  a node outside a column's largest class meets some nodes of other classes, more in the second round
+  than in the first, and classes are joined. A column that is small for its round is multiplied in full
+  and is done, the others are in the last round. Copies by the thousand thus cost some pairs each, not a
+  square; no link between different classes is missed.
 * Overlaps of the remaining pairs are accumulated over whole rows, so every link is exact.
 
 Shingles and sets are 64-bit hashes (among 10**10 different sets about three would share one); two
@@ -53,9 +54,10 @@ SMALL = 8
 #: Chains through each block's nodes beside its star.
 CHAINS = 4
 #: Nodes of other classes that a node meets in a column, round by round; then it meets all of them.
-ROUNDS = (8, 32, 128, 512)
-#: Nodes outside the largest class of a mixed column, on average, up to which they meet all at once.
-FEW = 8
+ROUNDS = (128, 2048)
+#: Part of a round's partners up to which the nodes outside the largest class, on average over the cells
+#: of mixed columns, meet all at once.
+FEW = 1 / 8
 #: Rows of a pair block compared at once.
 BLOCK = 1 << 20
 
@@ -240,14 +242,14 @@ def _star(cells: DataFrame, percent: int) -> DataFrame:
 
 def _mixed(cells: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """The cells of columns that hold nodes of several classes, with their class, the column's largest
-    one (``main``) and the nodes outside of that (``others``). Columns without an early node in any of
-    their blocks have none that another column does not show."""
+    one (``main``), its nodes (``size``) and those outside that class (``others``). Columns without an early
+    node in any of their blocks have none that another column does not show."""
     known = cells.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     known = base.kept(known.select(*CELL.fieldNames(), "label"), "labelled")
     early = _early(F.col("pos").cast("bigint"), F.col("n").cast("bigint"), percent)
     sizes = known.groupBy("token", "label").agg(F.count("*").alias("c"), F.bool_or(early).alias("early"))
     main = sizes.groupBy("token").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("classes"), F.bool_or("early").alias("early"), F.sum("c").alias("size"), F.max("c").alias("c"))
-    return base.kept(known.join(main.filter("classes > 1 AND early").select("token", "main", (F.col("size") - F.col("c")).alias("others")), "token"), "mixed")
+    return base.kept(known.join(main.filter("classes > 1 AND early").select("token", "main", "size", (F.col("size") - F.col("c")).alias("others")), "token"), "mixed")
 
 
 def _between(mixed: DataFrame, percent: int, partners: int | None, turn: int) -> DataFrame:
@@ -400,7 +402,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         others = mixed.agg(F.avg("others")).first()[0]
         if others is None:
             break
-        last = partners is None or others <= FEW
+        last = partners is None or others <= FEW * partners
         more = base.kept(_between(mixed, percent, None if last else partners, turn).join(pairs, ["a", "b"], "left_anti"), "other-pairs")
         if not more.isEmpty():
             links = links.union(_links(docs, more, classes, n, percent))
@@ -408,6 +410,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             pairs = pairs.union(more)
         if last:
             break
+        # Smaller columns have been multiplied in full.
+        cells = mixed.filter((F.col("size") > partners + 1) | (F.col("salts") > 1)).select(*CELL.fieldNames())
+        if cells.isEmpty():
+            break
     labelled = classes.join(labels.select(F.col("node").alias("k1"), "label"), "k1", "left").withColumn("label", F.coalesce("label", "k1"))
     labelled = base.kept(labelled, "classes")
     smallest = labelled.groupBy("label").agg(F.min("least").alias("component"))
