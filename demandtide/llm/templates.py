@@ -14,7 +14,9 @@ page, so elements that are one by tag, role or class are left out in the cut alr
 name, all of whose parts say so, and neither it nor the tag ``form`` leaves out what is or holds an article. Blocks come
 from the page's articles, or its main element, or, without either, its body.
 
-The cut runs inside tasks, page by page; counting, joining and joining up are Spark's.
+The cut runs inside tasks, page by page, in time and memory in proportion to the page: elements are
+numbered as they open, so a subtree is a range of numbers and a block needs only the number of the
+innermost element that holds it. Counting, joining and joining up are Spark's.
 
 Defined results: a null or empty html gives an empty text; a null or odd url belongs to host ""; pages
 that share an id and html get equal results each; unclosed tags end with their parent; an empty table
@@ -26,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import html as markup
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -78,19 +81,22 @@ def _is_note(name: str, more: str, in_article: bool, holds: bool) -> tuple[bool,
     return False, False
 
 
-def cut(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[str, list[int]]], list[int], list[int]]:
-    """Blocks (text, numbers of the subtrees around it) in page order, the subtrees' hashes, and the
+def cut(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[str, int]], list[int | None], list[int], list[int]]:
+    """Blocks (text, number of the innermost element around all of it, -1 for none) in page order, the
+    subtrees' hashes (None where a subtree can't be template), the last number inside each, and the
     hashes of containers beside an article's paragraphs. Where a name has left out an article, the page
     is cut again with the numbers ``spared`` of the elements that hold it."""
-    blocks: list[tuple[str, int, list[int]]] = []  # text, region, subtrees
+    blocks: list[tuple[str, int, int]] = []  # text, region, innermost element
     hashes: list[int] = []
+    ends: list[int] = []
     eligible: list[bool] = []
-    stack: list[list] = []  # name, number, hash state, region, note
+    stack: list[list] = []  # name, number, hash state, region, note, holds prose
+    open_: Counter[str] = Counter()  # names of the open elements
     words: list[str] = []
     depth, blank = 0, True  # elements that hold all of the words, no word yet
     inside: list[int] = []  # subtrees inside articles
     paragraphs = False
-    soft: set[int] = set()  # elements left out by a mere name
+    soft: list[int] = []  # open elements left out by a mere name
     holders: set[int] = set()  # those of them that hold an article
 
     def flush() -> None:
@@ -99,14 +105,22 @@ def cut(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[str
         text = " ".join(markup.unescape("".join(words)).split())
         words.clear()
         if text and not (stack and stack[-1][4]):
-            blocks.append((text, stack[-1][3] if stack else 0, [x[1] for x in stack[:depth]]))
+            blocks.append((text, stack[-1][3] if stack else 0, stack[depth - 1][1] if depth else -1))
 
     def pop() -> None:
         nonlocal depth
-        name, number, state, _, _ = stack[-1]
+        name, number, state, _, _, prose = stack[-1]
         if name in BLOCKS:
             flush()
         stack.pop()
+        open_[name] -= 1
+        ends[number] = len(hashes) - 1
+        if soft and soft[-1] == number:
+            soft.pop()
+        # What holds prose is no template, and so is all around it.
+        if prose and stack:
+            stack[-1][5] = True
+            eligible[stack[-1][1]] = False
         depth = min(depth, len(stack))
         digest = state.digest()
         hashes[number] = int.from_bytes(digest, "big", signed=True)
@@ -134,7 +148,7 @@ def cut(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[str
             continue
         name = m["name"].lower()
         if m["end"]:
-            if any(x[0] == name for x in stack):
+            if open_[name] > 0:
                 while stack[-1][0] != name:
                     pop()
                 pop()
@@ -154,48 +168,50 @@ def cut(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[str
         if name in BLOCKS:
             flush()
             # A block ends an open paragraph.
-            if any(x[0] == "p" for x in stack):
+            if open_["p"] > 0:
                 while stack[-1][0] != "p":
                     pop()
                 pop()
         if name in CLOSES:
-            ends, wall = CLOSES[name]
-            place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ends or stack[i][0] in wall), None)
-            if place is not None and stack[place][0] in ends:
-                while len(stack) > place:
-                    pop()
-        up = stack[-1] if stack else ["", 0, None, 0, False]
+            ended, wall = CLOSES[name]
+            if any(open_[x] > 0 for x in ended):
+                place = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ended or stack[i][0] in wall)
+                if stack[place][0] in ended:
+                    while len(stack) > place:
+                        pop()
+        up = stack[-1] if stack else ["", 0, None, 0, False, False]
         own, mere = _is_note(name, m["more"], up[3] == 2, len(hashes) in spared)
         note = up[4] or own
         region = max(up[3], 2 if name == "article" else 1 if name == "main" or 'role="main"' in m["more"] else 0)
         if m["more"].rstrip().endswith("/") and name not in BLOCKS:
             continue
-        if mere:
-            soft.add(len(hashes))
         if name == "article":
-            holders.update(x[1] for x in stack if x[1] in soft)
+            holders.update(soft)
+            soft.clear()
+        if mere:
+            soft.append(len(hashes))
         if note and not up[4]:
             flush()
-        stack.append([name, len(hashes), hashlib.blake2b(name.encode(), digest_size=8), region, note])
+        prose = region == 2 and (name == "article" or (name in PROSE and not note))
+        stack.append([name, len(hashes), hashlib.blake2b(name.encode(), digest_size=8), region, note, prose])
+        open_[name] += 1
         hashes.append(0)
+        ends.append(0)
         eligible.append(name not in ("html", "body", "main", "article") and not (region == 2 and (name in PROSE or name not in BLOCKS)))
         if region == 2:
             inside.append(len(eligible) - 1)
             paragraphs |= name == "p" and not note
-            if name == "article" or (name in PROSE and not note):
-                for x in stack[:-1]:
-                    eligible[x[1]] = False
     while stack:
         pop()
     flush()
     if holders:
         return cut(page, frozenset(holders))
     best = max((b[1] for b in blocks), default=0)
-    kept = [(text, [k for k in path if eligible[k]]) for text, region, path in blocks if region == best]
-    return kept, [h if eligible[k] else None for k, h in enumerate(hashes)], [hashes[k] for k in inside if eligible[k]] if paragraphs else []
+    kept = [(text, leaf) for text, region, leaf in blocks if region == best]
+    return kept, [h if eligible[k] else None for k, h in enumerate(hashes)], ends, [hashes[k] for k in inside if eligible[k]] if paragraphs else []
 
 
-def _content(blocks: list[tuple[str, list[int]]]) -> int:
+def _content(blocks: list[tuple[str, int]]) -> int:
     """A hash of the blocks' texts."""
     return int.from_bytes(hashlib.blake2b("\n".join(t for t, _ in blocks).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
@@ -203,8 +219,8 @@ def _content(blocks: list[tuple[str, list[int]]]) -> int:
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", min_pages: int = 5, share: float = 0.1, enough: int = 1000) -> DataFrame:
     """One row per page row: page_id, url, text, n_chars."""
     id_type = pages.schema[page_id].dataType
-    block = T.StructType([T.StructField("text", T.StringType()), T.StructField("path", T.ArrayType(T.IntegerType()))])
-    schema = T.StructType([T.StructField("page_id", id_type), T.StructField("url", T.StringType()), T.StructField("host", T.StringType()), T.StructField("blocks", T.ArrayType(block)), T.StructField("trees", T.ArrayType(T.LongType())), T.StructField("beside", T.ArrayType(T.LongType())), T.StructField("content", T.LongType())])
+    block = T.StructType([T.StructField("text", T.StringType()), T.StructField("leaf", T.IntegerType())])
+    schema = T.StructType([T.StructField("page_id", id_type), T.StructField("url", T.StringType()), T.StructField("host", T.StringType()), T.StructField("blocks", T.ArrayType(block)), T.StructField("trees", T.ArrayType(T.LongType())), T.StructField("ends", T.ArrayType(T.IntegerType())), T.StructField("beside", T.ArrayType(T.LongType())), T.StructField("content", T.LongType())])
     host = F.coalesce(F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     read = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), host.alias("host"), F.col(html).alias("html"))
 
@@ -214,9 +230,9 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
                 cuts = [cut(x.as_py() or "") for x in part.column("html")]
-                blocks = [[{"text": t, "path": p} for t, p in b] for b, _, _ in cuts]
-                lists = [pa.array([x[k] for x in cuts], arrow.field(c).type) for k, c in ((1, "trees"), (2, "beside"))]
-                yield pa.RecordBatch.from_arrays([*[part.column(c).cast(arrow.field(c).type) for c in ("page_id", "url", "host")], pa.array(blocks, arrow.field("blocks").type), *lists, pa.array([_content(b) for b, _, _ in cuts], pa.int64())], schema=arrow)
+                blocks = [[{"text": t, "leaf": k} for t, k in b] for b, *_ in cuts]
+                lists = [pa.array([x[k] for x in cuts], arrow.field(c).type) for k, c in ((1, "trees"), (2, "ends"), (3, "beside"))]
+                yield pa.RecordBatch.from_arrays([*[part.column(c).cast(arrow.field(c).type) for c in ("page_id", "url", "host")], pa.array(blocks, arrow.field("blocks").type), *lists, pa.array([_content(b) for b, *_ in cuts], pa.int64())], schema=arrow)
 
     cuts = base.kept(read.mapInArrow(run, schema), "page-cuts")
     sizes = cuts.groupBy("host", "content").agg(F.count("*").alias("n")).groupBy("host").agg(F.count("*").alias("contents"), F.sum("n").alias("pages"))
@@ -231,7 +247,11 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
     if recurring.limit(BROADCAST_SUBTREES + 1).count() <= BROADCAST_SUBTREES:
         by_host = F.broadcast(by_host)
     joined = cuts.join(by_host, F.col("host") == F.col("of_host"), "left")
-    gone = lambda b: F.coalesce(F.exists(b["path"], lambda k: F.array_contains("template", F.col("trees")[k])), F.lit(False))
+    # The page's template subtrees, marked once; a block is gone when one's range holds its number.
+    joined = joined.withColumn("hits", F.array_intersect("trees", F.coalesce("template", F.array().cast("array<bigint>"))))
+    marks = F.when(F.size("hits") > 0, F.filter(F.sequence(F.lit(0), F.size("trees") - 1), lambda k: F.array_contains("hits", F.get("trees", k)))).otherwise(F.array().cast("array<int>"))
+    joined = joined.withColumn("marks", marks)
+    gone = lambda b: F.exists("marks", lambda k: (k <= b["leaf"]) & (b["leaf"] <= F.get("ends", k)))
     left = F.filter("blocks", lambda b: ~gone(b))
     text = F.array_join(F.transform(left, lambda b: b["text"]), " ")
     return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("bigint"))

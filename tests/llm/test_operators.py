@@ -228,6 +228,26 @@ def test_menus_of_a_section_of_a_large_host(spark):
     assert (rows[5]["text"], rows[5000]["text"]) == ("rare Text 5", "Text 5000")
 
 
+def test_deep_pages_take_time_and_room_in_proportion():
+    """Elements left open by the ten thousand: a block names one element, not all around it."""
+    for unit, blocks in (("<div>a", 100_000), ("<div><p>a", 100_000), ("<ul><li>a", 30_000), ("<table><tr><td>a", 20_000)):
+        found, trees, ends, _ = templates.cut(unit * blocks)
+        assert len(found) == blocks and len(trees) == len(ends) == unit.count("<") * blocks
+        assert all(k <= end < len(trees) for k, end in enumerate(ends))
+    found, _, _, _ = templates.cut("<main><article>" + "<div class='sidebar'>" * 20_000 + "<p>text")
+    assert [t for t, _ in found] == []
+
+
+def test_odd_tables_of_pages(spark):
+    """No rows; repeated ids and urls; columns named like the operator's own; a page of many open elements."""
+    assert templates.main_text(frame(spark, [], "page_id long, url string, html string")).count() == 0
+    deep = "<div>" * 3000 + "<p>deep</p>"
+    rows = [(1, "http://h/a", "<p>one</p>", "x", 1)] * 2 + [(1, "http://h/a", "<p>two</p>", "y", 2), (None, None, None, None, None), (2, "http://h/b", deep, "", 0)]
+    pages = frame(spark, rows, "page_id long, url string, html string, text string, blocks int")
+    got = sorted(((r["page_id"], r["text"]) for r in templates.main_text(pages).collect()), key=repr)
+    assert got == sorted([(1, "one"), (1, "one"), (1, "two"), (None, ""), (2, "deep")], key=repr)
+
+
 # --- 7 ---------------------------------------------------------------------------
 
 
