@@ -10,8 +10,10 @@ Calls and results are tables. ``calls_of`` takes them from conversations, in two
 
 ``link`` hash-joins calls and results by conversation and identifier, orders calls so that each comes after
 those it names, validates arguments against the tools' schemas and serialises every call with its result.
-A call that only names earlier calls is in order by its turn; levels are worked out, round by round, only for
-conversations in which a call names a later one. What is left when no call can be placed is a circle.
+A call that only names earlier calls is in order by its turn; levels are worked out only for conversations
+in which a call names a later one: inside one row for those of up to ``ROW_CALLS`` calls, so that a long
+chain costs no job of its own, and round by round over tables for larger ones. What can't be placed is in a
+circle or after one.
 
 Native: DataFrame functions only.
 
@@ -29,6 +31,8 @@ from pyspark.sql import functions as F
 
 from demandtide.llm import base
 
+#: Calls of a conversation that are ordered inside one row.
+ROW_CALLS = 2000
 #: Tools up to which their schemas are broadcast.
 BROADCAST_TOOLS = 10_000
 #: Schema types and the variant types they accept.
@@ -38,7 +42,8 @@ REPLY = [("reply", "prompt", "string", True, 1.0), ("reply", "turn", "integer",
 
 def reply_schema(spark: SparkSession) -> DataFrame:
     """Schema rows of the tool that plain turns call: ``least`` is a least length or value."""
-    return spark.createDataFrame(REPLY, "name string, param string, type string, required boolean, least double")
+    rows = ", ".join(f"('{name}', '{param}', '{kind}', {str(required).lower()}, {least}D)" for name, param, kind, required, least in REPLY)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(name, param, type, required, least)")
 
 
 def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -79,7 +84,9 @@ def _levels(calls: DataFrame) -> DataFrame:
     odd = edge.filter(F.col("at") >= F.struct("turn", "place")).select("conv_id").distinct()
     todo = base.kept(edge.join(odd, "conv_id", "left_semi").select("conv_id", "call_id", "first").distinct(), "open-edges")
     rest = base.kept(calls.join(odd, "conv_id", "left_semi").select("conv_id", "call_id").distinct(), "open-calls")
-    done, level = rest.limit(0).withColumn("level", F.lit(0)), 0
+    few = rest.groupBy("conv_id").agg(F.count("*").alias("n")).filter(F.col("n") <= ROW_CALLS).select("conv_id")
+    done, level = _levels_in_rows(rest.join(few, "conv_id", "left_semi"), todo), 0
+    rest, todo = rest.join(few, "conv_id", "left_anti"), todo.join(few, "conv_id", "left_anti")
     while not rest.isEmpty():
         ready = base.kept(rest.join(todo, ["conv_id", "call_id"], "left_anti"), "ready-calls")
         if ready.isEmpty():
@@ -92,6 +99,26 @@ def _levels(calls: DataFrame) -> DataFrame:
     return done
 
 
+def _levels_in_rows(calls: DataFrame, edges: DataFrame) -> DataFrame:
+    """The same for whole conversations, a row each: every pass puts each call one level above the highest it
+    names, until nothing moves. Only circles move for as many passes as there are calls."""
+    named = edges.groupBy("conv_id", "call_id").agg(F.collect_list("first").alias("firsts"))
+    rows = calls.join(named, ["conv_id", "call_id"], "left").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("call_id", "firsts"))).alias("c"))
+    rows = rows.withColumn("ids", F.col("c.call_id"))
+    below = F.transform("c", lambda c: F.transform(F.coalesce(c["firsts"], F.array().cast("array<string>")), lambda f: F.array_position("ids", f).cast("int") - 1))
+    rows = rows.withColumn("below", below)
+    lift = lambda at: F.transform("below", lambda b: F.coalesce(F.array_max(F.transform(b, lambda i: F.get(at, i) + 1)), F.lit(0)))
+    start = F.transform("ids", lambda _: F.lit(0))
+    moved = F.aggregate(
+        F.sequence(F.lit(1), F.size("ids")),
+        F.struct(F.transform("ids", lambda _: F.lit(-1)).alias("was"), start.alias("at")),
+        lambda s, _: F.when(s["was"] == s["at"], s).otherwise(F.struct(s["at"].alias("was"), lift(s["at"]).alias("at"))),
+        lambda s: s["at"],
+    )
+    each = rows.withColumn("at", moved).select("conv_id", F.size("ids").alias("n"), F.explode(F.arrays_zip("ids", "at")).alias("x"))
+    return each.select("conv_id", F.col("x.ids").alias("call_id"), F.when(F.col("x.at") >= F.col("n"), -1).otherwise(F.col("x.at")).alias("level"))
+
+
 def _problems(v: Column, params: Column) -> Column:
     """What is wrong with arguments ``v`` (a variant) under ``params``; sorted."""
     def of(p: Column) -> Column:

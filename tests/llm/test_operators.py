@@ -426,6 +426,24 @@ def test_messages_that_only_look_like_calls(spark):
 # --- 10 --------------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("row_calls", [toolcalls.ROW_CALLS, 0])
+def test_levels_in_a_row_and_over_tables(spark, monkeypatch, row_calls):
+    """Diamonds, circles, what comes after them, and names of calls that do not exist."""
+    monkeypatch.setattr(toolcalls, "ROW_CALLS", row_calls)
+    after = {"a": ["b", "c"], "b": ["d"], "c": ["d", "b"], "d": [], "e": ["f"], "f": ["e"], "g": ["e", "a"], "h": ["none"], "i": ["i"]}
+    calls = frame(spark, [(k, i, 0, name, first) for k in (1, 2) for i, (name, first) in enumerate(after.items())], "conv_id int, turn int, place int, call_id string, after array<string>")
+    got = {(r["conv_id"], r["call_id"]): r["level"] for r in toolcalls._levels(calls).collect()}
+    want = {"a": 3, "b": 1, "c": 2, "d": 0, "e": -1, "f": -1, "g": -1, "h": 0, "i": -1}
+    assert got == {(k, name): level for k in (1, 2) for name, level in want.items()}
+
+
+def test_a_long_chain_in_reverse(spark):
+    """A thousand calls, each naming the next: no round of tables per level."""
+    calls = frame(spark, [(1, i, 0, f"c{i}", [f"c{i + 1}"] if i < 999 else []) for i in range(1000)], "conv_id int, turn int, place int, call_id string, after array<string>")
+    got = {r["call_id"]: r["level"] for r in toolcalls._levels(calls).collect()}
+    assert got == {f"c{i}": 999 - i for i in range(1000)}
+
+
 def test_archives_round_trip(spark, tmp_path):
     body = "x" * 100
     pages = [(5, "u", body), (3, "u", body), (9, None, body), (1, "u\r\nX: y", "short"), (2, "u", "short"), (7, "é", None), (None, "n", body), (3, "u", body), (8, "u", "\r\n\r\nWARC/1.1\r\n" * 20)]
