@@ -6,14 +6,16 @@ with "[at]", together with all base spans of the document. Its potentials:
 
 * each mention's features (digits, separators, form) for each label,
 * a chain between neighbouring mentions,
-* skip edges between mentions that share their digits or name, or most of them, however far apart.
+* skip edges between mentions that share their digits or name, or most of them, however far apart; numbers
+  of four to eight digits must share all.
 
 Loopy belief propagation passes messages along both kinds of edges until they settle, so a number that is
 certainly a phone number in one place makes its other mentions one. Base spans are certain and stay.
 Mentions that share a key are linked one to the next, never all with all.
 
 The weights are fitted by pseudo-likelihood, with the base spans as labels, to at most ``train_docs`` documents
-that hold mentions (those of the smallest hash); everything else covers all documents.
+that hold mentions (those of the smallest hash), the first ``train_mentions`` of each; everything else covers all
+documents. Messages that have not settled after ``ROUNDS`` rounds are used as they are.
 
 Defined results: a null or empty text has no spans; repeated rows get equal results each; without any
 mention the field is not fitted and only base spans (none) are given; an empty table gives an empty
@@ -141,8 +143,11 @@ def skip_keys(text: str, start: int, end: int) -> tuple[str, str]:
         name = re.sub(r"[^a-z0-9]+", "", LOOSE_AT.sub("", x.lower()).replace("dot", ""))
         return "a" + name, "a" + name[:10]
     d = _digits(x)
-    # The last ten digits: a country code may be left out.
-    return ("d" + d[-10:], "d" + d[-10:-2]) if len(d) >= 9 else ("", "")
+    if len(d) >= 9:
+        # The last ten digits: a country code may be left out.
+        return "d" + d[-10:], "d" + d[-10:-2]
+    # Short numbers repeat as a whole; of numbers of fewer than four digits a repetition says nothing.
+    return ("s" + d, "") if len(d) >= 4 else ("", "")
 
 
 def edges(text: str, found: list[tuple[int, int, int]], reach: int = 60) -> list[tuple[int, int, int]]:
@@ -248,8 +253,8 @@ def field_spans(text: str, known: list[tuple[int, int, int]], unary: np.ndarray,
     return [(s, int(best[i]) - 1, e) for i, (s, e, k) in enumerate(found) if k < 0 and best[i] and p[i, best[i]] >= CERTAIN]
 
 
-def _training(docs: DataFrame, train_docs: int) -> list:
-    """Mentions of the training documents, as bare features, labels and edges."""
+def _training(docs: DataFrame, train_docs: int, train_mentions: int) -> list:
+    """The first ``train_mentions`` mentions of each training document, as bare features, labels and edges."""
     schema = T.StructType([T.StructField("x", T.ArrayType(T.ArrayType(T.DoubleType()))), T.StructField("y", T.ArrayType(T.IntegerType())), T.StructField("e", T.ArrayType(T.ArrayType(T.IntegerType())))])
     marked = docs.filter(F.col("text").rlike(ANY.pattern)).select(F.xxhash64("id", "text").alias("h"), "text")
     # Hashes alone are put in order; of the texts only the chosen ones move.
@@ -260,7 +265,7 @@ def _training(docs: DataFrame, train_docs: int) -> list:
         for batch in batches:
             rows = []
             for text in batch.column("text").to_pylist():
-                found = mentions(text, base_spans(text))
+                found = mentions(text, base_spans(text))[:train_mentions]
                 if found:
                     rows.append({"x": [features(text, s, e).tolist() for s, e, _ in found], "y": [max(0, k) for _, _, k in found], "e": [list(t) for t in edges(text, found)]})
             yield pa.RecordBatch.from_pylist(rows, schema=to_arrow_schema(schema))
@@ -273,11 +278,12 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
-def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", train_docs: int = 2000) -> DataFrame:
+def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", train_docs: int = 2000, train_mentions: int = 100) -> DataFrame:
     """One row per document row: doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256,
-    spans (all), n_added."""
+    spans (all), n_added. The weights come from at most ``train_docs`` documents and ``train_mentions``
+    mentions of each, so what reaches the driver is bounded whatever the documents' length."""
     docs = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    weights = fit(rows) if (rows := _training(docs, train_docs)) else None
+    weights = fit(rows) if (rows := _training(docs, train_docs, train_mentions)) else None
     schema = T.StructType([T.StructField("doc_id", docs.schema["id"].dataType), *[T.StructField(f"n_{k}", T.LongType()) for k in KINDS], T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType()), T.StructField("n_added", T.LongType())])
 
     def run(batches):
