@@ -34,6 +34,8 @@ SEARCH_BLOCK = 65_520
 ROUNDS = 5
 CANDIDATES = 400
 EDGE = 0.98
+# Forecast steps that leave a task at once.
+AHEAD_PIECE = 4032
 # Series searched abreast, and time steps worked on at once: 8 * 400 * 256 errors are 7 MB.
 ABREAST = 8
 _PIECE = 256
@@ -363,7 +365,7 @@ def forecast_sarima(model: DataFrame, keys: Sequence[str] = (), orders: Sequence
     """
     keys = list(keys)
     schema = T.StructType(
-        key_fields(model, keys) + [T.StructField("idx", T.LongType())] + [T.StructField(c, T.DoubleType()) for c in ("pred", "aic", "bic")]
+        key_fields(model, keys) + [T.StructField("at", T.LongType()), T.StructField("preds", DOUBLES)] + [T.StructField(c, T.DoubleType()) for c in ("aic", "bic")]
     )
 
     def ahead(row) -> Iterable[dict]:
@@ -378,6 +380,7 @@ def forecast_sarima(model: DataFrame, keys: Sequence[str] = (), orders: Sequence
         w = [0.0] * max(depth - len(w), 0) + w
         e = [float(v) for v in row.errors]
         base = {**key_values(row, keys), "aic": aic, "bic": bic}
+        at, preds = cut, []
         for idx in range(cut, n):
             step = sum(a[j] * w[-lag] for j, lag in enumerate(order.ar_lags)) + sum(m[j] * e[-lag] for j, lag in enumerate(order.ma_lags))
             level = step + sum(c * y[-lag] for lag, c in undo.items())
@@ -385,9 +388,14 @@ def forecast_sarima(model: DataFrame, keys: Sequence[str] = (), orders: Sequence
             e.append(0.0)
             y.append(level)
             w, e, y = w[-depth:], e[-depth:], y[-max(order.lost, 1) :]
-            yield {**base, "idx": idx, "pred": level}
-
-    return map_blocks(model, ahead, schema)
+            preds.append(level)
+            if len(preds) == AHEAD_PIECE or idx == n - 1:
+                yield {**base, "at": at, "preds": preds}
+                at, preds = idx + 1, []
+
+    # Pieces leave Python as arrays; the rows are made on Spark's side.
+    pieces = map_blocks(model, ahead, schema).select(*keys, "at", "aic", "bic", F.posexplode("preds").alias("place", "pred"))
+    return pieces.select(*keys, (F.col("at") + F.col("place")).alias("idx"), "pred", "aic", "bic")
 
 
 def information(sse: float, nobs: int, params: int) -> tuple[float | None, float | None]:

@@ -112,18 +112,16 @@ def smoothed(table: DataFrame, keys: Sequence[str] = (), params: Params = (0.3,
     """One-step-ahead predictions on the rows before ``cut``: ``keys, idx, y, pred``."""
     keys, one = list(keys), np.asarray([params], dtype=float)
     blocks = _training_blocks(table, keys, one, period, block)
-    schema = T.StructType(
-        key_fields(table, keys) + [T.StructField("idx", T.LongType()), T.StructField("y", T.DoubleType()), T.StructField("pred", T.DoubleType())]
-    )
+    schema = T.StructType(key_fields(table, keys) + [T.StructField("at", T.LongType()), T.StructField("y", DOUBLES), T.StructField("pred", DOUBLES)])
 
-    def rows(row):
+    def whole(row):
         y = np.asarray(row.values, dtype=float)
         _, _, preds = _smooth([y], _start(row, y, 1, period)[None], one, period, keep=True)
-        base = key_values(row, keys)
-        for i in range(len(y)):
-            yield {**base, "idx": int(row.at) + i, "y": y[i], "pred": preds[i, 0, 0]}
+        yield {**key_values(row, keys), "at": int(row.at), "y": y, "pred": preds[:, 0, 0]}
 
-    return map_blocks(blocks, rows, schema)
+    # A block leaves Python as two arrays; the rows are made on Spark's side.
+    made = map_blocks(blocks, whole, schema).select(*keys, "at", F.posexplode(F.arrays_zip("y", "pred")).alias("place", "z"))
+    return made.select(*keys, (F.col("at") + F.col("place")).alias("idx"), F.col("z.y").alias("y"), F.col("z.pred").alias("pred"))
 
 
 def fit_smoothing(
