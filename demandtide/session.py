@@ -27,15 +27,34 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, memory:
     return spark
 
 
+def _shared(spark: SparkSession) -> str | None:
+    """The shared folder the cluster names."""
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
+def _own_folder(spark: SparkSession, root: str) -> str:
+    """The application's own part of the shared folder."""
+    return posixpath.join(root, f"demandtide-{spark.sparkContext.applicationId}")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder name under the shared folder the cluster names.
+    """A fresh folder name under the application's part of the shared folder the cluster names.
 
     Without ``spark.checkpoint.dir`` only a local master may fall back to a
     temporary folder: on a cluster the executors could not see it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = _shared(spark)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="demandtide-")
-    return posixpath.join(root, f"{label}-{uuid.uuid4().hex}")
+    return posixpath.join(_own_folder(spark, root), f"{label}-{uuid.uuid4().hex}")
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote under the shared folder. To be called at its end: tables that the
+    operators returned may still be read from there."""
+    root = _shared(spark)
+    if root:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark, root))
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import functions as F
 
+from demandtide import session
 from demandtide.operators import features as ft
 from demandtide.operators import lagmodels
 from demandtide.plans import end_to_end
@@ -42,6 +43,17 @@ def test_ingest_adds_only_new_months(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == [2, 9]
 
 
+def test_an_application_clears_its_own_scratch_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_shared", lambda _: str(tmp_path))
+    (tmp_path / "demandtide-other").mkdir()
+    path = scratch_dir(spark, "mine")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    session.clear_scratch(spark)
+    assert [p.name for p in tmp_path.iterdir()] == ["demandtide-other"]
+    session.clear_scratch(spark)
+
+
 def test_a_failed_ingest_is_made_good(spark, tmp_path, monkeypatch):
     """Months half written by a run that failed, before or after their files came, are written again as a whole."""
     target = str(tmp_path / "t")
@@ -106,13 +118,13 @@ class _Session:
     """The two things ``scratch_dir`` looks at."""
 
     def __init__(self, master, folder):
-        self.sparkContext = type("Context", (), {"master": master})
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app"})
         self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: {"spark.checkpoint.dir": folder}.get(key) or default)})
 
 
 def test_scratch_folder_follows_the_cluster():
     a, b = (scratch_dir(_Session("spark://x", "hdfs://shared/tmp"), "x") for _ in range(2))
-    assert a.startswith("hdfs://shared/tmp/x-") and a != b
+    assert a.startswith("hdfs://shared/tmp/demandtide-app/x-") and a != b
     with pytest.raises(RuntimeError):
         scratch_dir(_Session("spark://x", None), "x")
     assert scratch_dir(_Session("local[2]", None), "x")
