@@ -36,11 +36,16 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, quantiles:
     there is always one.
 
     Reads ``df`` twice, and a third time for keys whose bracket misses. What the brackets hold is
-    written under the shared folder.
+    written under the shared folder. Where every group is small, Spark's own percentile takes them
+    whole: its buffer is then bounded too.
     """
     keys = list(keys)
     by = [*keys, "name"]
     known = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("v"))
+    largest = known.groupBy(*keys).agg(F.count("*").alias("c")).agg(F.max("c")).first()[0] or 0
+    if largest <= min(small, SMALL):
+        at = F.percentile("v", F.array(*[F.lit(q) for q in quantiles.values()]))
+        return known.groupBy(*keys).agg(at.alias("q")).select(*keys, *[F.col("q")[i].alias(name) for i, name in enumerate(quantiles)])
     points = [x for q in quantiles.values() for x in (max(q - MARGIN, 0.0), min(q + MARGIN, 1.0))]
     stats = known.groupBy(*keys).agg(F.count("*").alias("cnt"), F.min("v").alias("least"), F.max("v").alias("most"), F.percentile_approx("v", points, ACCURACY).alias("near"))
     # A small group is its own bracket; there the margin would be less than one rank.
