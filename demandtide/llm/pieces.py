@@ -9,7 +9,8 @@ and looking the sums up among the remembered bytes gives each piece's span in th
 No piece of the usual models goes on behind a white space mark that follows another character, so
 merges never cross the border in front of such a mark; the text is cut there, and what a part was
 merged into is kept for its next occurrence (in two tables of fixed size, of which the older one is
-forgotten). A model with other pieces takes the text as one part.
+forgotten). Parts that are new are merged side by side, a row of numbers each, long ones one by one. A
+model with other pieces takes the text as one part.
 
 The model's bytes are read where the driver runs and go out with the tasks. Supported are models of
 type BPE with byte fallback; others are refused.
@@ -22,9 +23,9 @@ other columns are not read. In ``decode`` null ids give an empty text, an id out
 from __future__ import annotations
 
 import heapq
-import math
 import re
 import struct
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +43,12 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
 UNKNOWN_SURFACE = " ⁇ "
 
-#: Characters of a part up to which its pairs are looked through as a list, and the score of no pair.
-FEW, NEVER = 64, -math.inf
-#: Parts whose pieces each table remembers, and the longest of them.
-REMEMBERED, LONGEST = 1 << 18, 48
+#: Characters of a part up to which it is merged side by side with others and remembered, and the rank of no pair.
+FEW, NEVER = 64, 1 << 30
+#: Parts merged side by side: few enough for a processor's cache.
+ABREAST = 2048
+#: Parts whose pieces each table remembers.
+REMEMBERED = 1 << 18
 
 
 def _fields(data: bytes):
@@ -126,7 +129,6 @@ class Model:
         self.byte_id = {int(self.pieces[i][1:-1], 16): i for i in byte_ids}
         self.id_of = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == NORMAL}
         self.score = {p: scores[i] for p, i in self.id_of.items()}
-        self.pairs = {p: struct.pack("=ii", i, len(p)) for p, i in self.id_of.items()}
         self.end = trainer.get(42, 2)
         self.suffix, self.dummy = bool(trainer.get(24, 0)), bool(normalizer.get(3, 1))
         self.trim, self.escape = bool(normalizer.get(4, 1)), bool(normalizer.get(5, 1))
@@ -185,29 +187,94 @@ class Model:
         norm = "".join(out)
         return norm.replace(" ", MARK) if self.escape else norm, np.array([*source, end], np.int32)
 
+    @cached_property
+    def pairs(self) -> dict[str, bytes]:
+        """Id and length of every piece."""
+        return {p: struct.pack("=ii", i, len(p)) for p, i in self.id_of.items()}
+
+    def pair_table(self) -> None:
+        """Numbers of all symbols a piece is made of, and of all pairs of them that make a piece: the pair's
+        rank, best first and equal scores alike, and the piece."""
+        symbols = dict(self.id_of)
+        for piece in self.id_of:
+            for c in piece:
+                symbols.setdefault(c, len(self.pieces) + len(symbols))
+        # One number more, for all characters that no piece has.
+        self.width = max(symbols.values(), default=0) + 2
+        self.of_char = np.full(0x110000, self.width - 1, np.int32)
+        for s, i in symbols.items():
+            if len(s) == 1:
+                self.of_char[ord(s)] = i
+        _, rank = np.unique([-self.score[p] for p in self.id_of], return_inverse=True)
+        made = [(symbols[p[:i]] * self.width + symbols[p[i:]], r, self.id_of[p]) for p, r in zip(self.id_of, rank.tolist()) for i in range(1, len(p)) if p[:i] in symbols and p[i:] in symbols]
+        table = np.array(sorted(made), np.int64).reshape(-1, 3)
+        self.pair = np.append(table[:, 0], np.iinfo(np.int64).max)
+        self.rank, self.into = (np.append(table[:, k], x).astype(np.int32) for k, x in ((1, NEVER), (2, -1)))
+
+    def _look(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and piece of each pair of symbols; ``NEVER`` where they make none."""
+        key = np.where(left >= 0, left.astype(np.int64) * self.width, -self.width) + right
+        at = np.searchsorted(self.pair, key)
+        there = (self.pair[at] == key) & (right >= 0)
+        return np.where(there, self.rank[at], np.int32(NEVER)), self.into[at]
+
+    def encoded_many(self, parts: list[str]) -> list[bytes]:
+        """``encoded`` of many parts at once: all of them take their best pair, step by step, a row each.
+        Needs the table of pairs."""
+        out: list[bytes | None] = [None] * len(parts)
+        sizes = np.array([len(p) for p in parts])
+        for low, high in zip((0, 8, 16, 32), (8, 16, 32, FEW)):
+            rows = np.flatnonzero((sizes > low) & (sizes <= high))
+            for at in range(0, len(rows), ABREAST):
+                self._rows(parts, sizes[rows[at : at + ABREAST]], rows[at : at + ABREAST], out)
+        return [x if x is not None else self.encoded(p) for x, p in zip(out, parts)]
+
+    def _rows(self, parts: list[str], sizes: np.ndarray, row: np.ndarray, out: list) -> None:
+        """Sets ``out`` at the places ``row``."""
+        width = int(sizes.max())
+        column = np.arange(width + 1)
+        symbol = np.full((len(row), width + 1), -1, np.int32)
+        symbol[column < sizes[:, None]] = self.of_char[np.frombuffer("".join([parts[i] for i in row]).encode("utf-32-le"), np.uint32)]
+        begin = np.minimum(column, sizes[:, None]).astype(np.int32)
+        rank, into = self._look(symbol[:, :-1], symbol[:, 1:])
+        while len(row):
+            best = rank.argmin(1)  # the first one of equals
+            here = np.arange(len(row))
+            done = rank[here, best] == NEVER
+            self._finish(parts, symbol[done], begin[done], row[done], out)
+            go = ~done
+            symbol, begin, rank, into, row, best = symbol[go], begin[go], rank[go], into[go], row[go], best[go]
+            here = np.arange(len(row))
+            piece = into[here, best]
+            # The symbols behind the pair move up by one.
+            move = np.minimum(column + (column > best[:, None]), width)
+            symbol, begin = np.take_along_axis(symbol, move, 1), np.take_along_axis(begin, move, 1)
+            symbol[:, -1] = -1
+            symbol[here, best] = piece
+            move = np.minimum(move[:, :-1], width - 1)
+            rank, into = np.take_along_axis(rank, move, 1), np.take_along_axis(into, move, 1)
+            rank[:, -1] = NEVER
+            for at in (np.maximum(best - 1, 0), best):
+                at = np.minimum(at, width - 1)
+                rank[here, at], into[here, at] = self._look(symbol[here, at], symbol[here, at + 1])
+
+    def _finish(self, parts: list[str], symbol: np.ndarray, begin: np.ndarray, row: np.ndarray, out: list) -> None:
+        """Ids and lengths of rows that merge no further, as one run of bytes cut row by row; symbols that
+        are no piece, single characters, go byte by byte."""
+        mask = symbol[:, :-1] >= 0
+        cells = np.stack([symbol[:, :-1][mask], np.diff(begin)[mask]], 1).astype(np.int32).tobytes()
+        ends = (8 * np.cumsum(mask.sum(1))).tolist()
+        pieces_only = (symbol < len(self.pieces)).all(1).tolist()
+        start = 0
+        for k, (i, end, whole) in enumerate(zip(row.tolist(), ends, pieces_only)):
+            out[i] = cells[start:end]
+            if not whole:
+                marks = [(a, b, s < len(self.pieces)) for a, b, s in zip(begin[k].tolist(), begin[k, 1:].tolist(), symbol[k].tolist()) if s >= 0]
+                out[i] = b"".join([cells[start + 8 * j : start + 8 * j + 8] if known else self._by_bytes(parts[i][a:b]) for j, (a, b, known) in enumerate(marks)])
+            start = end
+
     def merge(self, part: str) -> list[str]:
-        """The symbols left when no two neighbours make a piece."""
-        return self._merge_few(part) if len(part) <= FEW else self._merge_many(part)
-
-    def _merge_few(self, part: str) -> list[str]:
-        """The best pair of all, again and again: the quickest way for a word."""
-        symbol, score = list(part), self.score
-        pairs = [score.get(a + b, NEVER) for a, b in zip(part, part[1:])]
-        while pairs:
-            best = max(pairs)
-            if best == NEVER:
-                break
-            i = pairs.index(best)
-            symbol[i : i + 2] = [symbol[i] + symbol[i + 1]]
-            del pairs[i]
-            if i:
-                pairs[i - 1] = score.get(symbol[i - 1] + symbol[i], NEVER)
-            if i < len(pairs):
-                pairs[i] = score.get(symbol[i] + symbol[i + 1], NEVER)
-        return symbol
-
-    def _merge_many(self, part: str) -> list[str]:
-        """The same with the pairs in a heap, for parts of any length."""
+        """The symbols left when no two neighbours make a piece, for a part of any length: pairs in a heap."""
         n = len(part)
         symbol, after, before = list(part), list(range(1, n + 1)), list(range(-1, n - 1))
         waiting: list = []
@@ -263,24 +330,31 @@ def encode(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: str = "t
     def run(batches):
         arrow, rules, known, older = to_arrow_schema(schema), Model(shared.value), {}, {}
         end = np.array([rules.end, 0], np.int32).tobytes()
+        rules.pair_table()
 
-        def code(part: str) -> bytes:
+        def learn(lists: list[list[str]]) -> dict[str, bytes]:
+            """Every part's pieces: those not met lately are merged together."""
             nonlocal known, older
-            found = older.get(part) or rules.encoded(part)
-            if len(part) <= LONGEST:
-                if len(known) >= REMEMBERED:
-                    known, older = {}, known
-                known[part] = found
-            return found
+            if len(known) >= REMEMBERED:
+                known, older = {}, known
+            new = set().union(*lists) - known.keys()
+            for part in [p for p in new if p in older]:
+                known[part] = older[part]
+                new.discard(part)
+            few = [p for p in new if len(p) <= FEW]
+            known.update(zip(few, rules.encoded_many(few)))
+            return {p: rules.encoded(p) for p in new if len(p) > FEW}
 
         for batch in batches:
             column = batch.column("text")
             _, offsets = text_buffers(column)
             for lo, hi in chunks(offsets):
                 sizes, ids, starts, ends = [0], [], [], []
-                for x in column.slice(lo, hi - lo).to_pylist():
-                    norm, source = rules.normalise(x or "")
-                    pairs = np.frombuffer(b"".join([known.get(p) or code(p) for p in rules.parts.findall(norm)]) + end, np.int32).reshape(-1, 2)
+                normal = [rules.normalise(x or "") for x in column.slice(lo, hi - lo).to_pylist()]
+                lists = [rules.parts.findall(norm) for norm, _ in normal]
+                long = learn(lists)
+                for parts, (_, source) in zip(lists, normal):
+                    pairs = np.frombuffer(b"".join([known.get(p) or long[p] for p in parts]) + end, np.int32).reshape(-1, 2)
                     behind = np.cumsum(pairs[:, 1])
                     sizes.append(len(pairs))
                     ids.append(pairs[:, 0])
