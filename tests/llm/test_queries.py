@@ -13,7 +13,7 @@ import pandas as pd
 import pytest
 
 import corpus_pipeline
-from demandtide.llm import katz, personal, sql
+from demandtide.llm import base, katz, personal, sql
 from demandtide.llm.queries import QUERIES
 from tests.compare import connect, difference
 from tests.conftest import SF
@@ -156,6 +156,41 @@ def test_katz_counts_beyond_32_bits():
     assert katz.Unigrams((6 << 40) + 2, 2, np.array([0, 0, 1, 0, 0, 0, 0]))(np.array([6 << 40]))[0] == pytest.approx(1, rel=1e-9)
 
 
+def test_katz_leaves_little_behind(spark, monkeypatch, tmp_path):
+    """Of the levels' answers only the last stay, and the session's setting is as it was."""
+    folder = lambda spark, label: f"{tmp_path}/{label}"
+    monkeypatch.setattr(katz, "scratch_dir", folder)
+    monkeypatch.setattr(base, "scratch_dir", folder)
+    katz.katz_scores(spark.read.parquet(f"{SF}/documents.parquet"))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["counts-3", "katz"]
+    assert spark.conf.get(katz.RELEASE, "false") == "false"
+
+
+def test_katz_asks_only_where_others_may_know(monkeypatch):
+    """What follows a history of this block alone, or of no training text, stays in the block."""
+    words = np.array([5, 6, 7, int(katz.START)], np.uint64)
+    block = {"words": words, "ids": np.array([0, 1, 2, 0, 2]), "length": np.array([5]), "held": np.array([0])}
+    levels = katz._levels(block, 2, number := np.arange(4, dtype=np.uint64))
+    known = lambda alone, counts: [katz._State(np.array(counts), np.full(4, 0.25), np.array(alone), np.array(counts))]
+    after = lambda ask: sum(katz._unpack(x, np.int64).sum() for x in ask["runs"] if x)
+    assert after(katz._ask_grams(1, levels, number, 2, known([False] * 4, [2, 1, 2, 1]), 4)) == 5
+    ask = katz._ask_grams(1, levels, number, 2, known([False, True, True, False], [2, 1, 2, 0]), 4)
+    assert after(ask) == 2 and ask["n"].sum() == 3
+
+
+def test_katz_packing():
+    rng = np.random.default_rng(0)
+    for x in (np.zeros(0, np.int64), np.array([3, 70000, 1 << 40]), np.array([-1, 5]), np.array([0.5, np.nan, 2.0]), np.array([1.0, 255.0]), np.array([2**64 - 1], np.uint64)):
+        assert np.array_equal(katz._unpack(katz._pack(x)), x, equal_nan=x.dtype.kind == "f") and katz._unpack(katz._pack(x)).dtype == x.dtype
+    table = np.array([[1, 0.5], [2, 0.25], [3, 0.125]])
+    assert katz._unpack(katz._pack(table)).reshape(3, 2).tolist() == table.tolist()
+    paths = np.unique(rng.integers(0, 9, (200, 3)).astype(np.uint64), axis=0)
+    assert np.array_equal(katz._read_paths(katz._sent_paths(paths)), paths)
+    for high in (50, 1 << 62):
+        x = rng.integers(0, high, 1000)
+        assert all(np.array_equal(a, b) for a, b in zip(katz._distinct(x), np.unique(x, return_inverse=True)))
+
+
 def test_main_text_against_the_marked_articles(spark):
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     rows = QUERIES["op6_site_templates"](spark, SF).collect()
