@@ -166,6 +166,35 @@ def test_katz_leaves_little_behind(spark, monkeypatch, tmp_path):
     assert spark.conf.get(katz.RELEASE, "false") == "false"
 
 
+def test_katz_keeps_answers_once(spark, monkeypatch, tmp_path):
+    """When blocks ask for a level, the tables of answers below it and the words' hashes have gone."""
+    folder, there, kept = lambda spark, label: f"{tmp_path}/{label}", [], katz._kept
+
+    def watched(df, *rest):
+        there.append(sorted(str(p.relative_to(tmp_path)) for p in [*tmp_path.glob("counts-*"), *tmp_path.glob("katz/unnumbered")]))
+        return kept(df, *rest)
+
+    monkeypatch.setattr(katz, "scratch_dir", folder)
+    monkeypatch.setattr(katz, "_kept", watched)
+    katz.katz_scores(spark.read.parquet(f"{SF}/documents.parquet"))
+    assert there == [[], ["counts-1", "katz/unnumbered"], [], ["counts-2"], []]
+    for path in tmp_path.glob("katz/block-*"):
+        assert set(np.load(path)) == {"ids", "length", "held", "doc", "start"}
+
+
+def test_katz_owners_tell_whole_numbers():
+    """Of a history: words seen 1 to 5 times, seen words with such counts below, the other seen words' counts there."""
+    word, train, lower = np.arange(1, 7, dtype=np.uint64), np.array([1, 1, 2, 0, 9, 0]), np.array([1, 4, 4, 0, 70, 0])
+    packed = word.astype(np.uint32).tobytes() + np.zeros(6, np.uint16).tobytes()
+    row = {"bucket": 0, "words": packed, "runs": katz._pack(np.array([4, 2])), "histories": np.array([5, 8, 0, 0], np.uint64).tobytes()}
+    ask = pd.DataFrame([row | {"block": 1, "counts": katz._pack(train), "lower": katz._pack(lower)}, row | {"block": 2, "counts": katz._pack(train * 0), "lower": katz._pack(lower * 0)}])
+    out = katz._count_grams(ask)
+    for packed_stats in out.loc[out["kind"] == "answer", "stats"]:
+        stats = katz._unpack(packed_stats)
+        assert stats.dtype.kind == "i"
+        assert stats.reshape(2, -1).tolist() == [[2, 1, 0, 0, 0, 1, 0, 0, 2, 0, 0], [0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 70]]
+
+
 def test_katz_asks_only_where_others_may_know(monkeypatch):
     """What follows a history of this block alone, or of no training text, stays in the block."""
     words = np.array([5, 6, 7, int(katz.START)], np.uint64)
